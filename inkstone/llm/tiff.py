@@ -69,83 +69,87 @@ def unpackbits(data: bytes) -> bytes:
     return b"".join(out)
 
 
+FULL = 4094  # table entries at which this writer clears
+#: The width of each code after a clear, by its number, for writers and readers alike: the format widens one code early.
+WIDTHS = np.array([9 if 258 + k < 512 else 10 if 258 + k < 1024 else 11 if 258 + k < 2048 else 12 for k in range(4096)])
+
+
 def lzw(data: bytes) -> bytes:
-    """Codes of 9 to 12 bits, the highest bit first, one code earlier at each widening, as the format has it."""
-    codes, widths = [256], [9]
-    known: dict[int, int] = {}
-    size, width, prefix = 258, 9, -1
-    for byte in data:
-        if prefix < 0:
+    """Codes of 9 to 12 bits, the highest bit first, as the format has it."""
+    codes, cleared = [256], [0]  # codes, and where the table is new
+    if data:
+        known: dict[int, int] = {}
+        find, add, size, prefix = known.get, codes.append, 258, data[0]
+        for byte in data[1:]:
+            key = prefix << 8 | byte
+            got = find(key)
+            if got is not None:
+                prefix = got
+                continue
+            add(prefix)
+            known[key] = size
+            size += 1
             prefix = byte
-            continue
-        key = prefix << 8 | byte
-        if key in known:
-            prefix = known[key]
-            continue
-        codes.append(prefix)
-        widths.append(width)
-        known[key] = size
-        size += 1
-        prefix = byte
-        if size == 4094:
-            codes.append(256)
-            widths.append(width)
-            known, size, width = {}, 258, 9
-        elif size == 1 << width:
-            width += 1
-    if prefix >= 0:
-        codes.append(prefix)
-        widths.append(width)
-        size += 1
-        if size == 4094:
-            codes.append(256)
-            widths.append(width)
-            width = 9
-        elif size == 1 << width:
-            width += 1
+            if size == FULL:
+                add(256)
+                cleared.append(len(codes) - 1)
+                known.clear()
+                size = 258
+        add(prefix)
+        if size + 1 == FULL:
+            add(256)
+            cleared.append(len(codes) - 1)
     codes.append(257)
-    widths.append(width)
-    code, wide = np.array(codes, np.int64), np.array(widths, np.int64)
-    place = np.concatenate([[0], np.cumsum(wide)])
-    bits = np.zeros(place[-1], np.uint8)
+    code = np.array(codes, np.int64)
+    begin = np.zeros(len(code), np.int64)
+    begin[cleared[1:]] = cleared[1:]
+    nth = np.arange(len(code)) - np.maximum.accumulate(begin)  # codes since the last clear
+    wide = WIDTHS[np.maximum(nth - 1, 0)]
+    wide[0] = 9
+    if len(cleared) > 1:  # a clear has the width of the code it stands in place of
+        wide[cleared[1:]] = 12
+    place = np.cumsum(wide) - wide
+    bits = np.zeros(place[-1] + wide[-1], np.uint8)
     for k in range(12):
         has = wide > k
-        bits[place[:-1][has] + wide[has] - 1 - k] = (code[has] >> k) & 1
+        bits[place[has] + wide[has] - 1 - k] = (code[has] >> k) & 1
     return np.packbits(bits).tobytes()
 
 
 def unlzw(data: bytes) -> bytes:
-    held = nbits = 0
-    width, out = 9, []
-    base = [bytes([i]) for i in range(256)] + [b"", b""]
-    known, last = base.copy(), None
-    for byte in data:
-        held = (held << 8 | byte) & 0xFFFFFFFF
-        nbits += 8
-        if nbits < width:
-            continue
-        nbits -= width
-        code = held >> nbits & (1 << width) - 1
-        if code == 256:
-            known, last, width = base.copy(), None, 9
-            continue
-        if code == 257:
+    """Codes are read a table's worth at a time: until a clear their widths depend on their number alone."""
+    raw = np.zeros(len(data) + 4, np.int64)
+    raw[: len(data)] = np.frombuffer(data, np.uint8)
+    window = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]
+    first = [bytes([i]) for i in range(256)] + [b"", b""]
+    widths = WIDTHS[: len(data)]  # no code is shorter than a byte
+    ahead = np.cumsum(widths) - widths
+    at, out = 0, []
+    if len(data) > 1 and window[0] >> 23 == 256:
+        at = 9
+    while at < 8 * len(data):
+        place = at + ahead
+        place = place[place + 9 <= 8 * len(data)]
+        wide = widths[: len(place)]
+        codes = (window[place >> 3] >> (32 - (place & 7) - wide)) & ((1 << wide) - 1)
+        stop = np.flatnonzero((codes == 256) | (codes == 257))
+        n = int(stop[0]) if len(stop) else len(codes)
+        known, last = first.copy(), b""
+        add, put = known.append, out.append
+        for code in codes[:n].tolist():
+            try:
+                got = known[code]
+            except IndexError:
+                if code != len(known) or not last:
+                    raise ValueError("LZW code out of range") from None
+                got = last + last[:1]
+            if last:
+                add(last + got[:1])
+            put(got)
+            last = got
+        if n == len(codes) or codes[n] == 257:
             break
-        if last is None:
-            last = known[code]
-            out.append(last)
-            continue
-        if code < len(known):
-            got = known[code]
-        elif code == len(known):
-            got = last + last[:1]
-        else:
-            raise ValueError("LZW code out of range")
-        known.append(last + got[:1])
-        out.append(got)
-        last = got
-        if len(known) >= (1 << width) - 1 and width < 12:
-            width += 1
+        at = int(place[n] + wide[n])
     return b"".join(out)
 
 
