@@ -6,6 +6,7 @@ A null text counts as empty everywhere.
 
 from __future__ import annotations
 
+import importlib.util
 import math
 import os
 import tempfile
@@ -69,6 +70,17 @@ def parts_for(spark: SparkSession, amount: float, per_part: float) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(amount / per_part), 1)
 
 
+TOKENIZERS = os.environ.get("INKSTONE_TOKENIZERS", "/opt/tokenizers")
+
+
+def tokenizer_path(name: str, folder: str = TOKENIZERS) -> str:
+    """Where a public tokenizer's file is, by the folder's own module; the folder is the same on every executor."""
+    spec = importlib.util.spec_from_file_location("public_tokenizers", f"{folder}/__init__.py")
+    module = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(module)
+    return module.path(name)
+
+
 # ---------------------------------------------------------------- Arrow batches
 
 

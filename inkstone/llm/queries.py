@@ -2,28 +2,16 @@
 
 from __future__ import annotations
 
-import importlib.util
-import os
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkstone.llm import license_scan, packing, quality, sentencepiece_codec, tiff, token_counts, toxicity
-from inkstone.llm.common import fold, table
+from inkstone.llm import jaccard_join, license_scan, packing, quality, sentencepiece_codec, tiff, token_counts, toxicity
+from inkstone.llm.common import fold, table, tokenizer_path
 from inkstone.llm.license_templates import TEMPLATES
 
-TOKENIZERS = os.environ.get("INKSTONE_TOKENIZERS", "/opt/tokenizers")
-
-
-def tokenizer_path(name: str, folder: str = TOKENIZERS) -> str:
-    """Where a public tokenizer's file is, by the folder's own module."""
-    spec = importlib.util.spec_from_file_location("public_tokenizers", f"{folder}/__init__.py")
-    module = importlib.util.module_from_spec(spec)
-    spec.loader.exec_module(module)
-    return module.path(name)
-
-
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"), TEMPLATES)
 
@@ -52,11 +40,16 @@ def op8_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiff.stored_texts(table(spark, sf_dir, "documents")).drop("content")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), token_counts.sentencepiece_vocabulary(tokenizer_path("piece_bpe_32k.model")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op2_quality, op3_packing, op4_toxicity, op6_sentencepiece, op8_tiff, op10_token_counts)
+    "pipeline": corpus_pipeline.run,
+    **{f.__name__: f for f in (op1_license_scan, op2_quality, op3_packing, op4_toxicity, op6_sentencepiece, op8_tiff, op9_jaccard_join, op10_token_counts)},
 }
 ORACLES: dict[str, str] = {}
