@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkstone.llm import jaccard_join, license_scan, packing, quality, sentencepiece_codec, tiff, token_counts, toxicity
+from inkstone.llm import additive_quantisation, jaccard_join, kneser_ney, license_scan, packing, quality, sentencepiece_codec, tiff, token_counts, toxicity
 from inkstone.llm.common import fold, table, tokenizer_path
 from inkstone.llm.license_templates import TEMPLATES
 
@@ -31,11 +31,20 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.graded(docs, toxicity.train(docs, table(spark, sf_dir, "labels"), F.lit(True)))
 
 
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = kneser_ney.perplexity(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+    return got.select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(tokenizer_path("piece_bpe_32k.model"), "rb") as f:
         return sentencepiece_codec.coded(table(spark, sf_dir, "documents"), f.read())
 
 
+def op7_additive_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return additive_quantisation.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op8_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiff.stored_texts(table(spark, sf_dir, "documents")).drop("content")
 
@@ -50,6 +59,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
-    **{f.__name__: f for f in (op1_license_scan, op2_quality, op3_packing, op4_toxicity, op6_sentencepiece, op8_tiff, op9_jaccard_join, op10_token_counts)},
+    **{f.__name__: f for f in (op1_license_scan, op2_quality, op3_packing, op4_toxicity, op5_kneser_ney, op6_sentencepiece, op7_additive_quantisation, op8_tiff, op9_jaccard_join, op10_token_counts)},
 }
 ORACLES: dict[str, str] = {}
