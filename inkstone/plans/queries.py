@@ -1,4 +1,370 @@
-"""Queries over the driver's tables."""
+"""The library's operators over the driver's tables, each with the SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from inkstone.functions import reign_dates as dates
+from inkstone.functions import text
+from inkstone.operators import corpus, evaluation, linking, merging, timeline
+from inkstone.sources.storage import read
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def query(sql: str):
+    """Registers a function of read(name) under its name, with its SQL."""
+
+    def register(f):
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: read(spark, sf_dir, name))
+        ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+# ---------------------------------------------------------------- documents
+
+PARAGRAPHS_SQL = r"list_filter(list_transform(string_split_regex(text, '\r?\n+'), lambda x: regexp_replace(x, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')), lambda x: x <> '')"
+CHUNKS_SQL = f"""
+WITH RECURSIVE p AS (SELECT doc_id, {PARAGRAPHS_SQL} AS ps FROM documents),
+q AS (SELECT doc_id, ps, len(ps) AS n, list_prepend(0::BIGINT, list_transform(range(1, len(ps) + 1), lambda i: list_sum(list_transform(ps[1:i], lambda x: length(x)))::BIGINT)) AS c FROM p WHERE len(ps) > 0),
+walk AS (
+  SELECT doc_id, 0::BIGINT AS s FROM q
+  UNION ALL
+  SELECT w.doc_id, coalesce(list_max(list_filter(range(w.s + 1, w.e), lambda b: q.c[w.e + 1] - q.c[b + 1] >= 200)), w.s + 1)
+  FROM (SELECT v.doc_id, v.s, v.s + greatest(1, coalesce(list_max(list_filter(range(2, k.n - v.s + 1), lambda m: k.c[v.s + m + 1] - k.c[v.s + 1] + 2 * (m - 1) <= 1800)), 1)) AS e FROM walk v JOIN q k USING (doc_id)) w
+  JOIN q USING (doc_id) WHERE w.e < q.n
+),
+ends AS (SELECT w.doc_id, w.s, w.s + greatest(1, coalesce(list_max(list_filter(range(2, q.n - w.s + 1), lambda m: q.c[w.s + m + 1] - q.c[w.s + 1] + 2 * (m - 1) <= 1800)), 1)) AS e, q.ps FROM walk w JOIN q USING (doc_id)),
+chunked AS (SELECT doc_id, s, e, array_to_string(ps[s + 1:e], chr(10) || chr(10)) AS body FROM ends)
+"""
+
+
+@query(CHUNKS_SQL + "SELECT doc_id, s::INT AS paragraph_start, (e - 1)::INT AS paragraph_end, length(body) AS n_chars, substr(sha256(body), 1, 16) AS hash FROM chunked")
+def chunk_documents(t) -> DataFrame:
+    return corpus.chunks(t("documents")).select("doc_id", "paragraph_start", "paragraph_end", F.length("text").cast("long").alias("n_chars"), "hash")
+
+
+TERMS = {"the": "en:the", "and": "en:and", "tion": "x:tion", "que": "x:que", "der": "de:der", "é": "x:e", "License": "x:licence"}
+
+
+@query(f"""SELECT term_id, sum((length(text) - length(replace(text, term, ''))) // length(term))::BIGINT AS n, count(*) AS n_docs, min(doc_id) AS first_doc
+FROM documents, (VALUES {", ".join(f"('{k}', '{v}')" for k, v in TERMS.items())}) AS x(term, term_id) WHERE contains(text, term) GROUP BY term_id""")
+def term_discovery(t) -> DataFrame:
+    return corpus.discover_terms(t("documents"), TERMS, "doc_id").select("term_id", "n", F.size("places").cast("long").alias("n_docs"), F.col("places")[0].alias("first_doc"))
+
+
+@query("SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(nfc_normalize(d.text), nfc_normalize(b.text)) WHERE length(b.text) > 0")
+def verbatim_contains(t) -> DataFrame:
+    docs, quotes = corpus.normalised(t("documents"), "text"), corpus.normalised(t("benchmark"), "text").withColumnRenamed("text", "quote")
+    return docs.join(F.broadcast(quotes), corpus.quote_holds(F.col("quote"), F.col("text"))).select("doc_id", "item_id")
+
+
+@query("""SELECT doc_id, item_id, i::INT AS "start", (i + length(q))::INT AS "end" FROM (SELECT d.doc_id, b.item_id, b.text AS q, d.text AS body, unnest(range(0, length(d.text))) AS i
+FROM documents d JOIN benchmark b ON contains(d.text, b.text) AND length(b.text) > 0) WHERE substr(body, i + 1, length(q)) = q""")
+def find_spans(t) -> DataFrame:
+    return corpus.quote_spans(t("documents"), t("benchmark").select("item_id", F.col("text").alias("quote"))).select("doc_id", "item_id", "start", "end")
+
+
+@query("""SELECT doc_id, length(body)::BIGINT AS n_chars, substr(sha256(body), 1, 16) AS hash FROM (SELECT doc_id, string_agg('## ' || s || '-' || (e - 1) || chr(10) || chr(10) || '```' || chr(10) || body || chr(10) || '```', chr(10) || chr(10) ORDER BY s) AS body FROM chunked GROUP BY doc_id)""".join([CHUNKS_SQL, ""]))
+def rendered_documents(t) -> DataFrame:
+    return corpus.rendered(corpus.chunks(t("documents"))).select("doc_id", F.length("markdown").cast("long").alias("n_chars"), text.hash_hex(F.col("markdown")).alias("hash"))
+
+
+@query("SELECT doc_id, quality FROM labels l WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id AND d.lang = 'en')")
+def insert_absent(t) -> DataFrame:
+    return corpus.insert_absent(t("documents").filter("lang = 'en'"), t("labels"), ["doc_id"]).select("doc_id", "quality")
+
+
+@query("SELECT doc_id FROM documents WHERE NOT EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = documents.doc_id)")
+def unprocessed_documents(t) -> DataFrame:
+    return corpus.unchunked(t("documents"), t("labels")).select("doc_id")
+
+
+@query(r"""SELECT coalesce(message, 'kept') AS message, count(*) AS n FROM (SELECT CASE WHEN NOT coalesce(length(text) > 0, false) THEN 'empty text' WHEN NOT coalesce(lang IN ('en', 'fr', 'de'), false) THEN 'unknown lang'
+WHEN NOT coalesce(contains(text, ' '), false) THEN 'one word' WHEN NOT coalesce(regexp_matches(source, '^src[0-9]$'), false) THEN 'other source' END AS message FROM documents) GROUP BY 1""")
+def validation_report(t) -> DataFrame:
+    message = text.first_failure((F.length("text") > 0, "empty text"), (F.col("lang").isin("en", "fr", "de"), "unknown lang"), (F.contains(F.col("text"), F.lit(" ")), "one word"), (F.col("source").rlike("^src[0-9]$"), "other source"))
+    return t("documents").groupBy(F.coalesce(message, F.lit("kept")).alias("message")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT item_id, round(least(0.7 + least(length(text) * 0.01, 0.15) + CASE WHEN item_id % 2 = 0 THEN 0.1 ELSE 0 END, 0.95), 6)::DOUBLE AS confidence, (item_id % 2 = 0 OR NOT contains(text, 'zzz')) AND length(text) > 0 AS justified FROM benchmark""")
+def record_confidence(t) -> DataFrame:
+    why = F.when(F.col("item_id") % 2 == 0, F.create_map(F.lit("name"), F.col("text"))).otherwise(F.create_map(F.lit("name"), F.lit("")))
+    first = F.create_map(F.lit("name"), F.col("text"))
+    return t("benchmark").select("item_id", F.round(evaluation.confidence(F.col("text"), why, ["name"]), 6).alias("confidence"), corpus.justified(first, F.col("text")).alias("justified"))
+
+
+@query("SELECT lang, max(source) AS edition FROM documents GROUP BY lang")
+def edition_max(t) -> DataFrame:
+    return t("documents").groupBy("lang").agg(F.max("source").alias("edition"))
+
+
+@query("SELECT d.doc_id, l.quality AS latest_run, l.quality IS NOT NULL AS extracted, CASE WHEN l.doc_id IS NULL THEN 0 ELSE 1 END::BIGINT AS n_runs FROM documents d LEFT JOIN labels l USING (doc_id)")
+def coverage(t) -> DataFrame:
+    return evaluation.coverage(t("documents").select("doc_id"), t("labels"), "doc_id", "toxic", "quality").select("doc_id", "latest_run", "extracted", "n_runs")
+
+
+@query("SELECT p_partkey, regexp_replace(regexp_replace(lower(p_type || ' / ' || p_brand), '[^\\p{L}\\p{N}_]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM part")
+def part_slugs(t) -> DataFrame:
+    return t("part").select("p_partkey", text.slug(F.concat("p_type", F.lit(" / "), "p_brand")).alias("slug"))
+
+
+# ---------------------------------------------------------------- linking
+
+PEOPLE_SQL = """
+WITH cand AS (SELECT 'cand:' || c_custkey AS id, 'run:' || c_nationkey % 5 AS run, right(c_name, 3) AS canonical_name, [c_mktsegment || c_custkey % 40] AS variants, 'sta:' || c_nationkey AS state_id, c_mktsegment AS clan_name, CASE WHEN c_acctbal > 0 THEN 'noble' END AS social_category, (700 - c_custkey % 300)::INT AS birth_bce, (660 - c_custkey % 300)::INT AS death_bce FROM customer),
+canon AS (SELECT 'per:' || s_suppkey AS id, right(s_name, 3) AS canonical_name, [right(s_name, 2)] AS variants, 'sta:' || s_nationkey AS state_id, NULL AS clan_name, CASE WHEN s_acctbal > 0 THEN 'noble' ELSE 'commoner' END AS social_category, (700 - s_suppkey % 300)::INT AS birth_bce, NULL::INT AS death_bce FROM supplier),
+cn AS (SELECT id, run, unnest(list_distinct(list_prepend(canonical_name, variants))) AS name FROM cand), kn AS (SELECT id, unnest(list_distinct(list_prepend(canonical_name, variants))) AS name FROM canon),
+pairs AS (SELECT DISTINCT cn.id AS cand, kn.id AS target, 0 AS kind_rank FROM cn JOIN kn USING (name) UNION SELECT DISTINCT a.id, b.id, 1 FROM cn a JOIN cn b ON a.run = b.run AND a.name = b.name AND a.id <> b.id),
+everyone AS (SELECT * EXCLUDE (run) FROM cand UNION ALL SELECT * FROM canon),
+feat AS (SELECT cand, target, kind_rank,
+  CASE WHEN list_contains(b.variants, a.canonical_name) OR list_contains(a.variants, b.canonical_name) OR a.canonical_name = b.canonical_name THEN 'strong' WHEN list_has_any(list_prepend(a.canonical_name, a.variants), list_prepend(b.canonical_name, b.variants)) THEN 'partial' ELSE 'none' END AS overlap,
+  CASE WHEN a.state_id IS NULL OR b.state_id IS NULL THEN 'one_null' WHEN a.state_id = b.state_id THEN 'same' ELSE 'different' END AS state,
+  CASE WHEN a.clan_name IS NULL OR b.clan_name IS NULL THEN 'one_null' WHEN a.clan_name = b.clan_name THEN 'same' ELSE 'different' END AS clan,
+  CASE WHEN a.social_category IS NULL OR b.social_category IS NULL THEN 'one_null' WHEN a.social_category = b.social_category THEN 'same' ELSE 'different' END AS social,
+  CASE WHEN coalesce(a.death_bce - b.birth_bce > 150, false) OR coalesce(b.death_bce - a.birth_bce > 150, false) OR least(abs(a.birth_bce - b.birth_bce), abs(a.death_bce - b.birth_bce), coalesce(abs(a.birth_bce - b.death_bce), 9999), coalesce(abs(a.death_bce - b.death_bce), 9999)) > 200 THEN 'conflict' ELSE 'compatible' END AS "time"
+  FROM pairs JOIN everyone a ON a.id = cand JOIN everyone b ON b.id = target),
+scored AS (SELECT *, CASE WHEN overlap = 'none' THEN 0 ELSE least(greatest(CASE overlap WHEN 'strong' THEN 50 ELSE 20 END + CASE state WHEN 'same' THEN 20 WHEN 'different' THEN -40 ELSE 0 END + CASE clan WHEN 'same' THEN 10 WHEN 'different' THEN -20 ELSE 0 END
+  + CASE WHEN overlap = 'strong' AND state = 'same' AND social = 'different' THEN 0 WHEN social = 'same' THEN 10 WHEN social = 'different' THEN -10 ELSE 0 END + CASE "time" WHEN 'compatible' THEN 10 WHEN 'conflict' THEN -30 ELSE 0 END, 0), 100) END AS score100 FROM feat),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cand ORDER BY score100 DESC, kind_rank, target) AS n FROM scored WHERE score100 > 0) WHERE n = 1)
+"""
+
+
+def _people(t) -> tuple[DataFrame, DataFrame]:
+    c, s = t("customer"), t("supplier")
+    cand = c.select(
+        F.concat(F.lit("cand:"), "c_custkey").alias("id"), F.concat(F.lit("run:"), F.col("c_nationkey") % 5).alias("run"), F.expr("right(c_name, 3)").alias("canonical_name"), F.array(F.concat("c_mktsegment", F.col("c_custkey") % 40)).alias("variants"),
+        F.concat(F.lit("sta:"), "c_nationkey").alias("state_id"), F.col("c_mktsegment").alias("clan_name"), F.when(F.col("c_acctbal") > 0, "noble").alias("social_category"), (700 - F.col("c_custkey") % 300).cast("int").alias("birth_bce"), (660 - F.col("c_custkey") % 300).cast("int").alias("death_bce"),
+    )
+    canon = s.select(
+        F.concat(F.lit("per:"), "s_suppkey").alias("id"), F.expr("right(s_name, 3)").alias("canonical_name"), F.array(F.expr("right(s_name, 2)")).alias("variants"), F.concat(F.lit("sta:"), "s_nationkey").alias("state_id"), F.lit(None).cast("string").alias("clan_name"),
+        F.when(F.col("s_acctbal") > 0, "noble").otherwise("commoner").alias("social_category"), (700 - F.col("s_suppkey") % 300).cast("int").alias("birth_bce"), F.lit(None).cast("int").alias("death_bce"),
+    )
+    return cand, canon
+
+
+@query(PEOPLE_SQL + "SELECT cand, target, kind_rank FROM pairs")
+def candidate_blocking(t) -> DataFrame:
+    return linking.candidate_pairs(*_people(t))
+
+
+@query(PEOPLE_SQL + 'SELECT cand, target, kind_rank, overlap, state, clan, social, "time", score100 FROM scored')
+def link_score(t) -> DataFrame:
+    cand, canon = _people(t)
+    return linking.scored_pairs(linking.candidate_pairs(cand, canon), cand, canon)
+
+
+@query(PEOPLE_SQL + """SELECT c.id AS cand, b.target, b.score100, CASE WHEN b.target IS NULL THEN 'skip' WHEN b.score100 >= 70 THEN 'auto' WHEN b.score100 < 40 THEN 'skip' WHEN b.kind_rank = 0 AND EXISTS (SELECT 1 FROM supplier WHERE s_acctbal < 0 AND 'per:' || s_suppkey = b.target) THEN 'rejected'
+WHEN b.kind_rank = 0 AND EXISTS (SELECT 1 FROM supplier WHERE 'per:' || s_suppkey = b.target AND 'cand:' || s_suppkey = c.id) THEN 'already_open' ELSE 'queue' END AS action FROM cand c LEFT JOIN best b ON b.cand = c.id""")
+def link_dispatch(t) -> DataFrame:
+    cand, canon = _people(t)
+    best = linking.best_target(linking.scored_pairs(linking.candidate_pairs(cand, canon), cand, canon))
+    rejected = best.join(t("supplier").filter("s_acctbal < 0").select(F.concat(F.lit("per:"), "s_suppkey").alias("target")), "target").select("target", F.col("cand").alias("fingerprint"))
+    opened = t("supplier").select(F.concat(F.lit("per:"), "s_suppkey").alias("target"), F.concat(F.lit("cand:"), "s_suppkey").alias("cand"))
+    return linking.dispatch(cand.withColumn("fingerprint", F.col("id")), best, rejected, opened)
+
+
+@query("""SELECT c_custkey, substr(sha1('{"name": "' || c_name || '", "variants": [' || array_to_string(list_transform(list_sort(list_distinct([c_mktsegment, right(c_name, 3), c_mktsegment])), lambda x: '"' || x || '"'), ', ') || ']}'), 1, 16) AS fingerprint FROM customer""")
+def fingerprints(t) -> DataFrame:
+    return t("customer").select("c_custkey", text.fingerprint(F.col("c_name"), F.array("c_mktsegment", F.expr("right(c_name, 3)"), "c_mktsegment")).alias("fingerprint"))
+
+
+# ---------------------------------------------------------------- merging
+
+
+@query("""WITH RECURSIVE p AS (SELECT o_custkey, o_orderstatus AS v, round((6 - substr(o_orderpriority, 1, 1)::INT) * 0.07 + 0.5, 2) AS c, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS k FROM orders),
+w AS (SELECT o_custkey, k, v AS "value", c::DOUBLE AS confidence, 1 AS n_set, 0 AS n_conflict FROM p WHERE k = 1 UNION ALL
+SELECT p.o_custkey, p.k, CASE WHEN p.v <> w."value" AND p.c > w.confidence + 0.1 THEN p.v ELSE w."value" END, CASE WHEN p.v <> w."value" AND p.c > w.confidence + 0.1 THEN p.c ELSE w.confidence END,
+ w.n_set + (p.v <> w."value" AND p.c > w.confidence + 0.1)::INT, w.n_conflict + (p.v <> w."value" AND NOT p.c > w.confidence + 0.1)::INT FROM w JOIN p ON p.o_custkey = w.o_custkey AND p.k = w.k + 1)
+SELECT o_custkey, "value", confidence, n_set, n_conflict FROM w QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY k DESC) = 1""")
+def merge_scalar_fold(t) -> DataFrame:
+    trust = F.round((6 - F.substring("o_orderpriority", 1, 1).cast("int")) * 0.07 + 0.5, 2)
+    return merging.fold_scalars(t("orders").select("o_custkey", "o_orderdate", "o_orderkey", F.col("o_orderstatus").alias("value"), trust.alias("confidence")), ["o_custkey"], ["o_orderdate", "o_orderkey"])
+
+
+@query("SELECT user_id, event_type, event_id, value, json_extract_string(props, '$.k')::INT AS k FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1")
+def latest_field(t) -> DataFrame:
+    return merging.latest(t("events"), ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id", "value", text.json_int(F.col("props"), "$.k").alias("k"))
+
+
+@query("""SELECT user_id AS entity_id, event_type AS field, event_id AS seq, lag(json_extract_string(props, '$.k')) OVER w AS before_value, json_extract_string(props, '$.k') AS after_value, row_number() OVER w::INT AS change FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id)""")
+def field_history(t) -> DataFrame:
+    as_json = F.to_json(F.struct(F.get_json_object("props", "$.k").alias("value")))
+    e = t("events").select(F.lit("user").alias("entity_kind"), F.col("user_id").alias("entity_id"), F.col("event_type").alias("field"), F.col("ts").alias("at"), F.col("event_id").alias("seq"), as_json.alias("after_json"))
+    log = e.withColumn("before_json", F.lag("after_json").over(Window.partitionBy("entity_id", "field").orderBy("at", "seq")))
+    return merging.field_history(log).select("entity_id", "field", "seq", "before_value", "after_value", "change")
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' AND g > 0 AND o_orderstatus = 'O' THEN a + off WHEN o_orderstatus = 'F' THEN year(o_orderdate) END::INT AS resolved_year FROM (SELECT *, first_value(CASE WHEN o_orderstatus = 'F' THEN year(o_orderdate) END) OVER x AS a, sum(CASE WHEN o_orderstatus = 'O' THEN -1 ELSE 0 END) OVER x AS off
+FROM (SELECT *, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS g FROM orders) WINDOW x AS (PARTITION BY o_custkey, g ORDER BY o_orderdate, o_orderkey))""")
+def relative_dates(t) -> DataFrame:
+    o = t("orders").withColumns({"is_relative": F.col("o_orderstatus") != "F", "year_bce": F.when(F.col("o_orderstatus") == "F", F.year("o_orderdate")), "offset": dates.walk_offset(F.when(F.col("o_orderstatus") == "O", "明年").otherwise("不明"))})
+    return timeline.walk_relative(o, ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_orderkey", F.col("resolved_year").cast("int").alias("resolved_year"))
+
+
+def _numeral(n: Column) -> Column:
+    digits = F.array(*(F.lit(c) for c in ["", *"一二三四五六七八九"]))
+    tens, ones = F.floor(n / 10).cast("int"), (n % 10).cast("int")
+    return F.when(n == 1, "元").otherwise(F.concat(F.when(tens > 1, digits[tens]).otherwise(""), F.when(tens > 0, "十").otherwise(""), digits[ones]))
+
+
+@query(f"""SELECT p_partkey, CASE WHEN p_partkey % 3 = 2 THEN era[1 + p_partkey % 10] ELSE CASE p_partkey % 3 WHEN 0 THEN lu[1 + p_partkey % 12] ELSE zhou[1 + p_partkey % 13] END - (p_size - 1) END::INT AS year_bce, CASE p_partkey % 3 WHEN 0 THEN 'explicit_reign_lu' WHEN 1 THEN 'explicit_reign_zhou' ELSE 'era_only' END AS inference_kind
+FROM part, (SELECT {[a for a, _ in dates.LU.values()]} AS lu, {[a for a, _ in dates.ZHOU.values()]} AS zhou, {[(a + b) // 2 for _, a, b in dates.ERAS.values()]} AS era)""")
+def reign_dates(t) -> DataFrame:
+    pick = lambda values, n: F.array(*(F.lit(v) for v in values))[(F.col("p_partkey") % n).cast("int")]
+    written = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("鲁"), pick(dates.LU, 12), F.lit("公"), _numeral(F.col("p_size")), F.lit("年"))).when(F.col("p_partkey") % 3 == 1, F.concat(F.lit("周"), pick(dates.ZHOU, 13), F.lit("王"), _numeral(F.col("p_size")), F.lit("年"))).otherwise(pick(dates.ERAS, 10))
+    return t("part").select("p_partkey", dates.parse_date(written).alias("d")).select("p_partkey", "d.year_bce", "d.inference_kind")
+
+
+@query("""WITH x AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 3 WHEN 'O' THEN 2 ELSE 1 END AS r1, CASE o_orderpriority WHEN '1-URGENT' THEN 3 WHEN '2-HIGH' THEN 2 ELSE 1 END AS r2, (o_orderkey % 11) / 10.0 AS c1, (o_custkey % 11) / 10.0 AS c2 FROM orders)
+SELECT o_orderkey, CASE WHEN r2 > r1 AND c2::DOUBLE >= c1::DOUBLE - 0.1::DOUBLE THEN 'new' WHEN r1 > r2 AND c1::DOUBLE >= c2::DOUBLE - 0.1::DOUBLE THEN 'current' WHEN c2 > c1 THEN 'new' ELSE 'current' END AS winner FROM x""")
+def merge_dates(t) -> DataFrame:
+    def one(name: str, precise: Column, trust: Column) -> Column:
+        return F.struct(F.struct(F.lit(name).alias("original"), precise.alias("uncertainty")).alias("value"), trust.alias("confidence"))
+
+    current = one("current", F.when(F.col("o_orderstatus") == "F", "point").when(F.col("o_orderstatus") == "O", "circa").otherwise("range"), (F.col("o_orderkey") % 11) / 10.0)
+    new = one("new", F.when(F.col("o_orderpriority") == "1-URGENT", "point").when(F.col("o_orderpriority") == "2-HIGH", "circa").otherwise("range"), (F.col("o_custkey") % 11) / 10.0)
+    return t("orders").select("o_orderkey", merging.merge_date(current, new)["value"]["original"].alias("winner"))
+
+
+@query("""WITH m AS (SELECT *, CASE WHEN o_custkey % 10 = 0 THEN o_custkey - 1 ELSE o_custkey END AS cust FROM orders)
+SELECT o_orderkey, cust AS o_custkey, o_totalprice FROM m QUALIFY row_number() OVER (PARTITION BY cust, o_orderstatus ORDER BY o_totalprice DESC, cust <> m.o_custkey, o_orderkey) = 1""")
+def retarget_merge(t) -> DataFrame:
+    remap = t("customer").filter("c_custkey % 10 = 0").select(F.col("c_custkey").alias("old_id"), (F.col("c_custkey") - 1).alias("new_id")).unionByName(t("orders").filter("o_custkey % 10 = 0").select(F.col("o_custkey").alias("old_id"), (F.col("o_custkey") - 1).alias("new_id"))).distinct()
+    return merging.retarget(t("orders"), remap, "o_custkey", ["o_custkey", "o_orderstatus"], "o_totalprice", ["o_orderkey"]).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query("""WITH i AS (SELECT o_custkey % 25 AS a, o_orderkey % 23 AS b, o_orderpriority AS kind, o_orderkey AS seq FROM orders), k AS (SELECT s_nationkey::BIGINT AS a, s_suppkey % 25 AS b, CASE s_suppkey % 3 WHEN 0 THEN '1-URGENT' ELSE '2-HIGH' END AS kind FROM supplier)
+SELECT a, b, kind, seq FROM i WHERE kind IN ('1-URGENT', '2-HIGH') AND NOT EXISTS (SELECT 1 FROM k WHERE k.a = i.a AND k.b = i.b AND k.kind = i.kind) AND (EXISTS (SELECT 1 FROM k WHERE k.a = i.b AND k.b = i.a AND k.kind = i.kind) OR EXISTS (SELECT 1 FROM i j WHERE j.a = i.b AND j.b = i.a AND j.kind = i.kind AND j.seq < i.seq))""")
+def inverse_edges(t) -> DataFrame:
+    incoming = t("orders").select((F.col("o_custkey") % 25).alias("a"), (F.col("o_orderkey") % 23).alias("b"), F.col("o_orderpriority").alias("kind"), F.col("o_orderkey").alias("seq"))
+    known = t("supplier").select(F.col("s_nationkey").cast("long").alias("a"), (F.col("s_suppkey") % 25).alias("b"), F.when(F.col("s_suppkey") % 3 == 0, "1-URGENT").otherwise("2-HIGH").alias("kind"))
+    return merging.inverse_conflicts(incoming, known, "a", "b", "kind", ["1-URGENT", "2-HIGH"]).select("a", "b", "kind", "seq")
+
+
+@query("""WITH inc AS (SELECT 'NATION ' || s_suppkey % 30 AS name, s_acctbal AS lat, (s_suppkey % 10) / 10.0::DOUBLE AS confidence, s_suppkey AS seq FROM supplier QUALIFY row_number() OVER (PARTITION BY s_suppkey % 30 ORDER BY (s_suppkey % 10) DESC, s_suppkey DESC) = 1),
+ex AS (SELECT 'pla:' || n_nationkey AS id, 'NATION ' || n_nationkey AS name, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey::DOUBLE END AS lat, 0.5::DOUBLE AS confidence FROM nation)
+SELECT coalesce(ex.id, 'pla:' || replace(lower(inc.name), ' ', '-')) AS id, name, CASE WHEN ex.id IS NULL THEN inc.lat WHEN inc.confidence IS NULL OR inc.lat IS NULL THEN ex.lat WHEN ex.lat IS NULL THEN inc.lat WHEN ex.lat <> inc.lat AND inc.confidence > ex.confidence + 0.1::DOUBLE THEN inc.lat ELSE ex.lat END AS lat, greatest(ex.confidence, inc.confidence) AS confidence, ex.id IS NULL AS created FROM ex FULL JOIN inc USING (name)""")
+def load_places(t) -> DataFrame:
+    existing = t("nation").select(F.concat(F.lit("pla:"), "n_nationkey").alias("id"), F.concat(F.lit("NATION "), "n_nationkey").alias("name"), F.when(F.col("n_nationkey") % 2 == 0, F.col("n_nationkey").cast("double")).alias("lat"), F.lit(0.5).alias("confidence"))
+    incoming = t("supplier").select(F.concat(F.lit("NATION "), F.col("s_suppkey") % 30).alias("name"), F.col("s_acctbal").alias("lat"), ((F.col("s_suppkey") % 10) / 10.0).alias("confidence"), F.col("s_suppkey").alias("seq"))
+    return merging.load_by_name(existing, incoming, ["lat"], "pla:")
+
+
+@query("""SELECT DISTINCT o_custkey AS person_id, o_orderstatus AS role, CASE WHEN o_orderkey % 4 > 0 THEN year(o_orderdate) END::INT AS from_year FROM orders o WHERE o_orderstatus IN ('F', 'O') AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND o.o_orderstatus = 'F' AND o_orderkey % 4 = 0)""")
+def load_edges(t) -> DataFrame:
+    incoming = t("orders").select(F.col("o_custkey").alias("person_id"), F.col("o_orderstatus").alias("role"), F.when(F.col("o_orderkey") % 4 > 0, F.year("o_orderdate")).alias("from_year"))
+    known = t("customer").select(F.col("c_custkey").alias("person_id"), F.lit("F").alias("role"), F.lit(None).cast("int").alias("from_year"))
+    return merging.load_edges(known, incoming, ["person_id", "role", "from_year"], "role", ["F", "O"])
+
+
+# ---------------------------------------------------------------- checks, samples, rankings
+
+
+@query("""WITH p AS (SELECT event_type || '-' || strftime(ts, '%Y%m%d%H') AS event_id, user_id AS person_id, event_type, value FROM events),
+c AS (SELECT *, count(*) OVER (PARTITION BY event_id) AS np, count(*) OVER (PARTITION BY person_id) AS nd, count(*) OVER (PARTITION BY person_id, event_type) AS nt FROM p), k AS (SELECT event_id, count(*) AS nc FROM p WHERE value >= 50 GROUP BY 1)
+SELECT DISTINCT event_id, person_id, event_type, round(CASE event_type WHEN 'purchase' THEN 3.0 WHEN 'signup' THEN 2.5 WHEN 'error' THEN 2.0 ELSE 1.0 END::DOUBLE * (1 + ln(1.0::DOUBLE + np)) * (1 + ln(1.0::DOUBLE + coalesce(nc, 0))) * (1 + 1.5::DOUBLE * ln(1.0::DOUBLE + (nd::DOUBLE / nt - 1))), 6) AS importance FROM c LEFT JOIN k USING (event_id)""")
+def deed_importance(t) -> DataFrame:
+    p = t("events").select(F.concat("event_type", F.lit("-"), F.date_format("ts", "yyyyMMddHH")).alias("event_id"), F.col("user_id").alias("person_id"), "event_type", "value")
+    return evaluation.deed_importance(p.drop("value"), p.filter("value >= 50").select("event_id"), {"purchase": 3.0, "signup": 2.5, "error": 2.0})
+
+
+FACTS_SQL = """WITH f AS (SELECT 'customer' AS record_kind, c_custkey::VARCHAR AS record_id, unnest(['c_name', 'c_mktsegment']) AS field, unnest([c_name, c_mktsegment]) AS "value" FROM customer)
+"""
+
+
+@query(FACTS_SQL + "SELECT record_kind, record_id, field, \"value\" FROM f WHERE \"value\" IS NOT NULL")
+def candidate_facts(t) -> DataFrame:
+    return evaluation.facts(t("customer"), "customer", "c_custkey", ["c_name", "c_mktsegment"])
+
+
+@query(FACTS_SQL + ", h AS (SELECT *, row_number() OVER (ORDER BY substr(sha256('run-1|' || record_id || '|' || field), 1, 16), record_id, field) AS n, count(*) OVER () AS total FROM f) SELECT record_kind, record_id, field, \"value\", n::INT AS n FROM h WHERE n <= least(greatest(least(floor(total * 0.05) + 1, 250), 30), total)")
+def qa_sample(t) -> DataFrame:
+    return evaluation.qa_sample(evaluation.facts(t("customer"), "customer", "c_custkey", ["c_name", "c_mktsegment"]), "run-1")
+
+
+@query("""SELECT n_yes, n_partial, n_no, n, round((n_no + 0.5 * n_partial) / n, 6)::DOUBLE AS mismatch, round((n_no + 0.5 * n_partial) / n, 6) > 0.1 AS breached FROM (SELECT count(*) FILTER (quality = 1) AS n_yes, count(*) FILTER (quality = 0 AND toxic = 0) AS n_partial, count(*) FILTER (quality = 0 AND toxic = 1) AS n_no, count(*) AS n FROM labels)""")
+def qa_mismatch(t) -> DataFrame:
+    return evaluation.mismatch(t("labels").select(F.when(F.col("quality") == 1, "yes").when(F.col("toxic") == 1, "no").otherwise("partial").alias("verdict")))
+
+
+@query("""SELECT sum(least(g, c))::BIGINT AS tp, (sum(c) - sum(least(g, c)))::BIGINT AS fp, (sum(g) - sum(least(g, c)))::BIGINT AS fn, round(sum(least(g, c)) / sum(c), 6)::DOUBLE AS "precision", round(sum(least(g, c)) / sum(g), 6)::DOUBLE AS recall FROM (SELECT coalesce(g, 0) AS g, coalesce(c, 0) AS c
+FROM (SELECT c_nationkey AS k, c_acctbal > 5000 AS rich, count(*) AS g FROM customer GROUP BY ALL) a FULL JOIN (SELECT s_nationkey AS k, s_acctbal > 5000 AS rich, count(*) AS c FROM supplier GROUP BY ALL) b USING (k, rich))""")
+def golden_pr(t) -> DataFrame:
+    golden = t("customer").select(F.col("c_nationkey").alias("k"), (F.col("c_acctbal") > 5000).alias("rich"))
+    found = t("supplier").select(F.col("s_nationkey").alias("k"), (F.col("s_acctbal") > 5000).alias("rich"))
+    return evaluation.multiset_pr(golden, found, ["k", "rich"])
+
+
+@query("""SELECT a.event_id AS golden_id, count(*) AS n_matches, min(b.event_id) AS first_match FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = 'purchase' AND b.event_type = 'click' AND abs(date_diff('day', a.ts::DATE, b.ts::DATE)) <= 1 GROUP BY 1""")
+def event_match(t) -> DataFrame:
+    e = t("events")
+    side = lambda kind, own: e.filter(F.col("event_type") == kind).select("user_id", F.col("event_id").alias(own), F.to_date("ts").alias(f"{own}_day"))
+    return side("purchase", "golden_id").join(side("click", "found_id"), "user_id").filter(F.abs(F.datediff("golden_id_day", "found_id_day")) <= 1).groupBy("golden_id").agg(F.count("*").alias("n_matches"), F.min("found_id").alias("first_match"))
+
+
+@query("""SELECT 'lineitem-orders' AS "check", count(*) AS n_orphans FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey) UNION ALL SELECT 'orders-customer', count(*) FROM orders WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)
+UNION ALL SELECT 'labels-documents', count(*) FROM labels l WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id) UNION ALL SELECT 'customer-supplier', count(*) FROM customer WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = c_custkey)""")
+def orphan_check(t) -> DataFrame:
+    return evaluation.orphans({"lineitem-orders": (t("lineitem"), "l_orderkey", t("orders"), "o_orderkey"), "orders-customer": (t("orders"), "o_custkey", t("customer"), "c_custkey"), "labels-documents": (t("labels"), "doc_id", t("documents"), "doc_id"), "customer-supplier": (t("customer"), "c_custkey", t("supplier"), "s_suppkey")})
+
+
+@query("SELECT count(*) AS n_orphans, CASE WHEN count(*) > 0 THEN 'fail' ELSE 'pass' END AS status FROM customer WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = c_custkey)")
+def smoke_status(t) -> DataFrame:
+    return evaluation.smoke_status(evaluation.orphans({"customer-supplier": (t("customer"), "c_custkey", t("supplier"), "s_suppkey")}))
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity > 45)")
+def missing_citations(t) -> DataFrame:
+    return t("part").join(t("lineitem").filter("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey")), "p_partkey", "left_anti").select("p_partkey", "p_name")
+
+
+@query("SELECT event_id, user_id, row_number() OVER (ORDER BY event_id)::INT AS place FROM events WHERE event_type = 'error' AND json_extract_string(props, '$.k')::INT IS NOT NULL AND json_extract_string(props, '$.year_bce') IS NULL")
+def unresolved_dates(t) -> DataFrame:
+    open_ = t("events").filter((F.col("event_type") == "error") & text.json_int(F.col("props"), "$.k").isNotNull() & text.json_int(F.col("props"), "$.year_bce").isNull())
+    return timeline.ranked(open_, [], ["event_id"]).select("event_id", "user_id", "place")
+
+
+@query("""WITH RECURSIVE w AS (SELECT s_suppkey, s_suppkey AS here, 0 AS depth FROM supplier UNION ALL SELECT w.s_suppkey, w.here // 3, depth + 1 FROM w WHERE w.here // 3 > 0) SELECT s_suppkey, here AS terminal, depth FROM w WHERE here // 3 = 0""")
+def anchor_chain(t) -> DataFrame:
+    up = F.floor(F.col("s_suppkey") / 3)
+    return timeline.anchor_terminals(t("supplier").select("s_suppkey", F.when(up > 0, up).alias("anchor")), "s_suppkey", "anchor").select("s_suppkey", "terminal", "depth")
+
+
+@query("SELECT s_nationkey, s_suppkey, row_number() OVER w::INT AS place, lead(s_suppkey) OVER w AS successor FROM supplier WINDOW w AS (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey)")
+def state_roster(t) -> DataFrame:
+    order = [F.desc("s_acctbal"), "s_suppkey"]
+    return timeline.ranked(t("supplier"), ["s_nationkey"], order).withColumn("successor", F.lead("s_suppkey").over(Window.partitionBy("s_nationkey").orderBy(*order))).select("s_nationkey", "s_suppkey", "place", "successor")
+
+
+@query("SELECT event_type, strftime(ts, '%Y-%m-%d') AS \"day\", count(*) AS n, row_number() OVER (PARTITION BY event_type ORDER BY count(*) DESC, strftime(ts, '%Y-%m-%d'))::INT AS place FROM events GROUP BY 1, 2")
+def event_timeline(t) -> DataFrame:
+    days = t("events").groupBy("event_type", F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
+    return timeline.ranked(days, ["event_type"], [F.desc("n"), "day"])
+
+
+@query(" UNION ALL ".join(f"SELECT '{x}' AS table_name, count(*) AS n_rows FROM {x}" for x in TABLES))
+def export_counts(t) -> DataFrame:
+    return evaluation.table_counts({x: t(x) for x in TABLES})
+
+
+@query("SELECT o_custkey, o_orderstatus, count(*) AS n FROM orders GROUP BY ALL HAVING count(*) > 1")
+def key_violations(t) -> DataFrame:
+    return t("orders").groupBy("o_custkey", "o_orderstatus").agg(F.count("*").alias("n")).filter("n > 1")
+
+
+@query("SELECT event_type, count(*) FILTER (value < 20) AS n_low, count(*) AS n FROM events GROUP BY 1")
+def low_confidence(t) -> DataFrame:
+    return t("events").groupBy("event_type").agg(F.coalesce(F.sum((F.col("value") < 20).cast("long")), F.lit(0)).alias("n_low"), F.count("*").alias("n"))
+
+
+@query("SELECT event_id, props = '{\"k\": ' || json_extract_string(props, '$.k') || '}' OR json_extract_string(props, '$.k') IS NOT NULL AS same FROM events")
+def json_equality(t) -> DataFrame:
+    return t("events").select("event_id", text.json_equal(F.col("props"), F.concat(F.lit('{"k":'), F.get_json_object("props", "$.k"), F.lit("}"))).alias("same"))
