@@ -156,7 +156,7 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
 
 def ids_array(packed: str = "ids"):
     """The packed ids as an array<long> column, by SQL functions alone."""
-    at = lambda i: F.conv(F.hex(F.reverse(F.substring(packed, i * 4 + 1, 4))), 16, 10).cast("long")
+    at = lambda i: F.conv(F.concat(*(F.hex(F.substring(packed, i * 4 + k, 1)) for k in (4, 3, 2, 1))), 16, 10).cast("long")
     return F.when(F.length(packed) == 0, F.array().cast("array<long>")).otherwise(F.transform(F.sequence(F.lit(0), (F.length(packed) / 4 - 1).cast("int")), at))
 
 
