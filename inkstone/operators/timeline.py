@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkstone.sources.storage import settled
+
 
 def walk_relative(records: DataFrame, partition: list[str], order: list[str], relative: str = "is_relative", year: str = "year_bce", offset: str = "offset") -> DataFrame:
     """Adds resolved_year: a dated record that isn't relative sets the rolling year; each relative one adds its offset to
@@ -19,22 +21,20 @@ def walk_relative(records: DataFrame, partition: list[str], order: list[str], re
     return got.withColumn("resolved_year", resolved).drop("_group")
 
 
-def anchor_terminals(records: DataFrame, key: str, anchor: str, most: int = 32) -> DataFrame:
-    """key, terminal and depth of each record: the end of its chain of anchors. Each turn doubles the chains' reach. A dangling
-    anchor, or one that leads back, gives terminal null."""
+def anchor_terminals(records: DataFrame, key: str, anchor: str) -> DataFrame:
+    """key, terminal and depth of each record: the end of its chain of anchors. Each turn doubles the chains' reach, so turns
+    are as many as the logarithm of the longest chain. A dangling anchor, or one that leads back, gives terminal null."""
     links = records.select(F.col(key).alias("id"), F.col(anchor).alias("to"))
-    roots = links.filter("to IS NULL").select("id", F.col("id").alias("terminal"), F.lit(0).alias("depth"))
-    done, left = roots, links.filter("to IS NOT NULL")
-    jump, depth = left.withColumn("d", F.lit(1)), 1
-    while depth <= 2**most:
-        landed = jump.join(roots.select(F.col("id").alias("to")), "to", "left_semi").select("id", F.col("to").alias("terminal"), F.col("d").alias("depth"))
-        done = done.unionByName(landed)
-        ahead = jump.join(roots.select(F.col("id").alias("to")), "to", "left_anti")
-        jump = ahead.alias("a").join(jump.alias("b"), F.col("a.to") == F.col("b.id")).select("a.id", F.col("b.to").alias("to"), (F.col("a.d") + F.col("b.d")).alias("d"))
-        if depth >= 64 or jump.limit(1).count() == 0:
+    ended = links.filter("to IS NULL").select("id", F.col("id").alias("to"), F.lit(0).alias("d"), F.lit(True).alias("done"))
+    state = settled(ended.unionByName(links.filter("to IS NOT NULL").select("id", "to", F.lit(1).alias("d"), F.lit(False).alias("done"))))
+    for _ in range(1 + state.count().bit_length()):
+        if not state.filter("NOT done").limit(1).count():
             break
-        depth *= 2
-    return links.select("id").join(done, "id", "left").withColumnRenamed("id", key)
+        further = state.select(F.col("id").alias("to"), F.col("to").alias("_to"), F.col("d").alias("_d"), F.col("done").alias("_done"))
+        moved = state.filter("NOT done").join(further, "to").select("id", F.col("_to").alias("to"), (F.col("d") + F.col("_d")).alias("d"), F.col("_done").alias("done"))
+        state = settled(state.filter("done").unionByName(moved))
+    found = state.filter("done").select("id", F.col("to").alias("terminal"), F.col("d").alias("depth"))
+    return links.select("id").join(found, "id", "left").withColumnRenamed("id", key)
 
 
 def ranked(rows: DataFrame, partition: list[str], order: list, name: str = "place", first: int | None = None) -> DataFrame:

@@ -41,8 +41,8 @@ def test_walk_relative(spark):
 
 
 def test_anchor_chains_with_cycles_and_dangling_links(spark):
-    df = spark.createDataFrame([(1, None), (2, 1), (3, 2), (4, 99), (5, 6), (6, 5), (7, 7)], "id int, anchor int")
-    assert {r["id"]: (r["terminal"], r["depth"]) for r in timeline.anchor_terminals(df, "id", "anchor").collect()} == {1: (1, 0), 2: (1, 1), 3: (1, 2), 4: (None, None), 5: (None, None), 6: (None, None), 7: (None, None)}
+    df = spark.createDataFrame([(1, None), (2, 1), (3, 2), (4, 99), (5, 6), (6, 5), (7, 7), *((i, i - 1) for i in range(11, 40)), (10, 3)], "id int, anchor int")
+    assert {r["id"]: (r["terminal"], r["depth"]) for r in timeline.anchor_terminals(df, "id", "anchor").collect()} == {1: (1, 0), 2: (1, 1), 3: (1, 2), 4: (None, None), 5: (None, None), 6: (None, None), 7: (None, None)} | {i: (1, i - 7) for i in range(10, 40)}
 
 
 def test_chunks(spark):
