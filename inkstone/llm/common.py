@@ -159,14 +159,15 @@ def word_spans(raw: np.ndarray, at: np.ndarray, alnum: bool = False) -> tuple[np
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, at)
 
 
-def word_hashes(raw: np.ndarray, at: np.ndarray, alnum: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash for each word of the texts raw[at[i]:at[i+1]], and the len(at) offsets of each text's words in them."""
+def word_hashes(raw: np.ndarray, at: np.ndarray, alnum: bool = False, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash for each word of the texts raw[at[i]:at[i+1]], and the len(at) offsets of each text's words in them.
+    most: of each word's first bytes alone."""
     starts, ends, words = word_spans(raw, at, alnum)
     padded = np.zeros(len(raw) + 8, np.uint8)
     padded[: len(raw)] = lowered(raw)
     eights = np.ndarray(len(raw) + 1, np.dtype("<u8"), padded, strides=(1,))  # eight bytes from each place on
-    left = ends - starts
-    out = mix(left.astype(np.uint64))
+    left = ends - starts if most is None else np.minimum(ends - starts, most)
+    out = mix(left.astype(np.uint64) + np.uint64(0 if most is None else 1 << 32))
     which, place = None, starts
     while len(place):  # eight more bytes of those words that have any left
         part = eights[place] & KEEP[np.minimum(left, 8)]

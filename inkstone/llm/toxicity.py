@@ -1,8 +1,8 @@
 """Operator 4: toxicity grades by cumulative-link ordinal regression.
 
 P(grade >= k) is the logistic function of x . w - t_k: the weights are shared by all thresholds, and the thresholds
-are kept in order. x holds log(1 + count) of the words of a vocabulary in the whole text, lower-cased; words are runs of ASCII
-letters, digits and bytes beyond ASCII. The output is the expected grade, the sum of P(grade >= k).
+are kept in order. x holds log(1 + count) of the words and stems (a word's first five bytes) of a vocabulary in the
+whole text, lower-cased; words are runs of ASCII letters, digits and bytes beyond ASCII. The output is the expected grade, the sum of P(grade >= k).
 
 Labels say toxic or not. Grades among the toxic are made from the text: the count of the vocabulary's toxic words, cut
 at the terciles of the toxic documents of the sample (1 mild, 2 middle, 3 severe).
@@ -30,6 +30,9 @@ from inkstone.llm.common import column_of, distinct_sorted, slices, text_bytes,
 from inkstone.llm.quality import labelled
 
 
+STEM = 5
+
+
 @dataclass(frozen=True)
 class Severity:
     words: np.ndarray  # sorted hashes
@@ -50,9 +53,18 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def hashed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """For each word of the texts its hash and that of its first STEM bytes, and the texts' offsets in them."""
+    raw, at = text_bytes(column)
+    words, places = word_hashes(raw, at, alnum=True)
+    both = np.empty(2 * len(words), np.uint64)
+    both[::2], both[1::2] = words, word_hashes(raw, at, alnum=True, most=STEM)[0]
+    return both, 2 * places
+
+
 def counted(column: pa.Array, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text, place in `words` and count, for each word of the vocabulary in each text."""
-    hashes, at = word_hashes(*text_bytes(column), alnum=True)
+    hashes, at = hashed(column)
     if not len(words) or not len(hashes):
         return (np.zeros(0, np.int64),) * 3
     place = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
@@ -88,13 +100,13 @@ def fit(doc: np.ndarray, word: np.ndarray, value: np.ndarray, grade: np.ndarray,
     return w, first + np.concatenate([[0], np.cumsum(np.exp(gaps))])
 
 
-def train(docs: DataFrame, labels: DataFrame, training: Column, label: str = "toxic", grades: int = 3, sample: int = 8_000, words: int = 4_096, least_docs: int = 5, least_z: float = 3.0) -> Severity:
+def train(docs: DataFrame, labels: DataFrame, training: Column, label: str = "toxic", grades: int = 3, sample: int = 8_000, words: int = 4_096, least_docs: int = 5, least_z: float = 4.0) -> Severity:
     chosen = labelled(docs, labels, label, sample, training).select("doc_id", F.col("label").cast("int").alias("label"), "text")
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                hashes, at = word_hashes(*text_bytes(column_of(part, "text")), alnum=True)
+                hashes, at = hashed(column_of(part, "text"))
                 sets = [distinct_sorted(hashes[a:b]) for a, b in zip(at, at[1:], strict=False)]
                 label = np.repeat(column_of(part, "label").to_numpy(zero_copy_only=False), [len(s) for s in sets])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), pa.array(label.astype(np.int32))], ["word", "label"])
