@@ -13,10 +13,10 @@ def test_pinyin(spark):
 def test_verbs(spark, tmp_path, capsys):
     folder = str(tmp_path / "state")
     (tmp_path / "book.json").write_text(json.dumps({"title": "T", "chapters": [{"title": "a", "content": "晋晋\n齐"}, {"title": "b", "content": "晋"}]}))
-    cli.main(["ingest", folder, str(tmp_path / "book.json"), "--corpus", "dzl"])
+    cli.main(["ingest", folder, str(tmp_path / "book.json"), "--corpus", "novel"])
     cli.main(["chunk", folder])
     cli.main(["discover", folder])
-    assert capsys.readouterr().out == "sta:jin\t3\tdzl:1,dzl:2\nsta:qi\t1\tdzl:1\n"
+    assert capsys.readouterr().out == "sta:jin\t3\tnovel:1,novel:2\nsta:qi\t1\tnovel:1\n"
     cli.main(["export", folder, str(tmp_path / "out"), "v1", "documents", "chunks"])
     assert json.loads(capsys.readouterr().out)["counts"] == {"chunks": 2, "documents": 2}
     (tmp_path / "v.json").write_text("\n".join(json.dumps({"verdict": v}) for v in ("yes", "partial", "no", "yes")))

@@ -138,10 +138,10 @@ def test_missing_citations_raise(spark):
 
 def test_books_frontmatter_and_export(spark, tmp_path):
     (tmp_path / "b.json").write_text('{"title": "T", "chapters": [{"title": "one", "content": "c1"}, {"content": "c2"}]}')
-    docs = storage.read_books(spark, str(tmp_path / "b.json"), "dzl")
-    assert [tuple(r) for r in docs.select("id", "chapter_num", "chapter_title").orderBy("chapter_num").collect()] == [("dzl:1", 1, "one"), ("dzl:2", 2, "Chapter 2")]
+    docs = storage.read_books(spark, str(tmp_path / "b.json"), "novel")
+    assert [tuple(r) for r in docs.select("id", "chapter_num", "chapter_title").orderBy("chapter_num").collect()] == [("novel:1", 1, "one"), ("novel:2", 2, "Chapter 2")]
     (tmp_path / "a.md").write_text('---\ntitle: "A"\ntags: [x, y]\naffects:\n  - src/a.py\n  - src/b.py\n---\nbody')
     got = {r["key"]: r["values"] for r in storage.read_frontmatter(spark, str(tmp_path / "a.md")).collect()}
     assert got == {"title": ["A"], "tags": ["x", "y"], "affects": ["src/a.py", "src/b.py"]}
-    manifest = storage.export({"documents": docs, "candidate_persons": docs}, str(tmp_path / "out"), "v1", {"id": "dzl"}, "2026-01-01T00:00:00Z")
+    manifest = storage.export({"documents": docs, "candidate_persons": docs}, str(tmp_path / "out"), "v1", {"id": "novel"}, "2026-01-01T00:00:00Z")
     assert manifest["counts"] == {"documents": 2}
