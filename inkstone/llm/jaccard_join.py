@@ -6,8 +6,8 @@ more) come last, by document count; all others come first, by hash. The table, o
 can't change the result, only the work.
 
 Any two linked sets share a class's first |set| - ceil(threshold |set|) + l shingles at least l times, l being the
-lesser of the two. A class chooses its own l: the longer prefix costs its postings and saves candidates, whose number is
-estimated as the document counts of the prefix's frequent shingles over l.
+lesser of the two. A class chooses its own l: the longer prefix costs postings and matches, whose number is
+estimated as the document counts of the prefix's frequent shingles, and saves candidates, estimated as matches over l.
 
 Work on groups stays linear. First every posting list is cut into runs of at most `run` classes and linked to its
 runs' first classes (stars); verified links form components. Then, for the result to be exact, every pair of classes
@@ -36,6 +36,9 @@ from pyspark.sql import functions as F
 from inkstone.llm.common import column_of, pack_sorted, parts_for, saved, shingle_sets, slices, unpack_sorted
 
 LENGTHS = (1, 2, 3, 4, 6, 8, 12)  # the choices of l
+#: What a match costs that is made, moved and counted, over a candidate that is verified. Matches are weighed high: they
+#: grow with a list's size for each of a prefix's shingles, while most candidates are found again by the stars.
+ROW_COST = 3
 BROADCAST_ROWS = 2_000_000
 
 
@@ -119,6 +122,13 @@ def frequent_shingles(docs: DataFrame, width: int, least: int, most: int, ranges
 # ---------------------------------------------------------------- prefixes
 
 
+def sized(n: int, l: int, n_docs: np.ndarray) -> np.ndarray:  # noqa: E741
+    """For each shingle of a prefix one number: the share of the prefix that isn't frequent (8 bits, first in order), the
+    set's size (28), l (4), and the shingle's place in the prefix (20, or less than the place)."""
+    cold = int(255 * float((n_docs == 0).mean()))
+    return (cold << 52 | n << 24 | l << 20) + np.minimum(np.arange(len(n_docs), dtype=np.int64), (1 << 20) - 1)
+
+
 def prefix(shingles: np.ndarray, hot: tuple[np.ndarray, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray, int]:
     """The prefix of a sorted set, its document counts (0: not frequent) and the chosen l."""
     n = len(shingles)
@@ -130,13 +140,13 @@ def prefix(shingles: np.ndarray, hot: tuple[np.ndarray, np.ndarray], percent: in
     if docs.any():
         order = np.lexsort((shingles, docs))
         shingles, docs = shingles[order], docs[order]
-    overlap = least_overlap(n, percent)
+    overlap, equal = least_overlap(n, percent), -(-2 * n * percent // (100 + percent))
     best, least = 1, math.inf
     total = np.cumsum(docs)
     for own in LENGTHS:
         if own <= overlap:
-            size = n - overlap + own
-            cost = size + total[size - 1] / own
+            matches = total[n - equal + own - 1]  # with sets of this size, within what has to match
+            cost = n - overlap + own + matches * (ROW_COST + 1 / own)
             if cost < least:
                 best, least = own, cost
     size = n - overlap + best
@@ -144,8 +154,9 @@ def prefix(shingles: np.ndarray, hot: tuple[np.ndarray, np.ndarray], percent: in
 
 
 def postings_of(docs: DataFrame, width: int, percent: int, hot: tuple[np.ndarray, np.ndarray], run: int) -> DataFrame:
-    """shingle, part (of a long list; -1 if the list has one), class and sized (128 * set size + l), once for each class,
-    prefix shingle and task."""
+    """shingle, part (of a long list; -1 if the list has one), class and sized, once for each class, prefix shingle and
+    task. One further row of a class, with part -2 and the class as shingle, has the place of its prefix's last shingle
+    in the order (as far as 62 bits tell) in sized."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,8 +169,9 @@ def postings_of(docs: DataFrame, width: int, percent: int, hot: tuple[np.ndarray
                         own, n_docs, l = prefix(s, shared.value, percent)  # noqa: E741
                         runs = -(-n_docs // run)
                         part_of = np.where(runs > 1, (key & 0xFFFFFFFF) % np.maximum(1, runs), -1).astype(np.int32)
-                        for c, x in zip(columns, (own.view(np.int64), part_of, np.full(len(own), key), np.full(len(own), 128 * len(s) + l)), strict=True):
-                            c.append(x)
+                        last = min(int(n_docs[-1]), 1 << 22) << 40 | int(own[-1]) >> 24
+                        for c, x, y in zip(columns, (own.view(np.int64), part_of, np.full(len(own), key), sized(len(s), l, n_docs)), (key, -2, key, last), strict=True):
+                            c += [x, np.array([y], x.dtype)]
                 if columns[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["shingle", "part", "class", "sized"])
 
@@ -234,15 +246,18 @@ def jaccard_join(docs: DataFrame, width: int = 5, threshold: float = 0.75, frequ
     ordered = Window.partitionBy("shingle", "part").orderBy("sized", "class")
     # One row for each class of a list with several: equal rows, from several tasks, are neighbours. Runs of a long
     # list are cut by hash; they are met again by their first classes.
-    shared = saved(
+    written = saved(
         lists.withColumn("hub", F.first("class").over(ordered))
         .withColumn("hub_sized", F.first("sized").over(ordered))
         .withColumn("after", F.lead("class").over(ordered))
-        .filter("(after IS NULL OR after <> class) AND (hub <> class OR after IS NOT NULL OR part >= 0)")
+        .filter("(after IS NULL OR after <> class) AND (hub <> class OR after IS NOT NULL OR part <> -1)")
         .drop("after"),
         "postings",
     )
-    size = lambda c: F.shiftright(c, 7)
+    shared, lasts = written.filter("part >= -1"), written.filter("part = -2").select("class", F.col("sized").alias("last"))
+    size = lambda c: F.shiftright(c, 24).bitwiseAND((1 << 28) - 1)
+    own_l = lambda c: F.shiftright(c, 20).bitwiseAND(15)
+    place = lambda c: F.col(c).bitwiseAND((1 << 20) - 1)
     fits = lambda a, b: (size(a) * 100 >= size(b) * percent) & (size(b) * 100 >= size(a) * percent)
     stars = shared.filter((F.col("hub") != F.col("class")) & fits("sized", "hub_sized")).select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b"))
     hubs = shared.select("shingle", F.col("hub").alias("class"), F.col("hub_sized").alias("sized")).join(shared.filter("part >= 0").select("shingle").distinct(), "shingle", "left_semi").distinct()
@@ -253,17 +268,27 @@ def jaccard_join(docs: DataFrame, width: int = 5, threshold: float = 0.75, frequ
     near = saved(verified(stars, texts_of(docs, rows, ends(stars), width), width, percent), "near")
     found = saved(components(near), "components")
 
-    # What the stars can't have seen: pairs of one list in different components.
-    placed = shared.select("shingle", "class", "sized").join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    # What the stars can't have seen: pairs of one list in different components. Linked sets of sizes m and n share o of
+    # their shingles at least, and so at least l of the first m - o + l and n - o + l. Of two classes, the one whose prefix
+    # ends first has all that its prefix shares with the other in the other's prefix, too; so it has at most
+    # size - p + s shingles in common with the other, p being its prefix's length and s how many of these any other
+    # prefix has.
+    needed = lambda n: F.ceil(n * percent / 100)
+    classes = lasts.join(shared.groupBy("class").agg(F.count("*").alias("n_shared")), "class").join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    placed = shared.select("shingle", "class", "sized").join(classes, "class").withColumn("most", needed(size("sized")) - own_l("sized") + F.col("n_shared")).drop("n_shared")
     held = placed.groupBy("shingle", "component").agg(F.count("*").alias("n")).groupBy("shingle").agg(F.count("*").alias("n_components"), F.max_by("component", "n").alias("largest")).filter("n_components > 1").drop("n_components")
     mixed = saved(placed.join(held, "shingle"), "mixed")
-    small = mixed.filter("component <> largest").select("shingle", F.col("class").alias("one"), F.col("sized").alias("sized_one"), F.col("component").alias("component_one"))
+    small = mixed.filter("component <> largest").drop("largest").select("shingle", *(F.col(c).alias(f"{c}_one") for c in ("class", "sized", "last", "component", "most")))
+    common = F.ceil((size("sized") + size("sized_one")) * percent / (100 + percent))  # of linked sets of these sizes
+    enough = F.when(F.col("last_one") < F.col("last"), F.col("most_one")).when(F.col("last") < F.col("last_one"), F.col("most")).otherwise(F.greatest("most", "most_one")) >= common
+    both_l = F.least(own_l("sized"), own_l("sized_one"))
+    early = (place("sized") < size("sized") - common + both_l) & (place("sized_one") < size("sized_one") - common + both_l)
     crossing = (
         small.join(mixed, "shingle")
-        .filter((F.col("component") != F.col("component_one")) & fits("sized", "sized_one") & ((F.col("component") == F.col("largest")) | (F.col("one") < F.col("class"))))
-        .groupBy(F.least("one", "class").alias("a"), F.greatest("one", "class").alias("b"))
-        .agg(F.count("*").alias("n"), F.min(F.least(F.col("sized").bitwiseAND(127), F.col("sized_one").bitwiseAND(127))).alias("l"))
-        .filter("n >= l")
+        .filter((F.col("component") != F.col("component_one")) & fits("sized", "sized_one") & enough & early & ((F.col("component") == F.col("largest")) | (F.col("class_one") < F.col("class"))))
+        .groupBy(F.least("class_one", "class").alias("a"), F.greatest("class_one", "class").alias("b"))
+        .agg(F.count("*").alias("n"), F.min(both_l).alias("least"))
+        .filter("n >= least")
         .select("a", "b")
         .join(stars, ["a", "b"], "left_anti")
     )
