@@ -124,11 +124,17 @@ def search(vectors: DataFrame, queries: Column, key: str = "vec_id", column: str
     vec_id, score."""
     spark = vectors.sparkSession
     good = saved(taking_part(vectors, key, column), "vectors")
-    chosen = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()["v"]
     n = good.count()
     if n < 2:
         return spark.createDataFrame([], RESULT)
-    x = unit(np.stack(chosen.to_numpy()))
+
+    def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in unit(matrix(column_of(batch, "v"))).astype("<f4")], pa.binary())], ["x"])
+
+    chosen = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).mapInArrow(units, "x binary").collect()
+    x = np.frombuffer(b"".join(r["x"] for r in chosen), "<f4").reshape(len(chosen), -1)
     own = train(x, books, min(codewords, len(x)), beam)
     books_shared = spark.sparkContext.broadcast((own.words, beam))
 
