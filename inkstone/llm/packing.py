@@ -30,15 +30,15 @@ PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 def _ranges(kind: str) -> str:
-    """A character class of the code points below U+0250 of a general category."""
-    return "".join(f"\\u{i:04x}" for i in range(0x250) if unicodedata.category(chr(i))[0] == kind)
+    """A character class of the code points below U+0180 of a general category."""
+    return "".join(f"\\u{i:04x}" for i in range(0x180) if unicodedata.category(chr(i))[0] == kind)
 
 
 class WordBPE(dict):
     """Ids (packed little-endian unsigned 32 bits) by piece of text, for a tokenizer that lower-cases, drops white space
-    and merges within runs of letters, single numbers and runs of other characters. Texts below U+0250, on which case and
-    normal form act on single characters, are cut into these runs here and frequent runs are remembered; all other texts
-    are left whole to the tokenizer."""
+    and merges within runs of letters, single numbers and runs of other characters. Texts below U+0180, on which case and
+    normal form act on single characters (but for U+0130), are cut into these runs here, go to the tokenizer's merges alone, and frequent runs are remembered; all other
+    texts are left whole to the tokenizer."""
 
     def __init__(self, path: str, pattern: str) -> None:
         super().__init__()
@@ -48,10 +48,14 @@ class WordBPE(dict):
         self.whole = pattern not in self.tokenizer.to_str()  # another kind of tokenizer
         space, letter, number = r"\t-\r \x85\xa0", _ranges("L"), _ranges("N")
         self.runs = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{space}{letter}{number}]+")
-        self.simple = re.compile(r"[\x00-ɏ]*")
+        self.simple = re.compile(r"[\x00-įı-ſ]*")
+        # The merges see bytes as characters: printing ones of Latin-1 as themselves, the others in order from U+0100 on.
+        printing = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        self.shown = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in printing)}
 
     def __missing__(self, run: str) -> bytes:
-        got = np.array(self.tokenizer.encode(run, add_special_tokens=False).ids, "<u4").tobytes()
+        merged = self.tokenizer.model.tokenize(run.encode().decode("latin-1").translate(self.shown))
+        got = np.array([t.id for t in merged], "<u4").tobytes()
         if len(self) < CACHED and len(run) < 64:
             self[run] = got
         return got
