@@ -14,6 +14,10 @@ runs' first classes (stars); verified links form components. Then, for the resul
 that share l prefix shingles, are of suitable sizes and lie in different components is verified too: lists within one
 component need nothing more, and in mixed lists only the members outside the list's largest component meet the others.
 
+That gives components, not links. links() and link_counts() find every pair of linked classes, in one component or not:
+pairs are made between blocks of about `run` classes of a posting list, and all that share l prefix shingles are verified.
+That work grows with the number of links, in a group of near copies the square of its size.
+
 Hashes have 64 bits: sets, and shingles within two sets, are held equal if their hashes are.
 
 Defined results: null, empty and blank texts have no shingles and link with nothing, and are their own component; a null
@@ -30,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkstone.llm.common import column_of, pack_sorted, parts_for, saved, shingle_sets, slices, unpack_sorted
@@ -236,12 +240,51 @@ def texts_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame, width: int) ->
     return found
 
 
-def jaccard_join(docs: DataFrame, width: int = 5, threshold: float = 0.75, frequent: int = 1 << 18, hot: int = 12, run: int = 1_000) -> DataFrame:
-    """doc_id, n_shingles and component_id (the least doc_id that links reach) of each row."""
-    spark, percent = docs.sparkSession, round(100 * threshold)
-    rows = saved(classes_of(docs, width), "classes")
+def size(sized: str) -> Column:
+    return F.shiftright(sized, 24).bitwiseAND((1 << 28) - 1)
+
+
+def own_l(sized: str) -> Column:
+    return F.shiftright(sized, 20).bitwiseAND(15)
+
+
+def fits(a: str, b: str, percent: int) -> Column:
+    return (size(a) * 100 >= size(b) * percent) & (size(b) * 100 >= size(a) * percent)
+
+
+def both_l() -> Column:
+    return F.least(own_l("sized"), own_l("sized_one"))
+
+
+def could_link(percent: int) -> Column:
+    """Whether the classes of a match (`sized`, `last` and `most` of both, one's with the suffix _one) may link. Linked sets
+    of sizes m and n share o of their shingles at least, and so at least l of the first m - o + l and n - o + l. Of two
+    classes, the one whose prefix ends first has all that its prefix shares with the other in the other's prefix, too; so it
+    has at most `most` shingles in common with the other."""
+    place = lambda c: F.col(c).bitwiseAND((1 << 20) - 1)
+    common = F.ceil((size("sized") + size("sized_one")) * percent / (100 + percent))  # of linked sets of these sizes
+    enough = F.when(F.col("last_one") < F.col("last"), F.col("most_one")).when(F.col("last") < F.col("last_one"), F.col("most")).otherwise(F.greatest("most", "most_one")) >= common
+    early = (place("sized") < size("sized") - common + both_l()) & (place("sized_one") < size("sized_one") - common + both_l())
+    return fits("sized", "sized_one", percent) & enough & early
+
+
+def with_most(shared: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """shared with the columns of classes (class, last and others) and most: size - p + s, p being a class's prefix's
+    length and s how many of these shingles any other prefix has."""
+    own = classes.join(shared.groupBy("class").agg(F.count("*").alias("n_shared")), "class")
+    return shared.join(own, "class").withColumn("most", F.ceil(size("sized") * percent / 100) - own_l("sized") + F.col("n_shared")).drop("n_shared")
+
+
+def met_with_l(matches: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes that match l times."""
+    return matches.groupBy(F.least("class_one", "class").alias("a"), F.greatest("class_one", "class").alias("b")).agg(F.count("*").alias("n"), F.min(both_l()).alias("least")).filter("n >= least").select("a", "b")
+
+
+def posting_lists(docs: DataFrame, rows: DataFrame, width: int, percent: int, frequent: int, hot: int, run: int) -> tuple[DataFrame, DataFrame]:
+    """The postings of lists with several classes, each with its run's first class (hub, hub_sized), and the classes' last
+    places. rows: classes_of(docs)."""
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
-    often = frequent_shingles(docs, width, hot, frequent, parts_for(spark, total, 4_000_000))
+    often = frequent_shingles(docs, width, hot, frequent, parts_for(docs.sparkSession, total, 4_000_000))
     lists = postings_of(docs, width, percent, often, run)
     ordered = Window.partitionBy("shingle", "part").orderBy("sized", "class")
     # One row for each class of a list with several: equal rows, from several tasks, are neighbours. Runs of a long
@@ -254,44 +297,60 @@ def jaccard_join(docs: DataFrame, width: int = 5, threshold: float = 0.75, frequ
         .drop("after"),
         "postings",
     )
-    shared, lasts = written.filter("part >= -1"), written.filter("part = -2").select("class", F.col("sized").alias("last"))
-    size = lambda c: F.shiftright(c, 24).bitwiseAND((1 << 28) - 1)
-    own_l = lambda c: F.shiftright(c, 20).bitwiseAND(15)
-    place = lambda c: F.col(c).bitwiseAND((1 << 20) - 1)
-    fits = lambda a, b: (size(a) * 100 >= size(b) * percent) & (size(b) * 100 >= size(a) * percent)
-    stars = shared.filter((F.col("hub") != F.col("class")) & fits("sized", "hub_sized")).select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b"))
+    return written.filter("part >= -1"), written.filter("part = -2").select("class", F.col("sized").alias("last"))
+
+
+def links(docs: DataFrame, width: int = 5, threshold: float = 0.75, frequent: int = 1 << 18, hot: int = 12, run: int = 1_000, rows: DataFrame | None = None) -> DataFrame:
+    """All pairs (a, b), a < b, of classes whose sets link. rows: classes_of(docs), if there already; it says which rows a
+    class has."""
+    percent = round(100 * threshold)
+    rows = saved(classes_of(docs, width), "classes") if rows is None else rows
+    shared, lasts = posting_lists(docs, rows, width, percent, frequent, hot, run)
+    placed = saved(with_most(shared.select("shingle", "part", "class", "sized"), lasts, percent), "placed")
+    parts = placed.filter("part >= 0").groupBy("shingle").agg((F.max("part") + 1).alias("parts"))
+    blocks = placed.join(F.broadcast(parts), "shingle", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", F.greatest("part", F.lit(0)))
+    # Each pair of a list's blocks meets under a key of its own: no key has more than a block's rows a side.
+    one = blocks.select("shingle", F.col("part").alias("low"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("high"), *(F.col(c).alias(f"{c}_one") for c in ("class", "sized", "last", "most")))
+    two = blocks.select("shingle", F.explode(F.sequence(F.lit(0), "part")).alias("low"), F.col("part").alias("high"), "class", "sized", "last", "most")
+    pairs = saved(met_with_l(one.join(two, ["shingle", "low", "high"]).filter(could_link(percent) & ((F.col("low") < F.col("high")) | (F.col("class_one") < F.col("class"))))), "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    return verified(pairs, texts_of(docs, rows, ends, width), width, percent)
+
+
+def link_counts(docs: DataFrame, width: int = 5, **how) -> DataFrame:
+    """doc_id, n_shingles, class (equal sets have one; null without shingles) and n_links of each row: how many other rows
+    its set links with, those of its own class included."""
+    rows = saved(classes_of(docs, width), "classes")
+    found = saved(links(docs, width, rows=rows, **how), "links")
+    own = rows.filter("class IS NOT NULL").groupBy("class").agg(F.count("*").alias("n_rows"))
+    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(own.withColumnRenamed("class", "b"), "b").groupBy(F.col("a").alias("class")).agg(F.sum("n_rows").alias("n_others"))
+    by_class = own.join(others, "class", "left").select("class", (F.col("n_rows") - 1 + F.coalesce("n_others", F.lit(0))).alias("n_links"))
+    return rows.join(by_class, "class", "left").select("doc_id", "n_shingles", "class", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def jaccard_join(docs: DataFrame, width: int = 5, threshold: float = 0.75, frequent: int = 1 << 18, hot: int = 12, run: int = 1_000) -> DataFrame:
+    """doc_id, n_shingles and component_id (the least doc_id that links reach) of each row."""
+    percent = round(100 * threshold)
+    rows = saved(classes_of(docs, width), "classes")
+    shared, lasts = posting_lists(docs, rows, width, percent, frequent, hot, run)
+    stars = shared.filter((F.col("hub") != F.col("class")) & fits("sized", "hub_sized", percent)).select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b"))
     hubs = shared.select("shingle", F.col("hub").alias("class"), F.col("hub_sized").alias("sized")).join(shared.filter("part >= 0").select("shingle").distinct(), "shingle", "left_semi").distinct()
     first = Window.partitionBy("shingle").orderBy("sized", "class")
-    over = hubs.withColumn("hub", F.first("class").over(first)).withColumn("hub_sized", F.first("sized").over(first)).filter((F.col("hub") != F.col("class")) & fits("sized", "hub_sized"))
+    over = hubs.withColumn("hub", F.first("class").over(first)).withColumn("hub_sized", F.first("sized").over(first)).filter((F.col("hub") != F.col("class")) & fits("sized", "hub_sized", percent))
     stars = saved(stars.unionByName(over.select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b"))).distinct(), "stars")
     ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     near = saved(verified(stars, texts_of(docs, rows, ends(stars), width), width, percent), "near")
     found = saved(components(near), "components")
 
-    # What the stars can't have seen: pairs of one list in different components. Linked sets of sizes m and n share o of
-    # their shingles at least, and so at least l of the first m - o + l and n - o + l. Of two classes, the one whose prefix
-    # ends first has all that its prefix shares with the other in the other's prefix, too; so it has at most
-    # size - p + s shingles in common with the other, p being its prefix's length and s how many of these any other
-    # prefix has.
-    needed = lambda n: F.ceil(n * percent / 100)
-    classes = lasts.join(shared.groupBy("class").agg(F.count("*").alias("n_shared")), "class").join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    placed = shared.select("shingle", "class", "sized").join(classes, "class").withColumn("most", needed(size("sized")) - own_l("sized") + F.col("n_shared")).drop("n_shared")
+    # What the stars can't have seen: pairs of one list in different components.
+    classes = lasts.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    placed = with_most(shared.select("shingle", "class", "sized"), classes, percent)
     held = placed.groupBy("shingle", "component").agg(F.count("*").alias("n")).groupBy("shingle").agg(F.count("*").alias("n_components"), F.max_by("component", "n").alias("largest")).filter("n_components > 1").drop("n_components")
     mixed = saved(placed.join(held, "shingle"), "mixed")
     small = mixed.filter("component <> largest").drop("largest").select("shingle", *(F.col(c).alias(f"{c}_one") for c in ("class", "sized", "last", "component", "most")))
-    common = F.ceil((size("sized") + size("sized_one")) * percent / (100 + percent))  # of linked sets of these sizes
-    enough = F.when(F.col("last_one") < F.col("last"), F.col("most_one")).when(F.col("last") < F.col("last_one"), F.col("most")).otherwise(F.greatest("most", "most_one")) >= common
-    both_l = F.least(own_l("sized"), own_l("sized_one"))
-    early = (place("sized") < size("sized") - common + both_l) & (place("sized_one") < size("sized_one") - common + both_l)
-    crossing = (
-        small.join(mixed, "shingle")
-        .filter((F.col("component") != F.col("component_one")) & fits("sized", "sized_one") & enough & early & ((F.col("component") == F.col("largest")) | (F.col("class_one") < F.col("class"))))
-        .groupBy(F.least("class_one", "class").alias("a"), F.greatest("class_one", "class").alias("b"))
-        .agg(F.count("*").alias("n"), F.min(both_l).alias("least"))
-        .filter("n >= least")
-        .select("a", "b")
-        .join(stars, ["a", "b"], "left_anti")
-    )
+    matches = small.join(mixed, "shingle").filter((F.col("component") != F.col("component_one")) & could_link(percent) & ((F.col("component") == F.col("largest")) | (F.col("class_one") < F.col("class"))))
+    crossing = met_with_l(matches).join(stars, ["a", "b"], "left_anti")
     crossing = saved(crossing, "crossing")
     more = verified(crossing, texts_of(docs, rows, ends(crossing), width), width, percent)
     found = components(near.unionByName(more))

@@ -256,6 +256,49 @@ def test_jaccard_join_of_odd_texts(spark, odd):
     assert jaccard_join.one_of_each(odd).columns == odd.columns
 
 
+def check_links(docs, rows, **how):
+    sets = [frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if (w := words_of(t)) else frozenset() for _, t in rows]
+    having, both = defaultdict(list), Counter()
+    for i, own in enumerate(sets):
+        for s in own:
+            both.update((j, i) for j in having[s])
+            having[s].append(i)
+    pairs = [p for p, n in both.items() if 100 * n >= 75 * (len(sets[p[0]]) + len(sets[p[1]]) - n)]
+    linked_with = Counter(x for p in pairs for x in p)
+    got = jaccard_join.link_counts(docs, **how).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["n_links"]) for r in got) == Counter((i, len(s), linked_with[k]) for k, ((i, _), s) in enumerate(zip(rows, sets, strict=True)))
+    class_of = {}
+    for r in got:
+        class_of.setdefault(r["doc_id"], r["class"])
+    expected = {tuple(sorted((class_of[rows[a][0]], class_of[rows[b][0]]))) for a, b in pairs if sets[a] != sets[b]}
+    found = [(r["a"], r["b"]) for r in jaccard_join.links(docs, **how).collect()]
+    assert len(found) == len(set(found)) and set(found) == expected
+    return found, got
+
+
+def test_links_of_the_table(spark, documents, none):
+    rows = [(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").collect()]
+    check_links(documents, rows, hot=2, run=3)
+    assert jaccard_join.links(none).count() == 0 and jaccard_join.link_counts(none).count() == 0
+
+
+def test_links_within_one_component(spark):
+    """Near copies of one text are one component at once, but many of its pairs link and some don't."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(150):
+        words = [f"w{k}" for k in range(60)]
+        for k in rng.choice(60, rng.integers(0, 4), replace=False):
+            words[k] = f"x{rng.integers(40)}"
+        rows.append((i, " ".join(words)))
+    rows += [(150 + i, rows[i % 3][1]) for i in range(9)] + [(200, ""), (201, None), (202, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    found, got = check_links(docs, rows, hot=5, run=20)
+    classes = {r["class"] for r in got if r["n_links"]}
+    assert len(classes) < len(found) < len(classes) * (len(classes) - 1) // 2
+    check_links(docs, rows)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (5, 5), (200, 201), (201, 202), (202, 200)]
     got = {r["class"]: r["component"] for r in jaccard_join.components(spark.createDataFrame(edges, "a long, b long")).collect()}
