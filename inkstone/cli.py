@@ -37,7 +37,7 @@ def link(spark: SparkSession, a: argparse.Namespace) -> None:
     best = linking.best_target(linking.scored_pairs(linking.candidate_pairs(cand, known), cand, known))
     rejected = storage.empty(spark, "rejected_merges").withColumnRenamed("canonical_id", "target") if a.ignore_rejections else storage.read(spark, a.folder, "rejected_merges").withColumnRenamed("canonical_id", "target")
     opened = storage.read(spark, a.folder, "merge_candidates").filter("status = 'open'").select(F.col("target_id").alias("target"), F.col("candidate_id").alias("cand"))
-    got = linking.dispatch(cand.withColumn("fingerprint", fingerprint(F.col("canonical_name"), F.col("variants"))), best, rejected, opened)
+    got = linking.dispatch(cand.withColumn("fingerprint", fingerprint(F.col("canonical_name"), F.col("variants"))), best, rejected, opened, linking.skipped_siblings(best))
     got.write.mode("overwrite").parquet(f"{a.folder}/link_actions.parquet")
     storage.read(spark, a.folder, "link_actions").groupBy("action").count().orderBy("action").show()
 

@@ -1,5 +1,7 @@
 """Known inputs and results of single operators."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +92,18 @@ def test_sibling_chain_is_skipped(spark):
     assert sorted(r["id"] for r in linking.skipped_siblings(best).collect()) == ["p2", "p4"]
 
 
+def test_long_and_branching_merges_are_skipped_in_order(spark):
+    rng = random.Random(2)
+    target = {i: i + 1 for i in range(70)} | {i: rng.randrange(i - 30, 400) for i in range(100, 399)}
+    skipped = set()
+    for i in sorted(target):
+        if i not in skipped:
+            skipped.add(target[i]) if target[i] > i else None
+    best = spark.createDataFrame([(f"p{i:03}", f"p{t:03}", 1, 90) for i, t in target.items() if i != t], "cand string, target string, kind_rank int, score100 int")
+    got = [r["id"] for r in linking.skipped_siblings(best).collect()]
+    assert len(got) == len(set(got)) and set(got) == {f"p{i:03}" for i in skipped}
+
+
 def test_date_merge(spark):
     def entry(u, c):
         return F.struct(F.struct(F.lit(u).alias("uncertainty"), F.lit(f"{u}{c}").alias("original")).alias("value"), F.lit(c).alias("confidence"))
