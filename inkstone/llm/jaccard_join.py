@@ -21,7 +21,8 @@ That work grows with the number of links, in a group of near copies the square o
 Hashes have 64 bits: sets, and shingles within two sets, are held equal if their hashes are.
 
 Defined results: null, empty and blank texts have no shingles and link with nothing, and are their own component; a null
-doc_id takes no part in naming components and gets one named by its class's least doc_id (null if none); repeated rows
+doc_id takes no part in naming components, but its text links as any other, and it gets its component's name (null if none
+of the component has a doc_id); repeated rows
 each get a row; rows with one doc_id and different texts are joined as different sets; an empty table gives an empty
 result; further columns of the input are ignored.
 """
@@ -223,9 +224,21 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def keyed(docs: DataFrame, width: int) -> DataFrame:
+    """text and class (null without shingles) of each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                keys = [class_key(s) if len(s) else None for s in shingle_sets(column_of(part, "text"), width)]
+                yield pa.RecordBatch.from_arrays([column_of(part, "text"), pa.array(keys, pa.int64())], ["text", "class"])
+
+    return docs.select("text").mapInArrow(run, "text string, class long")
+
+
 def texts_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """class and text of the wanted classes, each from the row of its least doc_id. The ids are broadcast while they
-    are few; beyond that the join shuffles."""
+    """class and text of the wanted classes, each from the row of its least doc_id, or where all its rows lack one from any
+    of them. The ids are broadcast while they are few; beyond that the join shuffles."""
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:  # a doc_id may have other texts too
         for batch in batches:
@@ -237,6 +250,9 @@ def texts_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame, width: int) ->
     found = docs.select("doc_id", "text").join(F.broadcast(reps) if reps.count() <= BROADCAST_ROWS else reps, "doc_id").select("class", "text")
     if rows.groupBy("doc_id").count().filter("count > 1").limit(1).count():
         found = found.mapInArrow(own, "class long, text string").dropDuplicates(["class"])
+    if rows.filter("class IS NOT NULL AND doc_id IS NULL").limit(1).count():
+        alone = wanted.join(reps, "class", "left_anti")
+        found = found.unionByName(keyed(docs.filter("doc_id IS NULL"), width).join(alone, "class").dropDuplicates(["class"]).select("class", "text"))
     return found
 
 
@@ -362,7 +378,8 @@ def jaccard_join(docs: DataFrame, width: int = 5, threshold: float = 0.75, frequ
 
 def one_of_each(docs: DataFrame, **how) -> DataFrame:
     """The rows of docs, all columns as they are, but for those whose component has a lesser doc_id. Rows that repeat a
-    doc_id stay together. Ids to drop are broadcast while they are few; beyond that the join shuffles."""
+    doc_id stay together, and rows with a null doc_id all stay. Ids to drop are broadcast while they are few; beyond that the
+    join shuffles."""
     joined = jaccard_join(docs, **how)
     drop = saved(joined.filter("doc_id <> component_id").select("doc_id").distinct(), "dropped")
     return docs.join(F.broadcast(drop) if drop.count() <= BROADCAST_ROWS else drop, "doc_id", "left_anti").select(*docs.columns)

@@ -299,6 +299,17 @@ def test_links_within_one_component(spark):
     check_links(docs, rows)
 
 
+def test_texts_without_ids_link(spark):
+    """1 and 2 don't link, but both link with a text whose only rows have no doc_id."""
+    words = [f"w{k}" for k in range(100)]
+    far = [*words[:-10], *(f"x{k}" for k in range(10))], [*(f"y{k}" for k in range(10)), *words[10:]]
+    rows = [(1, " ".join(far[0])), (2, " ".join(far[1])), (None, " ".join(words)), (None, " ".join(words)), (None, "of no other"), (3, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r["doc_id"], r["component_id"]) for r in jaccard_join.jaccard_join(docs).collect())
+    assert got == Counter({(1, 1): 1, (2, 1): 1, (None, 1): 2, (None, None): 1, (3, 3): 1})
+    assert Counter((r["doc_id"], r["n_links"]) for r in jaccard_join.link_counts(docs).collect()) == Counter({(1, 2): 1, (2, 2): 1, (None, 3): 2, (None, 0): 1, (3, 0): 1})
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (5, 5), (200, 201), (201, 202), (202, 200)]
     got = {r["class"]: r["component"] for r in jaccard_join.components(spark.createDataFrame(edges, "a long, b long")).collect()}
