@@ -9,6 +9,7 @@ from __future__ import annotations
 import importlib.util
 import math
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -31,13 +32,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which the driver and all executors see. Where the setting is unset
-    (a local session, as in tests) a temporary folder of this machine is set."""
+    """A new folder below spark.checkpoint.dir, which the driver and all executors see, deleted when the driver ends. Where
+    the setting is unset, a local session (as in tests) gets a temporary folder of this machine, and a cluster an error."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         top = f"file://{tempfile.mkdtemp(prefix='inkstone-')}"
         spark.conf.set("spark.checkpoint.dir", top)
-    return f"{top.rstrip('/')}/inkstone-{uuid.uuid4().hex}"
+    folder = f"{top.rstrip('/')}/inkstone-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
 
 
 def saved(df: DataFrame, name: str = "table") -> DataFrame:
@@ -47,6 +55,14 @@ def saved(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discarded(df: DataFrame) -> None:
+    """Deletes the files of a saved table that nothing reads any more."""
+    spark = df.sparkSession
+    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def local_path(uri: str) -> str:
     """The path of a file:// URI or plain path. The shared folder has to be mounted for memory-mapped files."""
     got = urlparse(uri)
@@ -84,12 +100,13 @@ def tokenizer_path(name: str, folder: str = TOKENIZERS) -> str:
 # ---------------------------------------------------------------- Arrow batches
 
 
-def slices(batch: pa.RecordBatch, text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows whose texts have about `most` bytes (a longer text comes alone), so memory is bounded."""
+def slices(batch: pa.RecordBatch, text: str = "text", most: int = SLICE_BYTES, *others: str) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts (of one column, and of others) have about `most` bytes, a longer text coming
+    alone, so memory is bounded."""
     if not batch.num_rows:
         return
-    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    group = np.cumsum(sizes.astype(np.int64)) // most
+    sizes = sum(pc.fill_null(pc.binary_length(batch.column(t)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for t in (text, *others))
+    group = np.cumsum(sizes) // most
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:], strict=False):
         yield batch.slice(a, b - a)

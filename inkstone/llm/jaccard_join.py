@@ -34,11 +34,12 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkstone.llm.common import column_of, pack_sorted, parts_for, saved, shingle_sets, slices, unpack_sorted
+from inkstone.llm.common import SLICE_BYTES, column_of, discarded, pack_sorted, parts_for, saved, shingle_sets, slices, unpack_sorted
 
 LENGTHS = (1, 2, 3, 4, 6, 8, 12)  # the choices of l
 #: What a match costs that is made, moved and counted, over a candidate that is verified. Matches are weighed high: they
@@ -192,7 +193,7 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text_a", 2 << 20):
+            for part in slices(batch, "text_a", SLICE_BYTES, "text_b"):
                 one, two = shingle_sets(column_of(part, "text_a"), width), shingle_sets(column_of(part, "text_b"), width)
                 keep = []
                 for x, y in zip(one, two, strict=True):
@@ -215,7 +216,8 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a <> b").unionByName(low.select("a", F.col("low").alias("b")))
-        edges = saved(small.filter("a <> b").distinct(), "edges")
+        last, edges = edges, saved(small.filter("a <> b").distinct(), "edges")
+        discarded(last)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.countDistinct("b")).first()
         if state == before:
             low = edges.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "class")
@@ -345,8 +347,8 @@ def link_counts(docs: DataFrame, width: int = 5, **how) -> DataFrame:
     return rows.join(by_class, "class", "left").select("doc_id", "n_shingles", "class", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
-def jaccard_join(docs: DataFrame, width: int = 5, threshold: float = 0.75, frequent: int = 1 << 18, hot: int = 12, run: int = 1_000) -> DataFrame:
-    """doc_id, n_shingles and component_id (the least doc_id that links reach) of each row."""
+def joined_classes(docs: DataFrame, width: int, threshold: float, frequent: int, hot: int, run: int) -> tuple[DataFrame, DataFrame]:
+    """classes_of(docs), and class and component of the classes that link with any other."""
     percent = round(100 * threshold)
     rows = saved(classes_of(docs, width), "classes")
     shared, lasts = posting_lists(docs, rows, width, percent, frequent, hot, run)
@@ -369,17 +371,49 @@ def jaccard_join(docs: DataFrame, width: int = 5, threshold: float = 0.75, frequ
     crossing = met_with_l(matches).join(stars, ["a", "b"], "left_anti")
     crossing = saved(crossing, "crossing")
     more = verified(crossing, texts_of(docs, rows, ends(crossing), width), width, percent)
-    found = components(near.unionByName(more))
+    return rows, components(near.unionByName(more))
+
+
+def jaccard_join(docs: DataFrame, width: int = 5, threshold: float = 0.75, frequent: int = 1 << 18, hot: int = 12, run: int = 1_000) -> DataFrame:
+    """doc_id, n_shingles and component_id (the least doc_id that links reach) of each row."""
+    rows, found = joined_classes(docs, width, threshold, frequent, hot, run)
     named = rows.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least")).join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     by_class = named.join(least, "component").select("class", "component_id")
     return rows.join(by_class, "class", "left").select("doc_id", "n_shingles", F.coalesce("component_id", F.when(F.col("class").isNull(), F.col("doc_id"))).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, **how) -> DataFrame:
-    """The rows of docs, all columns as they are, but for those whose component has a lesser doc_id. Rows that repeat a
-    doc_id stay together, and rows with a null doc_id all stay. Ids to drop are broadcast while they are few; beyond that the
-    join shuffles."""
-    joined = jaccard_join(docs, **how)
-    drop = saved(joined.filter("doc_id <> component_id").select("doc_id").distinct(), "dropped")
-    return docs.join(F.broadcast(drop) if drop.count() <= BROADCAST_ROWS else drop, "doc_id", "left_anti").select(*docs.columns)
+def class_of(width: int):
+    """The class of a text as a column function."""
+
+    @F.pandas_udf("long")
+    def keys(text: pd.Series) -> pd.Series:
+        batch = pa.RecordBatch.from_arrays([pa.array(text, pa.string(), from_pandas=True)], ["text"])
+        return pd.Series([class_key(s) if len(s) else None for part in slices(batch) for s in shingle_sets(part.column(0), width)], dtype="Int64")
+
+    return keys
+
+
+def one_of_each(docs: DataFrame, width: int = 5, threshold: float = 0.75, frequent: int = 1 << 18, hot: int = 12, run: int = 1_000) -> DataFrame:
+    """One row of docs, all columns as they are, for each component: that of the least doc_id (a null one only where no row
+    has another), then of the least class, then any of equal ones. Rows without shingles all stay. What goes is told
+    by doc_id where that names one row; of repeated and null ids, by the row's class, too. Ids to drop are broadcast while
+    they are few; beyond that the join shuffles."""
+    rows, found = joined_classes(docs, width, threshold, frequent, hot, run)
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "class")
+    owned = saved(rows.filter("class IS NOT NULL").groupBy("class", "doc_id").agg(F.count("*").alias("n_rows")).join(found, "class", "left").withColumn("component", F.coalesce("component", "class")).select("component", rank.alias("rank"), "n_rows"), "owned")
+    first = owned.groupBy("component").agg(F.min("rank").alias("first"))
+    told = saved(owned.join(first, "component").select("rank.doc_id", "rank.class", "n_rows", (F.col("rank") == F.col("first")).alias("stays")), "told")
+    few = lambda ids: F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    unclear = saved(rows.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").select("doc_id"), "unclear")
+    drop = saved(told.filter("NOT stays AND doc_id IS NOT NULL").join(unclear, "doc_id", "left_anti").select("doc_id"), "dropped")
+    kept = docs.join(few(drop), "doc_id", "left_anti").select(*docs.columns)
+    if not unclear.limit(1).count():
+        return kept
+    repeated = few(unclear.filter("doc_id IS NOT NULL"))
+    key = "class" + "_" * max(map(len, docs.columns))
+    unsure = docs.join(repeated, "doc_id", "left_semi").unionByName(docs.filter("doc_id IS NULL")).withColumn(key, class_of(width)("text"))
+    winners = told.filter("stays").select(F.col("doc_id").alias("_id"), F.col("class").alias("_class"))
+    one = unsure.join(winners, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(key) == F.col("_class")), "left_semi").dropDuplicates(["doc_id", key])
+    sure = kept.filter("doc_id IS NOT NULL").join(repeated, "doc_id", "left_anti")
+    return sure.unionByName(unsure.filter(F.col(key).isNull()).select(*docs.columns)).unionByName(one.select(*docs.columns)).select(*docs.columns)

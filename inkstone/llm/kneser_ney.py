@@ -1,10 +1,12 @@
 """Operator 5: language-model scores by an interpolated modified Kneser-Ney bigram model.
 
 Tokens are the words of the lower-cased text, then one end. Bigrams (the first follows a begin mark) are counted in
-Spark: tasks send sorted, compressed blocks by range of the bigram's hash, and each range merges its own. The model is a
-folder of the shared file system with, for each range, one file of sorted hash arrays: bigrams (hash, count) and words
-(hash, count, continuation count, and as a context the total and how many words follow once, twice and more often). Workers
-map the files to memory and look up a slice's distinct bigrams and words in order.
+Spark: tasks send sorted, compressed blocks by range of the bigram's hash, and each range merges its own. There is a range
+for each 32 MB of text; a task deals into DEALT ranges at most at once, and where there are more, into wider ones first and
+then each of these again. The model is a folder of the shared file system with, for each range, one file of sorted hash
+arrays: bigrams (hash, count) and words (hash, count, continuation count, and as a context the total and how many words
+follow once, twice and more often). Counts have 64 bits wherever one of a file's needs more than 32. Workers map the files to
+memory, MAPPED at most at a time, and look up a slice's distinct bigrams and words in order.
 
     p(w | v) = max(c(vw) - D(c(vw)), 0) / c(v.) + (D1 N1(v.) + D2 N2(v.) + D3 N3+(v.)) / c(v.) * p(w)
     p(w)     = max(a(w) - D'(a(w)), 0) / A + (D1' n1 + D2' n2 + D3' n3+) / A / (V + 1)
@@ -22,6 +24,7 @@ training tokens every token has probability 1; further columns of the input are
 from __future__ import annotations
 
 import os
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,6 +37,7 @@ from inkstone.llm.common import SHINGLE, column_of, local_path, mix, pack_sorted
 
 BEGIN, END = np.uint64(0x0B5E55ED0B5E55ED), np.uint64(0x0E0D0E0D0E0D0E0D)
 FLUSH = 2_000_000
+DEALT, MAPPED = 1_024, 16_384
 COUNTS = ("count", "left", "total", "once", "twice", "more")  # of a word: own, continuations, and as a context
 
 
@@ -66,16 +70,22 @@ def starts_of(sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])) if len(sorted_keys) else np.zeros(0, np.int64)
 
 
+def item_of(numbers: np.ndarray) -> int:
+    """Bytes for each of these whole numbers."""
+    return 8 if len(numbers) and numbers.max() >> 32 else 4
+
+
 def planes(*columns: np.ndarray) -> bytes:
-    """Whole numbers below 2**32, compressed a byte of each at a time."""
-    table = np.concatenate([np.ascontiguousarray(c, "<u4") for c in columns])
-    return len(table).to_bytes(8, "little") + pa.compress(table.view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)
+    """Whole numbers, compressed a byte of each at a time."""
+    table = np.concatenate([np.asarray(c, np.int64) for c in columns])
+    item = item_of(table)
+    return item.to_bytes(1, "little") + len(table).to_bytes(8, "little") + pa.compress(table.astype(f"<u{item}").view(np.uint8).reshape(-1, item).T.tobytes(), "zstd", asbytes=True)
 
 
 def columns_of(block: bytes, columns: int) -> np.ndarray:
-    n = int.from_bytes(block[:8], "little")
-    raw = np.frombuffer(pa.decompress(block[8:], 4 * n, "zstd", asbytes=True), np.uint8).reshape(4, n)
-    return np.ascontiguousarray(raw.T).view("<u4").reshape(columns, -1)
+    item, n = block[0], int.from_bytes(block[1:9], "little")
+    raw = np.frombuffer(pa.decompress(block[9:], item * n, "zstd", asbytes=True), np.uint8).reshape(item, n)
+    return np.ascontiguousarray(raw.T).view(f"<u{item}").astype(np.int64).reshape(columns, -1)
 
 
 def pair_block(before: np.ndarray, tokens: np.ndarray, counts: np.ndarray) -> tuple[int, bytes, bytes]:
@@ -86,6 +96,68 @@ def pair_block(before: np.ndarray, tokens: np.ndarray, counts: np.ndarray) -> tu
     return len(words), pack_sorted(words), planes(np.diff(a[order], prepend=0), b[order], counts[order])
 
 
+def pairs_in(table: pa.Table | pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """What pair_block() put into each row: first words, second words and counts."""
+    for n, words, pairs in zip(*(table.column(table.schema.get_field_index(c)).to_pylist() for c in ("n", "words", "pairs")), strict=True):
+        own, (a, b, c) = unpack_sorted(words, n, np.uint64), columns_of(pairs, 3)
+        yield own[np.cumsum(a)], own[b], c
+
+
+def merged_pairs(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys in order, and each one's words and whole count."""
+    before, tokens, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+    keys = bigram_keys(before, tokens)
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = starts_of(keys)
+    return keys[first], before[order[first]], tokens[order[first]], np.add.reduceat(counts[order], first)
+
+
+def dealt(parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], ranges: int) -> Iterator[pa.RecordBatch]:
+    """Pairs with counts as blocks by range, equal pairs of about FLUSH summed."""
+
+    def flush() -> pa.RecordBatch:
+        keys, before, tokens, counts = merged_pairs(held)
+        own = range_of(keys, ranges)
+        edges = np.append(starts_of(own), len(own))
+        rows = [(int(own[a]), *pair_block(before[a:b], tokens[a:b], counts[a:b])) for a, b in zip(edges, edges[1:], strict=False)]
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], BLOCKS)
+
+    held, n = [], 0
+    for part in parts:
+        held.append(part)
+        n += len(part[1])
+        if n >= FLUSH:
+            yield flush()
+            held, n = [], 0
+    if n:
+        yield flush()
+
+
+BLOCKS = ["range", "n", "words", "pairs"]
+
+
+class Maps(OrderedDict):
+    """The files of a model that were used last, mapped to memory: keys and columns."""
+
+    def of(self, path: str, columns: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        if path in self:
+            self.move_to_end(path)
+            return self[path]
+        raw = np.memmap(path, np.uint8, "r") if os.path.exists(path) else np.zeros(16, np.uint8)
+        n, item = (int(x) for x in raw[:16].view(np.uint64))
+        keys, rest = raw[16 : 16 + 8 * n].view(np.uint64), raw[16 + 8 * n :]
+        self[path] = keys, [rest[c * item * n : (c + 1) * item * n].view(f"<u{item or 4}") for c in range(columns)]
+        if len(self) > MAPPED:
+            self.popitem(last=False)
+        return self[path]
+
+
+def write_columns(path: str, keys: np.ndarray, columns: np.ndarray) -> None:
+    item = item_of(columns)
+    write_file(path, np.array([len(keys), item], np.uint64), keys, np.ascontiguousarray(columns, f"<u{item}"))
+
+
 @dataclass
 class Level:
     """Discounts, and what all words share."""
@@ -106,37 +178,30 @@ class Level:
 @dataclass
 class Model:
     folder: str
-    ranges: int
+    ranges: dict[str, int]  # of bigrams and of words
     tokens: int  # N
     distinct: int  # V
     pairs: int  # A
     bigrams: Level
     words: Level
     spare: float  # the share of p(w) that is uniform
-    files: dict = field(default_factory=dict, compare=False)
+    files: Maps = field(default_factory=Maps, compare=False)
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "files": {}}
+        return {**self.__dict__, "files": Maps()}
 
     def found(self, kind: str, keys: np.ndarray, columns: int) -> np.ndarray:
         """(columns, keys) numbers of sorted keys; 0 where there is none."""
         out = np.zeros((columns, len(keys)), np.int64)
-        edges = np.searchsorted(range_of(keys, self.ranges), np.arange(self.ranges + 1))
-        for r in range(self.ranges):
-            a, b = edges[r], edges[r + 1]
-            if a == b:
-                continue
-            if (kind, r) not in self.files:
-                path = f"{self.folder}/{kind}-{r}"
-                self.files[kind, r] = (np.memmap(path, np.uint8, "r") if os.path.getsize(path) else np.zeros(0, np.uint8)) if os.path.exists(path) else np.zeros(0, np.uint8)
-            raw = self.files[kind, r]
-            n = len(raw) // (8 + 4 * columns)
-            if n:
-                own = raw[: 8 * n].view(np.uint64)
-                place = np.minimum(np.searchsorted(own, keys[a:b]), n - 1)
-                hit = own[place] == keys[a:b]
+        own = range_of(keys, self.ranges[kind])
+        edges = np.append(starts_of(own), len(own))
+        for a, b in zip(edges, edges[1:], strict=False):
+            known, numbers = self.files.of(f"{self.folder}/{kind}-{own[a]}", columns)
+            if len(known):
+                place = np.minimum(np.searchsorted(known, keys[a:b]), len(known) - 1)
+                hit = known[place] == keys[a:b]
                 for c in range(columns):
-                    out[c, a:b] = np.where(hit, raw[(8 + 4 * c) * n : (12 + 4 * c) * n].view(np.uint32)[place], 0)
+                    out[c, a:b] = np.where(hit, numbers[c][place], 0)
         return out
 
     def score(self, column: pa.Array) -> list[np.ndarray]:
@@ -165,77 +230,58 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     path = local_path(folder)
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     ranges = parts_for(spark, size, 32 << 20)
+    wide = min(ranges, DEALT)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-
-        def flush() -> pa.RecordBatch:
-            before, tokens = (np.concatenate(x) for x in zip(*held, strict=True))
-            keys = bigram_keys(before, tokens)
-            order = np.argsort(keys)
-            keys = keys[order]
-            first = starts_of(keys)
-            counts = np.diff(np.append(first, len(keys)))
-            before, tokens = before[order[first]], tokens[order[first]]
-            edges = np.searchsorted(range_of(keys[first], ranges), np.arange(ranges + 1))
-            rows = [(r, *pair_block(before[a:b], tokens[a:b], counts[a:b])) for r, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
-            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["range", "n", "words", "pairs"])
+        def tokens() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+            for batch in batches:
+                for part in slices(batch, text):
+                    own, before, _ = tokens_of(column_of(part, text))
+                    yield before, own, np.ones(len(own), np.int64)
 
-        for batch in batches:
-            for part in slices(batch, text):
-                tokens, before, _ = tokens_of(column_of(part, text))
-                held.append((before, tokens))
-                n += len(tokens)
-                if n >= FLUSH:
-                    yield flush()
-                    held, n = [], 0
-        if n:
-            yield flush()
+        yield from dealt(tokens(), wide)
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from dealt((pairs for batch in batches for i in range(batch.num_rows) for pairs in pairs_in(batch.slice(i, 1))), ranges)
 
     def bigrams(table: pa.Table) -> pa.Table:
         """Writes a range's bigrams; gives its words' counts in blocks by range of word, and counts of counts as range -1."""
-        before, tokens, counts = [], [], []
-        for n, words, pairs in zip(table.column("n").to_pylist(), table.column("words").to_pylist(), table.column("pairs").to_pylist(), strict=True):
-            own, (a, b, c) = unpack_sorted(words, n, np.uint64), columns_of(pairs, 3)
-            before.append(own[np.cumsum(a.astype(np.int64))])
-            tokens.append(own[b])
-            counts.append(c.astype(np.int64))
-        before, tokens, counts = np.concatenate(before), np.concatenate(tokens), np.concatenate(counts)
-        keys = bigram_keys(before, tokens)
-        order = np.argsort(keys)
-        first = starts_of(keys[order])
-        counts = np.add.reduceat(counts[order], first)
-        before, tokens, keys = before[order[first]], tokens[order[first]], keys[order[first]]
-        write_file(f"{path}/bigrams-{table.column('range')[0].as_py()}", keys, counts.astype(np.uint32))
+        keys, before, tokens, counts = merged_pairs(list(pairs_in(table)))
+        write_columns(f"{path}/bigrams-{table.column('range')[0].as_py()}", keys, counts)
         words, place = np.unique(np.concatenate([tokens, before]), return_inverse=True)
         w, v = place[: len(tokens)], place[len(tokens) :]
         sums = lambda where, x=None: np.bincount(where, x, minlength=len(words)).astype(np.int64)
         stats = np.stack([sums(w, counts), sums(w), sums(v, counts), sums(v, counts == 1), sums(v, counts == 2), sums(v, counts > 2)])
-        edges = np.searchsorted(range_of(words, ranges), np.arange(ranges + 1))
-        rows = [(r, b - a, pack_sorted(words[a:b]), planes(*stats[:, a:b])) for r, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
+        own = range_of(words, wide)
+        edges = np.append(starts_of(own), len(own))
+        rows = [(int(own[a]), b - a, pack_sorted(words[a:b]), planes(*stats[:, a:b])) for a, b in zip(edges, edges[1:], strict=False)]
         rows.append((-1, 0, b"", planes(np.bincount(np.minimum(counts, 5), minlength=6)[1:5])))
         return pa.table([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["range", "n", "words", "stats"])
 
     def merged(table: pa.Table) -> pa.Table:
         """Writes a range's words; gives N, V, A and the counts of continuation counts."""
         words = np.concatenate([unpack_sorted(b, n, np.uint64) for b, n in zip(table.column("words").to_pylist(), table.column("n").to_pylist(), strict=True)])
-        stats = np.concatenate([columns_of(b, len(COUNTS)).astype(np.int64) for b in table.column("stats").to_pylist()], axis=1)
+        stats = np.concatenate([columns_of(b, len(COUNTS)) for b in table.column("stats").to_pylist()], axis=1)
         order = np.argsort(words)
         first = starts_of(words[order])
         stats = np.add.reduceat(stats[:, order], first, axis=1)
-        write_file(f"{path}/words-{table.column('range')[0].as_py()}", words[order[first]], stats.astype(np.uint32))
+        write_columns(f"{path}/words-{table.column('range')[0].as_py()}", words[order[first]], stats)
         left = np.bincount(np.minimum(stats[1], 5), minlength=6)
         return pa.table({"sums": pa.array([[int(stats[0].sum()), int((stats[0] > 0).sum()), int(stats[1].sum()), *(int(x) for x in left[1:5]), int((stats[1] > 2).sum())]])})
 
-    found = docs.select(text).mapInArrow(blocks, "range int, n int, words binary, pairs binary").repartition(ranges, "range").groupBy("range").applyInArrow(bigrams, "range int, n int, words binary, stats binary")
+    kind = "range int, n int, words binary, pairs binary"
+    counted = docs.select(text).mapInArrow(blocks, kind)
+    if wide < ranges:
+        counted = counted.repartition(wide, "range").mapInArrow(again, kind)
+    found = counted.repartition(ranges, "range").groupBy("range").applyInArrow(bigrams, "range int, n int, words binary, stats binary")
     found = saved(found, "stats")
-    of_pairs = sum((columns_of(r[0], 4).ravel().astype(np.int64) for r in found.filter("range < 0").select("stats").toLocalIterator()), np.zeros(4, np.int64))
-    words = found.filter("range >= 0").repartition(ranges, "range").groupBy("range").applyInArrow(merged, "sums array<long>")
+    of_pairs = sum((columns_of(r[0], 4).ravel() for r in found.filter("range < 0").select("stats").toLocalIterator()), np.zeros(4, np.int64))
+    words = found.filter("range >= 0").repartition(wide, "range").groupBy("range").applyInArrow(merged, "sums array<long>")
     sums = words.select(*(F.col("sums")[i].alias(f"s{i}") for i in range(8))).agg(*(F.sum(f"s{i}") for i in range(8))).first()
     n, v, pairs, n1, n2, n3, n4, n_more = (int(x or 0) for x in sums)
     low = Level.of([n1, n2, n3, n4])
     spare = (low.discounts[1] * n1 + low.discounts[2] * n2 + low.discounts[3] * n_more) / pairs if pairs else 1.0
-    return Model(path, ranges, n, v, pairs, Level.of([int(x) for x in of_pairs]), low, float(spare))
+    return Model(path, {"bigrams": ranges, "words": wide}, n, v, pairs, Level.of([int(x) for x in of_pairs]), low, float(spare))
 
 
 _models: dict[str, Model] = {}

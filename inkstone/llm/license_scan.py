@@ -1,9 +1,9 @@
 """Operator 1: licence scans. MinHash bands over overlapping windows of text retrieve templates; exact containment of
 the templates' shingles in the windows verifies them.
 
-Words are runs of ASCII letters, digits and bytes beyond ASCII, lower-cased; shingles are runs of `width` words (a
-template of fewer words is one shingle). Templates fall into classes by size, the power of two M at or above their shingle
-count. A class's windows hold M + M/4 - 1 shingles and start every M/4, so any M shingles in a row lie in one window.
+Words are runs of ASCII letters, digits and bytes beyond ASCII, lower-cased; shingles are runs of `width` words, for a
+template of fewer words of as many as it has. Templates fall into classes by that width and by size, the power of two M at or
+above their shingle count. A class's windows hold M + M/4 - 1 shingles and start every M/4, so any M shingles in a row lie in one window.
 A template matches a window that holds at least `containment` of its distinct shingles. A window with that many has at
 least a known Jaccard similarity to the template; the bands are chosen so that such a window shares one with
 probability `recall` or more (`band_settings`). Overlapping windows that match one template are one result.
@@ -44,8 +44,8 @@ def shingled(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
 class TemplateClass:
     """Templates of like size, with their windows and bands."""
 
-    def __init__(self, size: int, names: list[str], sets: list[np.ndarray], containment: float, recall: float) -> None:
-        self.names, self.sets = names, sets
+    def __init__(self, width: int, size: int, names: list[str], sets: list[np.ndarray], containment: float, recall: float) -> None:
+        self.width, self.names, self.sets = width, names, sets
         self.need = [math.ceil(containment * len(s) - 1e-9) for s in sets]
         self.stride = max(1, size // 4)
         self.length = size + self.stride - 1
@@ -104,20 +104,23 @@ class TemplateClass:
 class Scanner:
     def __init__(self, templates: dict[str, str], width: int, containment: float, recall: float) -> None:
         self.width = width
-        classes: dict[int, tuple[list, list]] = {}
+        classes: dict[tuple[int, int], tuple[list, list]] = {}
         for name, text in sorted(templates.items()):
-            own = distinct_sorted(shingled(pa.array([text]), width)[0])
-            if len(own):
-                names, sets = classes.setdefault(1 << (len(own) - 1).bit_length(), ([], []))
+            words = len(word_hashes(*text_bytes(pa.array([text])), alnum=True)[0])
+            if words:
+                own = distinct_sorted(shingled(pa.array([text]), min(width, words))[0])
+                names, sets = classes.setdefault((min(width, words), 1 << (len(own) - 1).bit_length()), ([], []))
                 names.append(name)
                 sets.append(own)
-        self.classes = [TemplateClass(size, *x, containment, recall) for size, x in sorted(classes.items())]
+        self.classes = [TemplateClass(*key, *x, containment, recall) for key, x in sorted(classes.items())]
 
     def scan(self, column: pa.Array) -> list[tuple]:
         """Text, template, start_word, end_word, matched, template_shingles and containment of each match."""
-        shingles, at = shingled(column, self.width)
+        words, places = word_hashes(*text_bytes(column), alnum=True)
+        found = {w: shingle_hashes(words, places, w) for w in sorted({c.width for c in self.classes})}
         out = []
         for c in self.classes:
+            shingles, at = found[c.width]
             merged: dict[tuple[int, int], list[list[int]]] = {}
             for text, start, k in c.candidates(shingles, at):
                 end = min(start + c.blocks * c.stride, int(at[text + 1]))
@@ -134,7 +137,7 @@ class Scanner:
                     runs[-1][:] = [min(runs[-1][0], first), max(runs[-1][1], last), max(runs[-1][2], matched), end]
                 else:
                     runs.append([first, last, matched, end])
-            out += [(text, c.names[k], first, last + self.width, matched, len(c.sets[k]), matched / len(c.sets[k])) for (text, k), runs in merged.items() for first, last, matched, _ in runs]
+            out += [(text, c.names[k], first, last + c.width, matched, len(c.sets[k]), matched / len(c.sets[k])) for (text, k), runs in merged.items() for first, last, matched, _ in runs]
         return sorted(out)
 
 

@@ -2,8 +2,9 @@
 
 A document's ids (with the end id) are cut into full windows and a remainder. Full windows are sequences of their own.
 Remainders go, longest first, each into the open window with the tightest sufficient room; a segment tree over
-remaining capacities finds it. Remainders are dealt by hash into groups of about `group_rows`; each group is packed
-by itself, so a task holds a bounded number of them and at most about one window a group stays mostly empty.
+remaining capacities finds it. Remainders are dealt by a number of their own row into groups of about `group_rows`, so equal
+rows spread as others do; each group is packed by itself, so a task holds a bounded number of them and at most about one
+window a group stays mostly empty.
 
 Defined results: null and empty texts are the end id alone; a null doc_id stays null; repeated rows are each packed;
 an empty table gives an empty result; further columns of the input are ignored. Ties in length go by doc_id, then
@@ -12,6 +13,7 @@ start, with nulls first.
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 import zlib
@@ -40,12 +42,12 @@ class WordBPE(dict):
     normal form act on single characters (but for U+0130), are cut into these runs here, go to the tokenizer's merges alone, and frequent runs are remembered; all other
     texts are left whole to the tokenizer."""
 
-    def __init__(self, path: str, pattern: str) -> None:
+    def __init__(self, path: str) -> None:
         super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.whole = pattern not in self.tokenizer.to_str()  # another kind of tokenizer
+        self.whole = not is_word_bpe(json.loads(self.tokenizer.to_str()))  # another kind of tokenizer takes whole texts
         space, letter, number = r"\t-\r \x85\xa0", _ranges("L"), _ranges("N")
         self.runs = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{space}{letter}{number}]+")
         self.simple = re.compile(r"[\x00-įı-ſ]*")
@@ -66,8 +68,25 @@ class WordBPE(dict):
         return b"".join(map(self.__getitem__, self.runs.findall(text.lower())))
 
 
-#: The fixed pattern, as the tokenizer's file has it, on which the shorter way relies.
-WORD_BPE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+# The sections of a tokenizer's file, as it has them, on which the shorter way relies.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def is_word_bpe(sections: dict) -> bool:
+    """Whether a tokenizer's sections are those for which texts may be cut into runs here. Added tokens have to begin with
+    "<|": texts with that are left whole."""
+    added = all(t["content"].startswith("<|") for t in sections["added_tokens"])
+    plain = sections["truncation"] is None and sections["padding"] is None and sections["model"]["type"] == "BPE"
+    return added and plain and sections["normalizer"] == NORMALIZER and sections["pre_tokenizer"] == PRE_TOKENIZER
+
+
 _tokenizers: dict[str, WordBPE] = {}
 
 
@@ -75,7 +94,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1,
     """Full windows and remainders of each document. tokenizer: the path of its file on every executor."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _tokenizers.setdefault(tokenizer, WordBPE(tokenizer, WORD_BPE_PATTERN))
+        own = _tokenizers.setdefault(tokenizer, WordBPE(tokenizer))
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for part in slices(batch):
@@ -142,7 +161,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1, w
     cut = saved(pieces(docs, tokenizer, length, end_id, with_ids), "pieces")
     spark = docs.sparkSession
     groups = max(1, -(-cut.count() // group_rows))
-    dealt = cut.withColumn("bin", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
+    dealt = cut.withColumn("bin", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
 
     def packed(table: pa.Table) -> pa.Table:
         table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])

@@ -3,7 +3,8 @@
 An Aho-Corasick automaton over the pieces reports every piece that ends at a position (its own match and those on its
 output links); one pass relaxes the best score at each position, and the best path is read backwards. Characters that no
 piece covers cost the lowest score less 10 and become their UTF-8 bytes. The segmentation is the one of highest total
-score, earlier starts first among equals.
+score, earlier starts first among equals. A user-defined piece scores the highest score a byte, less 0.1, and unused pieces
+match nothing; the unknown id decodes to the model's surface for it.
 
 No piece has a space mark behind another character, nor a line end inside, so a best path always passes through the
 borders of such runs; `Model` proves this from its pieces and then encodes run by run and remembers frequent runs.
@@ -46,13 +47,16 @@ class Model(dict):
         self.automaton = ahocorasick.Automaton()
         self.bytes_ids, self.unknown, self.text = [0] * 256, 0, []
         plain = []
+        highest = max((p.score for p in proto.pieces if p.type == 1), default=0.0)
         for i, p in enumerate(proto.pieces):
             self.text.append(p.piece.replace(SPACE, " ").encode())
-            if p.type == 1:
-                self.automaton.add_word(p.piece, (len(p.piece), p.score, i))
+            if p.type in (1, 4):
+                score = p.score if p.type == 1 else len(p.piece.encode()) * highest - 0.1
+                self.automaton.add_word(p.piece, (len(p.piece), score, i))
                 plain.append(p.piece)
             elif p.type == 2:
                 self.unknown = i
+                self.text[i] = proto.trainer_spec.unk_surface.encode()
             elif p.type == 6:
                 value = int(p.piece[3:5], 16)
                 self.bytes_ids[value] = i
@@ -61,7 +65,7 @@ class Model(dict):
                 self.text[i] = b""
         self.automaton.make_automaton()
         self.byte_fallback = any(self.bytes_ids)
-        self.lowest = min(p.score for p in proto.pieces if p.type == 1) - 10
+        self.lowest = min((p.score for p in proto.pieces if p.type == 1), default=0.0) - 10
         inside = set().union(*plain)
         spaced = any(SPACE in p.lstrip(SPACE) for p in plain)
         alone = "" if "\n" in inside else "\n"
@@ -114,8 +118,9 @@ class Model(dict):
         return b"".join(map(self.__getitem__, self.runs.findall(text))) if self.runs else self.best(text)
 
     def decode(self, ids: bytes) -> str:
-        got = b"".join(map(self.text.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-        return (got[1:] if self.prefix and got[:1] == b" " else got).decode(errors="replace")
+        own = np.frombuffer(ids, "<u4").tolist()
+        got = b"".join(map(self.text.__getitem__, own))
+        return (got[1:] if self.prefix and got[:1] == b" " and own[0] != self.unknown else got).decode(errors="replace")
 
 
 _models: dict[int, Model] = {}

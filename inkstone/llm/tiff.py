@@ -2,7 +2,9 @@
 deflate, horizontal differencing is undone, and each page gives one row.
 
 Samples are 8-bit, chunky, of any number a pixel. Files may have either byte order. A directory that was walked before
-ends the walk. A file that is null, damaged or of another kind gives one row with page null and `error` set.
+ends the walk. A file that is null, damaged or of another kind gives one row with page null and `error` set, after rows for
+the pages before the damage. Nothing is allocated or decoded beyond a page's own size, and a page of more than PAGE_BYTES
+is an error.
 
 Texts are stored as grey pages of `width` samples a row, at most `page_rows` rows each; the codec, the layout and the
 predictor of a page follow from its number and the file's row count, so equal texts give equal files.
@@ -55,16 +57,18 @@ def packbits(data: bytes) -> bytes:
     return b"".join(out)
 
 
-def unpackbits(data: bytes) -> bytes:
-    out, at = [], 0
-    while at < len(data):
+def unpackbits(data: bytes, most: int = 1 << 30) -> bytes:
+    out, at, size = [], 0, 0
+    while at < len(data) and size < most:
         n = data[at]
         if n < 128:
             out.append(data[at + 1 : at + 2 + n])
             at += n + 2
+            size += n + 1
         else:
             if n > 128:
                 out.append(data[at + 1 : at + 2] * (257 - n))
+                size += 257 - n
             at += 2 if n > 128 else 1
     return b"".join(out)
 
@@ -116,18 +120,19 @@ def lzw(data: bytes) -> bytes:
     return np.packbits(bits).tobytes()
 
 
-def unlzw(data: bytes) -> bytes:
-    """Codes are read a table's worth at a time: until a clear their widths depend on their number alone."""
+def unlzw(data: bytes, most: int = 1 << 30) -> bytes:
+    """Codes are read a table's worth at a time: until a clear their widths depend on their number alone. Between two clears
+    are fewer than 4,096 codes, none of more bytes than there were codes before."""
     raw = np.zeros(len(data) + 4, np.int64)
     raw[: len(data)] = np.frombuffer(data, np.uint8)
     window = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]
     first = [bytes([i]) for i in range(256)] + [b"", b""]
     widths = WIDTHS[: len(data)]  # no code is shorter than a byte
     ahead = np.cumsum(widths) - widths
-    at, out = 0, []
+    at, out, size = 0, [], 0
     if len(data) > 1 and window[0] >> 23 == 256:
         at = 9
-    while at < 8 * len(data):
+    while at < 8 * len(data) and size < most:
         place = at + ahead
         place = place[place + 9 <= 8 * len(data)]
         wide = widths[: len(place)]
@@ -146,6 +151,7 @@ def unlzw(data: bytes) -> bytes:
             if last:
                 add(last + got[:1])
             put(got)
+            size += len(got)
             last = got
         if n == len(codes) or codes[n] == 257:
             break
@@ -157,8 +163,17 @@ def packed(data: bytes, codec: int) -> bytes:
     return {NONE: lambda x: x, LZW: lzw, DEFLATE: lambda x: zlib.compress(x, 1), PACKBITS: packbits}[codec](data)
 
 
-def unpacked(data: bytes, codec: int) -> bytes:
-    return {NONE: lambda x: x, LZW: unlzw, DEFLATE: zlib.decompress, OLD_DEFLATE: zlib.decompress, PACKBITS: unpackbits}[codec](data)
+def inflate(data: bytes, most: int) -> bytes:
+    return zlib.decompressobj().decompress(data, most)
+
+
+def unpacked(data: bytes, codec: int, most: int = 1 << 30) -> bytes:
+    """The first `most` bytes that data holds, and maybe some further ones."""
+    return {NONE: lambda x, n: x, LZW: unlzw, DEFLATE: inflate, OLD_DEFLATE: inflate, PACKBITS: unpackbits}[codec](data, max(1, most))
+
+
+#: The most bytes of one page. Larger ones are reported as an error: a row has to hold a page.
+PAGE_BYTES = 1 << 29
 
 
 # ---------------------------------------------------------------- files
@@ -226,6 +241,8 @@ def read_pages(data: bytes) -> Iterator[tuple[np.ndarray, str, int]]:
                 size, place = struct.calcsize(TYPES[kind]) * count, at + 10 + 12 * k
                 if size > 4:
                     (place,) = struct.unpack_from(f"{order}I", data, place)
+                if place + size > len(data):
+                    raise ValueError("values beyond the file's end")
                 tags[tag] = struct.unpack_from(f"{order}{count}{TYPES[kind]}", data, place)
         one = lambda tag, default: tags.get(tag, (default,))[0]
         wide, high, deep, codec, predictor = tags[256][0], tags[257][0], one(277, 1), one(259, NONE), one(317, 1)
@@ -233,12 +250,22 @@ def read_pages(data: bytes) -> Iterator[tuple[np.ndarray, str, int]]:
             raise ValueError("a kind of page that isn't read")
         tiled = 324 in tags
         part_wide, part_high = (tags[322][0], tags[323][0]) if tiled else (wide, min(one(278, high), high))
-        across = -(-wide // part_wide)
+        if not (wide and high and deep and part_wide and part_high):
+            raise ValueError("a page or part without samples")
+        across, down = -(-wide // part_wide), -(-high // part_high)
+        places, sizes = tags[324 if tiled else 273], tags[325 if tiled else 279]
+        if not len(places) == len(sizes) == across * down:
+            raise ValueError("another number of strips or tiles than the page has")
+        if across * part_wide * down * part_high * deep > PAGE_BYTES:
+            raise ValueError(f"a page of more than {PAGE_BYTES} bytes")
+        if any(place + size > len(data) for place, size in zip(places, sizes, strict=True)):
+            raise ValueError("a strip or tile beyond the file's end")
         image = np.zeros((high, wide, deep), np.uint8)
-        for k, (place, size) in enumerate(zip(tags[324 if tiled else 273], tags[325 if tiled else 279], strict=True)):
+        for k, (place, size) in enumerate(zip(places, sizes, strict=True)):
             y, x = k // across * part_high, k % across * part_wide
             rows = part_high if tiled else min(part_high, high - y)
-            part = np.frombuffer(unpacked(data[place : place + size], codec), np.uint8)[: rows * part_wide * deep].reshape(rows, part_wide, deep)
+            need = rows * part_wide * deep
+            part = np.frombuffer(unpacked(data[place : place + size], codec, need), np.uint8)[:need].reshape(rows, part_wide, deep)
             if predictor == 2:
                 part = np.cumsum(part, axis=1, dtype=np.uint8)
             image[y : y + rows, x : x + part_wide] = part[: high - y, : wide - x]
@@ -274,7 +301,9 @@ def pages(files: DataFrame, key: str = "doc_id", content: str = "content") -> Da
                     try:
                         for k, (image, codec, predictor) in enumerate(read_pages(data or b"")):
                             own.append((k, *image.shape, codec, predictor, image.tobytes(), None))
-                    except (ValueError, KeyError, IndexError, struct.error, zlib.error) as e:
+                        if not own:
+                            raise ValueError("no pages")
+                    except (ValueError, LookupError, ArithmeticError, MemoryError, struct.error, zlib.error) as e:
                         own.append((None,) * 7 + (f"{type(e).__name__}: {e}",))
                     rows += own
                     of += [i] * len(own)

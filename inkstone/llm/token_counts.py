@@ -3,7 +3,8 @@
 The vocabulary is a trie with one root for pieces that begin a word and one for pieces that continue it ("##x"). Each
 node has a failure link and the number of pieces that following it pops, so that greedy longest-match lengths come from
 one pass over a word's characters and no piece is built. A word is a run of word characters or one other character that
-isn't white space; it counts as one unknown token when no greedy match covers it or it is longer than `max_word` characters.
+isn't white space; it counts as one unknown token when no greedy match covers it or, where a vocabulary has such a rule, it is
+longer than `max_word` characters. Without that rule a word may have any length: the pass is linear.
 
 Defined results: null and empty texts have no words and no tokens; a null doc_id stays null; repeated rows each get a
 row; an empty table gives an empty result; further columns of the input are ignored.
@@ -27,7 +28,7 @@ CACHED = 400_000  # words that a worker remembers; others are matched again
 class LongestMatch:
     """`starts`: pieces that may begin a word; `rest`: pieces that may follow another."""
 
-    def __init__(self, starts: Iterable[str], rest: Iterable[str], max_word: int = 100) -> None:
+    def __init__(self, starts: Iterable[str], rest: Iterable[str], max_word: int | None = None) -> None:
         self.max_word = max_word
         self.next: list[dict[str, int]] = [{}, {}]  # node 0 begins a word, node 1 continues it
         ends = self._grow(0, starts) | self._grow(1, rest)
@@ -65,7 +66,7 @@ class LongestMatch:
 
     def count(self, word: str) -> int:
         """The number of pieces, or 1 + UNKNOWN."""
-        if len(word) > self.max_word:
+        if self.max_word is not None and len(word) > self.max_word:
             return 1 + UNKNOWN
         at = total = 0
         step, fail, popped = self.next, self.fail, self.popped
@@ -93,7 +94,7 @@ class Counts(dict):
 
     def __missing__(self, word: str) -> int:
         got = self.automaton.count(word)
-        if len(self) < CACHED:
+        if len(self) < CACHED and len(word) < 64:
             self[word] = got
         return got
 
@@ -110,7 +111,7 @@ def sentencepiece_vocabulary(model_file: str) -> tuple[list[str], list[str]]:
 _built: dict[int, tuple[object, Counts]] = {}
 
 
-def _counts(shared, max_word: int) -> Counts:
+def _counts(shared, max_word: int | None) -> Counts:
     """One automaton a worker, used again by its later tasks."""
     key = (shared.value[2], max_word)
     if key not in _built:
@@ -119,7 +120,7 @@ def _counts(shared, max_word: int) -> Counts:
     return _built[key]
 
 
-def token_counts(docs: DataFrame, vocabulary: tuple[list[str], list[str]], max_word: int = 100) -> DataFrame:
+def token_counts(docs: DataFrame, vocabulary: tuple[list[str], list[str]], max_word: int | None = None) -> DataFrame:
     """doc_id, n_words, n_tokens and n_unknown of each text. Only the vocabulary, whose size is fixed, is broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast((*vocabulary, hash((tuple(vocabulary[0]), tuple(vocabulary[1])))))
 

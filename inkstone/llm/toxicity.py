@@ -4,12 +4,15 @@ P(grade >= k) is the logistic function of x . w - t_k: the weights are shared by
 are kept in order. x holds log(1 + count) of the words and stems (a word's first five bytes) of a vocabulary in the
 whole text, lower-cased; words are runs of ASCII letters, digits and bytes beyond ASCII. The output is the expected grade, the sum of P(grade >= k).
 
-Labels say toxic or not. Grades among the toxic are made from the text: the count of the vocabulary's toxic words, cut
-at the terciles of the toxic documents of the sample (1 mild, 2 middle, 3 severe).
+Labels are grades from 0 (not toxic). Where they only say toxic or not, grades among the toxic are made by cross-fitting: a
+model of toxic or not that is learned from one half of the sample's doc_ids gives the other half's probabilities, and the
+toxic documents' terciles of these are the grades (1 mild, 2 middle, 3 severe). So a severity then orders documents by how
+sure a model that never saw them is that they are toxic; it knows no other scale.
 
-Vocabulary and weights are fitted on at most `sample` labelled documents of each class, those of least hash; the
-vocabulary is the `words` words at most whose document counts differ most between the classes (z of the log odds
-ratio, at least `least_z`).
+Vocabulary and weights are fitted on at most `sample` labelled documents of each class, toxic or not, those of least hash; a
+labelled doc_id of several rows counts once, by the least of its texts. The vocabulary is the `words` words at most, of
+`least_docs` documents or more, whose document counts differ most between the classes (z of the log odds ratio, at least
+`least_z`); the README has the held-out errors at other values.
 
 Defined results: null and empty texts have no features; a null doc_id is scored and stays null; repeated rows each get
 a row; an empty table gives an empty result; without labels of both classes every severity is 0; further columns of the
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkstone.llm.common import column_of, distinct_sorted, slices, text_bytes, word_hashes
+from inkstone.llm.common import column_of, distinct_sorted, mix, saved, slices, text_bytes, word_hashes
 from inkstone.llm.quality import labelled
 
 
@@ -100,19 +103,37 @@ def fit(doc: np.ndarray, word: np.ndarray, value: np.ndarray, grade: np.ndarray,
     return w, first + np.concatenate([[0], np.cumsum(np.exp(gaps))])
 
 
+def cross_fitted(doc: np.ndarray, word: np.ndarray, value: np.ndarray, toxic: np.ndarray, half: np.ndarray, words: int, grades: int) -> np.ndarray:
+    """Grades of documents labelled 0 or 1: the toxic ones of each half are cut at the quantiles of what a model of the other
+    half gives for them."""
+    out = toxic.copy()
+    for k in (0, 1):
+        other, own = half != k, (half == k) & (toxic > 0)
+        if not own.any() or len(set(toxic[other])) < 2:
+            continue
+        inside = other[doc]
+        place = np.cumsum(other) - 1
+        weights, _ = fit(place[doc[inside]], word[inside], value[inside], toxic[other], words, 1)
+        score = np.bincount(doc, value * weights[word], minlength=len(toxic))
+        out[own] = 1 + np.searchsorted(np.quantile(score[own], [g / grades for g in range(1, grades)]), score[own], side="left")
+    return out
+
+
 def train(docs: DataFrame, labels: DataFrame, training: Column, label: str = "toxic", grades: int = 3, sample: int = 8_000, words: int = 4_096, least_docs: int = 5, least_z: float = 4.0) -> Severity:
-    chosen = labelled(docs, labels, label, sample, training).select("doc_id", F.col("label").cast("int").alias("label"), "text")
+    chosen = labelled(docs, labels.filter(F.col(label) <= grades), label, sample, training)
+    # However many rows have a doc_id, one is learned from. The sample is bounded, and read three times.
+    chosen = saved(chosen.groupBy("doc_id", "label").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")), "sample")
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 hashes, at = hashed(column_of(part, "text"))
                 sets = [distinct_sorted(hashes[a:b]) for a, b in zip(at, at[1:], strict=False)]
-                label = np.repeat(column_of(part, "label").to_numpy(zero_copy_only=False), [len(s) for s in sets])
+                label = np.repeat(column_of(part, "label").to_numpy(zero_copy_only=False) > 0, [len(s) for s in sets])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), pa.array(label.astype(np.int32))], ["word", "label"])
 
     sizes = {r[0]: r[1] for r in chosen.groupBy("label").count().collect()}
-    clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
+    clean, toxic = sizes.get(0, 0), sum(n for k, n in sizes.items() if k)
     if not clean or not toxic:
         return Severity(np.zeros(0, np.uint64), np.zeros(0), np.full(grades, 40.0))
     a, b = F.col("n_toxic") + 0.5, F.col("n_clean") + 0.5
@@ -126,11 +147,11 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, label: str = "to
         .filter(F.abs("z") >= least_z)
         .orderBy(F.abs("z").desc(), "word")
         .limit(words)
-        .select("word", "z")
+        .select("word")
         .toPandas()
     )
     order = np.argsort(best["word"].to_numpy().view(np.uint64))
-    vocabulary, z = best["word"].to_numpy().view(np.uint64)[order], best["z"].to_numpy()[order]
+    vocabulary = best["word"].to_numpy().view(np.uint64)[order]
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,10 +166,9 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, label: str = "to
     doc = np.repeat(np.arange(len(rows)), [len(x) for x in word])
     word, count = np.concatenate(word), np.frombuffer(b"".join(rows["count"]), "<i4")
     grade = rows["label"].to_numpy().astype(np.int64)
-    strong = z[word] >= max(4.0, float(z.max()) / 4) if len(z) else np.zeros(0, bool)
-    hits = np.bincount(doc[strong], count[strong], minlength=len(rows))
-    cuts = np.quantile(hits[grade == 1], [k / grades for k in range(1, grades)])
-    grade = np.where(grade == 1, 1 + np.searchsorted(cuts, hits, side="left"), 0)
+    if grade.max() == 1 and grades > 1:
+        half = mix(rows["doc_id"].to_numpy().astype(np.int64).view(np.uint64)) & np.uint64(1)
+        grade = cross_fitted(doc, word, np.log1p(count), grade, half.astype(np.int64), len(vocabulary), grades)
     weights, thresholds = fit(doc, word, np.log1p(count), grade, len(vocabulary), grades)
     return Severity(vocabulary, weights, thresholds)
 

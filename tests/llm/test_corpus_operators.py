@@ -1,6 +1,8 @@
 """Quality, toxicity, packing, language model, neighbours, near duplicates and the pipeline."""
 
+import json
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -71,6 +73,82 @@ def test_ordinal_fit_recovers_thresholds():
     assert np.abs(weights - w).max() < 0.25 and np.all(np.diff(thresholds) > 0)
 
 
+def graded_texts(n, seed, least=0):
+    """(doc_id, text, grade): texts of 40 words, a word's kind being the likelier the higher the grade."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for i in range(least, least + n):
+        grade = int(rng.integers(0, 4))
+        kinds = rng.random(40) < [0.0, 0.1, 0.25, 0.5][grade]
+        out.append((i, " ".join(f"bad{rng.integers(12)}" if k else f"word{rng.integers(300)}" for k in kinds), grade))
+    return out
+
+
+def test_grades_of_held_out_texts(spark):
+    """Learned from grades, the expected grade is near the true one; learned from toxic or not alone, it still orders texts."""
+    rows, new = graded_texts(1_500, 1), graded_texts(500, 2, 10_000)
+    docs = spark.createDataFrame([r[:2] for r in rows + new], "doc_id long, text string")
+    truth = {i: g for i, _, g in new}
+    for labels, error in (([(i, g) for i, _, g in rows], 0.45), ([(i, int(g > 0)) for i, _, g in rows], None)):
+        model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+        got = {r["doc_id"]: r for r in toxicity.graded(docs, model).collect() if r["doc_id"] in truth}
+        assert np.mean([(got[i]["toxic"] > 0) == (g > 0) for i, g in truth.items()]) > 0.93
+        means = [np.mean([got[i]["severity"] for i, g in truth.items() if g == k]) for k in range(4)]
+        assert all(b > a + 0.3 for a, b in zip(means, means[1:], strict=False))
+        if error:
+            assert np.mean([abs(got[i]["severity"] - g) for i, g in truth.items()]) < error
+
+
+def test_scores_against_brute_force(spark, labelled):
+    """Each text's severity and grades by plain counting over Python words."""
+    docs, labels = labelled
+    model = toxicity.train(docs, labels, F.lit(True))
+    place = {int(h): k for k, h in enumerate(model.words)}
+    rows = docs.limit(60).collect()
+    got = {r["doc_id"]: r for r in toxicity.graded(docs, model).collect()}
+    for r in rows:
+        words = re.findall(rb"[0-9A-Za-z\x80-\xff]+", (r["text"] or "").encode())
+        keys = [int(toxicity.hashed(pa.array([w.decode()]))[0][k]) for w in words if not w[:5].decode(errors="ignore").encode() != w[:5] for k in (0, 1)]
+        if len(keys) != 2 * len(words):
+            continue  # a stem would end inside a character
+        total = sum(math.log1p(n) * model.weights[place[k]] for k, n in Counter(keys).items() if k in place)
+        above = [1 / (1 + math.exp(-max(-40, min(40, total - t)))) for t in model.thresholds]
+        assert math.isclose(got[r["doc_id"]]["severity"], sum(above), rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_quality_features_and_scores_against_brute_force(spark, labelled):
+    """Some features by plain Python, and the score as the logistic function of their weighted sum."""
+    docs, labels = labelled
+    model = quality.train(docs, labels, F.lit(True))
+    texts = [t or "" for _, t in ODD] + [r["text"] for r in docs.limit(40).collect()]
+    x = quality.features(pa.array(texts))
+    assert x.shape == (len(texts), quality.FEATURES)
+    for t, own in zip(texts, x, strict=True):
+        raw, words = t.encode(), [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", t)]
+        many = max(1, len(words))
+        folded = [w.lower() if w.isascii() else re.sub(rb"[A-Z]", lambda m: m.group().lower(), w) for w in words]
+        runs = [tuple(folded[k : k + 5]) for k in range(max(1, len(folded) - 4))] if folded else []
+        expected = {1: sum(97 <= b < 123 for b in raw) / max(1, len(raw)), 4: sum(b >= 128 for b in raw) / max(1, len(raw)), 11: math.log1p(len(words)), 12: math.log1p(len(raw)), 13: sum(map(len, words)) / many}
+        expected |= {15: sum(len(w) > 20 for w in words) / many, 16: sum(len(w) <= 2 for w in words) / many, 17: sum(65 <= w[0] < 91 for w in words) / many, 22: sum(a == b for a, b in zip(folded, folded[1:], strict=False)) / many}
+        expected |= {23: len(set(folded)) / many, 24: len(set(folded)) / math.sqrt(many), 25: len(set(runs)) / max(1, len(runs))}
+        for k, v in expected.items():
+            assert math.isclose(own[k], v, rel_tol=1e-9, abs_tol=1e-12), (k, t[:50])
+        raw_score = sum((v - m) / s * w for v, m, s, w in zip(own, model.mean, model.scale, model.weights, strict=True)) - model.threshold
+        assert math.isclose(model.score(own[None])[0], 1 / (1 + math.exp(-max(-40, min(40, model.slope * raw_score + math.log(3 / 7))))), rel_tol=1e-9)
+
+
+def test_labelled_ids_of_many_rows_count_once(spark):
+    rng = np.random.default_rng(3)
+    text = lambda k: " ".join(f"{'zz' if k else 'w'}{rng.integers(50)}" for _ in range(30))
+    rows = [(i, text(i % 2)) for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
+    once, often = (spark.createDataFrame(r, "doc_id long, text string").repartition(3) for r in (rows, rows + [rows[1]] * 500))
+    a, b = (quality.train(d, labels, F.lit(True)) for d in (once, often))
+    assert np.allclose(a.weights, b.weights)
+    a, b = (toxicity.train(d, labels, F.lit(True)) for d in (once, often))
+    assert np.array_equal(a.words, b.words) and np.allclose(a.weights, b.weights)
+
+
 @pytest.mark.parametrize("seed", range(10))
 def test_best_fit_decreasing(seed):
     rng = np.random.default_rng(seed)
@@ -127,6 +205,36 @@ def test_packing(spark, odd, none, documents):
     assert packing.pack(none, path).count() == 0
 
 
+def test_runs_give_the_ids_of_the_tokenizer():
+    """Random texts of code points that the shorter way takes, and some that it leaves to the tokenizer."""
+    own = packing.WordBPE(tokenizer_path("word_bpe_49k.json"))
+    assert not own.whole
+    rng = np.random.default_rng(12)
+    alphabets = [range(0x20, 0x7F), range(0, 0x180), [*range(0x41, 0x5B), *range(0x61, 0x7B), 0x20, 0x27, 0x0A, 0x85, 0xA0], [*range(0x20, 0x250), 0x130, 0x301, 0x3C2, 0x4E2D, 0x1F600]]
+    for letters in alphabets:
+        for n in rng.integers(0, 40, 700):
+            text = "".join(map(chr, rng.choice(list(letters), n)))
+            assert np.frombuffer(own.encode(text), "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+@pytest.mark.parametrize("change", [("normalizer", None), ("pre_tokenizer", {"type": "Whitespace"}), ("added_tokens", [{"id": 0, "content": "word", "single_word": False, "lstrip": False, "rstrip": False, "normalized": True, "special": False}])])
+def test_other_tokenizers_take_whole_texts(tmp_path, change):
+    with open(tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as f:
+        sections = json.load(f)
+    sections[change[0]] = change[1]
+    (tmp_path / "other.json").write_text(json.dumps(sections))
+    own = packing.WordBPE(str(tmp_path / "other.json"))
+    assert own.whole and np.frombuffer(own.encode("A word's 12 words"), "<u4").tolist() == own.tokenizer.encode("A word's 12 words", add_special_tokens=False).ids
+
+
+def test_repeated_rows_spread_over_groups(spark):
+    docs = spark.createDataFrame([(1, "the same text")] * 3_000 + [(None, None)] * 500, "doc_id long, text string").repartition(4)
+    rows = packing.pack(docs, tokenizer_path("word_bpe_49k.json"), group_rows=100).collect()
+    packed_right(rows, [(1, "the same text")] * 3_000 + [(None, None)] * 500)
+    groups = Counter(r["sequence_id"] >> 40 for r in rows)
+    assert len(groups) == 35 and max(groups.values()) < 200
+
+
 def kneser_ney_by_hand(rows, training):
     tokens = {k: [*words_of(t), "</s>"] for k, t in enumerate(t for _, t in rows)}
     counts, pairs = Counter(), Counter()
@@ -171,6 +279,26 @@ def test_kneser_ney(spark, documents, odd, none):
     assert all(r["score"] == 0 and r["train_tokens"] == 0 for r in kneser_ney.perplexity(odd, F.lit(False)).collect())
 
 
+def test_kneser_ney_dealt_twice_and_with_large_counts(spark, documents, monkeypatch):
+    expected = {r["doc_id"]: (r["n_known"], r["score"]) for r in kneser_ney.perplexity(documents, F.lit(True)).collect()}
+    monkeypatch.setattr(kneser_ney, "DEALT", 2)
+    again = kneser_ney.train(documents)
+    assert again.ranges == {"bigrams": 4, "words": 2}
+    got = {r["doc_id"]: (r["n_known"], r["score"]) for r in kneser_ney.scored(documents, again).collect()}
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in expected.items()} and all(math.isclose(got[k][1], expected[k][1], rel_tol=1e-9) for k in got)
+    for numbers in ([1, 2, 3], [1, 2**32 - 1], [1, 2**32, 2**50]):
+        assert kneser_ney.columns_of(kneser_ney.planes(np.array(numbers), np.array(numbers)), 2).tolist() == [numbers] * 2
+
+
+def test_counts_beyond_32_bits_are_kept_in_files(tmp_path):
+    keys, counts = np.array([3, 5, 2**63], np.uint64), np.array([[1, 2**32 + 7, 2**40], [1, 2, 3]])
+    for name, columns in (("large", counts), ("small", counts % 1000)):
+        kneser_ney.write_columns(f"{tmp_path}/{name}", keys, columns)
+        own, got = kneser_ney.Maps().of(f"{tmp_path}/{name}", 2)
+        assert own.tolist() == keys.tolist() and np.array_equal(np.stack(got), columns)
+    assert (tmp_path / "large").stat().st_size - (tmp_path / "small").stat().st_size == 24
+
+
 def test_beam_search_beats_a_narrow_one():
     x = np.random.default_rng(2).normal(size=(600, 16))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
@@ -210,6 +338,37 @@ def test_odd_vectors(spark):
     assert additive_quantisation.search(vectors.filter("vec_id = 0"), F.col("vec_id") == 0).count() == 0
 
 
+def test_recall_of_a_narrow_rerank(spark):
+    """20,000 vectors around 400 centres; one in a hundred is scored exactly for each query."""
+    rng = np.random.default_rng(9)
+    x = (rng.normal(size=(400, 32))[rng.integers(0, 400, 20_000)] + 0.7 * rng.normal(size=(20_000, 32))).astype(np.float32)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = defaultdict(set)
+    for r in additive_quantisation.search(vectors, F.col("vec_id") % 200 == 0, rerank=200, codewords=64, sample=4_096, run=2).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    expected = nearest(list(range(20_000)), x.astype(float), range(0, 20_000, 200))
+    assert sum(len(set(expected[q]) & got[q]) for q in expected) >= 0.9 * 5 * len(expected)
+
+
+def test_repeated_ids_dimensions_and_extreme_lengths(spark):
+    """Rows of one id with other vectors are candidates, of each other too; each dimension is searched by itself; components
+    beyond the square root of the range of doubles give true cosines."""
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.1]), (1, [0.0, 1.0]), (2, [0.5, 0.5]), (0, [0.0, 1.0]), (3, [1.0, 0.0, 0.0]), (50, [1.0, 1.0, 0.0]), (4, [1e-170, 1e-170]), (5, [1e160, -1e160])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(Counter)
+    for r in additive_quantisation.search(vectors, F.col("vec_id") % 50 == 0, k=8).collect():
+        got[r["query_id"]][r["rank"], r["vec_id"], round(r["score"], 9)] += 1
+    cos = lambda a, b: round(float(np.dot(np.array(a) / np.hypot(*a), np.array(b) / np.hypot(*b))), 9)
+    expected = Counter()
+    flat = [(i, v if max(map(abs, v)) > 1e-9 else [1.0, 1.0]) for i, v in rows if len(v) == 2]
+    flat = [(i, v if max(map(abs, v)) < 1e9 else [1.0, -1.0]) for i, v in flat]
+    for a, (i, v) in enumerate(flat):
+        if i == 0:
+            best = sorted(((-cos(v, w), j) for b, (j, w) in enumerate(flat) if b != a))
+            expected.update((rank, j, -s) for rank, (s, j) in enumerate(best, 1))
+    assert got[0] == expected and got[50] == Counter({(1, 3, round(0.5**0.5, 9)): 1}) and set(got) == {0, 50}
+
+
 def test_prefixes_meet_often_enough():
     rng = np.random.default_rng(4)
     hot = (np.sort(rng.integers(0, 2**32, 50).astype(np.uint32)), rng.integers(12, 5000, 50))
@@ -310,6 +469,58 @@ def test_texts_without_ids_link(spark):
     assert Counter((r["doc_id"], r["n_links"]) for r in jaccard_join.link_counts(docs).collect()) == Counter({(1, 2): 1, (2, 2): 1, (None, 3): 2, (None, 0): 1, (3, 0): 1})
 
 
+def expected_to_stay(rows):
+    """How many rows of each (doc_id, text) stay when one of each component does, by brute force."""
+    shingles = [frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if (w := words_of(t)) else frozenset() for _, t in rows]
+    up = list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, a in enumerate(shingles):
+        for j in range(i):
+            both = len(a & shingles[j])
+            if a and shingles[j] and 100 * both >= 75 * (len(a) + len(shingles[j]) - both):
+                up[root(i)] = root(j)
+    groups = defaultdict(list)
+    for i, own in enumerate(shingles):
+        groups[root(i) if own else ("none", i)].append(i)
+    return [{rows[i] for i in own if (rows[i][0] is None, rows[i][0]) == min((rows[k][0] is None, rows[k][0] or 0) for k in own) or (rows[i][0] is None and all(rows[k][0] is None for k in own))} for own in groups.values()]
+
+
+def test_one_of_each_with_repeated_and_null_ids(spark):
+    """One row of every group stays, whatever its ids: repeated ids with other texts, equal rows, rows without ids."""
+    words = [f"w{k}" for k in range(60)]
+    near, other = " ".join([*words[:-2], "x", "y"]), " ".join(f"z{k}" for k in range(20))
+    rows = [(1, " ".join(words)), (2, near), (2, other), (3, other), (3, other), (4, "alone"), (4, "alone"), (None, " ".join(words)), (None, "no id"), (None, "no id"), (5, ""), (5, ""), (6, None), (2, "a third text of two")]
+    docs = spark.createDataFrame([(i, t, "k", 1) for i, t in rows], "doc_id long, text string, class string, n_rows int").repartition(3)
+    kept = jaccard_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    groups = expected_to_stay(rows)
+    assert sum(got.values()) == len(groups)
+    for allowed in groups:
+        got -= Counter([next(r for r in allowed if got[r])])
+    assert not got
+    assert jaccard_join.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_pipeline_of_odd_and_empty_tables(spark, odd, none, tmp_path):
+    """All four stages, over repeated and null ids and over nothing."""
+    for name, docs in (("odd", odd), ("empty", none)):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([(1, 1, 0), (6, 0, 1), (None, 1, 1), (1, 0, 0)] if name == "odd" else [], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        rows = docs
+        for stage, f in corpus_pipeline.STAGES[:-1]:
+            rows = spark.createDataFrame(f(spark, rows, f"{tmp_path}/{name}").collect(), docs.schema)
+        texts = [(r["doc_id"], r["text"]) for r in rows.collect()]
+        got = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert Counter((r["doc_id"], r["start"], r["length"]) for r in got) == Counter((r["doc_id"], r["start"], r["length"]) for r in corpus_pipeline.STAGES[-1][1](spark, rows, "").collect())
+        assert (len(got) > 0) == (name == "odd") and len(texts) <= len(got)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (5, 5), (200, 201), (201, 202), (202, 200)]
     got = {r["class"]: r["component"] for r in jaccard_join.components(spark.createDataFrame(edges, "a long, b long")).collect()}

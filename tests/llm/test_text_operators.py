@@ -1,6 +1,7 @@
 """Token counts, SentencePiece, licence scans, TIFF: against brute force, the public library and round trips."""
 
 import random
+import struct
 import zlib
 
 import numpy as np
@@ -58,12 +59,19 @@ def test_token_counts(spark, odd, none):
     rows = sorted((tuple(r) for r in token_counts.token_counts(odd, vocabulary).collect()), key=str)
     expected = []
     for i, t in ODD:
-        got = [greedy(w, starts, rest, 100) for w in token_counts.WORDS.findall(t or "")]
+        got = [greedy(w, starts, rest, 1 << 30) for w in token_counts.WORDS.findall(t or "")]
         expected.append((i, len(got), sum(1 if x is None else x for x in got), sum(x is None for x in got)))
     assert rows == sorted(expected, key=str)
+    ten = lambda **rule: next(r for r in token_counts.token_counts(odd, vocabulary, **rule).collect() if r["doc_id"] == 10)
+    assert ten()["n_tokens"] > 100 and ten()["n_unknown"] == 0 and ten(max_word=100)["n_unknown"] == 1
     assert token_counts.token_counts(none, vocabulary).count() == 0
 
 
+def test_very_long_words_are_matched_whole():
+    automaton = token_counts.LongestMatch({"a", "ab"}, {"ab", "b", "a"})
+    assert automaton.count("ab" * 300_000) == 300_000 and automaton.count("ab" * 300_000 + "c") == 1 + token_counts.UNKNOWN
+
+
 @pytest.fixture(scope="module")
 def model():
     with open(tokenizer_path("piece_bpe_32k.model"), "rb") as f:
@@ -111,6 +119,25 @@ def test_sentencepiece_against_brute_force(model):
         assert abs(sum(proto.pieces[i].score for i in ids) + own.lowest * sum(c in unknown for c in run) - best[-1]) < 1e-6
 
 
+def test_user_defined_and_unknown_pieces(model):
+    from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    proto.ParseFromString(model)
+    proto.trainer_spec.model_type = 1
+    for piece in ("<mask>", "q#q", "né#e"):
+        own = proto.pieces.add()
+        own.piece, own.score, own.type = piece, 0.0, 4
+    serialized = proto.SerializeToString()
+    library, own = SentencePieceProcessor(model_proto=serialized), sentencepiece_codec.Model(serialized)
+    for t in ("a <mask> b", "<mask><mask>", "xq#qy né#e", "n\u00e9e", "<mas", "q#<mask>q#q"):
+        ids = np.frombuffer(own.encode(t), "<u4").tolist()
+        assert [i for i in ids if proto.pieces[i].type == 4] == [i for i in library.encode(t) if proto.pieces[i].type == 4]
+        assert own.decode(own.encode(t)) == t
+    unknown = np.array([library.unk_id()], "<u4").tobytes()
+    assert own.decode(unknown) == library.decode([library.unk_id()])
+
+
 def test_sentencepiece_round_trips(spark, odd, none, documents, model):
     assert sentencepiece_codec.coded(odd, model).filter("NOT round_trip").count() == 0
     assert sentencepiece_codec.coded(documents, model).filter("NOT round_trip").count() == 0
@@ -130,9 +157,9 @@ def test_band_settings_reach_the_recall():
 
 def brute_windows(text, scanner):
     """(template, best containment) over all windows, without bands."""
-    shingles, at = license_scan.shingled(pa.array([text]), scanner.width)
     out = {}
     for c in scanner.classes:
+        shingles, at = license_scan.shingled(pa.array([text]), c.width)
         for name, own in zip(c.names, c.sets, strict=True):
             for start in range(0, len(shingles), c.stride):
                 share = len(np.intersect1d(shingles[start : start + c.blocks * c.stride], own)) / len(own)
@@ -159,6 +186,13 @@ def test_licence_scan(spark, odd, none):
     assert license_scan.scan(odd, TEMPLATES).count() == 0 and license_scan.scan(none, TEMPLATES).count() == 0
 
 
+def test_short_templates_are_found_inside_texts(spark):
+    templates = {"one": "MIT", "three": "Public Domain work", "five": "a b c d e", "none": " . "}
+    rows = [(1, "under the (MIT) licence"), (2, "this is public domain work, MIT"), (3, "public domain"), (4, "mit"), (5, "x a b c d e y"), (6, "a b c d"), (7, None)]
+    got = {(r["doc_id"], r["template"], r["start_word"], r["end_word"]) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), templates).collect()}
+    assert got == {(1, "one", 2, 3), (2, "three", 2, 5), (2, "one", 5, 6), (4, "one", 0, 1), (5, "five", 1, 6)}
+
+
 def test_licences_of_the_table(documents):
     scanner = license_scan.Scanner(TEMPLATES, 5, 0.75, 0.999)
     expected = {(r["doc_id"], k) for r in documents.collect() for k in brute_windows(r["text"], scanner)}
@@ -197,6 +231,35 @@ def test_pages(spark):
     assert len(list(tiff.read_pages(bytes(loop)))) == 1
 
 
+def test_damaged_files_give_rows(spark):
+    """Every single byte of a file changed, cuts at every place, and headers that ask for nothing or for too much."""
+    grid = np.arange(20 * 12, dtype=np.uint8).reshape(20, 12)
+    good = tiff.write_pages([(grid, tiff.LZW, True, None, 7), (grid, tiff.DEFLATE, False, (16, 16), 0), (grid, tiff.PACKBITS, False, None, 20)])
+    rng = random.Random(4)
+    files = [good[:n] for n in range(0, len(good), 7)]
+    for at in range(len(good)):
+        own = bytearray(good)
+        own[at] = rng.choice([0, 255, own[at] ^ 1 << rng.randrange(8)])
+        files.append(bytes(own))
+    wide = good.index(struct.pack("<HHI", 256, 4, 1)) + 8
+    for value in (0, 2**32 - 1, 2**31):
+        own = bytearray(good)
+        own[wide : wide + 4] = struct.pack("<I", value)
+        files.append(bytes(own))
+    bomb = bytearray(tiff.write_pages([(grid, tiff.DEFLATE, False, None, 20)]))
+    files.append(bytes(bomb).replace(tiff.packed(grid.tobytes(), tiff.DEFLATE), tiff.packed(b"\0" * 10_000_000, tiff.DEFLATE)[: len(tiff.packed(grid.tobytes(), tiff.DEFLATE))]))
+    df = spark.createDataFrame(list(enumerate(files)), "doc_id long, content binary").repartition(4)
+    rows = tiff.pages(df).collect()
+    assert {r["doc_id"] for r in rows} == set(range(len(files)))
+    assert all((r["page"] is None) == (r["error"] is not None) for r in rows)
+    assert all(r["error"] for r in rows if r["doc_id"] in range(len(files) - 4, len(files) - 1) and r["page"] is None)
+
+
+def test_decoding_stops_at_the_size_of_the_page():
+    for codec in (tiff.LZW, tiff.DEFLATE, tiff.PACKBITS):
+        assert len(tiff.unpacked(tiff.packed(b"\0" * 30_000_000, codec), codec, 1_000)) < 9_000_000
+
+
 def test_stored_texts(spark, odd, none, documents):
     for docs, rows in ((odd, ODD), (documents, [(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").collect()])):
         expected = []
