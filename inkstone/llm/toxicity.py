@@ -119,7 +119,7 @@ def cross_fitted(doc: np.ndarray, word: np.ndarray, value: np.ndarray, toxic: np
     return out
 
 
-def train(docs: DataFrame, labels: DataFrame, training: Column, label: str = "toxic", grades: int = 3, sample: int = 8_000, words: int = 4_096, least_docs: int = 5, least_z: float = 4.0) -> Severity:
+def train(docs: DataFrame, labels: DataFrame, training: Column, label: str = "toxic", grades: int = 3, sample: int = 8_000, words: int = 65_536, least_docs: int = 5, least_z: float = 3.0) -> Severity:
     chosen = labelled(docs, labels.filter(F.col(label) <= grades), label, sample, training)
     # However many rows have a doc_id, one is learned from. The sample is bounded, and read three times.
     chosen = saved(chosen.groupBy("doc_id", "label").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")), "sample")
