@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 import pandas as pd
@@ -55,8 +56,9 @@ def snippet(text: Column, start: Column, length: Column, around: int = 20) -> Co
 
 
 def slug(name: Column) -> Column:
-    """Lower-case words joined by hyphens, for ids."""
-    return F.lower(F.regexp_replace(F.regexp_replace(name, r"[^\p{L}\p{N}_]+", "-"), "^-+|-+$", ""))
+    """Lower-case words joined by hyphens, for ids; of a name without any, the first 8 hex digits of its hash."""
+    words = F.lower(F.regexp_replace(F.regexp_replace(name, r"[^\p{L}\p{N}_]+", "-"), "^-+|-+$", ""))
+    return F.when(words == "", hash_hex(name, 8)).otherwise(words)
 
 
 def hash_hex(text: Column, length: int = 16) -> Column:
@@ -64,8 +66,12 @@ def hash_hex(text: Column, length: int = 16) -> Column:
 
 
 def json_text(text: Column) -> Column:
-    """A JSON string literal, quotes and backslashes escaped."""
-    return F.concat(F.lit('"'), F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
+    """A JSON string literal: quotes, backslashes and control characters escaped, hex digits in lower case."""
+    got = F.concat(F.lit('"'), F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
+    escaped = got
+    for i in range(32):
+        escaped = F.replace(escaped, F.lit(chr(i)), F.lit(json.dumps(chr(i))[1:-1]))
+    return F.when(got.rlike(r"[\x00-\x1f]"), escaped).otherwise(got)
 
 
 def fingerprint(name: Column, variants: Column) -> Column:
@@ -94,5 +100,20 @@ def first_failure(*rules: tuple[Column, str]) -> Column:
     return F.coalesce(*(F.when(~F.coalesce(ok, F.lit(False)), F.lit(message)) for ok, message in rules))
 
 
+def split_list(text: Column) -> Column:
+    """The trimmed, non-empty parts of a list with commas."""
+    return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
+
+
+def chapter_code(chapter: Column) -> Column:
+    """A chapter's number with two digits at least."""
+    return F.format_string("ch%02d", chapter)
+
+
+def run_id(stage: str, chapter: Column, version: str, at: Column) -> Column:
+    """A run's id, with its start in the session's time zone (UTC)."""
+    return F.concat(F.lit(f"run:{stage}-ch"), chapter.cast("string"), F.lit(f"-{version}-"), F.date_format(at, "yyyyMMdd'T'HHmmss"))
+
+
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)

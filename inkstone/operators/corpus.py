@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
@@ -19,22 +22,16 @@ def insert_absent(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFra
 
 
 def spans(lengths: list[int], target: int, overlap: int) -> list[tuple[int, int]]:
-    """First and last paragraph of each chunk: as many as fit the target with two characters between them, one at least;
-    the next chunk goes back over whole paragraphs until `overlap` characters are repeated."""
-    out, start, n = [], 0, len(lengths)
-    while start < n:
-        end, size = start + 1, lengths[start]
-        while end < n and size + 2 + lengths[end] <= target:
-            size += 2 + lengths[end]
-            end += 1
+    """First and last paragraph of each chunk. With sums of lengths, a chunk's end is the last place at which the sum, two
+    characters between paragraphs included, is within the target; the next one's start is the last place from which
+    `overlap` characters or more are repeated, and at least one paragraph on."""
+    plain = [0, *accumulate(lengths)]
+    spaced = [total + 2 * k for k, total in enumerate(plain)]
+    out, start = [], 0
+    while start < len(lengths):
+        end = max(start + 1, bisect_right(spaced, spaced[start] + target + 2) - 1)
         out.append((start, end - 1))
-        if end == n:
-            break
-        start_next, repeated = end, 0
-        while start_next > start + 1 and repeated < overlap:
-            start_next -= 1
-            repeated += lengths[start_next]
-        start = start_next
+        start = max(start + 1, bisect_right(plain, plain[end] - overlap) - 1) if end < len(lengths) else end
     return out
 
 
@@ -63,29 +60,48 @@ def unchunked(docs: DataFrame, chunked: DataFrame, key: str = "doc_id") -> DataF
     return docs.join(chunked.select(key).distinct(), key, "left_anti")
 
 
-def discover_terms(texts: DataFrame, terms: dict[str, str], place: str, text: str = "text", least: int = 1) -> DataFrame:
-    """For each term of a fixed list: term_id, n (occurrences without overlap) and the sorted distinct places. The terms
-    are an array in the plan; texts without a term make no row."""
+def term_places(texts: DataFrame, terms: dict[str, str], place: str, text: str = "text") -> DataFrame:
+    """term_id, place and n (occurrences without overlap) of each place that has a term of a fixed list, which is an array in
+    the plan."""
     listed = F.array(*(F.struct(F.lit(k).alias("term"), F.lit(v).alias("term_id")) for k, v in terms.items()))
     found = F.filter(F.transform(listed, lambda t: F.struct(t["term_id"].alias("term_id"), count_term(F.col(text), t["term"]).alias("n"))), lambda t: t["n"] > 0)
-    return (
-        texts.select(F.col(place).alias("place"), F.inline(found))
-        .groupBy("term_id", "place")
-        .agg(F.sum("n").alias("n"))
-        .groupBy("term_id")
-        .agg(F.sum("n").alias("n"), F.sort_array(F.collect_set("place")).alias("places"))
-        .filter(F.col("n") >= least)
-    )
+    return texts.select(F.col(place).alias("place"), F.inline(found)).groupBy("term_id", "place").agg(F.sum("n").alias("n"))
+
+
+def discover_terms(texts: DataFrame, terms: dict[str, str], place: str, text: str = "text", least: int = 1) -> DataFrame:
+    """term_id, n, n_places and first_place of each term that occurs `least` times or more. Which places, term_places() says."""
+    got = term_places(texts, terms, place, text).groupBy("term_id").agg(F.sum("n").alias("n"), F.count("*").alias("n_places"), F.min("place").alias("first_place"))
+    return got.filter(F.col("n") >= least)
+
+
+def nfc(text: Column) -> Column:
+    @F.pandas_udf("string")
+    def normal(texts: pd.Series) -> pd.Series:
+        return texts.str.normalize("NFC")
+
+    return normal(text)
+
+
+def nfc_each(texts: Column) -> Column:
+    @F.pandas_udf("array<string>")
+    def normal(lists: pd.Series) -> pd.Series:
+        return lists.map(lambda own: None if own is None else [None if x is None else unicodedata.normalize("NFC", x) for x in own])
+
+    return normal(texts)
+
+
+BEYOND_ASCII = r"[^\x00-\x7F]"
 
 
 def normalised(df: DataFrame, *columns: str) -> DataFrame:
     """The columns in Unicode normal form C. Spark has no such function, so a vectorised one does it, and only for rows
     with characters beyond ASCII."""
-    @F.pandas_udf("string")
-    def nfc(text: pd.Series) -> pd.Series:
-        return text.str.normalize("NFC")
+    return df.withColumns({c: F.when(F.col(c).rlike(BEYOND_ASCII), nfc(F.col(c))).otherwise(F.col(c)) for c in columns})
 
-    return df.withColumns({c: F.when(F.col(c).rlike(r"[^\x00-\x7F]"), nfc(c)).otherwise(F.col(c)) for c in columns})
+
+def normalised_values(values: Column) -> Column:
+    """An array of strings in normal form C."""
+    return F.when(F.exists(values, lambda v: F.coalesce(v.rlike(BEYOND_ASCII), F.lit(False))), nfc_each(values)).otherwise(values)
 
 
 def quote_holds(quote: Column, text: Column) -> Column:
@@ -98,15 +114,74 @@ def justified(justifications: Column, quote: Column) -> Column:
     return F.forall(F.map_values(justifications), lambda v: (F.length(v) > 0) & F.contains(quote, v))
 
 
-def quote_spans(texts: DataFrame, quotes: DataFrame, text: str = "text", quote: str = "quote", every: bool = True) -> DataFrame:
-    """Rows of texts joined with the quotes that they hold, and start and end of each occurrence (or the first). The
-    quotes are a short list, broadcast."""
-    joined = texts.join(F.broadcast(quotes), F.contains(F.col(text), F.col(quote)) & (F.length(quote) > 0))
-    found = find_all(F.col(text), F.col(quote))
-    got = joined.withColumn("start", F.explode(found if every else F.slice(found, 1, 1)))
+def quote_spans(texts: DataFrame, quotes: DataFrame, text: str = "text", quote: str = "quote", every: bool = True, block_chars: int = 2_000_000) -> DataFrame:
+    """Rows of texts joined with the quotes that they hold, and start and end of each occurrence (or the first); empty quotes
+    and nulls occur nowhere.
+
+    One pass over a text finds all quotes of a block at once, by an automaton. The distinct quotes are dealt into blocks of
+    about `block_chars`, each of which, of bounded size, goes to every task; whoever has more quotes passes over the texts once
+    for each block. What is found is joined with the quotes' rows on equality."""
+    distinct = quotes.select(F.col(quote).alias("_quote")).filter("_quote <> ''").distinct()
+    chars = distinct.agg(F.sum(F.length("_quote"))).first()[0] or 0
+    blocks = max(1, -(-chars // block_chars))
+    dealt = distinct.withColumn("_block", F.pmod(F.xxhash64("_quote"), F.lit(blocks)))
+    context = texts.sparkSession.sparkContext
+    found = None
+    for k in range(blocks):
+        shared = context.broadcast(sorted(r[0] for r in dealt.filter(F.col("_block") == k).select("_quote").collect()))
+        own = _occurrences(texts, text, shared, every)
+        found = own if found is None else found.unionByName(own)
+    got = found.join(quotes, F.col("_quote") == F.col(quote)).drop("_quote")
     return got.withColumn("end", F.col("start") + F.length(quote))
 
 
+def _occurrences(texts: DataFrame, text: str, shared, every: bool) -> DataFrame:
+    """texts with _quote and start of each occurrence (or each quote's first) of the shared quotes."""
+
+    def hits(of: pd.Series) -> pd.Series:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for q in shared.value:
+            automaton.add_word(q, q)
+        automaton.make_automaton()
+
+        def one(body: str | None) -> list[dict]:
+            out: dict = {}
+            for end, q in automaton.iter(body) if body and len(automaton) else ():
+                at = end + 1 - len(q)
+                if every:
+                    out[q, at] = at
+                else:
+                    out.setdefault(q, at)
+            return [{"_quote": key[0] if every else key, "start": at} for key, at in out.items()]
+
+        return pd.Series([one(t) for t in of], dtype=object)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = hits(batch.column(batch.schema.get_field_index(text)).to_pandas())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.tolist(), pa.list_(pa.struct([("_quote", pa.string()), ("start", pa.int32())])))], [*batch.schema.names, "_hits"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields)
+    return texts.mapInArrow(run, f"{fields}, _hits array<struct<_quote:string,start:int>>").select(*texts.columns, F.inline("_hits"))
+
+
+def fill_spans(citations: DataFrame, chunks: DataFrame) -> DataFrame:
+    """id and span of the citations whose span is missing and whose quote occurs exactly once in their chunk, and n_found of
+    all that need one. citations: id, chunk_id, span, quote; chunks: id, text."""
+    needed = citations.filter(needs_span(F.col("span"))).select("id", "quote", F.col("chunk_id"))
+    got = needed.join(chunks.select(F.col("id").alias("chunk_id"), "text"), "chunk_id", "left").withColumn("starts", find_all(F.col("text"), F.col("quote")))
+    n = F.coalesce(F.size("starts"), F.lit(0))
+    n = F.when(n < 0, 0).otherwise(n)
+    return got.select("id", F.when(n == 1, F.array(F.col("starts")[0], F.col("starts")[0] + F.length("quote"))).alias("span"), n.alias("n_found"))
+
+
+def needs_span(span: Column) -> Column:
+    """A citation's span that is null, of another length than two, holds a null, or is empty at 0."""
+    return span.isNull() | (F.size(span) != 2) | F.exists(span, lambda x: x.isNull()) | ((F.try_element_at(span, F.lit(1)) == 0) & (F.try_element_at(span, F.lit(2)) == 0))
+
+
 def aligned(text: Column, start: Column, end: Column, quote: Column) -> Column:
     """Whether a span lies in the text and cuts out the quote."""
     return (start >= 0) & (start <= end) & (end <= F.length(text)) & (F.substring(text, start + 1, end - start) == quote)

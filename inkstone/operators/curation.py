@@ -7,12 +7,15 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkstone.operators.corpus import needs_span  # noqa: F401  a rule of the curator's lists, too
+from inkstone.operators.timeline import numbered
+
 
 def open_queue(merge_candidates: DataFrame) -> DataFrame:
     """Open merge candidates, the oldest first, each with its place and the ids before and after it."""
-    order = Window.orderBy("created_at", "id")
-    queue = merge_candidates.filter("status = 'open'")
-    return queue.withColumns({"place": F.row_number().over(order), "previous_id": F.lag("id").over(order), "next_id": F.lead("id").over(order)})
+    queue = numbered(merge_candidates.filter("status = 'open'"), ["created_at", "id"])
+    at = lambda name, by: queue.select((F.col("place") + by).alias("place"), F.col("id").alias(name))
+    return queue.join(at("previous_id", 1), "place", "left").join(at("next_id", -1), "place", "left").select(*merge_candidates.columns, "place", "previous_id", "next_id")
 
 
 def decide(merge_candidates: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -46,6 +49,22 @@ def resolve_date(events: DataFrame, event_id: str, anchor_id: str, later: int) -
     return events.withColumn("year_bce", F.when(own, anchor["year_bce"] - later).otherwise(F.col("year_bce"))).withColumn("relative_anchor_event_id", F.when(own, anchor_id).otherwise(F.col("relative_anchor_event_id")))
 
 
+def resolve_dates(events: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """resolve_date() for many: events (id, year_bce, relative_anchor_event_id) after decisions (event_id, anchor_id, later;
+    one an event), audit entries of what changed, and the refused event_ids (their anchor is undated, unknown or themselves)."""
+    anchors = events.select(F.col("id").alias("anchor_id"), F.col("year_bce").alias("_anchor_year"))
+    judged = decisions.dropDuplicates(["event_id"]).join(anchors, "anchor_id", "left").withColumn("_ok", F.col("_anchor_year").isNotNull() & (F.col("event_id") != F.col("anchor_id")))
+    good = judged.filter("_ok").select(F.col("event_id").alias("id"), F.col("anchor_id").alias("_anchor"), (F.col("_anchor_year") - F.col("later")).alias("_year"))
+    got = events.join(good, "id", "left")
+    json_of = lambda year, anchor: F.to_json(F.struct(year.alias("year_bce"), anchor.alias("relative_anchor_event_id")), {"ignoreNullFields": "false"})
+    audit = got.filter("_anchor IS NOT NULL").select(
+        F.lit("event").alias("entity_kind"), F.col("id").alias("entity_id"), F.lit("date_json").alias("field"), F.lit("curator_override").alias("change_kind"),
+        json_of(F.col("year_bce"), F.col("relative_anchor_event_id")).alias("before_json"), json_of(F.col("_year"), F.col("_anchor")).alias("after_json"),
+    )
+    moved = got.withColumn("year_bce", F.coalesce("_year", "year_bce")).withColumn("relative_anchor_event_id", F.coalesce("_anchor", "relative_anchor_event_id")).select(*events.columns)
+    return moved, audit, judged.filter("NOT _ok").select("event_id")
+
+
 def cache_key(request: dict) -> Column:
     """The hash of a request's JSON with sorted keys."""
     return F.sha2(F.lit(json.dumps(request, sort_keys=True, ensure_ascii=False)), 256)
@@ -62,14 +81,9 @@ def audit_rows(changes: DataFrame) -> DataFrame:
     return changes.withColumn("id", F.concat(F.lit("aud:"), F.substring(F.sha2(content, 256), 1, 16)))
 
 
-def needs_span(span: Column) -> Column:
-    """A citation's span that is null, of another length than two, or empty at 0."""
-    return span.isNull() | (F.size(span) != 2) | F.exists(span, lambda x: x.isNull()) | ((F.try_element_at(span, F.lit(1)) == 0) & (F.try_element_at(span, F.lit(2)) == 0))
-
-
 def replaced_token(identifier: Column, old: str, new: str) -> Column:
-    """A part of composite ids joined by colons, replaced."""
-    return F.when(F.contains(identifier, F.lit(old)), F.replace(identifier, F.lit(old), F.lit(new))).otherwise(identifier)
+    """A part of composite ids joined by colons, replaced; a part is one field or several in a row, never part of a field."""
+    return F.regexp_replace(identifier, rf"(?<=^|:)\Q{old}\E(?=:|$)", new.replace("\\", "\\\\").replace("$", "\\$"))
 
 
 def around(citations: DataFrame, chunks: DataFrame, paragraphs: int = 1) -> DataFrame:

@@ -23,10 +23,11 @@ def confidence(quote: Column, justifications: Column, fields: list[str]) -> Colu
 def deed_importance(participations: DataFrame, citations: DataFrame, weights: dict[str, float] = TYPE_WEIGHTS) -> DataFrame:
     """event_id, person_id, event_type and importance: a type's weight grows with participants and citations, and with the
     rarity of the type among the person's deeds. participations: event_id, person_id, event_type (a row for each role);
-    citations: event_id. Counts are window counts; one row a pair remains."""
-    over = lambda *c: F.count("*").over(Window.partitionBy(*c))
-    got = participations.withColumns({"n_participants": over("event_id"), "n_deeds": over("person_id"), "n_of_type": over("person_id", "event_type")})
-    got = got.dropDuplicates(["event_id", "person_id"]).join(citations.groupBy("event_id").agg(F.count("*").alias("n_citations")), "event_id", "left")
+    citations: event_id. Counts are aggregates, joined back to one row a pair."""
+    pairs = participations.groupBy("event_id", "person_id").agg(F.min("event_type").alias("event_type"))
+    per = lambda name, *keys: participations.groupBy(*keys).agg(F.count("*").alias(name))
+    got = pairs.join(per("n_participants", "event_id"), "event_id").join(per("n_deeds", "person_id"), "person_id").join(per("n_of_type", "person_id", "event_type"), ["person_id", "event_type"])
+    got = got.join(citations.groupBy("event_id").agg(F.count("*").alias("n_citations")), "event_id", "left")
     weight = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for p in weights.items() for x in p)), F.col("event_type")), F.lit(DEFAULT_WEIGHT)) if weights else F.lit(DEFAULT_WEIGHT)
     shared = weight * (1 + F.log1p("n_participants")) * (1 + F.log1p(F.coalesce("n_citations", F.lit(0))))
     salience = 1 + SALIENCE * F.log1p(F.col("n_deeds") / F.col("n_of_type") - 1)
@@ -70,12 +71,13 @@ def multiset_pr(golden: DataFrame, found: DataFrame, key: list[str], by: str | N
     return got.select(*group, "tp", (F.col("n_found") - F.col("tp")).alias("fp"), (F.col("n_golden") - F.col("tp")).alias("fn"), ratio("n_found").alias("precision"), ratio("n_golden").alias("recall"))
 
 
-def greedy_matches(pairs: DataFrame, group: str, golden: str, found: str) -> DataFrame:
+def greedy_matches(pairs: DataFrame, group: str | list[str], golden: str, found: str) -> DataFrame:
     """One-to-one matches of allowed pairs within each group: golden rows in order take the first free row. A group is
-    one chapter's rows of one kind."""
+    one chapter's rows of one kind, a bounded number, as each choice depends on those before."""
     import pandas as pd
 
-    schema = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in (group, golden, found))
+    by = [group] if isinstance(group, str) else group
+    schema = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in (*by, golden, found))
 
     def match(rows: pd.DataFrame) -> pd.DataFrame:
         used, out = set(), []
@@ -83,10 +85,10 @@ def greedy_matches(pairs: DataFrame, group: str, golden: str, found: str) -> Dat
             free = next((f for f in own[found] if f not in used), None)
             if free is not None:
                 used.add(free)
-                out.append((rows[group].iloc[0], g, free))
-        return pd.DataFrame(out, columns=[group, golden, found])
+                out.append((*rows[by].iloc[0], g, free))
+        return pd.DataFrame(out, columns=[*by, golden, found])
 
-    return pairs.groupBy(group).applyInPandas(match, schema)
+    return pairs.select(*by, golden, found).groupBy(*by).applyInPandas(match, schema)
 
 
 def orphans(checks: dict[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFrame:
@@ -99,6 +101,51 @@ def smoke_status(orphan_counts: DataFrame) -> DataFrame:
     return orphan_counts.agg(F.sum("n_orphans").alias("n_orphans")).withColumn("status", F.when(F.col("n_orphans") > 0, "fail").otherwise("pass"))
 
 
+def smoke_check(run: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """One row on a load run: status, failures, warnings, fk_orphans, dates_out_of_range and n_persons. It fails if the run
+    isn't in pipeline_runs (id, stats_json), or if an edge names a person or event that isn't there; it warns of dates out of
+    range (counted in stats_json) and of a run without persons. tables: pipeline_runs, persons (id, run), events,
+    event_participants and person_relations."""
+    ends = {
+        "person_relations.from_person_id": (tables["person_relations"], "from_person_id", tables["persons"], "id"), "person_relations.to_person_id": (tables["person_relations"], "to_person_id", tables["persons"], "id"),
+        "event_participants.event_id": (tables["event_participants"], "event_id", tables["events"], "id"), "event_participants.person_id": (tables["event_participants"], "person_id", tables["persons"], "id"),
+    }
+    lost = orphans(ends).filter("n_orphans > 0").agg(F.sort_array(F.collect_list(F.concat(F.lit("fk_orphan: "), "check", F.lit(" ("), "n_orphans", F.lit(")")))).alias("lost"), F.coalesce(F.sum("n_orphans"), F.lit(0)).alias("fk_orphans"))
+    own = tables["pipeline_runs"].filter(F.col("id") == run).agg(F.count("*").alias("n_runs"), F.coalesce(F.max(F.get_json_object("stats_json", "$.dates_out_of_range").try_cast("int")), F.lit(0)).alias("dates_out_of_range"))
+    people = tables["persons"].filter(F.col("run") == run).agg(F.count("*").alias("n_persons"))
+    got = lost.crossJoin(own).crossJoin(people)  # three single rows
+    gone = F.col("n_runs") == 0
+    failures = F.when(gone, F.array(F.lit("no_pipeline_run"))).otherwise(F.col("lost"))
+    warnings = F.when(gone, F.array().cast("array<string>")).otherwise(F.array_compact(F.array(F.when(F.col("dates_out_of_range") > 0, "dates_out_of_range"), F.when(F.col("n_persons") == 0, "zero_persons"))))
+    return got.select(F.lit(run).alias("run_id"), F.when(F.size(failures) > 0, "fail").otherwise("pass").alias("status"), failures.alias("failures"), warnings.alias("warnings"), "fk_orphans", "dates_out_of_range", "n_persons")
+
+
+def editions(docs: DataFrame, by: str, edition: str) -> DataFrame:
+    """The last edition of each corpus."""
+    return docs.groupBy(by).agg(F.max(edition).alias("edition"))
+
+
+def low_confidence(rows: DataFrame, by: str, confidence: str, below: float = 0.55) -> DataFrame:
+    """Of each group: n_low, the rows of a confidence below a bound, and n."""
+    return rows.groupBy(by).agg(F.sum(F.when(F.col(confidence) < below, 1).otherwise(0)).cast("long").alias("n_low"), F.count("*").alias("n"))
+
+
+def open_counts(conflicts: DataFrame, merge_candidates: DataFrame) -> DataFrame:
+    """what and n: open conflicts and open merge candidates."""
+    n = lambda df, what: df.filter("status = 'open'").agg(F.count("*").alias("n")).select(F.lit(what).alias("what"), "n")
+    return n(conflicts, "conflicts").unionByName(n(merge_candidates, "merge_candidates"))
+
+
+def repeated_keys(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Keys of several rows, and how many."""
+    return rows.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
+
+
+def without(ids: DataFrame, there: DataFrame, key: str) -> DataFrame:
+    """Rows of ids whose key isn't there."""
+    return ids.join(there.select(key), key, "left_anti")
+
+
 def coverage(docs: DataFrame, runs: DataFrame, key: str, started: str, run: str) -> DataFrame:
     """Each document with its latest run, or none."""
     last = runs.groupBy(key).agg(F.max_by(run, F.struct(F.col(started), F.col(run))).alias("latest_run"), F.count("*").alias("n_runs"))
@@ -111,6 +158,6 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def require_all(ids: DataFrame, there: DataFrame, key: str, what: str) -> None:
     """Raises if ids are missing, with their number and three of them."""
-    missing = ids.select(key).distinct().join(there.select(key), key, "left_anti")
+    missing = without(ids.select(key).distinct(), there, key)
     if n := missing.count():
         raise ValueError(f"{n} {what} are missing: {', '.join(str(r[0]) for r in missing.orderBy(key).limit(3).collect())}")

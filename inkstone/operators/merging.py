@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkstone.functions.text import slug
+from inkstone.sources.storage import settled
+
 # Ranks of a date's precision and the confidence margins of the merge rules.
 PRECISION = {"point": 3, "circa": 2, "range": 1}
 MARGIN = 0.1
@@ -36,22 +41,72 @@ def merge_scalar(old: Column, old_confidence: Column, new: Column, new_confidenc
     return tried.when(new_confidence > old_confidence + MARGIN, "set").otherwise(otherwise)
 
 
-def fold_scalars(proposals: DataFrame, keys: list[str], order: list[str], value: str = "value", confidence: str = "confidence") -> DataFrame:
-    """Applies each key's proposals in order, each to the outcome of the ones before: keys, value, confidence (of the
-    winner), n_set and n_conflict. A key's proposals are the runs that mention one field of one entity."""
-    rows = F.sort_array(F.collect_list(F.struct(*order, F.col(value).alias("_value"), F.col(confidence).alias("_confidence"))))
-    kind = proposals.schema[value].dataType.simpleString()
-    start = F.struct(F.lit(None).cast(kind).alias("value"), F.lit(0.0).alias("confidence"), F.lit(0).alias("n_set"), F.lit(0).alias("n_conflict"))
+def _step(a: Column, r: Column, curated: Column, equal: Callable[[Column, Column], Column] | None) -> Column:
+    same = None if equal is None else equal(a["value"], r["value"])
+    return merge_scalar(a["value"], a["confidence"], r["value"], r["confidence"], curated, equal=same)
 
-    def step(a: Column, r: Column) -> Column:
-        action = merge_scalar(a["value"], a["confidence"], r["_value"], r["_confidence"], F.lit(False))
-        won = action == "set"
-        return F.struct(
-            F.when(won, r["_value"]).otherwise(a["value"]).alias("value"), F.when(won, r["_confidence"]).otherwise(a["confidence"]).alias("confidence"),
-            (a["n_set"] + won.cast("int")).alias("n_set"), (a["n_conflict"] + (action == "conflict").cast("int")).alias("n_conflict"),
-        )
 
-    return proposals.groupBy(*keys).agg(F.aggregate(rows, start, step).alias("r")).select(*keys, "r.*")
+def applied(proposals: DataFrame, keys: list[str], order: list[str], start: DataFrame | None = None, equal: Callable[[Column, Column], Column] | None = None, most: int = 1_000) -> DataFrame:
+    """Each proposal (keys, order, value, confidence) with what it does after the ones before it in order: action (keep, set or
+    conflict) and the old_value and old_confidence that it met. start: keys, value, confidence and curated of what was there.
+
+    A key's proposals are folded as one sorted array. A key of more than `most` isn't gathered: as a confidence has to rise by
+    MARGIN to be set, few are, and each turn finds the next one of every such key as a minimum; then each proposal is joined
+    with the value that held at its time."""
+    kind = proposals.schema["value"].dataType.simpleString()
+    if start is None:
+        start = proposals.select(*keys).limit(0).select(*keys, F.lit(None).cast(kind).alias("value"), F.lit(0.0).alias("confidence"), F.lit(False).alias("curated"))
+    begun = start.select(*keys, F.struct("value", F.coalesce("confidence", F.lit(0.0)).alias("confidence")).alias("_start"), F.coalesce("curated", F.lit(False)).alias("_curated"))
+    nothing = F.struct(F.lit(None).cast(kind).alias("value"), F.lit(0.0).alias("confidence"))
+    with_start = lambda df: df.join(begun, keys, "left").withColumn("_start", F.coalesce("_start", nothing)).withColumn("_curated", F.coalesce("_curated", F.lit(False)))
+    rows = proposals.select(*keys, F.struct(*order).alias("pos"), "value", F.col("confidence").cast("double").alias("confidence"))
+    hot = settled(rows.groupBy(*keys).count().filter(F.col("count") > most).select(*keys))
+    few = rows if not hot.limit(1).count() else rows.join(hot, keys, "left_anti")
+
+    def folded(a: Column, r: Column) -> Column:
+        action = _step(a, r, F.col("_curated"), equal)
+        won = action == "set"
+        done = F.struct(r["pos"].alias("pos"), r["value"].alias("value"), r["confidence"].alias("confidence"), action.alias("action"), a["value"].alias("old_value"), a["confidence"].alias("old_confidence"))
+        return F.struct(F.when(won, r["value"]).otherwise(a["value"]).alias("value"), F.when(won, r["confidence"]).otherwise(a["confidence"]).alias("confidence"), F.concat(a["done"], F.array(done)).alias("done"))
+
+    listed = few.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pos", "value", "confidence"))).alias("rows"))
+    done = f"array<struct<pos:{rows.schema['pos'].dataType.simpleString()},value:{kind},confidence:double,action:string,old_value:{kind},old_confidence:double>>"
+    first = F.struct(F.col("_start.value").alias("value"), F.col("_start.confidence").alias("confidence"), F.array().cast(done).alias("done"))
+    got = with_start(listed).select(*keys, F.inline(F.aggregate("rows", first, folded)["done"]))
+    if few is not rows:
+        got = got.unionByName(_applied_hot(with_start(rows.join(hot, keys, "left_semi")), keys, equal))
+    return got.select(*keys, "pos.*", "value", "confidence", "action", "old_value", "old_confidence")
+
+
+def _applied_hot(rows: DataFrame, keys: list[str], equal: Callable[[Column, Column], Column] | None) -> DataFrame:
+    rows = settled(rows)
+    none = F.lit(None).cast(rows.schema["pos"].dataType)
+    state = settled(rows.groupBy(*keys).agg(F.first("_start").alias("held"), F.first("_curated").alias("curated")).withColumn("since", none))
+    history, active = state, rows.drop("_start", "_curated")
+    while True:
+        met = active.join(state, keys).filter((F.col("since").isNull() | (F.col("pos") > F.col("since"))))
+        action = _step(F.col("held"), F.struct("value", "confidence"), F.col("curated"), equal)
+        state = settled(met.filter(action == "set").groupBy(*keys).agg(F.min_by(F.struct("value", "confidence"), "pos").alias("held"), F.first("curated").alias("curated"), F.min("pos").alias("since")))
+        if not state.limit(1).count():
+            break
+        history = history.unionByName(state)
+    until = F.lead("since").over(Window.partitionBy(*keys).orderBy(F.col("since").asc_nulls_first()))  # a row for each value that ever held
+    spans = history.withColumn("until", until)
+    got = rows.drop("_start", "_curated").join(spans, keys).filter((F.col("since").isNull() | (F.col("pos") > F.col("since"))) & (F.col("until").isNull() | (F.col("pos") <= F.col("until"))))
+    return got.select(*keys, "pos", "value", "confidence", _step(F.col("held"), F.struct("value", "confidence"), F.col("curated"), equal).alias("action"), F.col("held.value").alias("old_value"), F.col("held.confidence").alias("old_confidence"))
+
+
+def outcome(labelled: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """keys, value, confidence (of the last proposal that was set, or null), n_set and n_conflict, of applied()'s rows."""
+    n = lambda action: F.sum((F.col("action") == action).cast("int")).cast("int")
+    last = F.max(F.when(F.col("action") == "set", F.struct(*order, "value", "confidence")))
+    return labelled.groupBy(*keys).agg(last.alias("_last"), n("set").alias("n_set"), n("conflict").alias("n_conflict")).select(*keys, "_last.value", F.coalesce("_last.confidence", F.lit(0.0)).alias("confidence"), "n_set", "n_conflict")
+
+
+def fold_scalars(proposals: DataFrame, keys: list[str], order: list[str], value: str = "value", confidence: str = "confidence", most: int = 1_000) -> DataFrame:
+    """Applies each key's proposals in order, each to the outcome of the ones before: keys, value, confidence (of the
+    winner), n_set and n_conflict. A key's proposals are the runs that mention one field of one entity."""
+    return outcome(applied(proposals.select(*keys, *order, F.col(value).alias("value"), F.col(confidence).alias("confidence")), keys, order, most=most), keys, order)
 
 
 def retarget(edges: DataFrame, remap: DataFrame, column: str, key: list[str], confidence: str = "confidence", order: list[str] | None = None) -> DataFrame:
@@ -97,11 +152,16 @@ def conflict_rows(merged: DataFrame) -> DataFrame:
 def load_by_name(existing: DataFrame, incoming: DataFrame, fields: list[str], prefix: str, edges: bool = False) -> DataFrame:
     """Places and states: rows match by name; matched ones take each field by merge_scalar without conflicts, others are
     new with an id from the name. existing: id, name, confidence, fields; incoming: name, confidence, seq, fields."""
-    from inkstone.functions.text import slug
-
-    one = latest(incoming, ["name"], ["confidence", "seq"])
+    one = latest(incoming, ["name"], ["confidence", "seq"]).select("name", "confidence", *fields)
     both = existing.select("id", "name", F.col("confidence").alias("_old"), *(F.col(f).alias(f"_{f}") for f in fields)).join(one, "name", "full")
-    out = [F.coalesce("id", F.concat(F.lit(prefix), slug(F.col("name")))).alias("id"), "name"]
+    both = both.withColumn("_slug", F.concat(F.lit(prefix), slug(F.col("name"))))
+    taken = existing.select(F.col("id").alias("_slug"), F.lit(True).alias("_taken")).distinct()
+    first = both.filter("id IS NULL").groupBy("_slug").agg(F.min("name").alias("_first"))
+    both = both.join(taken, "_slug", "left").join(first, "_slug", "left")
+    # Of several new names with one slug the least has it; the others, and all if it is taken, get a hash behind it.
+    plain = F.col("_taken").isNull() & (F.col("name") == F.col("_first"))
+    made = F.when(plain, F.col("_slug")).otherwise(F.concat("_slug", F.lit("-"), F.substring(F.sha2("name", 256), 1, 6)))
+    out = [F.coalesce("id", made).alias("id"), "name"]
     for f in fields:
         action = merge_scalar(F.col(f"_{f}"), F.col("_old"), F.col(f), F.col("confidence"), F.lit(False), conflicts=False)
         out.append(F.when(F.col("id").isNull(), F.col(f)).when(F.col("confidence").isNotNull() & (action == "set"), F.col(f)).otherwise(F.col(f"_{f}")).alias(f))
@@ -136,6 +196,88 @@ def accept_merge(pair: tuple[str, str], persons: DataFrame, variants: DataFrame,
     return {"persons": filled, "variants": named} | {name: retarget(table, remap, column, key) for name, (table, column, key) in edges.items()}
 
 
+# What a curator may edit when merging, and what is filled from the merged person.
+EDITABLE = ("gender", "birth_date_json", "death_date_json", "notes", "state_id", "clan_name", "canonical_name")
+FILLED = ("gender", "birth_date_json", "death_date_json", "notes", "state_id", "clan_name")
+#: Tables of edges: their person columns and their key.
+PERSON_EDGES = {
+    "event_participants": (("person_id",), ("event_id", "person_id", "role")),
+    "person_relations": (("from_person_id", "to_person_id"), ("from_person_id", "to_person_id", "kind")),
+    "person_states": (("person_id",), ("person_id", "state_id", "role", "from_date_json")),
+}
+
+
+def accept_merges(accepted: DataFrame, tables: dict[str, DataFrame], edits: DataFrame | None = None) -> dict[str, DataFrame]:
+    """New versions of tables after the accepted merge candidates (mc_id, the columns of none else needed), all at once.
+
+    tables: merge_candidates (id, target_id, candidate_id, status), persons, person_variants, entity_citations, and the tables
+    of PERSON_EDGES, whichever there are; edits: mc_id, field, value of the surviving person, made before anything else.
+    Gives these tables, `audit_log` (rows to append: edit, merge, merge_collision_resolved) and `refused` (mc_id, reason).
+
+    Refused are candidates that aren't open, name unknown persons, share a person with another accepted one, edit a field that
+    isn't in EDITABLE, or would overwrite a field of FILLED that is set otherwise. Else the surviving person's null fields are
+    filled, the other's variants and edges become its own, of two edges of one key the one of higher confidence stays (ties:
+    the survivor's), edges between the two go, and the other person goes."""
+    people, queue = tables["persons"], tables["merge_candidates"]
+    pair = accepted.select("mc_id").distinct().join(queue.select(F.col("id").alias("mc_id"), F.col("target_id").alias("into"), F.col("candidate_id").alias("out"), "status"), "mc_id", "left")
+    edits = edits if edits is not None else accepted.limit(0).select("mc_id", F.lit("").alias("field"), F.lit("").alias("value"))
+    edits = edits.join(accepted.select("mc_id").distinct(), "mc_id", "left_semi")
+    barred = edits.filter(~F.col("field").isin(*EDITABLE)).groupBy("mc_id").agg(F.min("field").alias("barred"))
+    ends = pair.select("mc_id", F.explode(F.array("into", "out")).alias("id"))
+    shared = ends.join(ends.groupBy("id").count().filter("count > 1"), "id").select("mc_id").distinct().withColumn("shared", F.lit(True))
+    wide = edits.filter(F.col("field").isin(*EDITABLE)).groupBy("mc_id").pivot("field", list(EDITABLE)).agg(F.max("value"))
+    person = lambda k: people.select(F.struct(*people.columns).alias(k))
+    got = pair.join(person("a"), F.col("into") == F.col("a.id"), "left").join(person("b"), F.col("out") == F.col("b.id"), "left").join(barred, "mc_id", "left").join(shared, "mc_id", "left").join(wide, "mc_id", "left")
+    fields = [f for f in EDITABLE if f in people.columns]
+    after = {f: F.coalesce(F.col(f).cast(people.schema[f].dataType), F.col(f"a.{f}")) for f in fields}
+    differ = F.concat_ws(", ", *(F.when(after[f] != F.col(f"b.{f}"), f) for f in fields if f in FILLED))
+    reason = (
+        F.when(F.col("status").isNull(), "no such merge candidate").when(F.col("status") != "open", F.concat(F.lit("status is "), "status"))
+        .when(F.col("a").isNull() | F.col("b").isNull(), "no such person").when(F.col("shared"), "shares a person with another merge")
+        .when(F.col("barred").isNotNull(), F.concat(F.lit("may not be edited: "), "barred")).when(differ != "", F.concat(F.lit("fields differ: "), differ))
+    )
+    judged = settled(got.select("mc_id", "into", "out", "a", "b", reason.alias("reason"), F.struct(*(after[f].alias(f) for f in fields)).alias("edited")))
+    good = judged.filter("reason IS NULL")
+    remap = good.select(F.col("out").alias("old_id"), F.col("into").alias("new_id"))
+
+    set_to = good.select(F.col("into").alias("id"), *(F.coalesce(F.col(f"edited.{f}"), F.col(f"b.{f}") if f in FILLED else F.lit(None)).alias(f"_{f}") for f in fields), F.lit(True).alias("_set"))
+    persons = people.join(remap, F.col("id") == F.col("old_id"), "left_anti").join(set_to, "id", "left")
+    persons = persons.select(*(F.when(F.col("_set"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in fields else F.col(c) for c in people.columns))
+
+    out = {"persons": persons, "merge_candidates": queue.join(good.select(F.col("mc_id").alias("id"), F.lit(True).alias("_done")), "id", "left").withColumn("status", F.when(F.col("_done"), "merged").otherwise(F.col("status"))).select(*queue.columns)}
+    entry = lambda kind, entity, change, before, later, field=None: [F.lit(kind).alias("entity_kind"), entity.alias("entity_id"), F.lit(field).cast("string").alias("field") if field is None else field.alias("field"), F.lit(change).alias("change_kind"), before.alias("before_json"), later.alias("after_json")]
+    nothing = F.lit(None).cast("string")
+    valued = lambda c: F.to_json(F.struct(c.alias("value"), F.lit(1.0).alias("confidence")), {"ignoreNullFields": "false"})
+    changed = edits.join(good, "mc_id")
+    was = F.coalesce(*(F.when(F.col("field") == f, F.col(f"a.{f}").cast("string")) for f in fields))
+    audit = changed.select(*entry("person", F.col("into"), "edit", valued(was), valued(F.col("value")), F.col("field")))
+    audit = audit.unionByName(good.select(*entry("person", F.col("into"), "merge", F.to_json("b"), F.to_json("edited"))))
+    if "person_variants" in tables:
+        own = tables["person_variants"]
+        moved = own.join(remap, F.col("person_id") == F.col("old_id"), "left").withColumn("person_id", F.coalesce("new_id", "person_id")).select(*own.columns)
+        out["person_variants"] = moved.dropDuplicates(["person_id", "variant", "kind"])
+    if "entity_citations" in tables:
+        own = tables["entity_citations"]
+        is_person = F.col("entity_kind") == "person"
+        moved = own.join(remap, is_person & (F.col("entity_id") == F.col("old_id")), "left").withColumn("entity_id", F.coalesce("new_id", "entity_id")).select(*own.columns)
+        out["entity_citations"] = moved.dropDuplicates(["entity_kind", "entity_id", "citation_id"])
+    for name, (columns, key) in PERSON_EDGES.items():
+        if name not in tables:
+            continue
+        own = tables[name]
+        moved = own.withColumn("_row", F.struct(*own.columns)).withColumn("_moved", F.lit(False))
+        for c in columns:
+            ids = remap.select(F.col("old_id").alias(c), F.col("new_id").alias("_new"))
+            moved = moved.join(ids, c, "left").withColumn("_moved", F.col("_moved") | F.col("_new").isNotNull()).withColumn(c, F.coalesce("_new", c)).drop("_new")
+        looped = F.col("_moved") & F.col(columns[0]).eqNullSafe(F.col(columns[-1])) if len(columns) == 2 else F.lit(False)
+        place = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("confidence"), "_moved", *(f"_row.{k}" for k in key)))
+        moved = moved.withColumn("_place", place).withColumn("_gone", looped | ((F.col("_place") > 1) & F.max("_moved").over(Window.partitionBy(*key))))
+        out[name] = moved.filter("NOT _gone").select(*own.columns)
+        gone = moved.filter("_gone").select(*entry(name[:-1], F.concat_ws(":", *(F.coalesce(F.col(f"_row.{k}").cast("string"), F.lit("null")) for k in key)), "merge_collision_resolved", F.to_json("_row"), nothing))
+        audit = audit.unionByName(gone)
+    return out | {"audit_log": audit, "refused": judged.filter("reason IS NOT NULL").select("mc_id", "reason")}
+
+
 def split_person(persons: DataFrame, variants: DataFrame, person: str, new_id: str, new_name: str, peeled: list[str]) -> tuple[DataFrame, DataFrame]:
     """A new person with some of another's variants; relations stay. A variant that isn't there raises."""
     held = {r["variant"] for r in variants.filter(F.col("person_id") == person).filter(F.col("variant").isin(peeled)).select("variant").collect()}

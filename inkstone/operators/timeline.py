@@ -37,6 +37,17 @@ def anchor_terminals(records: DataFrame, key: str, anchor: str) -> DataFrame:
     return links.select("id").join(found, "id", "left").withColumnRenamed("id", key)
 
 
+def numbered(rows: DataFrame, order: list[str], name: str = "place") -> DataFrame:
+    """rows with their number, from 1, in one order over all of them. Tasks sort ranges of the order and number their own; how
+    many rows the ranges before have is added."""
+    ranges = settled(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    counts = ranges.groupBy("_range").count()  # a row for each task
+    before = counts.select("_range", (F.sum("count").over(Window.orderBy("_range")) - F.col("count")).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranges.withColumn(name, own).join(F.broadcast(before), "_range").withColumn(name, (F.col(name) + F.col("_before")).cast("int")).drop("_range", "_before")
+
+
 def ranked(rows: DataFrame, partition: list[str], order: list, name: str = "place", first: int | None = None) -> DataFrame:
+    """rows with their number within each partition; numbered() is for one order over all rows."""
     got = rows.withColumn(name, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)))
     return got if first is None else got.filter(F.col(name) <= first)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkstone.functions.text import any_of, first_failure, last_segment, slug
-from inkstone.operators.corpus import justified, normalised
+from inkstone.operators.corpus import normalised, normalised_values
 
 # How a date may have been inferred, and the enumerations of extracted rows.
 INFERENCE_KINDS = ("explicit_reign_zhou", "explicit_reign_lu", "relative_to_prior_event", "era_only", "unknown")
@@ -20,12 +20,13 @@ def check_records(records: DataFrame, chunks: DataFrame, declared: DataFrame, ki
     that fails, or null. chunks: id, text; declared: run, local_id of every record of the extraction. Quotes, texts and
     justifications compare in normal form C."""
     texts = normalised(chunks.select(F.col("id").alias("chunk_id"), F.col("text").alias("_text")), "_text")
-    got = normalised(records, "quote").join(texts, "chunk_id", "left")
+    own = records.withColumn("_quote", F.col("quote")).withColumn("_why", normalised_values(F.map_values("justifications")))
+    got = normalised(own, "_quote").join(texts, "chunk_id", "left")
     rules: list[tuple[Column, str]] = [
         (F.col("_text").isNotNull(), "unknown chunk_id"),
         (F.length("quote") > 0, "citation.quote is empty"),
-        (F.contains(F.col("_text"), F.col("quote")), "quote is not in its chunk"),
-        (F.col("justifications").isNull() | justified(F.col("justifications"), F.col("quote")), "a justification is empty or not in the quote"),
+        (F.contains(F.col("_text"), F.col("_quote")), "quote is not in its chunk"),
+        (F.col("_why").isNull() | F.forall("_why", lambda v: (F.length(v) > 0) & F.contains(F.col("_quote"), v)), "a justification is empty or not in the quote"),
     ]
     for d in (d for d in DATE_FIELDS if d in records.columns):
         kind = F.col(f"{d}.inference_kind")
@@ -42,6 +43,32 @@ def check_relations(relations: DataFrame, chunks: DataFrame) -> DataFrame:
     return relations.join(known, "chunk_id", "left").withColumn("violation", F.when(F.col("_known").isNull(), F.concat(F.lit("relation/"), "kind", F.lit(": unknown chunk_id")))).select(*relations.columns, "violation")
 
 
+def check_relation_quotes(relations: DataFrame, chunks: DataFrame) -> DataFrame:
+    """relations (kind, chunk_id, quote) with `violation`: unknown chunk, empty quote, quote not in its chunk, or null."""
+    texts = normalised(chunks.select(F.col("id").alias("chunk_id"), F.col("text").alias("_text")), "_text")
+    got = normalised(relations.withColumn("_quote", F.col("quote")), "_quote").join(texts, "chunk_id", "left")
+    rules = (F.col("_text").isNotNull(), "unknown chunk_id"), (F.length("quote") > 0, "citation.quote is empty"), (F.contains(F.col("_text"), F.col("_quote")), "quote is not in its chunk")
+    return got.withColumn("violation", F.concat(F.lit("relation/"), "kind", F.lit(": "), first_failure(*rules))).select(*relations.columns, "violation")
+
+
+def unknown_properties(rows: DataFrame, key: str, body: str, allowed: tuple[str, ...]) -> DataFrame:
+    """key, field and rule of the properties of JSON objects that aren't allowed; malformed JSON is one broken rule."""
+    names = F.json_object_keys(body)
+    other = F.when(names.isNull(), F.array(F.lit(""))).otherwise(F.array_except(names, F.array(*map(F.lit, allowed))))
+    return rows.select(key, names.isNull().alias("_bad"), F.explode(other).alias("field")).select(key, "field", F.when(F.col("_bad"), "object").otherwise("closed").alias("rule"))
+
+
+def preflight(parts: dict[str, tuple[DataFrame, dict]], relations: DataFrame, chunks: DataFrame, declared: DataFrame) -> DataFrame:
+    """kind, id and error of everything that is wrong with extracted rows: schema rules, then record rules, then the quotes of
+    relations. parts: rows and schema_violations()'s rules by kind."""
+    out = check_relation_quotes(relations, chunks).filter("violation IS NOT NULL").select(F.lit("relation").alias("kind"), F.col("kind").alias("id"), F.col("violation").alias("error"))
+    for kind, (rows, rules) in parts.items():
+        broken = schema_violations(rows, "id", **rules).select(F.lit(kind).alias("kind"), "id", F.concat(F.lit("schema: "), "field", F.lit(": "), "rule").alias("error"))
+        wrong = check_records(rows, chunks, declared).filter("violation IS NOT NULL").select(F.lit(kind).alias("kind"), "id", F.col("violation").alias("error"))
+        out = out.unionByName(broken).unionByName(wrong)
+    return out
+
+
 def schema_violations(rows: DataFrame, key: str, required: tuple[str, ...] = (), enums: dict[str, tuple[str, ...]] | None = None, patterns: dict[str, str] | None = None, least: dict[str, float] | None = None) -> DataFrame:
     """key, field and rule of every broken rule, a row each."""
     checks = [(c, "required", F.col(c).isNull()) for c in required]

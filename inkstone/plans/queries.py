@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from inkstone.functions import reign_dates as dates
 from inkstone.functions import text
-from inkstone.operators import corpus, evaluation, linking, merging, timeline
-from inkstone.sources.storage import read
+from inkstone.operators import articles, corpus, curation, evaluation, golden, linking, loading, merging, timeline, validation
+from inkstone.sources.storage import read, settled
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,19 +57,19 @@ TERMS = {"the": "en:the", "and": "en:and", "tion": "x:tion", "que": "x:que", "de
 @query(f"""SELECT term_id, sum((length(text) - length(replace(text, term, ''))) // length(term))::BIGINT AS n, count(*) AS n_docs, min(doc_id) AS first_doc
 FROM documents, (VALUES {", ".join(f"('{k}', '{v}')" for k, v in TERMS.items())}) AS x(term, term_id) WHERE contains(text, term) GROUP BY term_id""")
 def term_discovery(t) -> DataFrame:
-    return corpus.discover_terms(t("documents"), TERMS, "doc_id").select("term_id", "n", F.size("places").cast("long").alias("n_docs"), F.col("places")[0].alias("first_doc"))
+    return corpus.discover_terms(t("documents"), TERMS, "doc_id").select("term_id", "n", F.col("n_places").alias("n_docs"), F.col("first_place").alias("first_doc"))
 
 
 @query("SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(nfc_normalize(d.text), nfc_normalize(b.text)) WHERE length(b.text) > 0")
 def verbatim_contains(t) -> DataFrame:
     docs, quotes = corpus.normalised(t("documents"), "text"), corpus.normalised(t("benchmark"), "text").withColumnRenamed("text", "quote")
-    return docs.join(F.broadcast(quotes), corpus.quote_holds(F.col("quote"), F.col("text"))).select("doc_id", "item_id")
+    return corpus.quote_spans(docs.select("doc_id", "text"), quotes, every=False).select("doc_id", "item_id")
 
 
 @query("""SELECT doc_id, item_id, i::INT AS "start", (i + length(q))::INT AS "end" FROM (SELECT d.doc_id, b.item_id, b.text AS q, d.text AS body, unnest(range(0, length(d.text))) AS i
 FROM documents d JOIN benchmark b ON contains(d.text, b.text) AND length(b.text) > 0) WHERE substr(body, i + 1, length(q)) = q""")
 def find_spans(t) -> DataFrame:
-    return corpus.quote_spans(t("documents"), t("benchmark").select("item_id", F.col("text").alias("quote"))).select("doc_id", "item_id", "start", "end")
+    return corpus.quote_spans(t("documents").select("doc_id", "text"), t("benchmark").select("item_id", F.col("text").alias("quote"))).select("doc_id", "item_id", "start", "end")
 
 
 @query("""SELECT doc_id, length(body)::BIGINT AS n_chars, substr(sha256(body), 1, 16) AS hash FROM (SELECT doc_id, string_agg('## ' || s || '-' || (e - 1) || chr(10) || chr(10) || '```' || chr(10) || body || chr(10) || '```', chr(10) || chr(10) ORDER BY s) AS body FROM chunked GROUP BY doc_id)""".join([CHUNKS_SQL, ""]))
@@ -103,7 +103,7 @@ def record_confidence(t) -> DataFrame:
 
 @query("SELECT lang, max(source) AS edition FROM documents GROUP BY lang")
 def edition_max(t) -> DataFrame:
-    return t("documents").groupBy("lang").agg(F.max("source").alias("edition"))
+    return evaluation.editions(t("documents"), "lang", "source")
 
 
 @query("SELECT d.doc_id, l.quality AS latest_run, l.quality IS NOT NULL AS extracted, CASE WHEN l.doc_id IS NULL THEN 0 ELSE 1 END::BIGINT AS n_runs FROM documents d LEFT JOIN labels l USING (doc_id)")
@@ -161,14 +161,44 @@ def link_score(t) -> DataFrame:
     return linking.scored_pairs(linking.candidate_pairs(cand, canon), cand, canon)
 
 
-@query(PEOPLE_SQL + """SELECT c.id AS cand, b.target, b.score100, CASE WHEN b.target IS NULL THEN 'skip' WHEN b.score100 >= 70 THEN 'auto' WHEN b.score100 < 40 THEN 'skip' WHEN b.kind_rank = 0 AND EXISTS (SELECT 1 FROM supplier WHERE s_acctbal < 0 AND 'per:' || s_suppkey = b.target) THEN 'rejected'
-WHEN b.kind_rank = 0 AND EXISTS (SELECT 1 FROM supplier WHERE 'per:' || s_suppkey = b.target AND 'cand:' || s_suppkey = c.id) THEN 'already_open' ELSE 'queue' END AS action FROM cand c LEFT JOIN best b ON b.cand = c.id""")
-def link_dispatch(t) -> DataFrame:
+DISPATCH_SQL = PEOPLE_SQL.replace("WITH cand", "WITH RECURSIVE cand", 1) + """, marks AS (SELECT id, substr(sha1('{"name": "' || canonical_name || '", "variants": ["' || variants[1] || '"]}'), 1, 16) AS fingerprint FROM cand),
+merged AS (SELECT cand, target, row_number() OVER (ORDER BY cand) AS k FROM best WHERE kind_rank = 1 AND score100 >= 70 AND target > cand),
+walk AS (SELECT 0::BIGINT AS k, []::VARCHAR[] AS skipped UNION ALL SELECT m.k, CASE WHEN list_contains(w.skipped, m.cand) THEN w.skipped ELSE list_append(w.skipped, m.target) END FROM walk w JOIN merged m ON m.k = w.k + 1),
+gone AS (SELECT DISTINCT unnest(skipped) AS id FROM (SELECT skipped FROM walk ORDER BY k DESC LIMIT 1)),
+rejected AS (SELECT DISTINCT 'per:' || s_suppkey AS target, fingerprint FROM supplier JOIN customer ON c_nationkey = s_nationkey AND s_acctbal < 2000 JOIN marks ON id = 'cand:' || c_custkey),
+actions AS (SELECT c.id AS cand, b.target, b.score100, CASE WHEN b.target IS NULL OR g.id IS NOT NULL THEN 'skip' WHEN b.score100 >= 70 THEN 'auto' WHEN b.score100 < 40 THEN 'skip' WHEN b.kind_rank = 0 AND r.target IS NOT NULL THEN 'rejected'
+WHEN b.kind_rank = 0 AND EXISTS (SELECT 1 FROM supplier WHERE 'per:' || s_suppkey = b.target AND 'cand:' || s_suppkey = c.id) THEN 'already_open' ELSE 'queue' END AS action
+FROM cand c LEFT JOIN best b ON b.cand = c.id LEFT JOIN gone g ON g.id = c.id LEFT JOIN marks m ON m.id = c.id LEFT JOIN rejected r ON r.target = b.target AND r.fingerprint = m.fingerprint)
+"""
+
+
+def _dispatched(t) -> tuple[DataFrame, DataFrame]:
     cand, canon = _people(t)
-    best = linking.best_target(linking.scored_pairs(linking.candidate_pairs(cand, canon), cand, canon))
-    rejected = best.join(t("supplier").filter("s_acctbal < 0").select(F.concat(F.lit("per:"), "s_suppkey").alias("target")), "target").select("target", F.col("cand").alias("fingerprint"))
+    best = settled(linking.best_target(linking.scored_pairs(linking.candidate_pairs(cand, canon), cand, canon)))
+    marked = cand.withColumn("fingerprint", text.fingerprint(F.col("canonical_name"), F.col("variants")))
+    of = t("customer").select(F.concat(F.lit("cand:"), "c_custkey").alias("id"), "c_nationkey").join(marked.select("id", "fingerprint"), "id")
+    rejected = t("supplier").filter("s_acctbal < 2000").join(of, F.col("s_nationkey") == F.col("c_nationkey")).select(F.concat(F.lit("per:"), "s_suppkey").alias("target"), "fingerprint")
     opened = t("supplier").select(F.concat(F.lit("per:"), "s_suppkey").alias("target"), F.concat(F.lit("cand:"), "s_suppkey").alias("cand"))
-    return linking.dispatch(cand.withColumn("fingerprint", F.col("id")), best, rejected, opened)
+    return linking.dispatch(marked, best, rejected, opened, linking.skipped_siblings(best)), best
+
+
+@query(DISPATCH_SQL + "SELECT cand, target, score100, action FROM actions")
+def link_dispatch(t) -> DataFrame:
+    return _dispatched(t)[0]
+
+
+@query(DISPATCH_SQL + """SELECT count(*) AS candidates_processed, count(*) FILTER (action = 'auto') AS auto_merges, count(*) FILTER (action = 'queue') AS queued, count(*) FILTER (action = 'skip') AS skipped, count(*) FILTER (action = 'rejected') AS rejected_filter_skipped, count(*) FILTER (action = 'already_open') AS already_open_skipped FROM actions""")
+def link_stats(t) -> DataFrame:
+    return linking.link_stats(_dispatched(t)[0])
+
+
+@query(DISPATCH_SQL + """SELECT CASE action WHEN 'auto' THEN 'audit_log' ELSE 'merge_candidates' END AS table_name, CASE action WHEN 'auto' THEN 'aud:' ELSE 'mc:' END || substr(sha256('run-1|' || a.cand || '|' || a.target), 1, 12) AS id, a.cand AS candidate_id, a.target AS target_id, a.score100 / 100.0::DOUBLE AS score, b.overlap FROM actions a JOIN best b ON b.cand = a.cand WHERE action IN ('auto', 'queue')""")
+def link_writes(t) -> DataFrame:
+    actions, best = _dispatched(t)
+    out = linking.link_writes(actions, best, "run-1", F.lit("2026-01-01").cast("timestamp"))
+    of = lambda c, path: F.get_json_object(c, f"$.{path}")
+    audit = out["audit_log"].select(F.lit("audit_log").alias("table_name"), "id", F.col("entity_id").alias("candidate_id"), of("after_json", "value").alias("target_id"), of("after_json", "score").cast("double").alias("score"), of("after_json", "features.overlap").alias("overlap"))
+    return audit.unionByName(out["merge_candidates"].select(F.lit("merge_candidates").alias("table_name"), "id", "candidate_id", "target_id", "score", of("surface_features_json", "features.overlap").alias("overlap")))
 
 
 @query("""SELECT c_custkey, substr(sha1('{"name": "' || c_name || '", "variants": [' || array_to_string(list_transform(list_sort(list_distinct([c_mktsegment, right(c_name, 3), c_mktsegment])), lambda x: '"' || x || '"'), ', ') || ']}'), 1, 16) AS fingerprint FROM customer""")
@@ -202,13 +232,26 @@ def field_history(t) -> DataFrame:
     return merging.field_history(log).select("entity_id", "field", "seq", "before_value", "after_value", "change")
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' AND g > 0 AND o_orderstatus = 'O' THEN a + off WHEN o_orderstatus = 'F' THEN year(o_orderdate) END::INT AS resolved_year FROM (SELECT *, first_value(CASE WHEN o_orderstatus = 'F' THEN year(o_orderdate) END) OVER x AS a, sum(CASE WHEN o_orderstatus = 'O' THEN -1 ELSE 0 END) OVER x AS off
-FROM (SELECT *, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS g FROM orders) WINDOW x AS (PARTITION BY o_custkey, g ORDER BY o_orderdate, o_orderkey))""")
+WORDS_SQL = "CASE o_orderkey % 9 " + " ".join(f"WHEN {k} THEN {n}" for k, n in enumerate(dates.OFFSETS.values())) + " WHEN 7 THEN 0 END"
+
+
+@query(f"""SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN year(o_orderdate) WHEN g > 0 AND own IS NOT NULL THEN a + off END::INT AS resolved_year FROM (SELECT *, first_value(CASE WHEN o_orderstatus = 'F' THEN year(o_orderdate) END) OVER x AS a, sum(CASE WHEN o_orderstatus <> 'F' THEN coalesce(own, 0) ELSE 0 END) OVER x AS off
+FROM (SELECT *, {WORDS_SQL} AS own, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS g FROM orders) WINDOW x AS (PARTITION BY o_custkey, g ORDER BY o_orderdate, o_orderkey))""")
 def relative_dates(t) -> DataFrame:
-    o = t("orders").withColumns({"is_relative": F.col("o_orderstatus") != "F", "year_bce": F.when(F.col("o_orderstatus") == "F", F.year("o_orderdate")), "offset": dates.walk_offset(F.when(F.col("o_orderstatus") == "O", "明年").otherwise("不明"))})
+    """Every relative word, a note in brackets, and a text that isn't known, among dated records."""
+    said = F.element_at(F.array(*(F.lit(w) for w in [*dates.OFFSETS, "(千亩之后)", "不明"])), (F.col("o_orderkey") % 9 + 1).cast("int"))
+    o = t("orders").withColumns({"is_relative": F.col("o_orderstatus") != "F", "year_bce": F.when(F.col("o_orderstatus") == "F", F.year("o_orderdate")), "offset": dates.walk_offset(said)})
     return timeline.walk_relative(o, ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_orderkey", F.col("resolved_year").cast("int").alias("resolved_year"))
 
 
+@query(f"""SELECT o_orderkey, CASE WHEN o_orderkey % 9 < 7 AND o_custkey % 4 > 0 THEN year(o_orderdate) + {WORDS_SQL} END::INT AS year_bce, CASE WHEN o_orderkey % 9 < 7 AND o_custkey % 4 > 0 THEN 'relative_to_prior_event' ELSE 'unknown' END AS inference_kind FROM orders""")
+def anchored_dates(t) -> DataFrame:
+    """Dates that are a relative word, with an anchor's year that may be missing."""
+    said = F.element_at(F.array(*(F.lit(w) for w in [*dates.OFFSETS, "(千亩之后)", "不明"])), (F.col("o_orderkey") % 9 + 1).cast("int"))
+    anchor = F.when(F.col("o_custkey") % 4 > 0, F.year("o_orderdate"))
+    return t("orders").select("o_orderkey", dates.parse_date(said, anchor, F.lit("春秋")).alias("d")).select("o_orderkey", "d.year_bce", "d.inference_kind")
+
+
 def _numeral(n: Column) -> Column:
     digits = F.array(*(F.lit(c) for c in ["", *"一二三四五六七八九"]))
     tens, ones = F.floor(n / 10).cast("int"), (n % 10).cast("int")
@@ -298,16 +341,17 @@ def qa_mismatch(t) -> DataFrame:
 @query("""SELECT sum(least(g, c))::BIGINT AS tp, (sum(c) - sum(least(g, c)))::BIGINT AS fp, (sum(g) - sum(least(g, c)))::BIGINT AS fn, round(sum(least(g, c)) / sum(c), 6)::DOUBLE AS "precision", round(sum(least(g, c)) / sum(g), 6)::DOUBLE AS recall FROM (SELECT coalesce(g, 0) AS g, coalesce(c, 0) AS c
 FROM (SELECT c_nationkey AS k, c_acctbal > 5000 AS rich, count(*) AS g FROM customer GROUP BY ALL) a FULL JOIN (SELECT s_nationkey AS k, s_acctbal > 5000 AS rich, count(*) AS c FROM supplier GROUP BY ALL) b USING (k, rich))""")
 def golden_pr(t) -> DataFrame:
-    golden = t("customer").select(F.col("c_nationkey").alias("k"), (F.col("c_acctbal") > 5000).alias("rich"))
+    known = t("customer").select(F.col("c_nationkey").alias("k"), (F.col("c_acctbal") > 5000).alias("rich"))
     found = t("supplier").select(F.col("s_nationkey").alias("k"), (F.col("s_acctbal") > 5000).alias("rich"))
-    return evaluation.multiset_pr(golden, found, ["k", "rich"])
+    return evaluation.multiset_pr(known, found, ["k", "rich"])
 
 
 @query("""SELECT a.event_id AS golden_id, count(*) AS n_matches, min(b.event_id) AS first_match FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = 'purchase' AND b.event_type = 'click' AND abs(date_diff('day', a.ts::DATE, b.ts::DATE)) <= 1 GROUP BY 1""")
 def event_match(t) -> DataFrame:
     e = t("events")
-    side = lambda kind, own: e.filter(F.col("event_type") == kind).select("user_id", F.col("event_id").alias(own), F.to_date("ts").alias(f"{own}_day"))
-    return side("purchase", "golden_id").join(side("click", "found_id"), "user_id").filter(F.abs(F.datediff("golden_id_day", "found_id_day")) <= 1).groupBy("golden_id").agg(F.count("*").alias("n_matches"), F.min("found_id").alias("first_match"))
+    side = lambda kind: e.filter(F.col("event_type") == kind).select(F.col("event_id").alias("id"), "user_id", F.unix_date(F.to_date("ts")).alias("day"))
+    pairs = golden.near_pairs(side("purchase"), side("click"), ["user_id"], "day", 1)
+    return pairs.groupBy(F.col("g").alias("golden_id")).agg(F.count("*").alias("n_matches"), F.min("c").alias("first_match"))
 
 
 @query("""SELECT 'lineitem-orders' AS "check", count(*) AS n_orphans FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey) UNION ALL SELECT 'orders-customer', count(*) FROM orders WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)
@@ -323,13 +367,13 @@ def smoke_status(t) -> DataFrame:
 
 @query("SELECT p_partkey, p_name FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity > 45)")
 def missing_citations(t) -> DataFrame:
-    return t("part").join(t("lineitem").filter("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey")), "p_partkey", "left_anti").select("p_partkey", "p_name")
+    return evaluation.without(t("part"), t("lineitem").filter("l_quantity > 45").withColumnRenamed("l_partkey", "p_partkey"), "p_partkey").select("p_partkey", "p_name")
 
 
 @query("SELECT event_id, user_id, row_number() OVER (ORDER BY event_id)::INT AS place FROM events WHERE event_type = 'error' AND json_extract_string(props, '$.k')::INT IS NOT NULL AND json_extract_string(props, '$.year_bce') IS NULL")
 def unresolved_dates(t) -> DataFrame:
     open_ = t("events").filter((F.col("event_type") == "error") & text.json_int(F.col("props"), "$.k").isNotNull() & text.json_int(F.col("props"), "$.year_bce").isNull())
-    return timeline.ranked(open_, [], ["event_id"]).select("event_id", "user_id", "place")
+    return timeline.numbered(open_, ["event_id"]).select("event_id", "user_id", "place")
 
 
 @query("""WITH RECURSIVE w AS (SELECT s_suppkey, s_suppkey AS here, 0 AS depth FROM supplier UNION ALL SELECT w.s_suppkey, w.here // 3, depth + 1 FROM w WHERE w.here // 3 > 0) SELECT s_suppkey, here AS terminal, depth FROM w WHERE here // 3 = 0""")
@@ -357,14 +401,303 @@ def export_counts(t) -> DataFrame:
 
 @query("SELECT o_custkey, o_orderstatus, count(*) AS n FROM orders GROUP BY ALL HAVING count(*) > 1")
 def key_violations(t) -> DataFrame:
-    return t("orders").groupBy("o_custkey", "o_orderstatus").agg(F.count("*").alias("n")).filter("n > 1")
+    return evaluation.repeated_keys(t("orders"), ["o_custkey", "o_orderstatus"])
 
 
 @query("SELECT event_type, count(*) FILTER (value < 20) AS n_low, count(*) AS n FROM events GROUP BY 1")
 def low_confidence(t) -> DataFrame:
-    return t("events").groupBy("event_type").agg(F.coalesce(F.sum((F.col("value") < 20).cast("long")), F.lit(0)).alias("n_low"), F.count("*").alias("n"))
+    return evaluation.low_confidence(t("events"), "event_type", "value", 20)
 
 
-@query("SELECT event_id, props = '{\"k\": ' || json_extract_string(props, '$.k') || '}' OR json_extract_string(props, '$.k') IS NOT NULL AS same FROM events")
+@query("""SELECT event_id, CASE event_id % 6 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN false WHEN 3 THEN false WHEN 4 THEN true ELSE false END AS same FROM events""")
 def json_equality(t) -> DataFrame:
-    return t("events").select("event_id", text.json_equal(F.col("props"), F.concat(F.lit('{"k":'), F.get_json_object("props", "$.k"), F.lit("}"))).alias("same"))
+    """By event_id % 6: the same with other white space; keys in another order; another number; a text for the number; equal
+    malformed texts; different malformed texts."""
+    k = F.get_json_object("props", "$.k")
+    one = lambda *parts: F.concat(*(p if isinstance(p, Column) else F.lit(p) for p in parts))
+    pairs = [
+        (F.col("props"), one('{"k":   ', k, "}")), (one('{"a": [1, null], "k": ', k, "}"), one('{"k": ', k, ', "a": [1,null]}')), (F.col("props"), one('{"k": ', (k.cast("int") + 1).cast("string"), "}")),
+        (F.col("props"), one('{"k": "', k, '"}')), (one("{", k), one("{", k)), (one("{", k), one("{", k, " ")),
+    ]
+    pick = lambda side: F.element_at(F.array(*(p[side] for p in pairs)), (F.col("event_id") % 6 + 1).cast("int"))
+    return t("events").select("event_id", text.json_equal(pick(0), pick(1)).alias("same"))
+
+
+# ---------------------------------------------------------------- loading and merging of records
+
+PERSONS_SQL = """WITH RECURSIVE pe AS (SELECT 'per:' || s_suppkey AS id, 'Name ' || s_suppkey AS canonical_name, 'sta:' || s_nationkey AS state_id, NULL::VARCHAR AS clan_name, CASE WHEN s_acctbal > 3000 THEN 'noble' END AS social_category, 0.5::DOUBLE AS confidence, CASE WHEN s_suppkey % 4 = 0 THEN 'curated' ELSE 'auto' END AS provenance FROM supplier),
+ca AS (SELECT 'cand:' || c_custkey AS id, 'Name ' || c_custkey % 40 AS canonical_name, 'sta:' || c_nationkey AS state_id, CASE WHEN c_custkey % 7 > 0 THEN c_mktsegment END AS clan_name, CASE WHEN c_acctbal > 0 THEN 'noble' ELSE 'commoner' END AS social_category, (c_custkey % 10) / 10.0::DOUBLE AS confidence FROM customer),
+own AS (SELECT ca.*, coalesce(pe.id, 'per:name-' || substr(ca.canonical_name, 6) || '-' || substr(sha256(ca.canonical_name), 1, 6)) AS entity, pe.id IS NULL AND row_number() OVER (PARTITION BY ca.canonical_name ORDER BY ca.id) = 1 AS maker FROM ca LEFT JOIN pe USING (canonical_name)),
+everyone AS (SELECT id, canonical_name, state_id, clan_name, social_category, confidence, provenance FROM pe UNION ALL SELECT entity, canonical_name, state_id, clan_name, social_category, confidence, 'auto' FROM own WHERE maker),
+s AS (SELECT id AS entity, provenance = 'curated' AS curated, confidence AS c, unnest(['state_id', 'clan_name', 'social_category']) AS field, unnest([state_id, clan_name, social_category]) AS v FROM everyone),
+p AS (SELECT entity, field, v, c, row_number() OVER (PARTITION BY entity, field ORDER BY id) AS k FROM (SELECT entity, id, confidence AS c, unnest(['state_id', 'clan_name', 'social_category']) AS field, unnest([state_id, clan_name, social_category]) AS v FROM own WHERE NOT maker) WHERE v IS NOT NULL),
+w AS (SELECT entity, field, curated, 0::BIGINT AS k, v, c, 0 AS n_set, 0 AS n_conflict FROM s UNION ALL SELECT w.entity, w.field, w.curated, p.k, CASE WHEN x THEN p.v ELSE w.v END, CASE WHEN x THEN p.c ELSE w.c END, w.n_set + x::INT, w.n_conflict + (NOT x AND w.v IS NOT NULL AND w.v <> p.v)::INT
+FROM (SELECT w.*, p.k AS pk, w.v IS NULL OR (w.v <> p.v AND NOT w.curated AND p.c > w.c + 0.1::DOUBLE) AS x FROM w JOIN p ON p.entity = w.entity AND p.field = w.field AND p.k = w.k + 1) w JOIN p ON p.entity = w.entity AND p.field = w.field AND p.k = w.pk),
+f AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY entity, field ORDER BY k DESC) = 1)
+"""
+
+
+@query(PERSONS_SQL + """SELECT id, canonical_name, max(CASE WHEN field = 'state_id' THEN v END) AS state_id, max(CASE WHEN field = 'clan_name' THEN v END) AS clan_name, max(CASE WHEN field = 'social_category' THEN v END) AS social_category, confidence, provenance, sum(n_set)::BIGINT AS n_set, sum(n_conflict)::BIGINT AS n_conflict, (SELECT count(*) FROM own WHERE own.entity = e.id) AS n_candidates
+FROM everyone e JOIN f ON f.entity = e.id GROUP BY id, canonical_name, confidence, provenance""")
+def load_persons(t) -> DataFrame:
+    """Candidates of persons by name: new persons, merged fields, and how many audit entries and conflicts each has."""
+    none = F.lit(None).cast("string")
+    others = [none.alias(f) for f in loading.PERSON_FIELDS if f not in ("state_id", "clan_name", "social_category")]
+    persons = t("supplier").select(F.concat(F.lit("per:"), "s_suppkey").alias("id"), F.concat(F.lit("Name "), "s_suppkey").alias("canonical_name"), F.concat(F.lit("sta:"), "s_nationkey").alias("state_id"), none.alias("clan_name"), F.when(F.col("s_acctbal") > 3000, "noble").alias("social_category"), *others, F.lit(0.5).alias("confidence"), F.when(F.col("s_suppkey") % 4 == 0, "curated").otherwise("auto").alias("provenance"))
+    candidates = t("customer").select(
+        F.concat(F.lit("cand:"), "c_custkey").alias("id"), F.concat(F.lit("Name "), F.col("c_custkey") % 40).alias("canonical_name"), F.concat(F.lit("sta:"), "c_nationkey").alias("state_id"), F.when(F.col("c_custkey") % 7 > 0, F.col("c_mktsegment")).alias("clan_name"),
+        F.when(F.col("c_acctbal") > 0, "noble").otherwise("commoner").alias("social_category"), *others, ((F.col("c_custkey") % 10) / 10.0).alias("confidence"), none.alias("variants_json"), F.concat(F.lit("chk:"), "c_custkey").alias("chunk_id"), none.alias("match_target_id"),
+    )
+    empty = lambda schema: persons.sparkSession.createDataFrame([], schema)
+    tables = {"persons": persons, "person_variants": empty("id string, person_id string, variant string, kind string"), "entity_citations": empty("entity_kind string, entity_id string, citation_id string"), "audit_log": empty("entity_kind string, entity_id string, field string, after_json string, at timestamp, seq long")}
+    got = loading.load_persons(candidates, tables, "run-1")
+    count = lambda df, key, name: df.groupBy(F.col(key).alias("id")).agg(F.count("*").alias(name))
+    n = [count(got["audit_log"].filter("change_kind = 'set'"), "entity_id", "n_set"), count(got["conflicts"], "entity_id", "n_conflict"), count(got["entity_citations"], "entity_id", "n_candidates")]
+    out = got["persons"].select("id", "canonical_name", "state_id", "clan_name", "social_category", "confidence", "provenance")
+    for df in n:
+        out = out.join(df, "id", "left")
+    return out.fillna(0, ["n_set", "n_conflict", "n_candidates"])
+
+
+EVENTS_SQL = """WITH RECURSIVE ev AS (SELECT 'evt:' || lower(ty) || '-' || y || '-1' AS id, ty AS type, y, 'pla:1' AS place, 0.6::DOUBLE AS confidence, 'old' AS outcome, 'circa' AS u FROM (SELECT unnest(['F', 'O']) AS ty), (SELECT unnest(range(1992, 1996)) AS y)),
+ca AS (SELECT 'cand:' || o_orderkey AS id, o_orderstatus AS type, year(o_orderdate) AS y, CASE WHEN o_custkey % 5 > 0 THEN 'pla:' || o_custkey % 5 END AS place, (o_orderkey % 10) / 10.0::DOUBLE AS confidence, o_orderpriority AS outcome, ['point', 'circa', 'range'][1 + o_custkey % 3] AS u FROM orders),
+fresh AS (SELECT DISTINCT type, y, place FROM ca WHERE NOT EXISTS (SELECT 1 FROM ev WHERE ev.type = ca.type AND ev.y = ca.y AND ev.place IS NOT DISTINCT FROM ca.place)),
+named AS (SELECT *, dense_rank() OVER (PARTITION BY type, y ORDER BY place NULLS FIRST) + coalesce((SELECT max(1) FROM ev WHERE ev.type = fresh.type AND ev.y = fresh.y), 0) AS n FROM fresh),
+own AS (SELECT ca.*, coalesce(ev.id, 'evt:' || lower(ca.type) || '-' || ca.y || CASE WHEN n > 1 THEN '-' || n ELSE '' END) AS entity, ev.id IS NULL AND row_number() OVER (PARTITION BY ca.type, ca.y, ca.place ORDER BY ca.id) = 1 AS maker FROM ca LEFT JOIN ev ON ev.type = ca.type AND ev.y = ca.y AND ev.place IS NOT DISTINCT FROM ca.place LEFT JOIN named ON named.type = ca.type AND named.y = ca.y AND named.place IS NOT DISTINCT FROM ca.place),
+every AS (SELECT id, type, y, place, confidence, outcome, u FROM ev UNION ALL SELECT entity, type, y, place, confidence, outcome, u FROM own WHERE maker),
+p AS (SELECT entity, outcome AS v, u, CASE u WHEN 'point' THEN 3 WHEN 'circa' THEN 2 ELSE 1 END AS r, confidence AS c, row_number() OVER (PARTITION BY entity ORDER BY id) AS k FROM own WHERE NOT maker),
+w AS (SELECT id AS entity, confidence AS row_c, 0::BIGINT AS k, outcome AS v, confidence AS c, u, CASE u WHEN 'point' THEN 3 WHEN 'circa' THEN 2 ELSE 1 END AS r, 0 AS n_conflict FROM every UNION ALL
+SELECT w.entity, w.row_c, p.k, CASE WHEN w.v <> p.v AND p.c > w.c + 0.1::DOUBLE THEN p.v ELSE w.v END, CASE WHEN w.v <> p.v AND p.c > w.c + 0.1::DOUBLE THEN p.c ELSE w.c END,
+ CASE WHEN p.r > w.r AND p.c >= w.row_c - 0.1::DOUBLE THEN p.u WHEN w.r > p.r AND w.row_c >= p.c - 0.1::DOUBLE THEN w.u WHEN p.c > w.row_c THEN p.u ELSE w.u END, CASE WHEN p.r > w.r AND p.c >= w.row_c - 0.1::DOUBLE THEN p.r WHEN w.r > p.r AND w.row_c >= p.c - 0.1::DOUBLE THEN w.r WHEN p.c > w.row_c THEN p.r ELSE w.r END,
+ w.n_conflict + (w.v <> p.v AND NOT p.c > w.c + 0.1::DOUBLE)::INT FROM w JOIN p ON p.entity = w.entity AND p.k = w.k + 1)
+SELECT e.id, e.type, e.y::INT AS year_bce, e.place AS primary_place_id, f.v AS outcome, f.u AS uncertainty, f.n_conflict::BIGINT AS n_conflict FROM every e JOIN (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY entity ORDER BY k DESC) = 1) f ON f.entity = e.id"""
+
+
+@query(EVENTS_SQL)
+def load_events(t) -> DataFrame:
+    """Candidates of events by type, year and place: new ids, merged outcomes, and dates by precision and confidence."""
+    none = F.lit(None).cast("string")
+    date = lambda year, u: F.to_json(F.struct(year.cast("int").alias("year_bce"), u.alias("uncertainty")))
+    o = t("orders")
+    kinds = o.select(F.explode(F.array(F.lit("F"), F.lit("O"))).alias("type")).distinct()
+    events = kinds.select("type", F.explode(F.sequence(F.lit(1992), F.lit(1995))).alias("y")).select(
+        F.concat(F.lit("evt:"), F.lower("type"), F.lit("-"), "y", F.lit("-1")).alias("id"), "type", F.lit("old").alias("outcome"), none.alias("summary"), F.lit("pla:1").alias("primary_place_id"), date(F.col("y"), F.lit("circa")).alias("date_json"), F.lit(0.6).alias("confidence"), F.lit("auto").alias("provenance"),
+    )
+    said = F.element_at(F.array(*map(F.lit, ("point", "circa", "range"))), (F.col("o_custkey") % 3 + 1).cast("int"))
+    candidates = o.select(
+        F.concat(F.lit("cand:"), "o_orderkey").alias("id"), F.col("o_orderstatus").alias("type"), F.col("o_orderpriority").alias("outcome"), none.alias("summary"), F.when(F.col("o_custkey") % 5 > 0, F.concat(F.lit("pla:"), F.col("o_custkey") % 5)).alias("primary_place_id"),
+        date(F.year("o_orderdate"), said).alias("date_json"), ((F.col("o_orderkey") % 10) / 10.0).alias("confidence"), F.lit("chk:1").alias("chunk_id"),
+    )
+    empty = lambda schema: o.sparkSession.createDataFrame([], schema)
+    got = loading.load_events(candidates, {"events": events, "entity_citations": empty("entity_kind string, entity_id string, citation_id string"), "audit_log": empty("entity_kind string, entity_id string, field string, after_json string, at timestamp, seq long")}, "run-1")
+    n = got["conflicts"].groupBy(F.col("entity_id").alias("id")).agg(F.count("*").alias("n_conflict"))
+    out = got["events"].select("id", "type", text.json_int(F.col("date_json"), "$.year_bce").alias("year_bce"), "primary_place_id", "outcome", F.get_json_object("date_json", "$.uncertainty").alias("uncertainty"))
+    return out.join(n, "id", "left").fillna(0, ["n_conflict"])
+
+
+@query("""WITH c AS (SELECT CASE WHEN o_custkey % 11 > 0 THEN 'per:' || o_custkey % 25 END AS a, 'per:' || o_orderkey % 23 AS b, CASE o_orderpriority WHEN '1-URGENT' THEN 'parent' WHEN '2-HIGH' THEN 'ally' WHEN '3-MEDIUM' THEN 'ruler' ELSE 'stranger' END AS kind, o_orderkey AS seq FROM orders),
+k AS (SELECT DISTINCT 'per:' || s_nationkey AS a, 'per:' || s_suppkey % 25 AS b, CASE s_suppkey % 2 WHEN 0 THEN 'parent' ELSE 'ally' END AS kind FROM supplier), g AS (SELECT a, b, kind, min(seq) AS seq FROM c WHERE a IS NOT NULL AND kind <> 'stranger' GROUP BY a, b, kind),
+fresh AS (SELECT * FROM g WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.a = g.a AND k.b = g.b AND k.kind = g.kind))
+SELECT 'person_relations' AS table_name, a || ':' || b || ':' || kind AS id FROM fresh UNION ALL SELECT 'audit_log', a || ':' || b || ':' || kind FROM fresh UNION ALL SELECT 'entity_citations', a || ':' || b || ':' || kind FROM g
+UNION ALL SELECT 'conflicts', b || ':' || a || ':' || kind FROM fresh f WHERE kind IN ('parent', 'ruler') AND (EXISTS (SELECT 1 FROM k WHERE k.a = f.b AND k.b = f.a AND k.kind = f.kind) OR EXISTS (SELECT 1 FROM fresh e WHERE e.a = f.b AND e.b = f.a AND e.kind = f.kind AND e.seq < f.seq))""")
+def load_relations(t) -> DataFrame:
+    """Candidates of relations of two persons: appended edges, their audit entries and citations, and conflicts of direction."""
+    person = lambda c, n: F.concat(F.lit("per:"), F.col(c) % n)
+    kind = F.when(F.col("o_orderpriority") == "1-URGENT", "parent").when(F.col("o_orderpriority") == "2-HIGH", "ally").when(F.col("o_orderpriority") == "3-MEDIUM", "ruler").otherwise("stranger")
+    candidates = t("orders").select(F.when(F.col("o_custkey") % 11 > 0, person("o_custkey", 25)).alias("from_person_id"), person("o_orderkey", 23).alias("to_person_id"), kind.alias("kind"), F.lit(None).cast("string").alias("date_json"), F.col("o_orderkey").alias("seq"))
+    known = t("supplier").select(F.concat(F.lit("per:"), "s_nationkey").alias("from_person_id"), person("s_suppkey", 25).alias("to_person_id"), F.when(F.col("s_suppkey") % 2 == 0, "parent").otherwise("ally").alias("kind")).distinct()
+    empty = known.sparkSession.createDataFrame([], "entity_kind string, entity_id string, citation_id string")
+    got = loading.load_relations("person_relations", candidates, {"person_relations": known, "entity_citations": empty}, "run-1")
+    out = got["person_relations"].select(F.lit("person_relations").alias("table_name"), F.concat_ws(":", "from_person_id", "to_person_id", "kind").alias("id"))
+    for name in ("audit_log", "entity_citations", "conflicts"):
+        out = out.unionByName(got[name].select(F.lit(name).alias("table_name"), F.col("entity_id").alias("id")))
+    return out
+
+
+@query("""WITH pe AS (SELECT 'per:' || c_custkey AS id, CASE WHEN c_custkey % 3 > 0 THEN 'sta:' || c_nationkey % 2 END AS state_id, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS clan_name FROM customer),
+mc AS (SELECT 'mc:' || c_custkey AS mc_id, 'per:' || c_custkey - 1 AS into_id, 'per:' || c_custkey AS out_id, CASE WHEN c_custkey % 40 = 0 THEN 'rejected' ELSE 'open' END AS status FROM customer WHERE c_custkey % 10 = 0),
+ok AS (SELECT mc_id, into_id, out_id FROM mc JOIN pe a ON a.id = into_id JOIN pe b ON b.id = out_id WHERE status = 'open' AND NOT coalesce(a.state_id <> b.state_id, false) AND NOT coalesce(a.clan_name <> b.clan_name, false)),
+ed AS (SELECT DISTINCT 'evt:' || o_orderkey % 50 AS event_id, 'per:' || o_custkey AS person_id, o_orderstatus AS role, max(o_totalprice) AS confidence FROM orders GROUP BY ALL),
+mv AS (SELECT event_id, coalesce(into_id, person_id) AS person_id, role, confidence, out_id IS NOT NULL AS moved, person_id AS was FROM ed LEFT JOIN ok ON out_id = person_id), pl AS (SELECT *, row_number() OVER (PARTITION BY event_id, person_id, role ORDER BY confidence DESC, moved, event_id, was, role) AS n FROM mv)
+SELECT 'persons' AS table_name, p.id, coalesce(p.state_id, b.state_id, '-') || ' ' || coalesce(p.clan_name, b.clan_name, '-') AS "value" FROM pe p LEFT JOIN ok ON ok.into_id = p.id LEFT JOIN pe b ON b.id = ok.out_id WHERE NOT EXISTS (SELECT 1 FROM ok o WHERE o.out_id = p.id)
+UNION ALL SELECT 'merge_candidates', mc.mc_id, CASE WHEN ok.mc_id IS NULL THEN mc.status ELSE 'merged' END FROM mc LEFT JOIN ok ON ok.mc_id = mc.mc_id
+UNION ALL SELECT 'event_participants', event_id || ':' || person_id || ':' || role, round(confidence, 2)::DOUBLE::VARCHAR FROM pl WHERE n = 1
+UNION ALL SELECT 'audit_log', event_id || ':' || was || ':' || role, 'merge_collision_resolved' FROM pl WHERE n > 1 UNION ALL SELECT 'audit_log', into_id, 'merge' FROM ok
+UNION ALL SELECT 'refused', mc_id, CASE WHEN mc.status <> 'open' THEN 'status is ' || mc.status WHEN a.id IS NULL OR b.id IS NULL THEN 'no such person' ELSE 'fields differ: ' || concat_ws(', ', CASE WHEN a.state_id <> b.state_id THEN 'state_id' END, CASE WHEN a.clan_name <> b.clan_name THEN 'clan_name' END) END FROM mc LEFT JOIN pe a ON a.id = into_id LEFT JOIN pe b ON b.id = out_id WHERE NOT EXISTS (SELECT 1 FROM ok WHERE ok.mc_id = mc.mc_id)""")
+def accept_merges(t) -> DataFrame:
+    """Merges of neighbouring persons: filled fields, moved edges of which the better one stays, statuses, audit entries, refusals."""
+    person = lambda c: F.concat(F.lit("per:"), c)
+    c = t("customer")
+    persons = c.select(person(F.col("c_custkey")).alias("id"), F.when(F.col("c_custkey") % 3 > 0, F.concat(F.lit("sta:"), F.col("c_nationkey") % 2)).alias("state_id"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).alias("clan_name"))
+    queue = c.filter("c_custkey % 10 = 0").select(F.concat(F.lit("mc:"), "c_custkey").alias("id"), person(F.col("c_custkey") - 1).alias("target_id"), person(F.col("c_custkey")).alias("candidate_id"), F.when(F.col("c_custkey") % 40 == 0, "rejected").otherwise("open").alias("status"))
+    edges = t("orders").groupBy(F.concat(F.lit("evt:"), F.col("o_orderkey") % 50).alias("event_id"), person(F.col("o_custkey")).alias("person_id"), F.col("o_orderstatus").alias("role")).agg(F.max("o_totalprice").alias("confidence"))
+    got = merging.accept_merges(queue.select(F.col("id").alias("mc_id")), {"persons": persons, "merge_candidates": queue, "event_participants": edges})
+    row = lambda name, key, value: got[name].select(F.lit(name).alias("table_name"), key.alias("id"), value.alias("value"))
+    dash = lambda c: F.coalesce(F.col(c), F.lit("-"))
+    out = row("persons", F.col("id"), F.concat_ws(" ", dash("state_id"), dash("clan_name"))).unionByName(row("merge_candidates", F.col("id"), F.col("status")))
+    out = out.unionByName(row("event_participants", F.concat_ws(":", "event_id", "person_id", "role"), F.round("confidence", 2).cast("string")))
+    return out.unionByName(row("audit_log", F.col("entity_id"), F.col("change_kind"))).unionByName(row("refused", F.col("mc_id"), F.col("reason")))
+
+
+# ---------------------------------------------------------------- rules, identities and golden pairs
+
+
+@query("""WITH c AS (SELECT doc_id, doc_id % 7 AS k, text FROM documents WHERE length(text) > 20), r AS (SELECT doc_id, k, CASE k WHEN 0 THEN '' WHEN 1 THEN substr(text, 3, 12) || chr(1) ELSE substr(text, 3, 12) END AS quote, text FROM c)
+SELECT doc_id::VARCHAR AS id, CASE WHEN k = 2 THEN 'unknown chunk_id' WHEN k = 0 THEN 'citation.quote is empty' WHEN k = 1 THEN 'quote is not in its chunk' WHEN k = 3 THEN 'a justification is empty or not in the quote' WHEN k = 4 THEN 'date.inference_kind is not allowed' WHEN k = 5 AND doc_id % 2 = 1 THEN 'state_id is not declared' END AS violation FROM r""")
+def check_records(t) -> DataFrame:
+    """By doc_id % 7 a record breaks the rule on its quote, chunk, justification, date or reference, or none."""
+    docs = t("documents").filter("length(text) > 20").select("doc_id", (F.col("doc_id") % 7).alias("k"), "text")
+    own = F.substring("text", 3, 12)
+    k = F.col("k")
+    records = docs.select(
+        F.col("doc_id").cast("string").alias("id"), F.lit("r").alias("run"), F.when(k == 2, "none").otherwise(F.col("doc_id").cast("string")).alias("chunk_id"), F.when(k == 0, "").when(k == 1, F.concat(own, F.lit("\u0001"))).otherwise(own).alias("quote"),
+        F.when(k == 3, F.create_map(F.lit("name"), F.lit("\u0002"))).otherwise(F.create_map(F.lit("name"), F.substring("text", 4, 2))).alias("justifications"), F.struct(F.when(k == 4, "guess").otherwise("unknown").alias("inference_kind")).alias("date"),
+        F.when(k == 5, F.concat(F.lit("s"), F.col("doc_id") % 2)).alias("state_id"),
+    )
+    declared = docs.select(F.lit("r").alias("run"), F.lit("s0").alias("local_id")).limit(1)
+    chunks = docs.select(F.col("doc_id").cast("string").alias("id"), "text")
+    return validation.check_records(records, chunks, declared).select("id", "violation")
+
+
+@query("""SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 4 = 3 THEN 'per:' || o_custkey WHEN o_custkey % 2 = 0 AND EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey) AND o_orderkey % 4 < 3 THEN 'per:c' || o_custkey END AS person_id FROM orders""")
+def resolve_ids(t) -> DataFrame:
+    """Local, candidate and canonical ids of persons; every second local id is unknown."""
+    own = F.concat(F.lit("p"), "o_custkey")
+    edges = t("orders").select("o_orderkey", "o_custkey", F.lit("r").alias("run"), F.when(F.col("o_orderkey") % 4 == 3, F.concat(F.lit("per:"), "o_custkey")).when(F.col("o_orderkey") % 4 == 2, F.concat(F.lit("cand:per:r:"), own)).otherwise(own).alias("person_id"))
+    ids = t("customer").filter("c_custkey % 2 = 0").select(F.lit("r").alias("run"), F.concat(F.lit("p"), "c_custkey").alias("local_id"), F.concat(F.lit("per:c"), "c_custkey").alias("id"))
+    return validation.resolve_ids(edges, "person_id", ids).select("o_orderkey", "o_custkey", "person_id")
+
+
+RULERS_SQL = "(SELECT DISTINCT n_nationkey, '公' || chr(24000 + n_nationkey) AS posthumous, chr(24100 + n_nationkey % 20) AS given, 700 - 10 * n_nationkey AS first_year, 690 - 10 * n_nationkey AS last_year, n_nationkey % 3 AS s FROM nation)"
+
+
+@query(f"""WITH r AS {RULERS_SQL}, alias AS (SELECT s, n_nationkey, first_year, last_year, unnest(list_distinct([posthumous, given])) AS name FROM r), one AS (SELECT s, name, min(first_year) AS first_year, min(last_year) AS last_year FROM alias GROUP BY s, name HAVING count(DISTINCT n_nationkey) = 1),
+d AS (SELECT p_partkey, p_partkey % 3 AS s, CASE p_partkey % 2 WHEN 0 THEN '公' || chr((24000 + p_partkey % 25)::INT) ELSE chr((24100 + p_partkey % 20)::INT) END AS name, 1 + p_size % 19 AS n FROM part)
+SELECT p_partkey, (first_year - (n - 1))::INT AS reign_year, first_year - (n - 1) < last_year AS reign_out_of_range FROM d LEFT JOIN one USING (s, name)""")
+def other_reigns(t) -> DataFrame:
+    """Years of reigns of other states' rulers by posthumous and given names, of which some are no ruler's or several's."""
+    states = [s for s in dates.STATES if dates.STATES[s] in ("sta:jin", "sta:qi", "sta:chu")]
+    char = lambda base, n: F.element_at(F.array(*(F.lit(chr(base + i)) for i in range(25))), (n + 1).cast("int"))
+    of = lambda names, n: F.element_at(F.array(*map(F.lit, names)), (n + 1).cast("int"))
+    rulers = t("nation").select(
+        of([dates.STATES[s] for s in states], F.col("n_nationkey") % 3).alias("state_id"), F.concat(F.lit("ruler"), "n_nationkey").alias("ruler_id"), F.concat(F.lit("公"), char(24000, F.col("n_nationkey"))).alias("posthumous_name"), char(24100, F.col("n_nationkey") % 20).alias("given_name"),
+        (700 - 10 * F.col("n_nationkey")).alias("reign_start_bce"), (690 - 10 * F.col("n_nationkey")).alias("reign_end_bce"),
+    ).distinct()
+    k = F.col("p_partkey")
+    name = F.when(k % 2 == 0, F.concat(F.lit("公"), char(24000, k % 25))).otherwise(char(24100, k % 20))
+    said = t("part").select("p_partkey", F.concat(of(states, k % 3), name, _numeral(1 + F.col("p_size") % 19), F.lit("年")).alias("original"))
+    return dates.other_reigns(said, rulers).select("p_partkey", "reign_year", "reign_out_of_range")
+
+
+@query("""WITH a AS (SELECT c_custkey AS g, 'x' || c_custkey % 60 AS n1, 'x' || c_custkey % 7 AS n2, CASE WHEN c_custkey % 3 > 0 THEN c_nationkey END AS st FROM customer), b AS (SELECT s_suppkey AS c, 'x' || s_suppkey % 60 AS n, CASE WHEN s_suppkey % 2 > 0 THEN s_nationkey END AS st FROM supplier)
+SELECT g, c FROM a JOIN b ON (a.n1 = b.n OR a.n2 = b.n) AND (a.st IS NULL OR b.st IS NULL OR a.st = b.st)""")
+def person_pairs(t) -> DataFrame:
+    name = lambda c, n: F.concat(F.lit("x"), F.col(c) % n)
+    state = lambda c, k, n: F.when(F.col(k) % n > 0, F.col(c).cast("string"))
+    none = F.lit(None).cast("string").alias("social_category")
+    known = t("customer").select(F.col("c_custkey").alias("id"), name("c_custkey", 60).alias("canonical_name"), F.array(name("c_custkey", 7)).alias("variants"), state("c_nationkey", "c_custkey", 3).alias("state_id"), none)
+    found = t("supplier").select(F.col("s_suppkey").alias("id"), name("s_suppkey", 60).alias("canonical_name"), F.lit(None).cast("array<string>").alias("variants"), state("s_nationkey", "s_suppkey", 2).alias("state_id"), none)
+    return golden.person_pairs(known, found)
+
+
+EVENT_PAIRS_SQL = """WITH a AS (SELECT o_orderkey AS g, o_custkey % 10 AS ch, o_orderstatus AS ty, CASE WHEN o_custkey % 3 > 0 THEN o_custkey % 11 END AS pl, CASE WHEN o_orderkey % 4 > 0 THEN year(o_orderdate) END AS y FROM orders WHERE o_orderpriority = '1-URGENT'),
+b AS (SELECT o_orderkey AS c, o_custkey % 10 AS ch, o_orderstatus AS ty, CASE WHEN o_custkey % 3 > 0 THEN o_custkey % 11 END AS pl, CASE WHEN o_orderkey % 4 > 0 THEN year(o_orderdate) END AS y FROM orders WHERE o_orderpriority = '5-LOW'),
+pairs AS (SELECT a.ch, g, c FROM a JOIN b ON a.ch = b.ch AND a.ty = b.ty AND (a.pl IS NOT DISTINCT FROM b.pl OR coalesce(abs(a.y - b.y) <= 1, false) OR (a.y IS NULL AND b.y IS NULL)))
+"""
+
+
+def _golden_events(t) -> tuple[DataFrame, DataFrame]:
+    side = lambda priority: t("orders").filter(F.col("o_orderpriority") == priority).select(F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 10).alias("chapter"), F.col("o_orderstatus").alias("type"), F.when(F.col("o_custkey") % 3 > 0, (F.col("o_custkey") % 11).cast("string")).alias("place"), F.when(F.col("o_orderkey") % 4 > 0, F.year("o_orderdate")).alias("year_bce"))
+    return side("1-URGENT"), side("5-LOW")
+
+
+@query(EVENT_PAIRS_SQL + "SELECT ch AS chapter, count(*) AS n, sum(g * 7 + c)::BIGINT AS checksum FROM pairs GROUP BY ch")
+def event_pairs(t) -> DataFrame:
+    pairs = golden.event_pairs(*_golden_events(t), by=("chapter",))
+    return pairs.groupBy("chapter").agg(F.count("*").alias("n"), F.sum(F.col("g") * 7 + F.col("c")).alias("checksum"))
+
+
+@query("""WITH a AS (SELECT p_partkey AS g, p_size % 2 AS k, 'e' || p_partkey % 40 AS ev, CASE WHEN p_size % 5 > 0 THEN 'p' || p_size END AS pe, p_brand AS ro FROM part WHERE p_partkey % 2 = 0), b AS (SELECT p_partkey AS c, p_size % 2 AS k, 'e' || p_partkey % 40 AS ev, CASE WHEN p_size % 5 > 0 THEN 'p' || p_size END AS pe, p_brand AS ro FROM part WHERE p_partkey % 2 = 1 OR p_partkey % 3 = 0)
+SELECT g, c FROM a JOIN b ON a.k = b.k AND CASE a.k WHEN 0 THEN a.ev = b.ev AND a.pe IS NOT DISTINCT FROM b.pe AND a.ro = b.ro ELSE a.pe IS NOT DISTINCT FROM b.pe AND a.ev = b.ev END""")
+def relation_pairs(t) -> DataFrame:
+    """Participations agree in event, person and role; places of events in event and place, here taken from the same columns."""
+    event, person = F.concat(F.lit("e"), F.col("p_partkey") % 40), F.when(F.col("p_size") % 5 > 0, F.concat(F.lit("p"), "p_size"))
+    none = [F.lit(None).cast("string").alias(c) for c in ("state", "from_event", "to_event", "from_person", "to_person", "relation_kind")]
+    side = lambda own: t("part").filter(own).select(F.col("p_partkey").alias("id"), F.when(F.col("p_size") % 2 == 0, "event_participant").otherwise("event_place").alias("kind"), event.alias("event"), person.alias("person"), person.alias("place"), F.col("p_brand").alias("role"), *none)
+    return golden.relation_pairs(side("p_partkey % 2 = 0"), side("p_partkey % 2 = 1 OR p_partkey % 3 = 0"))
+
+
+@query(r"""SELECT doc_id, i::INT AS "start", (i <= length(text) - 9 AND i % 3 > 0) AS aligned, replace(CASE WHEN i > 20 THEN '…' ELSE '' END || substr(text, greatest(i - 20, 0) + 1, i - greatest(i - 20, 0)) || '【' || substr(text, i + 1, 9) || '】' || substr(text, i + 10, 20) || CASE WHEN i + 29 < length(text) THEN '…' ELSE '' END, chr(10), ' ⏎ ') AS snippet
+FROM (SELECT doc_id, text, (doc_id * 13) % 60 AS i FROM documents WHERE length(text) > 80)""")
+def snippets(t) -> DataFrame:
+    """Spans with their surroundings, and whether they cut out a quote; every third quote is another one."""
+    docs = t("documents").filter("length(text) > 80").withColumn("start", (F.col("doc_id") * 13 % 60).cast("int"))
+    quote = F.when(F.col("start") % 3 > 0, F.substring("text", F.col("start") + 1, F.lit(9))).otherwise(F.lit("\u0001"))
+    return docs.select("doc_id", "start", corpus.aligned(F.col("text"), F.col("start"), F.col("start") + 9, quote).alias("aligned"), text.snippet(F.col("text"), F.col("start"), F.lit(9)).alias("snippet"))
+
+
+@query("""SELECT event_id, k % 5 < 4 AS needs FROM (SELECT event_id, event_id % 5 AS k FROM events)""")
+def spans_to_fill(t) -> DataFrame:
+    spans = F.array(F.lit(None).cast("array<int>"), F.array(F.lit(1)), F.array(F.lit(0), F.lit(0)), F.array(F.lit(None).cast("int"), F.lit(2)), F.array(F.lit(0), F.lit(3)))
+    return t("events").select("event_id", corpus.needs_span(F.element_at(spans, (F.col("event_id") % 5 + 1).cast("int"))).alias("needs"))
+
+
+@query("""SELECT s_suppkey, CASE WHEN s_acctbal >= 5000 THEN 0 ELSE 1 END AS best_idx, s_name AS first_value, 'run:1' AS second_source FROM supplier""")
+def conflict_variants(t) -> DataFrame:
+    rows = t("supplier").select("s_suppkey", F.col("s_name").alias("old_value"), F.col("s_acctbal").alias("old_confidence"), F.lit("existing").alias("old_source"), F.lit("x").alias("new_value"), F.lit(5000.0).alias("new_confidence"), F.lit("run:1").alias("new_source"))
+    of = lambda path: F.get_json_object("variants_json", path)
+    return merging.conflict_rows(rows).select("s_suppkey", "best_idx", of("$[0].value").alias("first_value"), of("$[1].source").alias("second_source"))
+
+
+@query("""SELECT 'src/' || s % 3 || '/**/*.py' AS code_pattern, 'knowledge/a' || s || '.md' AS article_path, min(p_partkey)::BIGINT AS n_first, count(*) AS n FROM (SELECT unnest(range(9)) AS s), part WHERE p_partkey % 4 = s % 3 AND s % 2 = 0 GROUP BY s""")
+def article_drift(t) -> DataFrame:
+    """Nine articles on three folders; those of odd number were changed with the code."""
+    part = t("part")
+    number = F.explode(F.sequence(F.lit(0), F.lit(8))).alias("s")
+    one = part.limit(1)
+    mapping = one.select(number).select(F.concat(F.lit("src/"), F.col("s") % 3, F.lit("/**/*.py")).alias("code_pattern"), F.concat(F.lit("a"), "s", F.lit(".md")).alias("article_path"))
+    changed = part.select(F.concat(F.lit("src/"), F.col("p_partkey") % 4, F.lit("/deep/f"), "p_partkey", F.lit(".py")).alias("path"))
+    changed = changed.unionByName(one.select(number).filter("s % 2 = 1").select(F.concat(F.lit("knowledge/a"), "s", F.lit(".md")).alias("path")))
+    got = articles.drift(mapping, changed)
+    return got.select("code_pattern", "article_path", F.array_min(F.transform("matched_files", lambda f: F.regexp_extract(f, r"f(\d+)\.py", 1).cast("long"))).alias("n_first"), F.size("matched_files").cast("long").alias("n"))
+
+
+@query("""SELECT s_suppkey::VARCHAR AS path, unnest(list_filter([CASE WHEN s_suppkey % 3 = 0 THEN 'missing title' END, CASE WHEN s_suppkey % 4 = 0 THEN 'type is odd' END, CASE WHEN s_suppkey % 5 = 0 THEN 'updated is no date' END, CASE WHEN s_suppkey % 7 = 0 THEN 'no such article: z.md' END], lambda x: x IS NOT NULL)) AS error FROM supplier""")
+def frontmatter_errors(t) -> DataFrame:
+    k = F.col("s_suppkey")
+    one = lambda key, value: F.struct(F.lit(key).alias("key"), F.array(value if isinstance(value, Column) else F.lit(value)).alias("values"))
+    entries = t("supplier").select(k.cast("string").alias("path"), F.explode(F.array(
+        F.when(k % 3 > 0, one("title", "T")), one("type", F.when(k % 4 == 0, "odd").otherwise("meta")), one("area", "x"), one("updated", F.when(k % 5 == 0, "now").otherwise("2026-01-31")), one("status", "thin"), one("references", F.when(k % 7 == 0, "z.md").otherwise("a.md")),
+    )).alias("e")).filter("e IS NOT NULL").select("path", "e.*")
+    return articles.frontmatter_errors(entries, entries.select(F.lit("a.md").alias("path")).limit(1))
+
+
+@query("""SELECT 'run-1' AS run_id, CASE WHEN n > 0 THEN 'fail' ELSE 'pass' END AS status, n AS fk_orphans, 4 AS dates_out_of_range, (SELECT count(*) FROM supplier WHERE s_suppkey % 2 = 0) AS n_persons FROM (SELECT count(*) FILTER (o_custkey NOT IN (SELECT s_suppkey FROM supplier)) + count(*) FILTER (o_orderkey % 100 = 99) AS n FROM orders)""")
+def smoke_check(t) -> DataFrame:
+    s = t("supplier")
+    persons = s.select(F.col("s_suppkey").alias("id"), F.when(F.col("s_suppkey") % 2 == 0, "run-1").otherwise("run-0").alias("run"))
+    events = t("orders").filter("o_orderkey % 100 <> 99").select(F.col("o_orderkey").alias("id"))
+    runs = s.limit(1).select(F.lit("run-1").alias("id"), F.lit('{"dates_out_of_range": 4}').alias("stats_json"))
+    edges = persons.select(F.col("id").alias("from_person_id"), F.col("id").alias("to_person_id"))
+    got = evaluation.smoke_check("run-1", {"pipeline_runs": runs, "persons": persons, "events": events, "event_participants": t("orders").select(F.col("o_orderkey").alias("event_id"), F.col("o_custkey").alias("person_id")), "person_relations": edges})
+    return got.select("run_id", "status", "fk_orphans", "dates_out_of_range", "n_persons")
+
+
+@query("SELECT 'conflicts' AS what, count(*) AS n FROM supplier WHERE s_acctbal < 0 UNION ALL SELECT 'merge_candidates', count(*) FROM customer WHERE c_acctbal < 0")
+def open_counts(t) -> DataFrame:
+    state = lambda df, c: df.select(F.when(F.col(c) < 0, "open").otherwise("merged").alias("status"))
+    return evaluation.open_counts(state(t("supplier"), "s_acctbal"), state(t("customer"), "c_acctbal"))
+
+
+@query("""WITH q AS (SELECT c_custkey AS id, c_acctbal AS created_at FROM customer WHERE c_acctbal < 4000) SELECT id, row_number() OVER w::INT AS place, lag(id) OVER w AS previous_id, lead(id) OVER w AS next_id FROM q WINDOW w AS (ORDER BY created_at, id)""")
+def open_queue(t) -> DataFrame:
+    queue = t("customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("created_at"), F.when(F.col("c_acctbal") < 4000, "open").otherwise("merged").alias("status"))
+    return curation.open_queue(queue).select("id", "place", "previous_id", "next_id")
+
+
+@query("""SELECT p_partkey, list_filter(list_transform(string_split(p_name || ', ,' || p_brand || ' ', ','), lambda x: trim(x)), lambda x: x <> '') AS parts, 'ch' || CASE WHEN p_size < 10 THEN '0' ELSE '' END || p_size AS chapter, 'evt:1:' || CASE WHEN p_partkey % 2 = 0 THEN 'per:new' ELSE 'per:ab' END || ':x' AS token FROM part""")
+def text_helpers(t) -> DataFrame:
+    """Lists with commas, chapters' codes, and a part of a composite id replaced (no part of a field is)."""
+    listed = F.concat("p_name", F.lit(", ,"), "p_brand", F.lit(" "))
+    token = F.concat(F.lit("evt:1:"), F.when(F.col("p_partkey") % 2 == 0, "per:a").otherwise("per:ab"), F.lit(":x"))
+    return t("part").select("p_partkey", text.split_list(listed).alias("parts"), text.chapter_code(F.col("p_size")).alias("chapter"), curation.replaced_token(token, "per:a", "per:new").alias("token"))

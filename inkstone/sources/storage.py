@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import os
+import subprocess
 import tempfile
 from collections.abc import Iterable
 
@@ -44,10 +46,14 @@ def empty(spark: SparkSession, name: str) -> DataFrame:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """df through a checkpoint in spark.checkpoint.dir, which all executors share; a folder is made only where none is set."""
+    """df through a checkpoint in spark.checkpoint.dir, which all executors share. Where none is set, a local session gets a
+    temporary folder, and a cluster an error."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="inkstone-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="inkstone-"))
     return df.checkpoint()
 
 
@@ -75,6 +81,77 @@ def read_yaml(spark: SparkSession, paths: Iterable[str], schema: str) -> DataFra
     return made.select(F.from_json("j", schema).alias("r")).select("r.*")
 
 
+GOLDEN = {
+    "persons": "id string, canonical_name string, variants array<struct<variant:string,kind:string>>, gender string, social_category string, state_id string, notes string, citations array<string>",
+    "events": f"id string, type string, date {DATE}, outcome string, summary string, primary_place_id string, citations array<string>",
+    "places": "id string, name string, type string, lat double, lon double, coord_confidence double, modern_equiv string, citations array<string>",
+    "states": f"id string, name string, type string, ruling_clan string, founded_date {DATE}, citations array<string>",
+    "citations": "id string, chunk_id string, paragraph int, span array<int>, quote string",
+    "relations": "id string, kind string, event_id string, person_id string, place_id string, state_id string, from_event_id string, to_event_id string, from_person_id string, to_person_id string, role string, relation_kind string, citation_id string",
+}
+
+
+def read_golden(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The six tables of a chapter's folder of golden YAML lists; a file that isn't there is an empty table, and a missing
+    folder or a file without a list at its top raises."""
+    if not os.path.isdir(folder):
+        raise ValueError(f"no such folder: {folder}")
+    path = lambda name: f"{folder}/{name}.yaml"
+    return {name: read_yaml(spark, [path(name)] if os.path.exists(path(name)) else [], schema) for name, schema in GOLDEN.items()}
+
+
+def read_merge_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """pos, same (boolean), rationale, source, person_a and person_b of a YAML mapping with same_person_pairs and different_person_pairs."""
+    import yaml
+
+    with open(path, encoding="utf-8") as f:
+        got = yaml.safe_load(f) or {}
+    rows = []
+    for key, same in (("same_person_pairs", True), ("different_person_pairs", False)):
+        if not isinstance(got, dict) or not isinstance(got.get(key), list):
+            raise ValueError(f"{path} has no list {key}")
+        for pos, pair in enumerate(got[key]):
+            if not isinstance(pair, dict) or any(k not in pair for k in ("person_a", "person_b")):
+                raise ValueError(f"{path}: {key}[{pos}] has no two persons")
+            rows.append((pos, same, json.dumps(pair, ensure_ascii=False, default=str)))
+    person = "struct<canonical_name:string,variants:array<string>,state_id:string,clan_name:string,social_category:string,birth_bce:int,death_bce:int>"
+    made = spark.createDataFrame(rows, "pos int, same boolean, j string")
+    return made.select("pos", "same", F.from_json("j", f"rationale string, source string, person_a {person}, person_b {person}").alias("r")).select("pos", "same", "r.*")
+
+
+def read_verdicts(spark: SparkSession, path: str) -> DataFrame:
+    """record_kind, record_id, field and verdict of a YAML list, or of JSON lines."""
+    schema = "record_kind string, record_id string, field string, verdict string"
+    return read_yaml(spark, [path], schema) if path.endswith((".yaml", ".yml")) else spark.read.schema(schema).json(path)
+
+
+def changed_files(spark: SparkSession, folder: str, base: str) -> DataFrame:
+    """path of each file that a Git work tree has changed since `base`."""
+    got = subprocess.run(["git", "-C", folder, "diff", "--name-only", base], capture_output=True, text=True, check=True)
+    return spark.createDataFrame([(line,) for line in got.stdout.splitlines() if line], "path string")
+
+
+def copy_texts(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """Copies chapters' texts (ch<number>.md) below a folder to another, and gives their names in order."""
+    texts = spark.read.format("binaryFile").option("pathGlobFilter", "ch[0-9]*.md").load(source)
+    conf, context = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs
+    names = [r[0] for r in texts.select("path").orderBy("path").collect()]  # one a chapter
+    for name in names:
+        a, b = context.Path(name), context.Path(f"{target}/{name.rsplit('/', 1)[-1]}")
+        context.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, conf)
+    return spark.createDataFrame([(n.rsplit("/", 1)[-1],) for n in names], "name string")
+
+
+def dump_yaml(rows: DataFrame, path: str) -> int:
+    """A bounded sample as a YAML list."""
+    import yaml
+
+    got = [r.asDict(recursive=True) for r in rows.collect()]
+    with open(path, "w", encoding="utf-8") as f:
+        yaml.safe_dump(got, f, allow_unicode=True, sort_keys=False)
+    return len(got)
+
+
 def rulers_from_yaml(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     """Rulers of other states, one YAML mapping a state."""
     import yaml
