@@ -400,20 +400,20 @@ def one_of_each(docs: DataFrame, width: int = 5, threshold: float = 0.75, freque
     by doc_id where that names one row; of repeated and null ids, by the row's class, too. Ids to drop are broadcast while
     they are few; beyond that the join shuffles."""
     rows, found = joined_classes(docs, width, threshold, frequent, hot, run)
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "class")
-    owned = saved(rows.filter("class IS NOT NULL").groupBy("class", "doc_id").agg(F.count("*").alias("n_rows")).join(found, "class", "left").withColumn("component", F.coalesce("component", "class")).select("component", rank.alias("rank"), "n_rows"), "owned")
-    first = owned.groupBy("component").agg(F.min("rank").alias("first"))
-    told = saved(owned.join(first, "component").select("rank.doc_id", "rank.class", "n_rows", (F.col("rank") == F.col("first")).alias("stays")), "told")
+    own = rows.filter("class IS NOT NULL")
+    least = own.groupBy("class").agg(F.min("doc_id").alias("doc_id")).join(found, "class", "left")
+    first = least.groupBy(F.coalesce("component", "class")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "class")).alias("first"))
+    stays = saved(first.select("first.doc_id", "first.class"), "first")
     few = lambda ids: F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
     unclear = saved(rows.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").select("doc_id"), "unclear")
-    drop = saved(told.filter("NOT stays AND doc_id IS NOT NULL").join(unclear, "doc_id", "left_anti").select("doc_id"), "dropped")
+    drop = saved(own.filter("doc_id IS NOT NULL").join(stays, ["doc_id", "class"], "left_anti").join(unclear, "doc_id", "left_anti").select("doc_id"), "dropped")
     kept = docs.join(few(drop), "doc_id", "left_anti").select(*docs.columns)
     if not unclear.limit(1).count():
         return kept
     repeated = few(unclear.filter("doc_id IS NOT NULL"))
     key = "class" + "_" * max(map(len, docs.columns))
     unsure = docs.join(repeated, "doc_id", "left_semi").unionByName(docs.filter("doc_id IS NULL")).withColumn(key, class_of(width)("text"))
-    winners = told.filter("stays").select(F.col("doc_id").alias("_id"), F.col("class").alias("_class"))
+    winners = stays.select(F.col("doc_id").alias("_id"), F.col("class").alias("_class"))
     one = unsure.join(winners, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(key) == F.col("_class")), "left_semi").dropDuplicates(["doc_id", key])
     sure = kept.filter("doc_id IS NOT NULL").join(repeated, "doc_id", "left_anti")
     return sure.unionByName(unsure.filter(F.col(key).isNull()).select(*docs.columns)).unionByName(one.select(*docs.columns)).select(*docs.columns)
