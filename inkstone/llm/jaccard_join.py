@@ -1,8 +1,8 @@
 """Operator 9: exact Jaccard join of documents on word shingles, by adaptive multi-match prefixes.
 
 Two sets link when 100 * intersection >= 100 * threshold * union. Equal sets form one class, and classes are what is
-joined. Shingles have one total order: those of a table of the most frequent (`frequent` at most, in `hot` documents or
-more) come last, by document count; all others come first, by hash. The table, of bounded size, is broadcast; an order
+joined. Shingles have one total order: those of a table of the most frequent (`frequent`, or a thousandth of all shingles where
+that is more, up to 4 million; in `hot` documents or more) come last, by document count; all others come first, by hash. The table, of bounded size, is broadcast; an order
 can't change the result, only the work.
 
 Any two linked sets share a class's first |set| - ceil(threshold |set|) + l shingles at least l times, l being the
@@ -302,7 +302,8 @@ def posting_lists(docs: DataFrame, rows: DataFrame, width: int, percent: int, fr
     """The postings of lists with several classes, each with its run's first class (hub, hub_sized), and the classes' last
     places. rows: classes_of(docs)."""
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
-    often = frequent_shingles(docs, width, hot, frequent, parts_for(docs.sparkSession, total, 4_000_000))
+    most = max(frequent, min(total >> 10, 1 << 22))  # grows with the corpus, up to 50 MB
+    often = frequent_shingles(docs, width, hot, most, parts_for(docs.sparkSession, total, 4_000_000))
     lists = postings_of(docs, width, percent, often, run)
     ordered = Window.partitionBy("shingle", "part").orderBy("sized", "class")
     # One row for each class of a list with several: equal rows, from several tasks, are neighbours. Runs of a long
@@ -367,7 +368,11 @@ def joined_classes(docs: DataFrame, width: int, threshold: float, frequent: int,
     held = placed.groupBy("shingle", "component").agg(F.count("*").alias("n")).groupBy("shingle").agg(F.count("*").alias("n_components"), F.max_by("component", "n").alias("largest")).filter("n_components > 1").drop("n_components")
     mixed = saved(placed.join(held, "shingle"), "mixed")
     small = mixed.filter("component <> largest").drop("largest").select("shingle", *(F.col(c).alias(f"{c}_one") for c in ("class", "sized", "last", "component", "most")))
-    matches = small.join(mixed, "shingle").filter((F.col("component") != F.col("component_one")) & could_link(percent) & ((F.col("component") == F.col("largest")) | (F.col("class_one") < F.col("class"))))
+    # Of two linked sets the one whose prefix ends first has enough in common with other prefixes to link with any at all; so
+    # of many sets that share one passage, and have not enough of it, no two meet.
+    able, able_one = (F.col(f"most{k}") >= F.ceil(size(f"sized{k}") * percent / 100) for k in ("", "_one"))
+    met = lambda a, b: a.join(b, "shingle").filter((F.col("component") != F.col("component_one")) & could_link(percent) & ((F.col("component") == F.col("largest")) | (F.col("class_one") < F.col("class"))))
+    matches = met(small.filter(able_one), mixed).unionByName(met(small.filter(~able_one), mixed.filter(able)))
     crossing = met_with_l(matches).join(stars, ["a", "b"], "left_anti")
     crossing = saved(crossing, "crossing")
     more = verified(crossing, texts_of(docs, rows, ends(crossing), width), width, percent)

@@ -408,6 +408,20 @@ def test_jaccard_join_of_large_groups(spark):
     check_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), rows, hot=5, run=20)
 
 
+def test_jaccard_join_of_shared_passages(spark):
+    """Short texts that are mostly one passage, with more or less of their own, in lists that are cut and not."""
+    rng = np.random.default_rng(11)
+    passage = [f"p{i}" for i in range(40)]
+    rows = []
+    for i in range(240):
+        own = [f"o{i // 2 if i % 3 == 0 else i}_{k}" for k in range(rng.integers(1, 18))]
+        cut = int(rng.integers(0, len(own) + 1))
+        rows.append((i, " ".join(own[:cut] + passage + own[cut:])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    check_join(docs, rows, hot=1000)
+    check_join(docs, rows, hot=5, run=20)
+
+
 def test_jaccard_join_of_odd_texts(spark, odd):
     got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_join(odd).collect()}
     assert {r for r in got if r[0] is not None} == {(i, *x) for i, x in linked(ODD).items()}
