@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkstone.llm import jaccard_join, packing, quality, toxicity
-from inkstone.llm.common import saved, table, tokenizer_path
+from inkstone.llm.common import discarded, saved, table, tokenizer_path
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,6 +39,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for k, (name, stage) in enumerate(STAGES):
+        last, docs = docs, saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if k:
+            discarded(last)
     return docs

@@ -75,6 +75,15 @@ LOADED = {
 }
 
 
+def extract(spark: SparkSession, a: argparse.Namespace) -> None:
+    """What has to be there before a chapter is extracted by hand: its document, its chunks, their texts, and no file yet."""
+    docs = storage.read(spark, a.folder, "documents").filter(F.col("chapter_num") == a.chapter)
+    chunks = storage.read(spark, a.folder, "chunks").join(docs.select(F.col("id").alias("document_id")), "document_id", "left_semi")
+    got = {"documents": docs.count(), "chunks": chunks.count(), "empty chunks": chunks.filter("length(text) = 0").count()}
+    print(json.dumps({"chapter": a.chapter, **got}))
+    sys.exit(got["documents"] != 1 or got["chunks"] < a.least or got["empty chunks"] > 0)
+
+
 def extract_load(spark: SparkSession, a: argparse.Namespace) -> None:
     """Checks an extraction's files against the chunks and writes candidates; what fails is printed and left out."""
     run = a.run or f"run:extract-ch{a.chapter}-{a.prompt_version}-{datetime.datetime.now(datetime.UTC):%Y%m%dT%H%M%S}"
@@ -213,7 +222,7 @@ def export(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def drift(spark: SparkSession, a: argparse.Namespace) -> None:
-    changed = spark.createDataFrame([(line.strip(),) for line in sys.stdin if line.strip()], "path string")
+    changed = storage.changed_files(spark, a.folder, a.base) if a.base else spark.createDataFrame([(line.strip(),) for line in sys.stdin if line.strip()], "path string")
     rows = articles.drift(articles.mapping_rows(spark.read.text(a.mapping, wholetext=True)), changed).collect()
     for r in rows:
         print(r["article_path"], r["code_pattern"], ",".join(r["matched_files"]), sep="\t")
@@ -236,6 +245,7 @@ def parser() -> argparse.ArgumentParser:
     verb(discover, ("--least", {"type": int, "default": 1}))
     verb(link, ("--ignore-rejections", {"action": "store_true"}))
     verb(qa_load, ("verdicts", {}))
+    verb(extract, ("--chapter", {"type": int, "required": True}), ("--least", {"type": int, "default": 1}))
     for name in ("extract-load", "re-extract"):
         verb(extract_load, ("file", {}), ("--chapter", {"type": int, "required": True}), ("--prompt-version", {"default": "v1"}), ("--run", {}), name=name)
     for f in (load, smoke_check):
@@ -245,7 +255,7 @@ def parser() -> argparse.ArgumentParser:
     verb(qa_sample, ("run", {}), ("out", {}))
     verb(golden_eval, ("run", {}), ("golden", {}))
     verb(export, ("out", {}), ("version", {}), ("tables", {"nargs": "+"}), ("--book-id", {"default": "book"}))
-    verb(drift, ("mapping", {}))
+    verb(drift, ("mapping", {}), ("--base", {}))
     return top
 
 

@@ -92,10 +92,14 @@ def _made(candidates: DataFrame, entity: str) -> DataFrame:
     return candidates.join(first, [entity, "id"], "left_semi")
 
 
-def new_variants(known: DataFrame, rows: DataFrame, person: str = "person_id", variants: str = "variants_json") -> DataFrame:
-    """Variants to append, of JSON lists of {variant, kind}: a missing kind is the usual one, an empty variant and malformed
-    lists give nothing; ids depend on person, variant and kind."""
-    listed = rows.select(F.col(person).alias("person_id"), F.explode(F.from_json(variants, "array<struct<variant:string,kind:string>>")).alias("v"))
+def listed_variants(rows: DataFrame, key: str, variants: str = "variants_json") -> DataFrame:
+    """key and each variant of JSON lists of {variant, kind} as v; malformed lists give nothing."""
+    return rows.select(key, F.explode(F.from_json(variants, "array<struct<variant:string,kind:string>>")).alias("v"))
+
+
+def new_variants(known: DataFrame, rows: DataFrame) -> DataFrame:
+    """Variants to append: a missing kind is the usual one, an empty variant gives nothing; ids depend on person, variant and kind."""
+    listed = listed_variants(rows, "person_id")
     own = listed.select("person_id", F.col("v.variant").alias("variant"), F.coalesce("v.kind", F.lit(OTHER_NAME)).alias("kind")).filter("variant <> ''").distinct()
     fresh = own.join(known.select("person_id", "variant", "kind"), ["person_id", "variant", "kind"], "left_anti")
     return fresh.select(F.concat(F.lit("pv:"), F.substring(F.sha2(F.concat_ws(":", "person_id", "variant", "kind"), 256), 1, 8)).alias("id"), "person_id", "variant", "kind")
@@ -109,8 +113,8 @@ def load_persons(candidates: DataFrame, tables: dict[str, DataFrame], run: str)
     Gives the new persons, and the rows to append to person_variants, entity_citations, audit_log and conflicts, and `ids` (id,
     person_id)."""
     persons, variants = tables["persons"], tables["person_variants"]
-    ids = settled(match_persons(candidates, persons, variants))
-    own = settled(candidates.join(ids, "id").withColumn("pass", F.col("match_target_id").isNotNull().cast("int")))
+    ids = match_persons(candidates, persons, variants, listed_variants(candidates, "id").select("id", F.col("v.variant").alias("variant")))
+    own = candidates.join(ids, "id").withColumn("pass", F.col("match_target_id").isNotNull().cast("int"))
     made = _made(own, "person_id")
     new = made.select(F.col("person_id").alias("id"), "canonical_name", *PERSON_FIELDS, "confidence", F.lit(PROVENANCE).alias("provenance"))
     everyone = persons.select("id", "canonical_name", *PERSON_FIELDS, "confidence", "provenance").unionByName(new)
@@ -159,7 +163,7 @@ def load_events(candidates: DataFrame, tables: dict[str, DataFrame], run: str) -
     keyed = lambda df: df.select("id", "type", year.alias("year_bce"), F.col("primary_place_id").alias("place_id"))
     events = tables["events"].select("id", *EVENT_FIELDS, "date_json", "confidence", "provenance")
     ids = settled(match_events(keyed(candidates), keyed(events)))
-    own = settled(candidates.join(ids, "id").withColumn("pass", F.lit(0)))
+    own = candidates.join(ids, "id").withColumn("pass", F.lit(0))
     made = _made(own, "event_id")
     new = made.select(F.col("event_id").alias("id"), *EVENT_FIELDS, "date_json", "confidence", F.lit(PROVENANCE).alias("provenance"))
     every = events.unionByName(new)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from inkstone.functions.text import any_of, first_failure, last_segment, slug
 from inkstone.operators.corpus import normalised, normalised_values
+from inkstone.sources.storage import settled
 
 # How a date may have been inferred, and the enumerations of extracted rows.
 INFERENCE_KINDS = ("explicit_reign_zhou", "explicit_reign_lu", "relative_to_prior_event", "era_only", "unknown")
@@ -86,20 +87,35 @@ def resolve_ids(edges: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     return edges.withColumn("_local", local).join(mapped, ["run", "_local"], "left").withColumn(column, F.when(F.col("_local").isNull(), F.col(column)).otherwise(F.col("_id"))).drop("_local", "_id")
 
 
-def match_persons(candidates: DataFrame, persons: DataFrame, variants: DataFrame) -> DataFrame:
-    """id, person_id and created of each candidate (id, canonical_name, match_target_id): its target, or its sibling's
-    target, or the person of that name, or of that variant, or a new one, which candidates of one name share. Several
-    persons of a name: the least id."""
+def match_persons(candidates: DataFrame, persons: DataFrame, variants: DataFrame, written: DataFrame | None = None) -> DataFrame:
+    """id, person_id and created of each candidate (id, canonical_name, match_target_id), those without a target before those with
+    one, then by id. A candidate is its target, or what its target, another candidate that came earlier, became; or the person
+    of that name; or of that variant; or a new person. Several known persons of a name: the least id. written (id, variant):
+    names that candidates add to what they became, for the ones after them.
+
+    What a candidate becomes depends on earlier ones alone, so turns in which all look at the last turn's outcome settle; a
+    turn's look-ups are of the first who made or wrote a name."""
     by_name = persons.groupBy("canonical_name").agg(F.min("id").alias("_by_name"))
     by_variant = variants.groupBy(F.col("variant").alias("canonical_name")).agg(F.min("person_id").alias("_by_variant"))
-    own = candidates.select("id", "canonical_name", "match_target_id").join(by_name, "canonical_name", "left").join(by_variant, "canonical_name", "left")
     known = persons.select(F.col("id").alias("match_target_id"), F.col("id").alias("_target"))
-    own = own.join(known, "match_target_id", "left").withColumn("_found", F.coalesce("_target", "_by_name", "_by_variant"))
     fresh = F.concat(F.lit("per:"), slug(F.col("canonical_name")), F.lit("-"), F.substring(F.sha2("canonical_name", 256), 1, 6))
-    own = own.withColumn("_own", F.coalesce("_found", fresh))
-    sibling = own.select(F.col("id").alias("match_target_id"), F.col("_own").alias("_sibling"), F.col("_found").alias("_sibling_found"))
-    got = own.join(sibling, "match_target_id", "left")
-    return got.select("id", F.coalesce("_target", "_sibling", "_own").alias("person_id"), F.when(F.col("_sibling").isNotNull() & F.col("_target").isNull(), F.col("_sibling_found").isNull()).otherwise(F.col("_found").isNull()).alias("created"))
+    own = candidates.select("id", "canonical_name", "match_target_id").join(by_name, "canonical_name", "left").join(by_variant, "canonical_name", "left").join(known, "match_target_id", "left")
+    base = own.select("id", "canonical_name", F.when(F.col("_target").isNull(), F.col("match_target_id")).alias("sibling"), F.struct(F.col("match_target_id").isNotNull().alias("late"), "id").alias("pos"), F.coalesce("_target", "_by_name", "_by_variant").alias("known"), F.col("_target").isNotNull().alias("sure"), fresh.alias("fresh"))
+    state = settled(base.withColumn("person_id", F.coalesce("known", "fresh")))
+    while True:
+        made = state.filter("person_id = fresh").groupBy("canonical_name").agg(F.min("pos").alias("_made"))
+        turn = state.join(made, "canonical_name", "left").join(state.select(F.col("id").alias("sibling"), F.col("pos").alias("_pos"), F.col("person_id").alias("_sibling")), "sibling", "left")
+        if written is not None:
+            wrote = written.filter("variant IS NOT NULL").join(state.select("id", "pos", "person_id"), "id").groupBy(F.col("variant").alias("canonical_name")).agg(F.min(F.struct("pos", "person_id")).alias("_wrote"))
+            turn = turn.join(wrote, "canonical_name", "left")
+            said = F.when((F.col("_made").isNull() | (F.col("_made") >= F.col("pos"))) & (F.col("_wrote.pos") < F.col("pos")), F.col("_wrote.person_id"))
+        else:
+            said = F.lit(None).cast("string")
+        found = F.when(F.col("sure"), F.col("known")).otherwise(F.coalesce(F.when(F.col("_pos") < F.col("pos"), F.col("_sibling")), "known", said, "fresh"))
+        turn = settled(turn.select(*base.columns, found.alias("person_id"), (found != F.col("person_id")).alias("_moved")))
+        state = turn.drop("_moved")
+        if not turn.filter("_moved").limit(1).count():
+            return state.join(persons.select(F.col("id").alias("person_id"), F.lit(False).alias("_there")), "person_id", "left").select("id", "person_id", F.col("_there").isNull().alias("created"))
 
 
 def match_events(candidates: DataFrame, events: DataFrame) -> DataFrame:

@@ -701,3 +701,101 @@ def text_helpers(t) -> DataFrame:
     listed = F.concat("p_name", F.lit(", ,"), "p_brand", F.lit(" "))
     token = F.concat(F.lit("evt:1:"), F.when(F.col("p_partkey") % 2 == 0, "per:a").otherwise("per:ab"), F.lit(":x"))
     return t("part").select("p_partkey", text.split_list(listed).alias("parts"), text.chapter_code(F.col("p_size")).alias("chapter"), curation.replaced_token(token, "per:a", "per:new").alias("token"))
+
+
+# ---------------------------------------------------------------- curation
+
+
+@query("""SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN 'renamed ' || (c_custkey % 5 + 1) ELSE c_name END AS name, CASE WHEN c_custkey % 4 = 0 THEN 7 ELSE c_nationkey END::INT AS n FROM customer""")
+def edited_rows(t) -> DataFrame:
+    """Edits of two fields, of which the last of each field counts."""
+    rows = t("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("n"))
+    seq = F.explode(F.sequence(F.lit(1), F.col("id") % 5 + 1)).alias("seq")
+    edits = rows.filter("id % 3 = 0").select("id", seq).select("id", F.lit("name").alias("field"), F.concat(F.lit("renamed "), "seq").alias("value"), "seq")
+    edits = edits.unionByName(rows.filter("id % 4 = 0").select("id", F.lit("n").alias("field"), F.lit("7").alias("value"), F.lit(1).cast("long").alias("seq")))
+    return curation.edited(rows, edits, ["name", "n"])
+
+
+DECIDED_SQL = """WITH mc AS (SELECT o_orderkey AS id, 'per:' || o_custkey % 9 AS target_id, 'cand:' || o_custkey AS candidate_id, CASE WHEN o_orderstatus = 'F' THEN 'merged' ELSE 'open' END AS status, o_orderkey % 4 AS d FROM orders),
+after AS (SELECT id, target_id, candidate_id, CASE WHEN status = 'open' AND d = 1 THEN 'merged' WHEN status = 'open' AND d = 2 THEN 'rejected' ELSE status END AS status FROM mc)
+"""
+
+
+def _decided(t) -> DataFrame:
+    o = t("orders")
+    queue = o.select(F.col("o_orderkey").alias("id"), F.concat(F.lit("per:"), F.col("o_custkey") % 9).alias("target_id"), F.concat(F.lit("cand:"), "o_custkey").alias("candidate_id"), F.when(F.col("o_orderstatus") == "F", "merged").otherwise("open").alias("status"))
+    said = F.element_at(F.array(F.lit("later"), F.lit("merged"), F.lit("rejected"), F.lit("open")), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    return curation.decide(queue, o.select(F.col("o_orderkey").alias("id"), said.alias("status")))
+
+
+@query(DECIDED_SQL + "SELECT id, status FROM after")
+def decisions(t) -> DataFrame:
+    """Merges and rejections of open candidates; other statuses change nothing, and neither do decisions on closed ones."""
+    return _decided(t).select("id", "status")
+
+
+@query(DECIDED_SQL + "SELECT 'per:0' AS canonical_id, 'f0' AS fingerprint UNION SELECT DISTINCT target_id, 'f' || c_custkey % 3 FROM after JOIN customer ON candidate_id = 'cand:' || c_custkey WHERE status = 'rejected'")
+def remembered_rejections(t) -> DataFrame:
+    """Pairs of what was rejected, with one that was known before."""
+    c = t("customer")
+    prints = c.select(F.concat(F.lit("cand:"), "c_custkey").alias("candidate_id"), F.concat(F.lit("f"), F.col("c_custkey") % 3).alias("fingerprint"))
+    known = c.limit(1).select(F.lit("per:0").alias("canonical_id"), F.lit("f0").alias("fingerprint"))
+    return curation.remembered_rejections(known, _decided(t), prints)
+
+
+@query("""WITH e AS (SELECT s_suppkey AS id, CASE WHEN s_suppkey % 3 > 0 THEN 700 - s_suppkey END AS y FROM supplier), d AS (SELECT s_suppkey AS id, s_suppkey - s_suppkey % 2 AS anchor, s_suppkey % 7 AS later FROM supplier WHERE s_suppkey % 5 > 0)
+SELECT e.id::VARCHAR AS id, CASE WHEN a.y IS NOT NULL AND d.id <> d.anchor THEN a.y - d.later ELSE e.y END::BIGINT AS year_bce, CASE WHEN d.id IS NULL THEN 'none' WHEN a.y IS NULL OR d.id = d.anchor THEN 'refused' ELSE 'resolved' END AS outcome FROM e LEFT JOIN d ON d.id = e.id LEFT JOIN e a ON a.id = d.anchor""")
+def resolved_dates(t) -> DataFrame:
+    """Years as so many after an anchor's; events that anchor at themselves or at undated ones are refused."""
+    k = F.col("s_suppkey")
+    events = t("supplier").select(k.cast("string").alias("id"), F.when(k % 3 > 0, 700 - k).alias("year_bce"), F.lit(None).cast("string").alias("relative_anchor_event_id"))
+    decided = t("supplier").filter(k % 5 > 0).select(k.cast("string").alias("event_id"), (k - k % 2).cast("string").alias("anchor_id"), (k % 7).cast("int").alias("later"))
+    moved, audit, refused = curation.resolve_dates(events, decided)
+    said = audit.select(F.col("entity_id").alias("id"), F.lit("resolved").alias("outcome")).unionByName(refused.select(F.col("event_id").alias("id"), F.lit("refused").alias("outcome")))
+    return moved.join(said, "id", "left").select("id", "year_bce", F.coalesce("outcome", F.lit("none")).alias("outcome"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'answer ' || (event_id % 10) END AS response_json FROM events""")
+def cached_answers(t) -> DataFrame:
+    """Requests that a cache answers by the hash of their text, or not."""
+    asked = t("events").select("event_id", F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('{"q": '), F.col("event_id") % 10, F.lit("}"))).otherwise(F.concat(F.lit('{"other": '), "event_id", F.lit("}"))).alias("request_json"))
+    cache = t("events").select((F.col("event_id") % 10).alias("k")).distinct().select(F.sha2(F.concat(F.lit('{"q": '), "k", F.lit("}")), 256).alias("key"), F.concat(F.lit("answer "), "k").alias("response_json"))
+    return curation.cached(asked, cache).select("event_id", "response_json")
+
+
+@query("""SELECT p_partkey, unnest(list_filter([CASE WHEN p_partkey % 5 = 0 THEN 'name required' END, CASE WHEN p_size > 40 THEN 'size enum' END, CASE WHEN p_brand NOT LIKE '%1' THEN 'brand pattern' END, CASE WHEN p_retailprice < 1000 THEN 'price minimum' END, CASE WHEN p_partkey % 3 = 0 THEN 'height closed' END], lambda x: x IS NOT NULL)) AS rule FROM part""")
+def schema_rules(t) -> DataFrame:
+    """Required values, enumerations, patterns, minimums and properties that a record may not have."""
+    rows = t("part").select("p_partkey", F.when(F.col("p_partkey") % 5 > 0, F.col("p_name")).alias("name"), F.col("p_size").cast("string").alias("size"), F.col("p_brand").alias("brand"), F.col("p_retailprice").alias("price"))
+    broken = validation.schema_violations(rows, "p_partkey", ("name",), {"size": tuple(str(k) for k in range(41))}, {"brand": "1$"}, {"price": 1000})
+    bodies = t("part").select("p_partkey", F.when(F.col("p_partkey") % 3 == 0, '{"name": 1, "height": 2}').otherwise('{"name": 1}').alias("body"))
+    other = validation.unknown_properties(bodies, "p_partkey", "body", ("name", "size"))
+    return broken.unionByName(other).select("p_partkey", F.concat_ws(" ", "field", "rule").alias("rule"))
+
+
+@query("""SELECT doc_id, CASE WHEN n = 1 THEN [i - 1, i + 11] END::INT[] AS span, n::INT AS n_found FROM (SELECT doc_id, strpos(text, substr(text, 5, 12)) AS i, len(list_filter(range(1, length(text) + 1), lambda k: substr(text, k, 12) = substr(text, 5, 12))) AS n FROM documents WHERE length(text) BETWEEN 30 AND 4000 AND doc_id % 2 = 0)""")
+def filled_spans(t) -> DataFrame:
+    """Spans of quotes that occur once in their chunk, where a citation has none."""
+    docs = t("documents").filter("length(text) BETWEEN 30 AND 4000")
+    cites = docs.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("chunk_id"), F.when(F.col("doc_id") % 2 == 1, F.array(F.lit(4), F.lit(16))).alias("span"), F.substring("text", 5, 12).alias("quote"))
+    return corpus.fill_spans(cites, docs.select(F.col("doc_id").alias("id"), "text")).withColumnRenamed("id", "doc_id")
+
+
+@query("""SELECT DISTINCT 'per:' || c_custkey % 50 AS person_id, v.variant, CASE WHEN c_custkey % 3 = 0 THEN '别名' ELSE c_mktsegment END AS kind, 'pv:' || substr(sha256('per:' || c_custkey % 50 || ':' || v.variant || ':' || CASE WHEN c_custkey % 3 = 0 THEN '别名' ELSE c_mktsegment END), 1, 8) AS id FROM customer, (SELECT 'x1' AS variant UNION ALL SELECT 'x2') v WHERE c_custkey % 4 > 0 AND NOT (c_custkey % 50 = 1 AND v.variant = 'x1' AND c_custkey % 3 = 0)""")
+def new_variants(t) -> DataFrame:
+    """Variants of JSON lists that a person lacks; every fourth list is malformed."""
+    k = F.col("c_custkey")
+    kind = F.when(k % 3 == 0, "").otherwise(F.concat(F.lit(', "kind": "'), "c_mktsegment", F.lit('"')))
+    body = F.concat(F.lit('[{"variant": "x1"'), kind, F.lit('}, {"variant": ""}, {"variant": "x2"'), kind, F.lit("}]"))
+    rows = t("customer").select(F.concat(F.lit("per:"), k % 50).alias("person_id"), F.when(k % 4 > 0, body).otherwise("[{").alias("variants_json"))
+    known = t("customer").limit(1).select(F.lit("per:1").alias("person_id"), F.lit("x1").alias("variant"), F.lit("别名").alias("kind"))
+    return loading.new_variants(known, rows)
+
+
+@query("""SELECT p_partkey::VARCHAR AS path, CASE p_partkey % 4 WHEN 0 THEN true WHEN 1 THEN p_partkey % 3 > 0 WHEN 2 THEN true ELSE false END AS matches FROM part""")
+def path_globs(t) -> DataFrame:
+    """Globs across folders, within a folder's name, words of a description, and patterns that match nothing."""
+    k = F.col("p_partkey")
+    path = F.concat(F.lit("src/"), F.when(k % 3 > 0, "").otherwise("deep/"), F.lit("linker_"), k, F.lit(".py"))
+    pattern = F.when(k % 4 == 0, "`src/**/*.py`").when(k % 4 == 1, "src/*.py").when(k % 4 == 2, "the linker_" ).otherwise("lib/**")
+    return t("part").select(k.cast("string").alias("path"), articles.path_matches(pattern, path).alias("matches"))

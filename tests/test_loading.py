@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from inkstone import cli
-from inkstone.operators import curation, evaluation, linking, loading, merging, timeline
+from inkstone.operators import curation, evaluation, linking, loading, merging, timeline, validation
 from inkstone.sources import extractions, storage
 
 
@@ -95,6 +95,34 @@ def test_persons_are_made_and_merged(spark):
     assert changes == [("create", None), ("set", "clan_name"), ("set", "gender"), ("set", "gender"), ("set", "social_category"), ("set", "social_category")]
 
 
+def test_candidates_become_persons_as_in_a_loop(spark):
+    """Names and variants that earlier candidates made or wrote, targets among candidates, and what was there before."""
+    rng = random.Random(8)
+    for _ in range(4):
+        names = [f"n{k}" for k in range(12)]
+        persons = {n: f"per:{n}" for n in names[:2]}
+        variants = {names[2]: "per:n0"}
+        rows, written = [], []
+        for k in range(40):
+            target = rng.choice([None, None, None, "per:n1", "per:none", f"c{rng.randrange(40):02}"])
+            rows.append((f"c{k:02}", rng.choice(names), target))
+            written += [(f"c{k:02}", rng.choice(names)) for _ in range(rng.choice([0, 0, 1, 2]))]
+        expected, by_name, by_variant, ids = {}, dict(persons), dict(variants), set(persons.values())
+        for i, name, target in sorted(rows, key=lambda r: (r[2] is not None, r[0])):
+            own = (target if target in ids and not target.startswith("c") else expected.get(target)) or by_name.get(name) or by_variant.get(name)
+            if own is None:
+                own = by_name[name] = f"new {name}"
+            expected[i] = own
+            for j, v in written:
+                if j == i:
+                    by_variant.setdefault(v, own)
+        got = validation.match_persons(
+            spark.createDataFrame(rows, "id string, canonical_name string, match_target_id string"), spark.createDataFrame([(p, n) for n, p in persons.items()], "id string, canonical_name string"),
+            spark.createDataFrame([(p, v) for v, p in variants.items()], "person_id string, variant string"), spark.createDataFrame(written, "id string, variant string"),
+        ).collect()
+        assert {r["id"]: f"new {r['person_id'][4:-7]}" if r["created"] else r["person_id"] for r in got} == expected
+
+
 def test_relations_are_appended_once(spark):
     known = spark.createDataFrame([("per:b", "per:a", "parent")], "from_person_id string, to_person_id string, kind string")
     rows = [("per:a", "per:b", "parent", None, 1), ("per:a", "per:b", "parent", None, 2), ("per:b", "per:a", "parent", None, 3), (None, "per:a", "ally", None, 4), ("per:a", "per:c", "stranger", None, 5), ("per:a", "per:c", "ally", None, 6)]
@@ -215,6 +243,10 @@ def test_extracting_and_loading_by_the_command_line(spark, tmp_path, capsys):
     (tmp_path / "x.yaml").write_text(YAML, encoding="utf-8")
     cli.main(["ingest", folder, str(tmp_path / "book.json"), "--corpus", "novel"])
     cli.main(["chunk", folder])
+    for chapter, code in (("1", 0), ("2", 1)):
+        with pytest.raises(SystemExit) as end:
+            cli.main(["extract", folder, "--chapter", chapter])
+        assert end.value.code == code
     cli.main(["extract-load", folder, str(tmp_path / "x.yaml"), "--chapter", "1", "--run", "r1"])
     said = capsys.readouterr().out
     assert "persons=1" in said and "relations=2" in said and "invariant violations: 2" in said
