@@ -34,7 +34,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -390,6 +389,7 @@ def jaccard_join(docs: DataFrame, width: int = 5, threshold: float = 0.75, frequ
 
 def class_of(width: int):
     """The class of a text as a column function."""
+    import pandas as pd  # here alone: the other workers have no use for its memory
 
     @F.pandas_udf("long")
     def keys(text: pd.Series) -> pd.Series:
