@@ -168,7 +168,8 @@ def load_events(candidates: DataFrame, tables: dict[str, DataFrame], run: str) -
     new = made.select(F.col("event_id").alias("id"), *EVENT_FIELDS, "date_json", "confidence", F.lit(PROVENANCE).alias("provenance"))
     every = events.unionByName(new)
     acting = own.join(made.select("id"), "id", "left_anti").withColumn("entity_id", F.col("event_id"))
-    got = merged_fields("event", every, acting, EVENT_FIELDS, tables["audit_log"], run)
+    # Type and place are what candidates match by, and so never differ.
+    got = merged_fields("event", every, acting, ("outcome", "summary"), tables["audit_log"], run)
     dates = settled(merged_dates(every, acting))
     dated = got["entities"].join(dates.withColumnRenamed("date_json", "_date"), "id", "left")
     audit = _entries(new, "event", F.col("id"), "create", _json(type=F.col("type"), confidence=F.col("confidence"))).unionByName(got["audit_log"])

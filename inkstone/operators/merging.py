@@ -46,7 +46,7 @@ def _step(a: Column, r: Column, curated: Column, equal: Callable[[Column, Column
     return merge_scalar(a["value"], a["confidence"], r["value"], r["confidence"], curated, equal=same)
 
 
-def applied(proposals: DataFrame, keys: list[str], order: list[str], start: DataFrame | None = None, equal: Callable[[Column, Column], Column] | None = None, most: int = 1_000) -> DataFrame:
+def applied(proposals: DataFrame, keys: list[str], order: list[str], start: DataFrame | None = None, equal: Callable[[Column, Column], Column] | None = None, most: int = 4_000) -> DataFrame:
     """Each proposal (keys, order, value, confidence) with what it does after the ones before it in order: action (keep, set or
     conflict) and the old_value and old_confidence that it met. start: keys, value, confidence and curated of what was there.
 
@@ -63,16 +63,15 @@ def applied(proposals: DataFrame, keys: list[str], order: list[str], start: Data
     hot = settled(rows.groupBy(*keys).count().filter(F.col("count") > most).select(*keys))
     few = rows if not hot.limit(1).count() else rows.join(hot, keys, "left_anti")
 
-    def folded(a: Column, r: Column) -> Column:
-        action = _step(a, r, F.col("_curated"), equal)
-        won = action == "set"
-        done = F.struct(r["pos"].alias("pos"), r["value"].alias("value"), r["confidence"].alias("confidence"), action.alias("action"), a["value"].alias("old_value"), a["confidence"].alias("old_confidence"))
-        return F.struct(F.when(won, r["value"]).otherwise(a["value"]).alias("value"), F.when(won, r["confidence"]).otherwise(a["confidence"]).alias("confidence"), F.concat(a["done"], F.array(done)).alias("done"))
+    def folded(held: Column, r: Column) -> Column:
+        return F.when(_step(F.element_at(held, -1), r, F.col("_curated"), equal) == "set", F.concat(held, F.array(r))).otherwise(held)
 
+    # The values that ever held, few; each proposal then meets the last one before it.
     listed = few.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pos", "value", "confidence"))).alias("rows"))
-    done = f"array<struct<pos:{rows.schema['pos'].dataType.simpleString()},value:{kind},confidence:double,action:string,old_value:{kind},old_confidence:double>>"
-    first = F.struct(F.col("_start.value").alias("value"), F.col("_start.confidence").alias("confidence"), F.array().cast(done).alias("done"))
-    got = with_start(listed).select(*keys, F.inline(F.aggregate("rows", first, folded)["done"]))
+    first = F.struct(F.lit(None).cast(rows.schema["pos"].dataType).alias("pos"), F.col("_start.value").alias("value"), F.col("_start.confidence").alias("confidence"))
+    held = with_start(listed).withColumn("_held", F.aggregate("rows", F.array(first), folded)).select(*keys, "_curated", "_held", F.explode("rows").alias("r"))
+    got = held.withColumn("_met", F.element_at(F.filter("_held", lambda h: h["pos"].isNull() | (h["pos"] < F.col("r.pos"))), -1))
+    got = got.select(*keys, "r.*", _step(F.col("_met"), F.col("r"), F.col("_curated"), equal).alias("action"), F.col("_met.value").alias("old_value"), F.col("_met.confidence").alias("old_confidence"))
     if few is not rows:
         got = got.unionByName(_applied_hot(with_start(rows.join(hot, keys, "left_semi")), keys, equal))
     return got.select(*keys, "pos.*", "value", "confidence", "action", "old_value", "old_confidence")
@@ -84,12 +83,14 @@ def _applied_hot(rows: DataFrame, keys: list[str], equal: Callable[[Column, Colu
     state = settled(rows.groupBy(*keys).agg(F.first("_start").alias("held"), F.first("_curated").alias("curated")).withColumn("since", none))
     history, active = state, rows.drop("_start", "_curated")
     while True:
-        met = active.join(state, keys).filter((F.col("since").isNull() | (F.col("pos") > F.col("since"))))
+        # What isn't above the confidence by MARGIN now won't be later.
+        met = active.join(state, keys).filter((F.col("since").isNull() | (F.col("pos") > F.col("since"))) & (F.col("held.value").isNull() | (F.col("confidence") > F.col("held.confidence") + MARGIN)))
+        met = settled(met)
         action = _step(F.col("held"), F.struct("value", "confidence"), F.col("curated"), equal)
         state = settled(met.filter(action == "set").groupBy(*keys).agg(F.min_by(F.struct("value", "confidence"), "pos").alias("held"), F.first("curated").alias("curated"), F.min("pos").alias("since")))
         if not state.limit(1).count():
             break
-        history = history.unionByName(state)
+        history, active = history.unionByName(state), met.select(*active.columns)
     until = F.lead("since").over(Window.partitionBy(*keys).orderBy(F.col("since").asc_nulls_first()))  # a row for each value that ever held
     spans = history.withColumn("until", until)
     got = rows.drop("_start", "_curated").join(spans, keys).filter((F.col("since").isNull() | (F.col("pos") > F.col("since"))) & (F.col("until").isNull() | (F.col("pos") <= F.col("until"))))
@@ -103,7 +104,7 @@ def outcome(labelled: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return labelled.groupBy(*keys).agg(last.alias("_last"), n("set").alias("n_set"), n("conflict").alias("n_conflict")).select(*keys, "_last.value", F.coalesce("_last.confidence", F.lit(0.0)).alias("confidence"), "n_set", "n_conflict")
 
 
-def fold_scalars(proposals: DataFrame, keys: list[str], order: list[str], value: str = "value", confidence: str = "confidence", most: int = 1_000) -> DataFrame:
+def fold_scalars(proposals: DataFrame, keys: list[str], order: list[str], value: str = "value", confidence: str = "confidence", most: int = 4_000) -> DataFrame:
     """Applies each key's proposals in order, each to the outcome of the ones before: keys, value, confidence (of the
     winner), n_set and n_conflict. A key's proposals are the runs that mention one field of one entity."""
     return outcome(applied(proposals.select(*keys, *order, F.col(value).alias("value"), F.col(confidence).alias("confidence")), keys, order, most=most), keys, order)

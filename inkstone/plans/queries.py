@@ -600,14 +600,14 @@ def person_pairs(t) -> DataFrame:
     return golden.person_pairs(known, found)
 
 
-EVENT_PAIRS_SQL = """WITH a AS (SELECT o_orderkey AS g, o_custkey % 10 AS ch, o_orderstatus AS ty, CASE WHEN o_custkey % 3 > 0 THEN o_custkey % 11 END AS pl, CASE WHEN o_orderkey % 4 > 0 THEN year(o_orderdate) END AS y FROM orders WHERE o_orderpriority = '1-URGENT'),
-b AS (SELECT o_orderkey AS c, o_custkey % 10 AS ch, o_orderstatus AS ty, CASE WHEN o_custkey % 3 > 0 THEN o_custkey % 11 END AS pl, CASE WHEN o_orderkey % 4 > 0 THEN year(o_orderdate) END AS y FROM orders WHERE o_orderpriority = '5-LOW'),
+EVENT_PAIRS_SQL = """WITH a AS (SELECT o_orderkey AS g, o_custkey % 100 AS ch, o_orderstatus AS ty, CASE WHEN o_custkey % 3 > 0 THEN o_custkey % 11 END AS pl, CASE WHEN o_orderkey % 4 > 0 THEN year(o_orderdate) END AS y FROM orders WHERE o_orderpriority = '1-URGENT'),
+b AS (SELECT o_orderkey AS c, o_custkey % 100 AS ch, o_orderstatus AS ty, CASE WHEN o_custkey % 3 > 0 THEN o_custkey % 11 END AS pl, CASE WHEN o_orderkey % 4 > 0 THEN year(o_orderdate) END AS y FROM orders WHERE o_orderpriority = '5-LOW'),
 pairs AS (SELECT a.ch, g, c FROM a JOIN b ON a.ch = b.ch AND a.ty = b.ty AND (a.pl IS NOT DISTINCT FROM b.pl OR coalesce(abs(a.y - b.y) <= 1, false) OR (a.y IS NULL AND b.y IS NULL)))
 """
 
 
 def _golden_events(t) -> tuple[DataFrame, DataFrame]:
-    side = lambda priority: t("orders").filter(F.col("o_orderpriority") == priority).select(F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 10).alias("chapter"), F.col("o_orderstatus").alias("type"), F.when(F.col("o_custkey") % 3 > 0, (F.col("o_custkey") % 11).cast("string")).alias("place"), F.when(F.col("o_orderkey") % 4 > 0, F.year("o_orderdate")).alias("year_bce"))
+    side = lambda priority: t("orders").filter(F.col("o_orderpriority") == priority).select(F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 100).alias("chapter"), F.col("o_orderstatus").alias("type"), F.when(F.col("o_custkey") % 3 > 0, (F.col("o_custkey") % 11).cast("string")).alias("place"), F.when(F.col("o_orderkey") % 4 > 0, F.year("o_orderdate")).alias("year_bce"))
     return side("1-URGENT"), side("5-LOW")
 
 

@@ -276,7 +276,7 @@ def test_extracting_and_loading_by_the_command_line(spark, tmp_path, capsys):
     with pytest.raises(SystemExit):
         cli.main(["golden-eval", folder, "r1", str(golden)])
     rows = {r["kind"]: r for r in map(json.loads, capsys.readouterr().out.splitlines())}
-    assert (rows["person"]["tp"], rows["event"]["tp"], rows["event"]["fn"]) == (1, 1, 1)
+    assert (rows["person"]["tp"], rows["event"]["tp"], rows["event"]["fn"]) == (1, 2, 0)  # both places unknown: 654 matches 650
 
 
 def test_golden_pair_and_verdict_files(spark, tmp_path):
