@@ -6,6 +6,7 @@ import json
 import os
 import subprocess
 import tempfile
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,15 +47,22 @@ def empty(spark: SparkSession, name: str) -> DataFrame:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """df through a checkpoint in spark.checkpoint.dir, which all executors share. Where none is set, a local session gets a
-    temporary folder, and a cluster an error."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and context.master != "local" and not context.master.startswith("local["):
+    """df, written as a table below spark.checkpoint.dir, which all executors share, and read again: cuts lineage, survives lost
+    executors, and its size is known to later joins. It is deleted when the driver ends. Where no folder is set, a local session
+    gets a temporary one, and a cluster an error."""
+    spark = df.sparkSession
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="inkstone-"))
-    return df.checkpoint()
+        top = f"file://{tempfile.mkdtemp(prefix='inkstone-')}"
+        spark.conf.set("spark.checkpoint.dir", top)
+    folder = f"{top.rstrip('/')}/inkstone-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def read_books(spark: SparkSession, path: str, corpus: str) -> DataFrame:
