@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 MASK = (1 << 64) - 1
 SLICE_BYTES = 4 << 20
+SMALL_SLICE = 1 << 20  # where several numbers are made of each byte
 
 
 # ---------------------------------------------------------------- tables and folders

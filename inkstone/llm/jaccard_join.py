@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkstone.llm.common import SLICE_BYTES, column_of, discarded, pack_sorted, parts_for, saved, shingle_sets, slices, unpack_sorted
+from inkstone.llm.common import SMALL_SLICE, column_of, discarded, pack_sorted, parts_for, saved, shingle_sets, slices, unpack_sorted
 
 LENGTHS = (1, 2, 3, 4, 6, 8, 12)  # the choices of l
 #: What a match costs that is made, moved and counted, over a candidate that is verified. Matches are weighed high: they
@@ -81,7 +81,7 @@ def classes_of(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=SMALL_SLICE):
                 sets = shingle_sets(column_of(part, "text"), width)
                 yield pa.RecordBatch.from_arrays([column_of(part, "doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_key(s) if len(s) else None for s in sets], pa.int64())], ["doc_id", "n_shingles", "class"])
 
@@ -103,7 +103,7 @@ def frequent_shingles(docs: DataFrame, width: int, least: int, most: int, ranges
 
         new = NewClasses()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=SMALL_SLICE):
                 upper = np.concatenate([s for s in shingle_sets(column_of(part, "text"), width) if new(class_key(s))] or [np.zeros(0, np.uint64)]) >> np.uint64(32)
                 held.append(upper.astype(np.uint32))
                 size += len(upper)
@@ -167,7 +167,7 @@ def postings_of(docs: DataFrame, width: int, percent: int, hot: tuple[np.ndarray
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = NewClasses()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=SMALL_SLICE):
                 columns = [[], [], [], []]
                 for s in shingle_sets(column_of(part, "text"), width):
                     if len(s) and new(key := class_key(s)):
@@ -192,7 +192,7 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text_a", SLICE_BYTES, "text_b"):
+            for part in slices(batch, "text_a", SMALL_SLICE, "text_b"):
                 one, two = shingle_sets(column_of(part, "text_a"), width), shingle_sets(column_of(part, "text_b"), width)
                 keep = []
                 for x, y in zip(one, two, strict=True):
@@ -230,7 +230,7 @@ def keyed(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=SMALL_SLICE):
                 keys = [class_key(s) if len(s) else None for s in shingle_sets(column_of(part, "text"), width)]
                 yield pa.RecordBatch.from_arrays([column_of(part, "text"), pa.array(keys, pa.int64())], ["text", "class"])
 
@@ -243,7 +243,7 @@ def texts_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame, width: int) ->
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:  # a doc_id may have other texts too
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=SMALL_SLICE):
                 keys = [class_key(s) for s in shingle_sets(column_of(part, "text"), width)]
                 yield part.filter(pa.array([k == c for k, c in zip(keys, column_of(part, "class").to_pylist(), strict=True)], pa.bool_()))
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from inkstone.llm.common import column_of, parts_for, saved, slices
 
-CACHED = 1_000_000
+CACHED = 400_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary, sequence_id long, offset long"
 
@@ -47,7 +47,7 @@ class WordBPE(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.whole = not is_word_bpe(json.loads(self.tokenizer.to_str()))  # another kind of tokenizer takes whole texts
+        self.whole = not is_word_bpe(self.tokenizer)  # another kind of tokenizer takes whole texts
         space, letter, number = r"\t-\r \x85\xa0", _ranges("L"), _ranges("N")
         self.runs = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{space}{letter}{number}]+")
         self.simple = re.compile(r"[\x00-įı-ſ]*")
@@ -79,12 +79,13 @@ PRE_TOKENIZER = {
 }
 
 
-def is_word_bpe(sections: dict) -> bool:
-    """Whether a tokenizer's sections are those for which texts may be cut into runs here. Added tokens have to begin with
+def is_word_bpe(tokenizer) -> bool:
+    """Whether a tokenizer's parts are those for which texts may be cut into runs here. Added tokens have to begin with
     "<|": texts with that are left whole."""
-    added = all(t["content"].startswith("<|") for t in sections["added_tokens"])
-    plain = sections["truncation"] is None and sections["padding"] is None and sections["model"]["type"] == "BPE"
-    return added and plain and sections["normalizer"] == NORMALIZER and sections["pre_tokenizer"] == PRE_TOKENIZER
+    part = lambda x: None if x is None else json.loads(x.__getstate__())  # noqa: E731  its section, without the vocabulary
+    added = all(t.content.startswith("<|") for t in tokenizer.get_added_tokens_decoder().values())
+    plain = tokenizer.truncation is None and tokenizer.padding is None and type(tokenizer.model).__name__ == "BPE"
+    return added and plain and part(tokenizer.normalizer) == NORMALIZER and part(tokenizer.pre_tokenizer) == PRE_TOKENIZER
 
 
 _tokenizers: dict[str, WordBPE] = {}

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkstone.llm.common import column_of, distinct_sorted, mix, saved, slices, text_bytes, word_hashes
+from inkstone.llm.common import SMALL_SLICE, column_of, distinct_sorted, mix, saved, slices, text_bytes, word_hashes
 from inkstone.llm.quality import labelled
 
 
@@ -126,7 +126,7 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, label: str = "to
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=SMALL_SLICE):
                 hashes, at = hashed(column_of(part, "text"))
                 sets = [distinct_sorted(hashes[a:b]) for a, b in zip(at, at[1:], strict=False)]
                 label = np.repeat(column_of(part, "label").to_numpy(zero_copy_only=False) > 0, [len(s) for s in sets])
@@ -155,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, label: str = "to
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=SMALL_SLICE):
                 doc, word, count = counted(column_of(part, "text"), vocabulary)
                 edges = np.searchsorted(doc, np.arange(part.num_rows + 1))
                 cut = lambda x: pa.array([x[i:j].astype("<i4").tobytes() for i, j in zip(edges, edges[1:], strict=False)], pa.binary())  # noqa: E731, B023
@@ -180,7 +180,7 @@ def graded(docs: DataFrame, model: Severity, limit: float = 0.5) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=SMALL_SLICE):
                 above = model.above(column_of(part, "text"))
                 yield pa.RecordBatch.from_arrays([column_of(part, "doc_id"), pa.array(above.sum(axis=1)), *(pa.array(x) for x in above.T), pa.array((above[:, 0] >= limit).astype(np.int32))], ["doc_id", "severity", *names, "toxic"])
 
@@ -192,7 +192,7 @@ def clean(docs: DataFrame, model: Severity, limit: float = 0.5) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=SMALL_SLICE):
                 yield part.filter(pa.array(model.above(column_of(part, "text"))[:, 0] < limit))
 
     return docs.mapInArrow(run, docs.schema)
