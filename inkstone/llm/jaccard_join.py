@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from inkstone.llm.common import SMALL_SLICE, column_of, discarded, pack_sorted, parts_for, saved, shingle_sets, slices, unpack_sorted
 
@@ -204,12 +205,12 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(checked, "a long, b long")
 
 
-def components(edges: DataFrame, most: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """class and component (its least class) of the classes in edges (a, b), by large and small stars in turn. Each
-    turn is written to the shared folder; turns go on until the links don't change, or fail beyond `most`."""
+    turn is written to the shared folder; turns go on until the links don't change."""
     edges = saved(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
     before = None
-    for _ in range(most):
+    while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), "a").alias("low"))
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
@@ -222,7 +223,6 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
             low = edges.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "class")
             return low.unionByName(edges.select(F.col("b").alias("class"), F.col("b").alias("component")).distinct().join(low.select("class"), "class", "left_anti"))
         before = state
-    raise RuntimeError("components did not settle")
 
 
 def keyed(docs: DataFrame, width: int) -> DataFrame:
@@ -387,16 +387,16 @@ def jaccard_join(docs: DataFrame, width: int = 5, threshold: float = 0.75, frequ
     return rows.join(by_class, "class", "left").select("doc_id", "n_shingles", F.coalesce("component_id", F.when(F.col("class").isNull(), F.col("doc_id"))).alias("component_id"))
 
 
-def class_of(width: int):
-    """The class of a text as a column function."""
-    import pandas as pd  # here alone: the other workers have no use for its memory
+def with_class(docs: DataFrame, width: int, name: str) -> DataFrame:
+    """docs with the class of each text (null without shingles) in a column of that name, which docs doesn't have."""
 
-    @F.pandas_udf("long")
-    def keys(text: pd.Series) -> pd.Series:
-        batch = pa.RecordBatch.from_arrays([pa.array(text, pa.string(), from_pandas=True)], ["text"])
-        return pd.Series([class_key(s) if len(s) else None for part in slices(batch) for s in shingle_sets(part.column(0), width)], dtype="Int64")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, most=SMALL_SLICE):
+                keys = [class_key(s) if len(s) else None for s in shingle_sets(column_of(part, "text"), width)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(keys, pa.int64())], [*part.schema.names, name])
 
-    return keys
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
 
 
 def one_of_each(docs: DataFrame, width: int = 5, threshold: float = 0.75, frequent: int = 1 << 18, hot: int = 12, run: int = 1_000) -> DataFrame:
@@ -416,9 +416,10 @@ def one_of_each(docs: DataFrame, width: int = 5, threshold: float = 0.75, freque
     if not unclear.limit(1).count():
         return kept
     repeated = few(unclear.filter("doc_id IS NOT NULL"))
-    key = "class" + "_" * max(map(len, docs.columns))
-    unsure = docs.join(repeated, "doc_id", "left_semi").unionByName(docs.filter("doc_id IS NULL")).withColumn(key, class_of(width)("text"))
-    winners = stays.select(F.col("doc_id").alias("_id"), F.col("class").alias("_class"))
-    one = unsure.join(winners, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(key) == F.col("_class")), "left_semi").dropDuplicates(["doc_id", key])
+    longest = "_" * max(map(len, docs.columns))  # no column of docs has a name that ends so
+    key, id_of, class_of = f"class{longest}", f"id{longest}", f"first{longest}"
+    unsure = with_class(docs.join(repeated, "doc_id", "left_semi").unionByName(docs.filter("doc_id IS NULL")), width, key)
+    winners = stays.select(F.col("doc_id").alias(id_of), F.col("class").alias(class_of))
+    one = unsure.join(winners, F.col("doc_id").eqNullSafe(F.col(id_of)) & (F.col(key) == F.col(class_of)), "left_semi").dropDuplicates(["doc_id", key])
     sure = kept.filter("doc_id IS NOT NULL").join(repeated, "doc_id", "left_anti")
     return sure.unionByName(unsure.filter(F.col(key).isNull()).select(*docs.columns)).unionByName(one.select(*docs.columns)).select(*docs.columns)

@@ -19,7 +19,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
-    return quality.scored(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return quality.scored(docs, model).select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +33,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = kneser_ney.perplexity(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
-    return got.select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+    return got.select("doc_id", F.coalesce(fold("doc_id", 7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -509,7 +509,7 @@ def test_one_of_each_with_repeated_and_null_ids(spark):
     words = [f"w{k}" for k in range(60)]
     near, other = " ".join([*words[:-2], "x", "y"]), " ".join(f"z{k}" for k in range(20))
     rows = [(1, " ".join(words)), (2, near), (2, other), (3, other), (3, other), (4, "alone"), (4, "alone"), (None, " ".join(words)), (None, "no id"), (None, "no id"), (5, ""), (5, ""), (6, None), (2, "a third text of two")]
-    docs = spark.createDataFrame([(i, t, "k", 1) for i, t in rows], "doc_id long, text string, class string, n_rows int").repartition(3)
+    docs = spark.createDataFrame([(i, t, "k", 1, 5, [2], "c") for i, t in rows], "doc_id long, text string, class string, n_rows int, _id int, _class array<int>, first string").repartition(3)
     kept = jaccard_join.one_of_each(docs)
     assert kept.columns == docs.columns
     got = Counter((r["doc_id"], r["text"]) for r in kept.collect())
