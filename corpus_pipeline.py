@@ -2,6 +2,12 @@
 
 A stage is (name, function of (spark, docs, sf_dir)); run() writes each stage's rows to the shared folder and reads them
 again as the next one's docs. All but the last keep the columns of docs. SQL expresses none of the stages: see their tests.
+
+Defined results: a null text counts as empty; the first two stages judge every row by its text alone, so rows of a null or
+repeated doc_id are judged each by itself, and labels of a repeated id count for each of its rows; of near duplicates the row of
+the least doc_id stays (one without an id only where no other has one; of equal rows any one), and rows without words all stay;
+packing packs every row that is left, a null doc_id staying null. Empty tables give an empty result; a table of labels without
+rows rejects nothing. Further columns, of any names, are carried by the first three stages and left out of the last.
 """
 
 from __future__ import annotations
