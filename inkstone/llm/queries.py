@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkstone.llm import additive_quantisation, jaccard_join, kneser_ney, license_scan, packing, quality, sentencepiece_codec, tiff, token_counts, toxicity
+from inkstone.llm import additive_quantisation, bpe_codec, jaccard_join, kneser_ney, license_scan, packing, quality, sentencepiece_codec, tiff, token_counts, toxicity, vector_codes, whitening
 from inkstone.llm.common import fold, table, tokenizer_path
 from inkstone.llm.license_templates import TEMPLATES
 
@@ -57,8 +57,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), token_counts.sentencepiece_vocabulary(tokenizer_path("piece_bpe_32k.model")))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = bpe_codec.coded(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    digest = lambda c: F.sha2(c, 256)
+    return got.select("doc_id", "n_tokens", digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"), digest("decoded").alias("decoded_sha256"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = vector_codes.product_codes(table(spark, sf_dir, "embeddings"))
+    hexed = F.concat_ws("", F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")))
+    return got.select("vec_id", hexed.alias("code"), F.col("error").cast("long").alias("error"), F.col("label_error").cast("long").alias("label_error"), "codebooks_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
-    **{f.__name__: f for f in (op1_license_scan, op2_quality, op3_packing, op4_toxicity, op5_kneser_ney, op6_sentencepiece, op7_additive_quantisation, op8_tiff, op9_jaccard_join, op10_token_counts)},
+    **{f.__name__: f for f in (op1_license_scan, op2_quality, op3_packing, op4_toxicity, op5_kneser_ney, op6_sentencepiece, op7_additive_quantisation, op8_tiff, op9_jaccard_join, op10_token_counts, op11_whitening, op12_bpe, op13_vector_codes)},
 }
 ORACLES: dict[str, str] = {}
