@@ -178,107 +178,6 @@ def load_edges(existing: DataFrame, incoming: DataFrame, key: list[str], kind: s
     return good.join(there, same, "left_anti")
 
 
-def accept_merge(pair: tuple[str, str], persons: DataFrame, variants: DataFrame, edges: dict[str, tuple[DataFrame, str, list[str]]]) -> dict[str, DataFrame]:
-    """Merges the second person into the first: null fields are filled, names become variants, edges are retargeted.
-    edges: table, its person column and its key, by name. Fields that are set and differ raise."""
-    into, out = pair
-    a, b = persons.filter(F.col("id") == into).first(), persons.filter(F.col("id") == out).first()
-    if a is None or b is None:
-        raise ValueError(f"no such person: {into if a is None else out}")
-    fields = [c for c in persons.columns if c not in ("id", "canonical_name", "confidence")]
-    if differ := [c for c in fields if a[c] is not None and b[c] is not None and a[c] != b[c]]:
-        raise ValueError(f"fields differ: {', '.join(differ)}")
-    filled = persons.filter(F.col("id") != out)
-    filled = filled.withColumns({c: F.when(F.col("id") == into, F.coalesce(F.col(c), F.lit(b[c]))).otherwise(F.col(c)) for c in fields})
-    spark = persons.sparkSession
-    named = variants.withColumn("person_id", F.when(F.col("person_id") == out, into).otherwise(F.col("person_id")))
-    named = named.unionByName(spark.createDataFrame([(into, b["canonical_name"], "alias")], "person_id string, variant string, kind string"), allowMissingColumns=True).dropDuplicates(["person_id", "variant"])
-    remap = spark.createDataFrame([(out, into)], "old_id string, new_id string")
-    return {"persons": filled, "variants": named} | {name: retarget(table, remap, column, key) for name, (table, column, key) in edges.items()}
-
-
-# What a curator may edit when merging, and what is filled from the merged person.
-EDITABLE = ("gender", "birth_date_json", "death_date_json", "notes", "state_id", "clan_name", "canonical_name")
-FILLED = ("gender", "birth_date_json", "death_date_json", "notes", "state_id", "clan_name")
-#: Tables of edges: their person columns and their key.
-PERSON_EDGES = {
-    "event_participants": (("person_id",), ("event_id", "person_id", "role")),
-    "person_relations": (("from_person_id", "to_person_id"), ("from_person_id", "to_person_id", "kind")),
-    "person_states": (("person_id",), ("person_id", "state_id", "role", "from_date_json")),
-}
-
-
-def accept_merges(accepted: DataFrame, tables: dict[str, DataFrame], edits: DataFrame | None = None) -> dict[str, DataFrame]:
-    """New versions of tables after the accepted merge candidates (mc_id, the columns of none else needed), all at once.
-
-    tables: merge_candidates (id, target_id, candidate_id, status), persons, person_variants, entity_citations, and the tables
-    of PERSON_EDGES, whichever there are; edits: mc_id, field, value of the surviving person, made before anything else.
-    Gives these tables, `audit_log` (rows to append: edit, merge, merge_collision_resolved) and `refused` (mc_id, reason).
-
-    Refused are candidates that aren't open, name unknown persons, share a person with another accepted one, edit a field that
-    isn't in EDITABLE, or would overwrite a field of FILLED that is set otherwise. Else the surviving person's null fields are
-    filled, the other's variants and edges become its own, of two edges of one key the one of higher confidence stays (ties:
-    the survivor's), edges between the two go, and the other person goes."""
-    people, queue = tables["persons"], tables["merge_candidates"]
-    pair = accepted.select("mc_id").distinct().join(queue.select(F.col("id").alias("mc_id"), F.col("target_id").alias("into"), F.col("candidate_id").alias("out"), "status"), "mc_id", "left")
-    edits = edits if edits is not None else accepted.limit(0).select("mc_id", F.lit("").alias("field"), F.lit("").alias("value"))
-    edits = edits.join(accepted.select("mc_id").distinct(), "mc_id", "left_semi")
-    barred = edits.filter(~F.col("field").isin(*EDITABLE)).groupBy("mc_id").agg(F.min("field").alias("barred"))
-    ends = pair.select("mc_id", F.explode(F.array("into", "out")).alias("id"))
-    shared = ends.join(ends.groupBy("id").count().filter("count > 1"), "id").select("mc_id").distinct().withColumn("shared", F.lit(True))
-    wide = edits.filter(F.col("field").isin(*EDITABLE)).groupBy("mc_id").pivot("field", list(EDITABLE)).agg(F.max("value"))
-    person = lambda k: people.select(F.struct(*people.columns).alias(k))
-    got = pair.join(person("a"), F.col("into") == F.col("a.id"), "left").join(person("b"), F.col("out") == F.col("b.id"), "left").join(barred, "mc_id", "left").join(shared, "mc_id", "left").join(wide, "mc_id", "left")
-    fields = [f for f in EDITABLE if f in people.columns]
-    after = {f: F.coalesce(F.col(f).cast(people.schema[f].dataType), F.col(f"a.{f}")) for f in fields}
-    differ = F.concat_ws(", ", *(F.when(after[f] != F.col(f"b.{f}"), f) for f in fields if f in FILLED))
-    reason = (
-        F.when(F.col("status").isNull(), "no such merge candidate").when(F.col("status") != "open", F.concat(F.lit("status is "), "status"))
-        .when(F.col("a").isNull() | F.col("b").isNull(), "no such person").when(F.col("shared"), "shares a person with another merge")
-        .when(F.col("barred").isNotNull(), F.concat(F.lit("may not be edited: "), "barred")).when(differ != "", F.concat(F.lit("fields differ: "), differ))
-    )
-    judged = settled(got.select("mc_id", "into", "out", "a", "b", reason.alias("reason"), F.struct(*(after[f].alias(f) for f in fields)).alias("edited")))
-    good = judged.filter("reason IS NULL")
-    remap = good.select(F.col("out").alias("old_id"), F.col("into").alias("new_id"))
-
-    set_to = good.select(F.col("into").alias("id"), *(F.coalesce(F.col(f"edited.{f}"), F.col(f"b.{f}") if f in FILLED else F.lit(None)).alias(f"_{f}") for f in fields), F.lit(True).alias("_set"))
-    persons = people.join(remap, F.col("id") == F.col("old_id"), "left_anti").join(set_to, "id", "left")
-    persons = persons.select(*(F.when(F.col("_set"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in fields else F.col(c) for c in people.columns))
-
-    out = {"persons": persons, "merge_candidates": queue.join(good.select(F.col("mc_id").alias("id"), F.lit(True).alias("_done")), "id", "left").withColumn("status", F.when(F.col("_done"), "merged").otherwise(F.col("status"))).select(*queue.columns)}
-    entry = lambda kind, entity, change, before, later, field=None: [F.lit(kind).alias("entity_kind"), entity.alias("entity_id"), F.lit(field).cast("string").alias("field") if field is None else field.alias("field"), F.lit(change).alias("change_kind"), before.alias("before_json"), later.alias("after_json")]
-    nothing = F.lit(None).cast("string")
-    valued = lambda c: F.to_json(F.struct(c.alias("value"), F.lit(1.0).alias("confidence")), {"ignoreNullFields": "false"})
-    changed = edits.join(good, "mc_id")
-    was = F.coalesce(*(F.when(F.col("field") == f, F.col(f"a.{f}").cast("string")) for f in fields))
-    audit = changed.select(*entry("person", F.col("into"), "edit", valued(was), valued(F.col("value")), F.col("field")))
-    audit = audit.unionByName(good.select(*entry("person", F.col("into"), "merge", F.to_json("b"), F.to_json("edited"))))
-    if "person_variants" in tables:
-        own = tables["person_variants"]
-        moved = own.join(remap, F.col("person_id") == F.col("old_id"), "left").withColumn("person_id", F.coalesce("new_id", "person_id")).select(*own.columns)
-        out["person_variants"] = moved.dropDuplicates(["person_id", "variant", "kind"])
-    if "entity_citations" in tables:
-        own = tables["entity_citations"]
-        is_person = F.col("entity_kind") == "person"
-        moved = own.join(remap, is_person & (F.col("entity_id") == F.col("old_id")), "left").withColumn("entity_id", F.coalesce("new_id", "entity_id")).select(*own.columns)
-        out["entity_citations"] = moved.dropDuplicates(["entity_kind", "entity_id", "citation_id"])
-    for name, (columns, key) in PERSON_EDGES.items():
-        if name not in tables:
-            continue
-        own = tables[name]
-        moved = own.withColumn("_row", F.struct(*own.columns)).withColumn("_moved", F.lit(False))
-        for c in columns:
-            ids = remap.select(F.col("old_id").alias(c), F.col("new_id").alias("_new"))
-            moved = moved.join(ids, c, "left").withColumn("_moved", F.col("_moved") | F.col("_new").isNotNull()).withColumn(c, F.coalesce("_new", c)).drop("_new")
-        looped = F.col("_moved") & F.col(columns[0]).eqNullSafe(F.col(columns[-1])) if len(columns) == 2 else F.lit(False)
-        place = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("confidence"), "_moved", *(f"_row.{k}" for k in key)))
-        moved = moved.withColumn("_place", place).withColumn("_gone", looped | ((F.col("_place") > 1) & F.max("_moved").over(Window.partitionBy(*key))))
-        out[name] = moved.filter("NOT _gone").select(*own.columns)
-        gone = moved.filter("_gone").select(*entry(name[:-1], F.concat_ws(":", *(F.coalesce(F.col(f"_row.{k}").cast("string"), F.lit("null")) for k in key)), "merge_collision_resolved", F.to_json("_row"), nothing))
-        audit = audit.unionByName(gone)
-    return out | {"audit_log": audit, "refused": judged.filter("reason IS NOT NULL").select("mc_id", "reason")}
-
-
 def split_person(persons: DataFrame, variants: DataFrame, person: str, new_id: str, new_name: str, peeled: list[str]) -> tuple[DataFrame, DataFrame]:
     """A new person with some of another's variants; relations stay. A variant that isn't there raises."""
     held = {r["variant"] for r in variants.filter(F.col("person_id") == person).filter(F.col("variant").isin(peeled)).select("variant").collect()}

@@ -136,29 +136,6 @@ def test_relations_are_appended_once(spark):
     assert [r["entity_id"] for r in kept["audit_log"].collect()] == ["per:a:sta:jin:ruler:null"]
 
 
-def test_accepted_merges(spark):
-    persons = spark.createDataFrame([("a", "重耳", None, "ji"), ("b", "晋文公", "sta:jin", "ji"), ("c", "x", None, None), ("d", "y", "sta:qi", None), ("e", "z", "sta:lu", None), ("f", "w", None, None)], "id string, canonical_name string, state_id string, clan_name string")
-    queue = spark.createDataFrame([("m1", "a", "b", "open"), ("m2", "d", "e", "open"), ("m3", "c", "f", "merged"), ("m4", "c", "zz", "open")], "id string, target_id string, candidate_id string, status string")
-    relations = spark.createDataFrame([("a", "b", "ally", 0.9), ("b", "c", "parent", 0.5), ("a", "c", "parent", 0.5), ("c", "b", "ally", 0.7), ("d", "d", "ally", 0.1)], "from_person_id string, to_person_id string, kind string, confidence double")
-    states = spark.createDataFrame([("a", "sta:jin", "ruler", None, 0.3), ("b", "sta:jin", "ruler", None, 0.8)], "person_id string, state_id string, role string, from_date_json string, confidence double")
-    cites = spark.createDataFrame([("person", "a", "k"), ("person", "b", "k"), ("person", "b", "j"), ("event", "b", "k")], "entity_kind string, entity_id string, citation_id string")
-    variants = spark.createDataFrame([("a", "文公", "谥号"), ("b", "文公", "谥号"), ("b", "公子", "别名")], "person_id string, variant string, kind string")
-    tables = {"persons": persons, "merge_candidates": queue, "person_relations": relations, "person_states": states, "entity_citations": cites, "person_variants": variants}
-    accepted = spark.createDataFrame([("m1",), ("m2",), ("m3",), ("m4",), ("m9",)], "mc_id string")
-    edits = spark.createDataFrame([("m1", "canonical_name", "晋侯重耳")], "mc_id string, field string, value string")
-    got = merging.accept_merges(accepted, tables, edits)
-    rows = lambda name: sorted(tuple(r) for r in got[name].collect())
-    assert ("a", "晋侯重耳", "sta:jin", "ji") in rows("persons") and "b" not in {r[0] for r in rows("persons")} and len(rows("persons")) == 5
-    assert rows("refused") == [("m2", "fields differ: state_id"), ("m3", "status is merged"), ("m4", "no such person"), ("m9", "no such merge candidate")]
-    assert {r[0]: r[3] for r in rows("merge_candidates")} == {"m1": "merged", "m2": "open", "m3": "merged", "m4": "open"}
-    assert rows("person_relations") == [("a", "c", "parent", 0.5), ("c", "a", "ally", 0.7), ("d", "d", "ally", 0.1)] and rows("person_states") == [("a", "sta:jin", "ruler", None, 0.8)]
-    assert rows("entity_citations") == [("event", "b", "k"), ("person", "a", "j"), ("person", "a", "k")] and len(rows("person_variants")) == 2
-    changes = sorted((r["change_kind"], r["entity_kind"]) for r in got["audit_log"].collect())
-    assert changes == [("edit", "person"), ("merge", "person"), ("merge_collision_resolved", "person_relation"), ("merge_collision_resolved", "person_relation"), ("merge_collision_resolved", "person_state")]
-    barred = merging.accept_merges(accepted.filter("mc_id = 'm1'"), tables, spark.createDataFrame([("m1", "id", "q")], "mc_id string, field string, value string"))
-    assert [tuple(r) for r in barred["refused"].collect()] == [("m1", "may not be edited: id")] and barred["persons"].count() == 6
-
-
 def test_link_writes_and_stats(spark):
     actions = spark.createDataFrame([("p1", "t1", 90, "auto"), ("p2", "t2", 50, "queue"), ("p3", None, None, "skip"), ("p4", "t1", 50, "rejected")], "cand string, target string, score100 int, action string")
     best = spark.createDataFrame([(c, t, "strong", "same", "same", "same", "unknown") for c, t in (("p1", "t1"), ("p2", "t2"), ("p4", "t1"))], "cand string, target string, overlap string, state string, clan string, social string, time string")

@@ -123,21 +123,13 @@ def test_importance_rewards_rare_deeds(spark):
     assert got["e0"] > got["f0"]
 
 
-def test_accept_and_split(spark):
+def test_split(spark):
     persons = spark.createDataFrame([("a", "重耳", None, 0.9), ("b", "晋文公", "sta:jin", 0.8)], "id string, canonical_name string, state_id string, confidence double")
     variants = spark.createDataFrame([("a", "公子重耳", "alias"), ("b", "文公", "posthumous")], "person_id string, variant string, kind string")
-    edges = spark.createDataFrame([("e", "a", "lord", 0.7), ("e", "b", "lord", 0.7), ("f", "b", "lord", 0.5)], "event_id string, person_id string, role string, confidence double")
-    got = merging.accept_merge(("a", "b"), persons, variants, {"participants": (edges, "person_id", ["event_id", "person_id", "role"])})
-    assert [tuple(r) for r in got["persons"].collect()] == [("a", "重耳", "sta:jin", 0.9)]
-    assert {r["variant"] for r in got["variants"].collect()} == {"公子重耳", "文公", "晋文公"}
-    assert got["participants"].count() == 2
     people, moved = merging.split_person(persons, variants, "b", "c", "新", ["文公"])
     assert people.count() == 3 and moved.filter("person_id = 'c'").count() == 1
     with pytest.raises(ValueError, match="no such variants"):
         merging.split_person(persons, variants, "b", "c", "新", ["无"])
-    clash = persons.withColumn("state_id", F.when(F.col("id") == "a", "sta:qi").otherwise(F.col("state_id")))
-    with pytest.raises(ValueError, match="fields differ"):
-        merging.accept_merge(("a", "b"), clash, variants, {})
 
 
 def test_greedy_matches(spark):
