@@ -114,19 +114,23 @@ def load(spark: SparkSession, a: argparse.Namespace) -> None:
     written = {}
     local = lambda df, key: df.select("run", last_segment(F.col("id")).alias("local_id"), F.col(key).alias("id"))
     ids = {}
-    for kind, fields in (("places", ["type", "lat", "lon", "coord_confidence", "modern_equiv"]), ("states", ["type", "ruling_clan", "founded_date_json", "ended_date_json"])):
-        own = candidates(kind)
-        got = storage.settled(merging.load_by_name(tables[kind], own.withColumn("seq", F.monotonically_increasing_id()), fields, "sta:" if kind == "states" else "pla:"))
-        ids[kind] = local(own.join(got.select(F.col("id").alias("_id"), "name"), "name"), "_id")
-        tables[kind] = got.drop("created").select(*tables[kind].columns)
-        written[kind] = got.filter("created").count()
+    appended: dict[str, list[DataFrame]] = {}
+    for kind in ("place", "state"):
+        own = candidates(f"{kind}s")
+        got = loading.load_named(kind, own.withColumn("seq", F.monotonically_increasing_id()), tables)
+        ids[f"{kind}s"] = local(own.join(got["ids"], "id"), "entity_id")
+        before, tables[f"{kind}s"] = tables[f"{kind}s"], storage.settled(got[f"{kind}s"])
+        written[f"{kind}s"] = tables[f"{kind}s"].count() - before.count()
+        for name in ("entity_citations", "audit_log"):
+            appended.setdefault(name, []).append(got[name])
     people = candidates("persons")
     got = loading.load_persons(validation.resolve_ids(people, "state_id", ids["states"]), tables, a.run)
     ids["persons"] = local(people.join(got["ids"], "id"), "person_id")
     results = {"persons": got["persons"].withColumn("run", F.lit(a.run))}
     old = tables["persons"].select("id", F.col("run").alias("_run"))
     tables["persons"] = results["persons"].join(old, "id", "left").withColumn("run", F.coalesce("_run", "run")).select(*tables["persons"].columns)
-    appended = {name: [got[name]] for name in ("person_variants", "entity_citations", "audit_log", "conflicts")}
+    for name in ("person_variants", "entity_citations", "audit_log", "conflicts"):
+        appended.setdefault(name, []).append(got[name])
     events = candidates("events")
     got = loading.load_events(validation.resolve_ids(events, "primary_place_id", ids["places"]), tables, a.run)
     ids["events"] = local(events.join(got["ids"], "id"), "event_id")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkstone.functions.text import json_equal
+from inkstone.functions.text import json_equal, slug
 from inkstone.operators.merging import MARGIN, applied, inverse_conflicts, load_edges, outcome
 from inkstone.operators.validation import match_events, match_persons
 from inkstone.sources.storage import settled
@@ -127,6 +127,84 @@ def load_persons(candidates: DataFrame, tables: dict[str, DataFrame], run: str)
     }
 
 
+#: Of entities that are known by their name: the fields that are merged and the beginning of new ids.
+NAMED = {
+    "place": (("type", "lat", "lon", "coord_confidence", "modern_equiv"), "pla:"),
+    "state": (("type", "ruling_clan", "founded_date_json", "ended_date_json"), "sta:"),
+}
+
+
+def new_ids(names: DataFrame, existing: DataFrame, prefix: str) -> DataFrame:
+    """name and id of new names (name, pos): the name's slug; where an id of `existing` or an earlier name has it, with a hash behind."""
+    slugs = names.select("name", "pos", F.concat(F.lit(prefix), slug(F.col("name"))).alias("_slug"))
+    taken = existing.select(F.col("id").alias("_slug"), F.lit(True).alias("_taken")).distinct()
+    first = slugs.groupBy("_slug").agg(F.min(F.struct("pos", "name")).alias("_first"))
+    both = slugs.join(taken, "_slug", "left").join(first, "_slug")
+    plain = F.col("_taken").isNull() & (F.col("name") == F.col("_first.name"))
+    return both.select("name", F.when(plain, F.col("_slug")).otherwise(F.concat("_slug", F.lit("-"), F.substring(F.sha2("name", 256), 1, 6))).alias("id"))
+
+
+def load_named(kind: str, candidates: DataFrame, tables: dict[str, DataFrame], fields: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
+    """What candidates make of the places or states, one after the other: by seq, then id.
+
+    candidates: id, name, the fields, confidence, chunk_id, seq (left out: by id). tables: the entities (id, name, the fields, confidence and
+    more) by `kind` and an s, entity_citations, audit_log. The first candidate of a new name makes it. Each other one sets the fields that
+    are null, without touching the entity's confidence, and those that differ and whose confidence its own exceeds by more than MARGIN,
+    which becomes the entity's, too. A field's confidence is that of its last audit entry, or else, or if that is 0, the entity's. Gives the new
+    entities, the rows to append to entity_citations and audit_log, and `ids` (id, entity_id).
+
+    A field changes a few times at most, since its confidence has to rise; so each turn finds the next candidate of every name that
+    changes anything, as a minimum, and no name's candidates are gathered.
+
+    Defined results: null names are left out; of several entities of one name the least id is meant; a null confidence fills what is null
+    and overwrites nothing; candidates of equal seq go by id; empty tables give empty results."""
+    usual, prefix = NAMED[kind]
+    fields = usual if fields is None else fields
+    there = tables[f"{kind}s"]
+    order = "seq" if "seq" in candidates.columns else "id"
+    own = settled(candidates.filter("name IS NOT NULL").select(F.col("id").alias("cand"), "name", F.struct(F.col(order).alias("seq"), F.col("id").alias("id")).alias("pos"), *(F.col(f).cast(there.schema[f].dataType).alias(f) for f in fields), F.col("confidence").cast("double").alias("c"), "chunk_id"))
+    none = F.lit(None).cast(own.schema["pos"].dataType)
+    known = there.filter("name IS NOT NULL").groupBy("name").agg(F.min_by(F.struct("id", F.col("confidence").cast("double").alias("confidence"), *fields), "id").alias("e"))
+    said = tables["audit_log"].filter((F.col("entity_kind") == kind) & F.col("field").isin(*fields)).groupBy(F.col("entity_id").alias("id"), "field").agg(F.max_by(F.get_json_object("after_json", "$.confidence").try_cast("double"), F.struct("at", "seq")).alias("p"))
+    said = said.groupBy("id").pivot("field", list(fields)).agg(F.first("p")).select("id", *(F.col(f).alias(f"p_{f}") for f in fields))
+    names = own.groupBy("name").agg(F.min(F.struct("pos", *fields, "c")).alias("m"))
+    started = names.join(known, "name").select("name", F.col("e.id").alias("id"), none.alias("since"), F.coalesce("e.confidence", F.lit(0.0)).alias("r"), *(F.col(f"e.{f}").alias(f"v_{f}") for f in fields)).join(said, "id", "left")
+    fresh = settled(names.join(known.select("name"), "name", "left_anti"))
+    made = fresh.join(new_ids(fresh.select("name", F.col("m.pos").alias("pos")), there, prefix), "name")
+    made = made.select("id", "name", F.col("m.pos").alias("since"), F.coalesce("m.c", F.lit(0.0)).alias("r"), *(F.col(f"m.{f}").alias(f"v_{f}") for f in fields), *(F.lit(None).cast("double").alias(f"p_{f}") for f in fields))
+    state = settled(started.select(*made.columns).unionByName(made))
+    created = settled(state.filter("since IS NOT NULL").select("id", "name", F.col("r").alias("c")))
+
+    prior = {f: F.coalesce(F.when(F.col(f"p_{f}") != 0, F.col(f"p_{f}")), F.col("r")) for f in fields}
+    fills = lambda new, f: new.isNotNull() & F.col(f"v_{f}").isNull()
+    over = lambda new, c, f: new.isNotNull() & F.coalesce((F.col(f"v_{f}") != new) & (c > prior[f] + MARGIN), F.lit(False))
+    any_of = lambda conditions: F.greatest(*conditions) if len(conditions) > 1 else conditions[0]
+    final, audit = state, _entries(created, kind, F.col("id"), "create", _json(value=F.col("name"), confidence=F.col("c")))
+    while True:
+        met = own.join(state, "name").filter(F.col("since").isNull() | (F.col("pos") > F.col("since"))).filter(any_of([fills(F.col(f), f) | over(F.col(f), F.col("c"), f) for f in fields]))
+        first = met.groupBy("name").agg(F.min(F.struct("pos", *fields, "c")).alias("m"))
+        step = settled(state.join(first, "name"))
+        if not step.limit(1).count():
+            break
+        new = {f: F.col(f"m.{f}") for f in fields}
+        sets = {f: fills(new[f], f) | over(new[f], F.col("m.c"), f) for f in fields}
+        for f in fields:
+            before = F.when(F.col(f"v_{f}").isNotNull(), _json(value=F.col(f"v_{f}"), confidence=prior[f]))
+            audit = audit.unionByName(_entries(step.filter(sets[f]), kind, F.col("id"), "set", _json(value=new[f], confidence=F.col("m.c")), F.lit(f), before))
+        r = F.when(any_of([over(new[f], F.col("m.c"), f) for f in fields]), F.col("m.c")).otherwise(F.col("r")).alias("r")
+        state = settled(step.select("id", "name", F.col("m.pos").alias("since"), r, *(F.when(sets[f], new[f]).otherwise(F.col(f"v_{f}")).alias(f"v_{f}") for f in fields), *(F.when(sets[f], F.coalesce("m.c", F.lit(0.0))).otherwise(F.col(f"p_{f}")).alias(f"p_{f}") for f in fields)))
+        final = settled(final.join(state.select("name"), "name", "left_anti").unionByName(state))
+    held = final.select("id", F.col("name").alias("_name"), F.lit(True).alias("_held"), "r", *(f"v_{f}" for f in fields))
+    both = there.join(held, "id", "full")
+    now = lambda c: F.when(F.col("_held"), F.col(f"v_{c}")).otherwise(F.col(c)) if c in fields else F.coalesce(c, "_name") if c == "name" else F.coalesce("r", c) if c == "confidence" else F.col(c)
+    entities = both.select(*((F.coalesce(c, F.when(F.col("_held"), F.lit(PROVENANCE))) if c == "provenance" else now(c)).alias(c) for c in there.columns))
+    ids = own.select("cand", "name", "chunk_id").join(final.select("name", F.col("id").alias("entity_id")), "name")
+    return {
+        f"{kind}s": entities, "audit_log": audit, "ids": ids.select(F.col("cand").alias("id"), "entity_id"),
+        "entity_citations": _citations(tables["entity_citations"], kind, ids, "entity_id", "chunk_id"),
+    }
+
+
 def merged_dates(entities: DataFrame, matched: DataFrame) -> DataFrame:
     """id and date_json of the entities whose date the matched candidates change, each of them acting in order: a more precise
     date wins with a confidence up to MARGIN below the row's, a less precise one needs more than MARGIN above it, and else the

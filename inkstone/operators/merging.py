@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkstone.functions.text import slug
 from inkstone.sources.storage import settled
 
 # Ranks of a date's precision and the confidence margins of the merge rules.
@@ -150,25 +149,6 @@ def conflict_rows(merged: DataFrame) -> DataFrame:
     return merged.withColumn("variants_json", F.to_json(F.array(variant("old_value", "old_confidence", "old_source"), variant("new_value", "new_confidence", "new_source")))).withColumn("best_idx", F.when(F.col("old_confidence") >= F.col("new_confidence"), 0).otherwise(1))
 
 
-def load_by_name(existing: DataFrame, incoming: DataFrame, fields: list[str], prefix: str, edges: bool = False) -> DataFrame:
-    """Places and states: rows match by name; matched ones take each field by merge_scalar without conflicts, others are
-    new with an id from the name. existing: id, name, confidence, fields; incoming: name, confidence, seq, fields."""
-    one = latest(incoming, ["name"], ["confidence", "seq"]).select("name", "confidence", *fields)
-    both = existing.select("id", "name", F.col("confidence").alias("_old"), *(F.col(f).alias(f"_{f}") for f in fields)).join(one, "name", "full")
-    both = both.withColumn("_slug", F.concat(F.lit(prefix), slug(F.col("name"))))
-    taken = existing.select(F.col("id").alias("_slug"), F.lit(True).alias("_taken")).distinct()
-    first = both.filter("id IS NULL").groupBy("_slug").agg(F.min("name").alias("_first"))
-    both = both.join(taken, "_slug", "left").join(first, "_slug", "left")
-    # Of several new names with one slug the least has it; the others, and all if it is taken, get a hash behind it.
-    plain = F.col("_taken").isNull() & (F.col("name") == F.col("_first"))
-    made = F.when(plain, F.col("_slug")).otherwise(F.concat("_slug", F.lit("-"), F.substring(F.sha2("name", 256), 1, 6)))
-    out = [F.coalesce("id", made).alias("id"), "name"]
-    for f in fields:
-        action = merge_scalar(F.col(f"_{f}"), F.col("_old"), F.col(f), F.col("confidence"), F.lit(False), conflicts=False)
-        out.append(F.when(F.col("id").isNull(), F.col(f)).when(F.col("confidence").isNotNull() & (action == "set"), F.col(f)).otherwise(F.col(f"_{f}")).alias(f))
-    return both.select(*out, F.greatest("_old", "confidence").alias("confidence"), F.col("id").isNull().alias("created"))
-
-
 def load_edges(existing: DataFrame, incoming: DataFrame, key: list[str], kind: str | None = None, allowed: list[str] | None = None) -> DataFrame:
     """Edges to append: of allowed kinds, with all ids known, once for each key, absent before (null keys equal)."""
     good = incoming if kind is None else incoming.filter(F.col(kind).isin(allowed))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from inkstone.functions import reign_dates as dates
 from inkstone.functions import text
-from inkstone.operators import articles, corpus, curation, evaluation, golden, linking, loading, merging, timeline, validation
+from inkstone.operators import articles, corpus, curated_merges, curation, evaluation, golden, linking, loading, merging, timeline, validation
 from inkstone.sources.storage import read, settled
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -292,13 +292,64 @@ def inverse_edges(t) -> DataFrame:
     return merging.inverse_conflicts(incoming, known, "a", "b", "kind", ["1-URGENT", "2-HIGH"]).select("a", "b", "kind", "seq")
 
 
-@query("""WITH inc AS (SELECT 'NATION ' || s_suppkey % 30 AS name, s_acctbal AS lat, (s_suppkey % 10) / 10.0::DOUBLE AS confidence, s_suppkey AS seq FROM supplier QUALIFY row_number() OVER (PARTITION BY s_suppkey % 30 ORDER BY (s_suppkey % 10) DESC, s_suppkey DESC) = 1),
-ex AS (SELECT 'pla:' || n_nationkey AS id, 'NATION ' || n_nationkey AS name, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey::DOUBLE END AS lat, 0.5::DOUBLE AS confidence FROM nation)
-SELECT coalesce(ex.id, 'pla:' || replace(lower(inc.name), ' ', '-')) AS id, name, CASE WHEN ex.id IS NULL THEN inc.lat WHEN inc.confidence IS NULL OR inc.lat IS NULL THEN ex.lat WHEN ex.lat IS NULL THEN inc.lat WHEN ex.lat <> inc.lat AND inc.confidence > ex.confidence + 0.1::DOUBLE THEN inc.lat ELSE ex.lat END AS lat, greatest(ex.confidence, inc.confidence) AS confidence, ex.id IS NULL AS created FROM ex FULL JOIN inc USING (name)""")
+def named_sql(kind: str, prefix: str, fields: tuple[str, str], kinds: tuple[str, str], existing: str, said: str, candidates: str) -> str:
+    """Candidates (name, seq, cand, two fields f and g, c, chunk) into entities (id, name, f, g, confidence) in order, a row a step; said: id, field, p.
+    Gives the entities, the audit entries and the number of citations of each entity."""
+    (f, g), (fk, gk) = fields, kinds
+    prior = lambda x: f"coalesce(nullif(p{x}, 0), r)"
+    sets = lambda x: f"(n{x} IS NOT NULL AND (v{x} IS NULL OR (v{x} <> n{x} AND coalesce(nc > {prior(x)} + 0.1::DOUBLE, false))))"
+    entry = lambda x, field: f"SELECT 'audit_log' AS table_name, id || ' {field}' AS id, n{x}::VARCHAR AS \"value\", nc AS confidence, CASE WHEN v{x} IS NOT NULL THEN {prior(x)} END AS before FROM moves WHERE {sets(x)}"
+    return f"""WITH RECURSIVE ex AS ({existing}), said AS ({said}), cand AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY seq, cand) AS n FROM ({candidates})),
+s0 AS (SELECT name, id, 0::BIGINT AS n, {f} AS vf, {g} AS vg, (SELECT max(p) FROM said WHERE said.id = ex.id AND field = '{f}') AS pf, (SELECT max(p) FROM said WHERE said.id = ex.id AND field = '{g}') AS pg, coalesce(confidence, 0) AS r FROM ex
+  UNION ALL SELECT name, '{prefix}' || replace(lower(name), ' ', '-'), n, {f}, {g}, NULL, NULL, coalesce(c, 0) FROM cand WHERE n = 1 AND name NOT IN (SELECT name FROM ex)),
+walk AS (SELECT name, id, n, vf::{fk} AS vf, vg::{gk} AS vg, pf::DOUBLE AS pf, pg::DOUBLE AS pg, r::DOUBLE AS r FROM s0 UNION ALL
+  SELECT name, id, n + 1, CASE WHEN {sets("f")} THEN nf ELSE vf END, CASE WHEN {sets("g")} THEN ng ELSE vg END, CASE WHEN {sets("f")} THEN coalesce(nc, 0) ELSE pf END, CASE WHEN {sets("g")} THEN coalesce(nc, 0) ELSE pg END,
+    CASE WHEN ({sets("f")} AND vf IS NOT NULL) OR ({sets("g")} AND vg IS NOT NULL) THEN nc ELSE r END
+  FROM (SELECT w.*, d.{f} AS nf, d.{g} AS ng, d.c AS nc FROM walk w JOIN cand d ON d.name = w.name AND d.n = w.n + 1)),
+moves AS (SELECT w.*, d.{f} AS nf, d.{g} AS ng, d.c AS nc FROM walk w JOIN cand d ON d.name = w.name AND d.n = w.n + 1),
+fin AS (SELECT * FROM walk QUALIFY row_number() OVER (PARTITION BY name ORDER BY n DESC) = 1)
+SELECT '{kind}s' AS table_name, id, concat_ws(' ', coalesce(vf::VARCHAR, '-'), coalesce(vg::VARCHAR, '-')) AS "value", r AS confidence, NULL::DOUBLE AS before FROM fin
+UNION ALL {entry("f", f)} UNION ALL {entry("g", g)} UNION ALL SELECT 'audit_log', id || ' create', name, r, NULL FROM s0 WHERE n = 1
+UNION ALL SELECT 'entity_citations', id, count(DISTINCT chunk)::VARCHAR, NULL, NULL FROM cand JOIN fin USING (name) GROUP BY id"""
+
+
+def named_rows(kind: str, fields: tuple[str, str], got: dict[str, DataFrame]) -> DataFrame:
+    none = F.lit(None).cast("double")
+    get = lambda c, p: F.get_json_object(c, f"$.{p}")
+    text_of = F.concat_ws(" ", *(F.coalesce(F.col(f).cast("string"), F.lit("-")) for f in fields))
+    out = got[f"{kind}s"].select(F.lit(f"{kind}s").alias("table_name"), "id", text_of.alias("value"), "confidence", none.alias("before"))
+    out = out.unionByName(got["audit_log"].select(F.lit("audit_log").alias("table_name"), F.concat_ws(" ", "entity_id", F.coalesce("field", "change_kind")).alias("id"), get("after_json", "value").alias("value"), get("after_json", "confidence").cast("double").alias("confidence"), get("before_json", "confidence").cast("double").alias("before")))
+    return out.unionByName(got["entity_citations"].groupBy(F.col("entity_id").alias("id")).agg(F.count("*").cast("string").alias("value")).select(F.lit("entity_citations").alias("table_name"), "id", "value", none.alias("confidence"), none.alias("before")))
+
+
+@query(named_sql("place", "pla:", ("coord", "modern_equiv"), ("BIGINT", "VARCHAR"),
+    "SELECT 'pla:' || n_nationkey AS id, 'NATION ' || n_nationkey AS name, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey::BIGINT END AS coord, NULL::VARCHAR AS modern_equiv, 0.5::DOUBLE AS confidence FROM nation",
+    "SELECT 'pla:' || n_nationkey AS id, 'coord' AS field, (n_nationkey % 4) / 10.0 AS p FROM nation WHERE n_nationkey % 3 = 0",
+    "SELECT 'NATION ' || c_custkey % 30 AS name, c_custkey * 7 % 1000 AS seq, c_custkey AS cand, CASE WHEN c_custkey % 5 > 0 THEN c_custkey % 11 END AS coord, CASE WHEN c_custkey % 4 = 0 THEN c_mktsegment END AS modern_equiv, CASE WHEN c_custkey % 17 > 0 THEN (c_custkey * 13 % 20) / 20.0 END AS c, c_custkey % 6 AS chunk FROM customer"))
 def load_places(t) -> DataFrame:
-    existing = t("nation").select(F.concat(F.lit("pla:"), "n_nationkey").alias("id"), F.concat(F.lit("NATION "), "n_nationkey").alias("name"), F.when(F.col("n_nationkey") % 2 == 0, F.col("n_nationkey").cast("double")).alias("lat"), F.lit(0.5).alias("confidence"))
-    incoming = t("supplier").select(F.concat(F.lit("NATION "), F.col("s_suppkey") % 30).alias("name"), F.col("s_acctbal").alias("lat"), ((F.col("s_suppkey") % 10) / 10.0).alias("confidence"), F.col("s_suppkey").alias("seq"))
-    return merging.load_by_name(existing, incoming, ["lat"], "pla:")
+    """Many candidates of each name, with other fields set; fields whose confidence an audit entry has."""
+    n, k = F.col("n_nationkey"), F.col("c_custkey")
+    existing = t("nation").select(F.concat(F.lit("pla:"), n).alias("id"), F.concat(F.lit("NATION "), n).alias("name"), F.when(n % 2 == 0, n).cast("long").alias("coord"), F.lit(None).cast("string").alias("modern_equiv"), F.lit(0.5).alias("confidence"))
+    log = t("nation").filter(n % 3 == 0).select(F.lit("place").alias("entity_kind"), F.concat(F.lit("pla:"), n).alias("entity_id"), F.lit("coord").alias("field"), F.to_json(F.struct((n % 4 / 10).alias("confidence"))).alias("after_json"), F.lit(1).alias("at"), F.lit(1).alias("seq"))
+    candidates = t("customer").select(k.alias("id"), F.concat(F.lit("NATION "), k % 30).alias("name"), (k * 7 % 1000).alias("seq"), F.when(k % 5 > 0, k % 11).alias("coord"), F.when(k % 4 == 0, F.col("c_mktsegment")).alias("modern_equiv"), F.when(k % 17 > 0, k * 13 % 20 / 20).alias("confidence"), (k % 6).cast("string").alias("chunk_id"))
+    cited = log.select("entity_kind", "entity_id", F.lit("").alias("citation_id")).limit(0)
+    fields = ("coord", "modern_equiv")
+    return named_rows("place", fields, loading.load_named("place", candidates, {"places": existing, "audit_log": log, "entity_citations": cited}, fields))
+
+
+@query(named_sql("state", "sta:", ("type", "ruling_clan"), ("VARCHAR", "VARCHAR"),
+    "SELECT 'sta:' || r_regionkey AS id, 'R ' || r_regionkey AS name, NULL::VARCHAR AS type, r_name AS ruling_clan, CASE WHEN r_regionkey > 0 THEN r_regionkey / 10.0 END AS confidence FROM region",
+    "SELECT 'sta:' || r_regionkey AS id, 'ruling_clan' AS field, 0.0 AS p FROM region WHERE r_regionkey = 1",
+    "SELECT 'R ' || o_orderkey % 9 AS name, o_orderkey AS seq, o_orderkey AS cand, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS type, CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS ruling_clan, (o_orderkey * 31 % 97) / 100.0 AS c, o_orderkey % 4 AS chunk FROM orders WHERE o_orderkey % 10 = 0"))
+def load_states(t) -> DataFrame:
+    """A third of all candidates and more of one name each; states without a confidence, and an entry whose confidence is 0."""
+    r, k = F.col("r_regionkey"), F.col("o_orderkey")
+    existing = t("region").select(F.concat(F.lit("sta:"), r).alias("id"), F.concat(F.lit("R "), r).alias("name"), F.lit(None).cast("string").alias("type"), F.col("r_name").alias("ruling_clan"), F.when(r > 0, r / 10).alias("confidence"))
+    log = t("region").filter("r_regionkey = 1").select(F.lit("state").alias("entity_kind"), F.lit("sta:1").alias("entity_id"), F.lit("ruling_clan").alias("field"), F.lit('{"confidence": 0.0}').alias("after_json"), F.lit(1).alias("at"), F.lit(1).alias("seq"))
+    candidates = t("orders").filter(k % 10 == 0).select(k.alias("id"), F.concat(F.lit("R "), k % 9).alias("name"), F.when(k % 2 == 0, F.col("o_orderpriority")).alias("type"), F.when(k % 3 == 0, F.col("o_orderstatus")).alias("ruling_clan"), (k * 31 % 97 / 100).alias("confidence"), (k % 4).cast("string").alias("chunk_id"))
+    cited = log.select("entity_kind", "entity_id", F.lit("").alias("citation_id")).limit(0)
+    fields = ("type", "ruling_clan")
+    return named_rows("state", fields, loading.load_named("state", candidates, {"states": existing, "audit_log": log, "entity_citations": cited}, fields))
 
 
 @query("""SELECT DISTINCT o_custkey AS person_id, o_orderstatus AS role, CASE WHEN o_orderkey % 4 > 0 THEN year(o_orderdate) END::INT AS from_year FROM orders o WHERE o_orderstatus IN ('F', 'O') AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND o.o_orderstatus = 'F' AND o_orderkey % 4 = 0)""")
@@ -514,29 +565,65 @@ def load_relations(t) -> DataFrame:
     return out
 
 
-@query("""WITH pe AS (SELECT 'per:' || c_custkey AS id, CASE WHEN c_custkey % 3 > 0 THEN 'sta:' || c_nationkey % 2 END AS state_id, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS clan_name FROM customer),
-mc AS (SELECT 'mc:' || c_custkey AS mc_id, 'per:' || c_custkey - 1 AS into_id, 'per:' || c_custkey AS out_id, CASE WHEN c_custkey % 40 = 0 THEN 'rejected' ELSE 'open' END AS status FROM customer WHERE c_custkey % 10 = 0),
-ok AS (SELECT mc_id, into_id, out_id FROM mc JOIN pe a ON a.id = into_id JOIN pe b ON b.id = out_id WHERE status = 'open' AND NOT coalesce(a.state_id <> b.state_id, false) AND NOT coalesce(a.clan_name <> b.clan_name, false)),
-ed AS (SELECT DISTINCT 'evt:' || o_orderkey % 50 AS event_id, 'per:' || o_custkey AS person_id, o_orderstatus AS role, max(o_totalprice) AS confidence FROM orders GROUP BY ALL),
-mv AS (SELECT event_id, coalesce(into_id, person_id) AS person_id, role, confidence, out_id IS NOT NULL AS moved, person_id AS was FROM ed LEFT JOIN ok ON out_id = person_id), pl AS (SELECT *, row_number() OVER (PARTITION BY event_id, person_id, role ORDER BY confidence DESC, moved, event_id, was, role) AS n FROM mv)
-SELECT 'persons' AS table_name, p.id, coalesce(p.state_id, b.state_id, '-') || ' ' || coalesce(p.clan_name, b.clan_name, '-') AS "value" FROM pe p LEFT JOIN ok ON ok.into_id = p.id LEFT JOIN pe b ON b.id = ok.out_id WHERE NOT EXISTS (SELECT 1 FROM ok o WHERE o.out_id = p.id)
-UNION ALL SELECT 'merge_candidates', mc.mc_id, CASE WHEN ok.mc_id IS NULL THEN mc.status ELSE 'merged' END FROM mc LEFT JOIN ok ON ok.mc_id = mc.mc_id
-UNION ALL SELECT 'event_participants', event_id || ':' || person_id || ':' || role, round(confidence, 2)::DOUBLE::VARCHAR FROM pl WHERE n = 1
-UNION ALL SELECT 'audit_log', event_id || ':' || was || ':' || role, 'merge_collision_resolved' FROM pl WHERE n > 1 UNION ALL SELECT 'audit_log', into_id, 'merge' FROM ok
-UNION ALL SELECT 'refused', mc_id, CASE WHEN mc.status <> 'open' THEN 'status is ' || mc.status WHEN a.id IS NULL OR b.id IS NULL THEN 'no such person' ELSE 'fields differ: ' || concat_ws(', ', CASE WHEN a.state_id <> b.state_id THEN 'state_id' END, CASE WHEN a.clan_name <> b.clan_name THEN 'clan_name' END) END FROM mc LEFT JOIN pe a ON a.id = into_id LEFT JOIN pe b ON b.id = out_id WHERE NOT EXISTS (SELECT 1 FROM ok WHERE ok.mc_id = mc.mc_id)""")
+# Merges of one group of eight persons, in order: merge k moves slot o into slot i.
+MERGE_STEPS = ((1, 2, 1), (2, 1, 0), (3, 3, 0), (4, 2, 0), (5, 5, 4), (6, 4, 0))
+
+
+@query(f"""WITH RECURSIVE steps(k, o, i) AS (VALUES {", ".join(map(str, MERGE_STEPS))}),
+c AS (SELECT c_custkey AS n, c_custkey // 8 AS g, c_custkey % 8 AS slot, CASE WHEN c_custkey % 3 = 0 THEN 'sta:' || c_nationkey % 2 END AS st, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS cl, c_nationkey, c_acctbal FROM customer),
+slots AS (SELECT g, s.slot FROM (SELECT DISTINCT g FROM c), (SELECT unnest(range(8)) AS slot) s),
+lists AS (SELECT x.g, list(c.st ORDER BY x.slot) AS st, list(c.cl ORDER BY x.slot) AS cl, list(c.n IS NOT NULL ORDER BY x.slot) AS alive, list(x.slot ORDER BY x.slot) AS own FROM slots x LEFT JOIN c ON c.g = x.g AND c.slot = x.slot GROUP BY x.g),
+run AS (SELECT g, 0 AS k, st, cl, alive, own, NULL::VARCHAR AS reason FROM lists UNION ALL
+  SELECT g, k, CASE WHEN reason IS NULL THEN list_transform(own, lambda v, j: CASE WHEN j = i + 1 THEN coalesce(sta, st[o + 1]) ELSE st[j] END) ELSE st END, CASE WHEN reason IS NULL THEN list_transform(own, lambda v, j: CASE WHEN j = i + 1 THEN coalesce(cl[j], cl[o + 1]) ELSE cl[j] END) ELSE cl END,
+    CASE WHEN reason IS NULL THEN list_transform(alive, lambda v, j: v AND j <> o + 1) ELSE alive END, CASE WHEN reason IS NULL THEN list_transform(own, lambda v: CASE WHEN v = o THEN i ELSE v END) ELSE own END, reason
+  FROM (SELECT *, CASE WHEN k = 3 AND g % 10 = 0 THEN 'status is rejected' WHEN NOT alive[i + 1] OR NOT alive[o + 1] THEN 'no such person' WHEN sta <> st[o + 1] OR cl[i + 1] <> cl[o + 1] THEN 'fields differ: ' || concat_ws(', ', CASE WHEN sta <> st[o + 1] THEN 'state_id' END, CASE WHEN cl[i + 1] <> cl[o + 1] THEN 'clan_name' END) END AS reason
+    FROM (SELECT r.g, s.k, s.o, s.i, r.st, r.cl, r.alive, r.own, CASE WHEN s.k = 5 AND r.g % 3 = 0 THEN 'sta:9' ELSE r.st[s.i + 1] END AS sta FROM run r JOIN steps s ON s.k = r.k + 1))),
+fin AS (SELECT g, unnest(range(8)) AS slot, unnest(st) AS st, unnest(cl) AS cl, unnest(alive) AS alive, unnest(own) AS own FROM run WHERE k = 6),
+root AS (SELECT g * 8 + slot AS n, g * 8 + own AS r FROM fin),
+ed AS (SELECT o_orderkey % 50 AS e, o_custkey AS n, o_orderstatus AS role, max(o_totalprice) AS conf FROM orders GROUP BY ALL), ed2 AS (SELECT e, r, role, max(conf) AS conf FROM ed JOIN root USING (n) GROUP BY ALL),
+st2 AS (SELECT r, c_nationkey % 3 AS s, max(c_acctbal) AS conf FROM c JOIN root USING (n) GROUP BY ALL),
+re AS (SELECT * FROM (SELECT n AS a, g * 8 + (slot * 3 + 1) % 8 AS b, c_acctbal AS conf FROM c) WHERE b IN (SELECT n FROM c)), re2 AS (SELECT x.r AS a, y.r AS b, max(conf) AS conf FROM re JOIN root x ON x.n = re.a JOIN root y ON y.n = re.b WHERE x.r <> y.r GROUP BY ALL),
+ci AS (SELECT DISTINCT r, n % 5 AS k FROM c JOIN root USING (n)), va AS (SELECT DISTINCT r, n % 3 AS v FROM c JOIN root USING (n)),
+ok AS (SELECT * FROM run WHERE k > 0 AND reason IS NULL)
+SELECT 'persons' AS table_name, 'per:' || g * 8 + slot AS id, coalesce(st, '-') || ' ' || coalesce(cl, '-') AS "value" FROM fin WHERE alive
+UNION ALL SELECT 'merge_candidates', 'mc:' || g || ':' || k, CASE WHEN reason IS NULL THEN 'merged' WHEN reason = 'status is rejected' THEN 'rejected' WHEN k = 3 AND g % 10 = 0 THEN 'rejected' ELSE 'open' END FROM run WHERE k > 0
+UNION ALL SELECT 'refused', 'mc:' || g || ':' || k, reason FROM run WHERE reason IS NOT NULL
+UNION ALL SELECT 'event_participants', 'evt:' || e || ':per:' || r || ':' || role, round(conf, 2)::DOUBLE::VARCHAR FROM ed2
+UNION ALL SELECT 'person_states', 'per:' || r || ':sta:' || s, round(conf, 2)::DOUBLE::VARCHAR FROM st2
+UNION ALL SELECT 'person_relations', 'per:' || a || ':per:' || b, round(conf, 2)::DOUBLE::VARCHAR FROM re2
+UNION ALL SELECT 'entity_citations', 'person:per:' || r, 'cit:' || k FROM ci UNION ALL SELECT 'entity_citations', 'event:per:' || n, 'cit:' || n % 5 FROM c
+UNION ALL SELECT 'person_variants', 'per:' || r, 'v' || v FROM va
+UNION ALL SELECT 'audit_log', 'person merge', count(*)::VARCHAR FROM ok UNION ALL SELECT 'audit_log', 'person edit', count(*)::VARCHAR FROM ok WHERE k = 5 AND g % 3 = 0
+UNION ALL SELECT 'audit_log', 'event_participant merge_collision_resolved', ((SELECT count(*) FROM ed) - (SELECT count(*) FROM ed2))::VARCHAR UNION ALL SELECT 'audit_log', 'person_state merge_collision_resolved', ((SELECT count(*) FROM c) - (SELECT count(*) FROM st2))::VARCHAR
+UNION ALL SELECT 'audit_log', 'person_relation merge_collision_resolved', ((SELECT count(*) FROM re) - (SELECT count(*) FROM re2))::VARCHAR UNION ALL SELECT 'audit_log', 'entity_citation merge_collision_resolved', ((SELECT count(*) FROM c) - (SELECT count(*) FROM ci))::VARCHAR""")
 def accept_merges(t) -> DataFrame:
-    """Merges of neighbouring persons: filled fields, moved edges of which the better one stays, statuses, audit entries, refusals."""
+    """Six merges in each group of eight persons, one after the other: a chain, several into one, one that comes too late, one with an
+    edit; all tables that they change."""
     person = lambda c: F.concat(F.lit("per:"), c)
-    c = t("customer")
-    persons = c.select(person(F.col("c_custkey")).alias("id"), F.when(F.col("c_custkey") % 3 > 0, F.concat(F.lit("sta:"), F.col("c_nationkey") % 2)).alias("state_id"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).alias("clan_name"))
-    queue = c.filter("c_custkey % 10 = 0").select(F.concat(F.lit("mc:"), "c_custkey").alias("id"), person(F.col("c_custkey") - 1).alias("target_id"), person(F.col("c_custkey")).alias("candidate_id"), F.when(F.col("c_custkey") % 40 == 0, "rejected").otherwise("open").alias("status"))
-    edges = t("orders").groupBy(F.concat(F.lit("evt:"), F.col("o_orderkey") % 50).alias("event_id"), person(F.col("o_custkey")).alias("person_id"), F.col("o_orderstatus").alias("role")).agg(F.max("o_totalprice").alias("confidence"))
-    got = merging.accept_merges(queue.select(F.col("id").alias("mc_id")), {"persons": persons, "merge_candidates": queue, "event_participants": edges})
+    n, k = F.col("n"), F.col("k")
+    c = t("customer").withColumn("n", F.col("c_custkey")).withColumn("g", F.floor(n / 8))
+    persons = c.select(person(n).alias("id"), F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("sta:"), F.col("c_nationkey") % 2)).alias("state_id"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).alias("clan_name"))
+    steps = F.inline(F.array(*(F.struct(F.lit(k).alias("k"), F.lit(o).alias("o"), F.lit(i).alias("i")) for k, o, i in MERGE_STEPS)))
+    asked = c.select("g").distinct().select("g", steps).withColumn("mc_id", F.concat_ws(":", F.lit("mc"), "g", "k"))
+    queue = asked.select(F.col("mc_id").alias("id"), person(F.col("g") * 8 + F.col("i")).alias("target_id"), person(F.col("g") * 8 + F.col("o")).alias("candidate_id"), F.when((k == 3) & (F.col("g") % 10 == 0), "rejected").otherwise("open").alias("status"))
+    edits = asked.filter("k = 5 AND g % 3 = 0").select("mc_id", F.lit("state_id").alias("field"), F.lit("sta:9").alias("value"))
+    cite = lambda kind: c.select(F.lit(kind).alias("entity_kind"), person(n).alias("entity_id"), F.concat(F.lit("cit:"), n % 5).alias("citation_id"))
+    tables = {
+        "persons": persons, "merge_candidates": queue, "entity_citations": cite("person").unionByName(cite("event")),
+        "event_participants": t("orders").groupBy(F.concat(F.lit("evt:"), F.col("o_orderkey") % 50).alias("event_id"), person(F.col("o_custkey")).alias("person_id"), F.col("o_orderstatus").alias("role")).agg(F.max("o_totalprice").alias("confidence")),
+        "person_states": c.select(person(n).alias("person_id"), F.concat(F.lit("sta:"), F.col("c_nationkey") % 3).alias("state_id"), F.lit("r").alias("role"), F.lit(None).cast("string").alias("from_date_json"), F.col("c_acctbal").alias("confidence")),
+        "person_relations": c.select(person(n).alias("from_person_id"), person(F.col("g") * 8 + (n % 8 * 3 + 1) % 8).alias("to_person_id"), F.lit("ally").alias("kind"), F.col("c_acctbal").alias("confidence")).join(persons.select(F.col("id").alias("to_person_id")), "to_person_id", "left_semi"),
+        "person_variants": c.select(person(n).alias("person_id"), F.concat(F.lit("v"), n % 3).alias("variant"), F.lit("k").alias("kind")),
+    }
+    got = curated_merges.accept_merges(asked.select("mc_id", F.col("k").alias("seq")), tables, edits)
     row = lambda name, key, value: got[name].select(F.lit(name).alias("table_name"), key.alias("id"), value.alias("value"))
     dash = lambda c: F.coalesce(F.col(c), F.lit("-"))
-    out = row("persons", F.col("id"), F.concat_ws(" ", dash("state_id"), dash("clan_name"))).unionByName(row("merge_candidates", F.col("id"), F.col("status")))
-    out = out.unionByName(row("event_participants", F.concat_ws(":", "event_id", "person_id", "role"), F.round("confidence", 2).cast("string")))
-    return out.unionByName(row("audit_log", F.col("entity_id"), F.col("change_kind"))).unionByName(row("refused", F.col("mc_id"), F.col("reason")))
+    confidence = F.round("confidence", 2).cast("string")
+    out = row("persons", F.col("id"), F.concat_ws(" ", dash("state_id"), dash("clan_name"))).unionByName(row("merge_candidates", F.col("id"), F.col("status"))).unionByName(row("refused", F.col("mc_id"), F.col("reason")))
+    out = out.unionByName(row("event_participants", F.concat_ws(":", "event_id", "person_id", "role"), confidence)).unionByName(row("person_states", F.concat_ws(":", "person_id", "state_id"), confidence))
+    out = out.unionByName(row("person_relations", F.concat_ws(":", "from_person_id", "to_person_id"), confidence)).unionByName(row("entity_citations", F.concat_ws(":", "entity_kind", "entity_id"), F.col("citation_id"))).unionByName(row("person_variants", F.col("person_id"), F.col("variant")))
+    counts = got["audit_log"].groupBy(F.concat_ws(" ", "entity_kind", "change_kind").alias("id")).agg(F.count("*").cast("string").alias("value"))
+    return out.unionByName(counts.select(F.lit("audit_log").alias("table_name"), "id", "value"))
 
 
 # ---------------------------------------------------------------- rules, identities and golden pairs

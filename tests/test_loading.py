@@ -153,13 +153,59 @@ def test_numbers_over_all_rows(spark):
     assert timeline.numbered(spark.createDataFrame([], "a int, b string"), ["a"]).count() == 0
 
 
+def named_tables(spark, existing, log=()):
+    return {
+        "places": spark.createDataFrame(existing, "id string, name string, confidence double, lat double, type string, provenance string"), "entity_citations": spark.createDataFrame([("place", "pla:x", "k1")], "entity_kind string, entity_id string, citation_id string"),
+        "audit_log": spark.createDataFrame(list(log), "entity_kind string, entity_id string, field string, after_json string, at int, seq int"),
+    }
+
+
+PLACE_ROWS = "id string, name string, confidence double, seq int, lat double, type string, chunk_id string"
+
+
 def test_names_of_one_slug_get_ids_of_their_own(spark):
-    existing = spark.createDataFrame([("pla:a-b", "known", 0.5, None)], "id string, name string, confidence double, lat double")
-    new = spark.createDataFrame([("a b", 0.5, 1, 1.0), ("c!d", 0.5, 2, 2.0), ("c d", 0.5, 3, 3.0), ("!!", 0.5, 4, 4.0), ("??", 0.5, 5, 5.0)], "name string, confidence double, seq int, lat double")
-    ids = {r["name"]: r["id"] for r in merging.load_by_name(existing, new, ["lat"], "pla:").collect()}
+    new = [("a b", 0.5, 1, 1.0), ("c!d", 0.5, 3, 2.0), ("c d", 0.5, 2, 3.0), ("!!", 0.5, 4, 4.0), ("??", 0.5, 5, 5.0)]
+    got = loading.load_named("place", spark.createDataFrame([(f"k{s}", n, c, s, x, None, None) for n, c, s, x in new], PLACE_ROWS), named_tables(spark, [("pla:a-b", "known", 0.5, None, None, None)]), ("lat", "type"))
+    ids = {r["name"]: r["id"] for r in got["places"].collect()}
     assert len(set(ids.values())) == 6 and ids["c d"] == "pla:c-d" and ids["a b"].startswith("pla:a-b-") and len(ids["!!"]) == len("pla:") + 8
 
 
+def test_places_fold_every_candidate(spark):
+    """A row that only fills, one whose value differs, a field's own confidence, a row's that falls; random rows against a loop."""
+    rng = random.Random(3)
+    existing = [("pla:x", "X", 0.9, None, "city", "auto"), ("pla:y", "Y", None, 1.0, None, "auto"), ("pla:z", None, 0.4, 1.0, None, "auto")]
+    log = [("place", "pla:x", "type", '{"confidence": 0.1}', 1, 1), ("place", "pla:x", "type", '{"confidence": 0.2}', 1, 2), ("place", "pla:y", "lat", '{"confidence": 0.0}', 1, 3)]
+    rows = [(f"k{k:02}", rng.choice(["X", "Y", "New", None]), rng.choice([None, 0.1, 0.3, 0.35, 0.5, 0.8]), rng.randrange(30), rng.choice([None, 1.0, 2.0]), rng.choice([None, "city", "pass"]), rng.choice([None, "k1", "k2"])) for k in range(60)]
+    fields, state, said, audit, cited = ("lat", "type"), {n: {"id": i, "c": c or 0.0, "lat": lat, "type": t} for i, n, c, lat, t, _ in existing if n}, {("pla:x", "type"): 0.2, ("pla:y", "lat"): 0.0}, [], {("place", "pla:x", "k1")}
+    for i, name, c, _, lat, kind, chunk in sorted(rows, key=lambda r: (r[3], r[0])):
+        if name is None:
+            continue
+        if name not in state:
+            state[name] = {"id": "pla:new", "c": c or 0.0, "lat": lat, "type": kind}
+            audit.append(("pla:new", None, "create"))
+        else:
+            e = state[name]
+            row_confidence = e["c"]
+            for f, v in (("lat", lat), ("type", kind)):
+                if v is None or v == e[f]:
+                    continue
+                prior = said.get((e["id"], f)) or row_confidence
+                if e[f] is None or (c is not None and c > prior + 0.1):
+                    audit.append((e["id"], f, "set"))
+                    if e[f] is not None:
+                        e["c"] = c
+                    e[f], said[e["id"], f] = v, c or 0.0
+        if chunk:
+            cited.add(("place", state[name]["id"], chunk))
+    got = loading.load_named("place", spark.createDataFrame(rows, PLACE_ROWS), named_tables(spark, existing, log), fields)
+    found = {r["name"]: (r["id"], r["confidence"] or 0.0, r["lat"], r["type"]) for r in got["places"].collect()}
+    assert found == {None: ("pla:z", 0.4, 1.0, None)} | {n: (e["id"], e["c"], e["lat"], e["type"]) for n, e in state.items()}
+    assert sorted((r["entity_id"], str(r["field"]), r["change_kind"]) for r in got["audit_log"].collect()) == sorted((a, str(b), c) for a, b, c in audit)
+    assert {tuple(r) for r in got["entity_citations"].collect()} == cited - {("place", "pla:x", "k1")} and got["ids"].count() == sum(r[1] is not None for r in rows)
+    again = loading.load_named("place", spark.createDataFrame([], PLACE_ROWS), named_tables(spark, existing), fields)
+    assert again["places"].count() == 3 and again["audit_log"].count() == 0
+
+
 def test_smoke_check(spark):
     runs = spark.createDataFrame([("r", '{"dates_out_of_range": 2}'), ("q", None)], "id string, stats_json string")
     persons = spark.createDataFrame([("p", "q")], "id string, run string")
