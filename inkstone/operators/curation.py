@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkstone.operators.corpus import needs_span  # noqa: F401  a rule of the curator's lists, too
+from inkstone.operators.rows import first_rows, last_rows
 from inkstone.operators.timeline import numbered
 
 
@@ -19,8 +20,9 @@ def open_queue(merge_candidates: DataFrame) -> DataFrame:
 
 
 def decide(merge_candidates: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Statuses after decisions (id, status: merged or rejected); only open ones change, so a repeated decision is harmless."""
-    new = decisions.filter(F.col("status").isin("merged", "rejected")).dropDuplicates(["id"]).select("id", F.col("status").alias("_status"))
+    """Statuses after decisions (id, status: merged or rejected); only open ones change, so of several
+    decisions on one the first counts, by seq."""
+    new = first_rows(decisions.filter(F.col("status").isin("merged", "rejected")), ["id"]).select("id", F.col("status").alias("_status"))
     got = merge_candidates.join(new, "id", "left")
     return got.withColumn("status", F.when((F.col("status") == "open") & F.col("_status").isNotNull(), F.col("_status")).otherwise(F.col("status"))).drop("_status").select(*merge_candidates.columns)
 
@@ -40,20 +42,12 @@ def edited(rows: DataFrame, edits: DataFrame, allowed: list[str]) -> DataFrame:
     return got.select(*(F.coalesce(F.col(f"_{c}").cast(rows.schema[c].dataType), F.col(c)).alias(c) if c in allowed else F.col(c) for c in rows.columns))
 
 
-def resolve_date(events: DataFrame, event_id: str, anchor_id: str, later: int) -> DataFrame:
-    """The year of one event as its anchor's less the years later; an unknown or undated anchor, or itself, raises."""
-    anchor = events.filter(F.col("id") == anchor_id).first()
-    if event_id == anchor_id or anchor is None or anchor["year_bce"] is None:
-        raise ValueError(f"no dated anchor: {anchor_id}")
-    own = F.col("id") == event_id
-    return events.withColumn("year_bce", F.when(own, anchor["year_bce"] - later).otherwise(F.col("year_bce"))).withColumn("relative_anchor_event_id", F.when(own, anchor_id).otherwise(F.col("relative_anchor_event_id")))
-
-
 def resolve_dates(events: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """resolve_date() for many: events (id, year_bce, relative_anchor_event_id) after decisions (event_id, anchor_id, later;
-    one an event), audit entries of what changed, and the refused event_ids (their anchor is undated, unknown or themselves)."""
+    """Years of events (id, year_bce, relative_anchor_event_id) as their anchor's less the years later, after decisions (event_id, anchor_id,
+    later; an event's last by seq counts), audit entries of what changed, and the refused event_ids (their anchor is undated, unknown or
+    themselves)."""
     anchors = events.select(F.col("id").alias("anchor_id"), F.col("year_bce").alias("_anchor_year"))
-    judged = decisions.dropDuplicates(["event_id"]).join(anchors, "anchor_id", "left").withColumn("_ok", F.col("_anchor_year").isNotNull() & (F.col("event_id") != F.col("anchor_id")))
+    judged = last_rows(decisions, ["event_id"]).join(anchors, "anchor_id", "left").withColumn("_ok", F.col("_anchor_year").isNotNull() & (F.col("event_id") != F.col("anchor_id")))
     good = judged.filter("_ok").select(F.col("event_id").alias("id"), F.col("anchor_id").alias("_anchor"), (F.col("_anchor_year") - F.col("later")).alias("_year"))
     got = events.join(good, "id", "left")
     json_of = lambda year, anchor: F.to_json(F.struct(year.alias("year_bce"), anchor.alias("relative_anchor_event_id")), {"ignoreNullFields": "false"})
@@ -71,8 +65,8 @@ def cache_key(request: dict) -> Column:
 
 
 def cached(requests: DataFrame, cache: DataFrame, text: str = "request_json") -> DataFrame:
-    """Requests with the answer of the cache, or null, by the hash of their text."""
-    return requests.withColumn("key", F.sha2(text, 256)).join(cache.select("key", "response_json").dropDuplicates(["key"]), "key", "left")
+    """Requests with the answer of the cache (the last of a key, by seq), or null, by the hash of their text."""
+    return requests.withColumn("key", F.sha2(text, 256)).join(last_rows(cache, ["key"]).select("key", "response_json"), "key", "left")
 
 
 def audit_rows(changes: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkstone.operators.rows import first_rows
 from inkstone.sources.storage import settled
 
 # Ranks of a date's precision and the confidence margins of the merge rules.
@@ -150,9 +151,9 @@ def conflict_rows(merged: DataFrame) -> DataFrame:
 
 
 def load_edges(existing: DataFrame, incoming: DataFrame, key: list[str], kind: str | None = None, allowed: list[str] | None = None) -> DataFrame:
-    """Edges to append: of allowed kinds, with all ids known, once for each key, absent before (null keys equal)."""
+    """Edges to append: of allowed kinds, the first (by seq, then the rest) of each key, absent before (null keys equal)."""
     good = incoming if kind is None else incoming.filter(F.col(kind).isin(allowed))
-    good = good.dropDuplicates(key)
+    good = first_rows(good, key)
     there = existing.select(*(F.col(k).alias(f"_{k}") for k in key)).distinct()
     same = [good[k].eqNullSafe(there[f"_{k}"]) for k in key]
     return good.join(there, same, "left_anti")

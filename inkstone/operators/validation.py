@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from inkstone.functions.text import any_of, first_failure, last_segment, slug
 from inkstone.operators.corpus import normalised, normalised_values
+from inkstone.operators.rows import last_rows
 from inkstone.sources.storage import settled
 
 # How a date may have been inferred, and the enumerations of extracted rows.
 INFERENCE_KINDS = ("explicit_reign_zhou", "explicit_reign_lu", "relative_to_prior_event", "era_only", "unknown")
-PERSON_RELATIONS = ("parent", "child", "spouse", "sibling", "ruler_of", "minister_of", "ally_of", "enemy_of", "teacher_of", "student_of", "killed_by")
 LOCAL_ID = r"^(p|e|pl|s)\d+$"
 DATE_FIELDS = ("date", "birth_date", "death_date", "founded_date", "ended_date")
 
@@ -81,8 +81,9 @@ def schema_violations(rows: DataFrame, key: str, required: tuple[str, ...] = (),
 
 
 def resolve_ids(edges: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """Rewrites local or candidate ids (run, local_id -> id); ids of other forms stay, and unknown local ids become null."""
-    mapped = ids.select("run", F.col("local_id").alias("_local"), F.col("id").alias("_id")).dropDuplicates(["run", "_local"])
+    """Rewrites local or candidate ids (run, local_id -> id; of several the last by seq, then the greatest); ids of other forms stay, and
+    unknown local ids become null."""
+    mapped = last_rows(ids, ["run", "local_id"]).select("run", F.col("local_id").alias("_local"), F.col("id").alias("_id"))
     local = F.when(F.col(column).startswith("cand:") | F.col(column).rlike(LOCAL_ID), last_segment(F.col(column)))
     return edges.withColumn("_local", local).join(mapped, ["run", "_local"], "left").withColumn(column, F.when(F.col("_local").isNull(), F.col(column)).otherwise(F.col("_id"))).drop("_local", "_id")
 

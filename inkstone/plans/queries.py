@@ -77,9 +77,11 @@ def rendered_documents(t) -> DataFrame:
     return corpus.rendered(corpus.chunks(t("documents"))).select("doc_id", F.length("markdown").cast("long").alias("n_chars"), text.hash_hex(F.col("markdown")).alias("hash"))
 
 
-@query("SELECT doc_id, quality FROM labels l WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id AND d.lang = 'en')")
+@query("""SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_custkey % 3 = 0) QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1""")
 def insert_absent(t) -> DataFrame:
-    return corpus.insert_absent(t("documents").filter("lang = 'en'"), t("labels"), ["doc_id"]).select("doc_id", "quality")
+    """Each absent customer's first order."""
+    there = t("customer").filter("c_custkey % 3 = 0").select(F.col("c_custkey").alias("o_custkey"))
+    return corpus.insert_absent(there, t("orders").select("o_custkey", "o_orderkey", "o_orderstatus"), ["o_custkey"], ["o_orderkey"])
 
 
 @query("SELECT doc_id FROM documents WHERE NOT EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = documents.doc_id)")
@@ -352,9 +354,11 @@ def load_states(t) -> DataFrame:
     return named_rows("state", fields, loading.load_named("state", candidates, {"states": existing, "audit_log": log, "entity_citations": cited}, fields))
 
 
-@query("""SELECT DISTINCT o_custkey AS person_id, o_orderstatus AS role, CASE WHEN o_orderkey % 4 > 0 THEN year(o_orderdate) END::INT AS from_year FROM orders o WHERE o_orderstatus IN ('F', 'O') AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND o.o_orderstatus = 'F' AND o_orderkey % 4 = 0)""")
+@query("""SELECT o_custkey AS person_id, o_orderstatus AS role, CASE WHEN o_orderkey % 4 > 0 THEN year(o_orderdate) END::INT AS from_year, o_orderpriority AS detail, o_orderkey AS seq FROM orders o WHERE o_orderstatus IN ('F', 'O') AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND o.o_orderstatus = 'F' AND o_orderkey % 4 = 0)
+QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderstatus, CASE WHEN o_orderkey % 4 > 0 THEN year(o_orderdate) END ORDER BY o_orderkey) = 1""")
 def load_edges(t) -> DataFrame:
-    incoming = t("orders").select(F.col("o_custkey").alias("person_id"), F.col("o_orderstatus").alias("role"), F.when(F.col("o_orderkey") % 4 > 0, F.year("o_orderdate")).alias("from_year"))
+    """Each key's first edge, with what else it says."""
+    incoming = t("orders").select(F.col("o_custkey").alias("person_id"), F.col("o_orderstatus").alias("role"), F.when(F.col("o_orderkey") % 4 > 0, F.year("o_orderdate")).alias("from_year"), F.col("o_orderpriority").alias("detail"), F.col("o_orderkey").alias("seq"))
     known = t("customer").select(F.col("c_custkey").alias("person_id"), F.lit("F").alias("role"), F.lit(None).cast("int").alias("from_year"))
     return merging.load_edges(known, incoming, ["person_id", "role", "from_year"], "role", ["F", "O"])
 
@@ -629,11 +633,11 @@ def accept_merges(t) -> DataFrame:
 # ---------------------------------------------------------------- rules, identities and golden pairs
 
 
-@query("""WITH c AS (SELECT doc_id, doc_id % 7 AS k, text FROM documents WHERE length(text) > 20), r AS (SELECT doc_id, k, CASE k WHEN 0 THEN '' WHEN 1 THEN substr(text, 3, 12) || chr(1) ELSE substr(text, 3, 12) END AS quote, text FROM c)
-SELECT doc_id::VARCHAR AS id, CASE WHEN k = 2 THEN 'unknown chunk_id' WHEN k = 0 THEN 'citation.quote is empty' WHEN k = 1 THEN 'quote is not in its chunk' WHEN k = 3 THEN 'a justification is empty or not in the quote' WHEN k = 4 THEN 'date.inference_kind is not allowed' WHEN k = 5 AND doc_id % 2 = 1 THEN 'state_id is not declared' END AS violation FROM r""")
+@query("""WITH c AS (SELECT doc_id, doc_id % 7 AS k, text FROM documents), r AS (SELECT doc_id, k, CASE k WHEN 0 THEN '' WHEN 1 THEN substr(text, 3, 12) || chr(1) ELSE substr(text, 3, 12) END AS quote, text FROM c)
+SELECT doc_id::VARCHAR AS id, CASE WHEN k = 2 OR text IS NULL THEN 'unknown chunk_id' WHEN quote = '' THEN 'citation.quote is empty' WHEN k = 1 THEN 'quote is not in its chunk' WHEN k = 3 OR substr(text, 4, 2) = '' THEN 'a justification is empty or not in the quote' WHEN k = 4 THEN 'date.inference_kind is not allowed' WHEN k = 5 AND doc_id % 2 = 1 THEN 'state_id is not declared' END AS violation FROM r""")
 def check_records(t) -> DataFrame:
     """By doc_id % 7 a record breaks the rule on its quote, chunk, justification, date or reference, or none."""
-    docs = t("documents").filter("length(text) > 20").select("doc_id", (F.col("doc_id") % 7).alias("k"), "text")
+    docs = t("documents").select("doc_id", (F.col("doc_id") % 7).alias("k"), "text")
     own = F.substring("text", 3, 12)
     k = F.col("k")
     records = docs.select(
@@ -646,12 +650,14 @@ def check_records(t) -> DataFrame:
     return validation.check_records(records, chunks, declared).select("id", "violation")
 
 
-@query("""SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 4 = 3 THEN 'per:' || o_custkey WHEN o_custkey % 2 = 0 AND EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey) AND o_orderkey % 4 < 3 THEN 'per:c' || o_custkey END AS person_id FROM orders""")
+@query("""WITH ids AS (SELECT c_custkey AS c, n_nationkey AS seq, n_name FROM customer, nation WHERE c_custkey % 2 = 0 AND n_nationkey % 7 = c_custkey % 7 QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY n_nationkey DESC) = 1)
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 4 = 3 THEN 'per:' || o_custkey ELSE 'per:' || n_name || c END AS person_id FROM orders LEFT JOIN ids ON c = o_custkey""")
 def resolve_ids(t) -> DataFrame:
-    """Local, candidate and canonical ids of persons; every second local id is unknown."""
+    """Local, candidate and canonical ids of persons; every second local id is unknown, others have several ids, of which the last counts."""
     own = F.concat(F.lit("p"), "o_custkey")
     edges = t("orders").select("o_orderkey", "o_custkey", F.lit("r").alias("run"), F.when(F.col("o_orderkey") % 4 == 3, F.concat(F.lit("per:"), "o_custkey")).when(F.col("o_orderkey") % 4 == 2, F.concat(F.lit("cand:per:r:"), own)).otherwise(own).alias("person_id"))
-    ids = t("customer").filter("c_custkey % 2 = 0").select(F.lit("r").alias("run"), F.concat(F.lit("p"), "c_custkey").alias("local_id"), F.concat(F.lit("per:c"), "c_custkey").alias("id"))
+    known = t("customer").filter("c_custkey % 2 = 0").withColumn("k", F.col("c_custkey") % 7).join(t("nation").withColumn("k", (F.col("n_nationkey") % 7).cast("long")), "k")
+    ids = known.select(F.lit("r").alias("run"), F.concat(F.lit("p"), "c_custkey").alias("local_id"), F.concat(F.lit("per:"), "n_name", "c_custkey").alias("id"), F.col("n_nationkey").alias("seq"))
     return validation.resolve_ids(edges, "person_id", ids).select("o_orderkey", "o_custkey", "person_id")
 
 
@@ -860,10 +866,12 @@ def schema_rules(t) -> DataFrame:
     return broken.unionByName(other).select("p_partkey", F.concat_ws(" ", "field", "rule").alias("rule"))
 
 
-@query("""SELECT doc_id, CASE WHEN n = 1 THEN [i - 1, i + 11] END::INT[] AS span, n::INT AS n_found FROM (SELECT doc_id, strpos(text, substr(text, 5, 12)) AS i, len(list_filter(range(1, length(text) + 1), lambda k: substr(text, k, 12) = substr(text, 5, 12))) AS n FROM documents WHERE length(text) BETWEEN 30 AND 4000 AND doc_id % 2 = 0)""")
+@query("""WITH RECURSIVE q AS (SELECT doc_id, text, substr(text, 5, 12) AS quote FROM documents WHERE doc_id % 2 = 0),
+f AS (SELECT doc_id, text, quote, strpos(text, quote) AS i FROM q WHERE quote <> '' UNION ALL SELECT doc_id, text, quote, i + d AS i FROM (SELECT *, strpos(substr(text, i + 1), quote) AS d FROM f) WHERE d > 0)
+SELECT doc_id, CASE WHEN n = 1 THEN [i - 1, i - 1 + length(quote)] END::INT[] AS span, coalesce(n, 0)::INT AS n_found FROM q LEFT JOIN (SELECT doc_id, count(*) AS n, min(i) AS i FROM f GROUP BY doc_id) USING (doc_id)""")
 def filled_spans(t) -> DataFrame:
     """Spans of quotes that occur once in their chunk, where a citation has none."""
-    docs = t("documents").filter("length(text) BETWEEN 30 AND 4000")
+    docs = t("documents")
     cites = docs.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("chunk_id"), F.when(F.col("doc_id") % 2 == 1, F.array(F.lit(4), F.lit(16))).alias("span"), F.substring("text", 5, 12).alias("quote"))
     return corpus.fill_spans(cites, docs.select(F.col("doc_id").alias("id"), "text")).withColumnRenamed("id", "doc_id")
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from inkstone.functions.reign_dates import DATE, walk_offset
 from inkstone.operators.evaluation import confidence
 from inkstone.operators.timeline import walk_relative
+from inkstone.operators.rows import last_rows
 from inkstone.operators.validation import check_records, check_relations, schema_violations, unknown_properties
 from inkstone.sources.storage import settled
 
@@ -127,7 +128,7 @@ def extraction_candidates(parts: dict[str, DataFrame], chunks: DataFrame, run: s
         out[f"candidate_{kind}"] = held.select(F.col("cand_id").alias("id"), "run", *columns[kind], trust.alias("confidence"), "chunk_id", "quote")
         ids = held.select(F.col("id").alias("local_id"), "cand_id")
         known = ids if known is None else known.unionByName(ids)
-    known = settled(known.dropDuplicates(["local_id"]))
+    known = settled(last_rows(known, ["local_id"]))
     relations = check_relations(parts["relations"], chunks)
     violations = violations.unionByName(relations.filter("violation IS NOT NULL").select(F.lit("relations").alias("kind"), F.col("pos").cast("string").alias("id"), "violation"))
     held = relations.filter("violation IS NULL")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from inkstone.operators.corpus import chunks, insert_absent
+from inkstone.operators.rows import first_rows
 
 
 def chunk_stream(docs: DataFrame, folder: str, checkpoint: str, target: int = 1800, overlap: int = 200, available_now: bool = True) -> StreamingQuery:
@@ -15,7 +16,7 @@ def chunk_stream(docs: DataFrame, folder: str, checkpoint: str, target: int = 18
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         done = _done(spark, folder, batch_id)
-        fresh = insert_absent(done, batch.select("doc_id", "text"), ["doc_id"]) if done is not None else batch.dropDuplicates(["doc_id"])
+        fresh = insert_absent(done, batch.select("doc_id", "text"), ["doc_id"]) if done is not None else first_rows(batch, ["doc_id"])
         chunks(fresh, target, overlap).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
 
     writer = docs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -50,10 +50,6 @@ def test_edits_dates_cache_and_spans(spark):
     with pytest.raises(ValueError, match="may not be edited: n"):
         curation.edited(rows, edits, ["name"])
     events = spark.createDataFrame([("e1", 771, None), ("e2", None, None)], "id string, year_bce int, relative_anchor_event_id string")
-    assert {r["id"]: r["year_bce"] for r in curation.resolve_date(events, "e2", "e1", 1).collect()} == {"e1": 771, "e2": 770}
-    for anchor in ("e2", "e9"):
-        with pytest.raises(ValueError, match="no dated anchor"):
-            curation.resolve_date(events, "e2", anchor, 1)
     cache = spark.range(1).select(F.sha2(F.lit("q"), 256).alias("key"), F.lit("a").alias("response_json"))
     asked = spark.createDataFrame([("q",), ("r",)], "request_json string")
     assert {r["request_json"]: r["response_json"] for r in curation.cached(asked, cache).collect()} == {"q": "a", "r": None}
