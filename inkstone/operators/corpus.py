@@ -115,59 +115,6 @@ def justified(justifications: Column, quote: Column) -> Column:
     return F.forall(F.map_values(justifications), lambda v: (F.length(v) > 0) & F.contains(quote, v))
 
 
-def quote_spans(texts: DataFrame, quotes: DataFrame, text: str = "text", quote: str = "quote", every: bool = True, block_chars: int = 2_000_000) -> DataFrame:
-    """Rows of texts joined with the quotes that they hold, and start and end of each occurrence (or the first); empty quotes
-    and nulls occur nowhere.
-
-    One pass over a text finds all quotes of a block at once, by an automaton. The distinct quotes are dealt into blocks of
-    about `block_chars`, each of which, of bounded size, goes to every task; whoever has more quotes passes over the texts once
-    for each block. What is found is joined with the quotes' rows on equality."""
-    distinct = quotes.select(F.col(quote).alias("_quote")).filter("_quote <> ''").distinct()
-    chars = distinct.agg(F.sum(F.length("_quote"))).first()[0] or 0
-    blocks = max(1, -(-chars // block_chars))
-    dealt = distinct.withColumn("_block", F.pmod(F.xxhash64("_quote"), F.lit(blocks)))
-    context = texts.sparkSession.sparkContext
-    found = None
-    for k in range(blocks):
-        shared = context.broadcast(sorted(r[0] for r in dealt.filter(F.col("_block") == k).select("_quote").collect()))
-        own = _occurrences(texts, text, shared, every)
-        found = own if found is None else found.unionByName(own)
-    got = found.join(quotes, F.col("_quote") == F.col(quote)).drop("_quote")
-    return got.withColumn("end", F.col("start") + F.length(quote))
-
-
-def _occurrences(texts: DataFrame, text: str, shared, every: bool) -> DataFrame:
-    """texts with _quote and start of each occurrence (or each quote's first) of the shared quotes."""
-
-    def hits(of: pd.Series) -> pd.Series:
-        import ahocorasick
-
-        automaton = ahocorasick.Automaton()
-        for q in shared.value:
-            automaton.add_word(q, q)
-        automaton.make_automaton()
-
-        def one(body: str | None) -> list[dict]:
-            out: dict = {}
-            for end, q in automaton.iter(body) if body and len(automaton) else ():
-                at = end + 1 - len(q)
-                if every:
-                    out[q, at] = at
-                else:
-                    out.setdefault(q, at)
-            return [{"_quote": key[0] if every else key, "start": at} for key, at in out.items()]
-
-        return pd.Series([one(t) for t in of], dtype=object)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = hits(batch.column(batch.schema.get_field_index(text)).to_pandas())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.tolist(), pa.list_(pa.struct([("_quote", pa.string()), ("start", pa.int32())])))], [*batch.schema.names, "_hits"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields)
-    return texts.mapInArrow(run, f"{fields}, _hits array<struct<_quote:string,start:int>>").select(*texts.columns, F.inline("_hits"))
-
-
 def fill_spans(citations: DataFrame, chunks: DataFrame) -> DataFrame:
     """id and span of the citations whose span is missing and whose quote occurs exactly once in their chunk, and n_found of
     all that need one. citations: id, chunk_id, span, quote; chunks: id, text."""

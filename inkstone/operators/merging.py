@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkstone.operators.rows import first_rows
+from inkstone.operators.timeline import ranked
 from inkstone.sources.storage import settled
 
 # Ranks of a date's precision and the confidence margins of the merge rules.
@@ -130,10 +131,9 @@ def latest(events: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 def field_history(log: DataFrame) -> DataFrame:
     """Field-level entries of an audit log in order: value and confidence before and after, and the change's number."""
-    order = Window.partitionBy("entity_kind", "entity_id", "field").orderBy("at", "seq")
     get = lambda c, p: F.get_json_object(c, f"$.{p}")
     got = log.filter("field IS NOT NULL").withColumns({f"{w}_{p}": get(f"{w}_json", p) for w in ("before", "after") for p in ("value", "confidence")})
-    return got.withColumn("change", F.row_number().over(order))
+    return ranked(got, ["entity_kind", "entity_id", "field"], ["at", "seq"], "change")
 
 
 def inverse_conflicts(incoming: DataFrame, known: DataFrame, a: str, b: str, kind: str, directional: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from inkstone.functions import reign_dates as dates
 from inkstone.functions import text
-from inkstone.operators import articles, corpus, curated_merges, curation, evaluation, golden, linking, loading, merging, timeline, validation
+from inkstone.operators import articles, corpus, curated_merges, curation, evaluation, golden, linking, loading, merging, quotes, timeline, validation
 from inkstone.sources.storage import read, settled
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,14 +62,14 @@ def term_discovery(t) -> DataFrame:
 
 @query("SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(nfc_normalize(d.text), nfc_normalize(b.text)) WHERE length(b.text) > 0")
 def verbatim_contains(t) -> DataFrame:
-    docs, quotes = corpus.normalised(t("documents"), "text"), corpus.normalised(t("benchmark"), "text").withColumnRenamed("text", "quote")
-    return corpus.quote_spans(docs.select("doc_id", "text"), quotes, every=False).select("doc_id", "item_id")
+    docs, asked = corpus.normalised(t("documents"), "text"), corpus.normalised(t("benchmark"), "text").withColumnRenamed("text", "quote")
+    return quotes.quote_spans(docs.select("doc_id", "text"), asked, every=False).select("doc_id", "item_id")
 
 
 @query("""SELECT doc_id, item_id, i::INT AS "start", (i + length(q))::INT AS "end" FROM (SELECT d.doc_id, b.item_id, b.text AS q, d.text AS body, unnest(range(0, length(d.text))) AS i
 FROM documents d JOIN benchmark b ON contains(d.text, b.text) AND length(b.text) > 0) WHERE substr(body, i + 1, length(q)) = q""")
 def find_spans(t) -> DataFrame:
-    return corpus.quote_spans(t("documents").select("doc_id", "text"), t("benchmark").select("item_id", F.col("text").alias("quote"))).select("doc_id", "item_id", "start", "end")
+    return quotes.quote_spans(t("documents").select("doc_id", "text"), t("benchmark").select("item_id", F.col("text").alias("quote"))).select("doc_id", "item_id", "start", "end")
 
 
 @query("""SELECT doc_id, length(body)::BIGINT AS n_chars, substr(sha256(body), 1, 16) AS hash FROM (SELECT doc_id, string_agg('## ' || s || '-' || (e - 1) || chr(10) || chr(10) || '```' || chr(10) || body || chr(10) || '```', chr(10) || chr(10) ORDER BY s) AS body FROM chunked GROUP BY doc_id)""".join([CHUNKS_SQL, ""]))
@@ -720,13 +720,13 @@ def relation_pairs(t) -> DataFrame:
     return golden.relation_pairs(side("p_partkey % 2 = 0"), side("p_partkey % 2 = 1 OR p_partkey % 3 = 0"))
 
 
-@query(r"""SELECT doc_id, i::INT AS "start", (i <= length(text) - 9 AND i % 3 > 0) AS aligned, replace(CASE WHEN i > 20 THEN '…' ELSE '' END || substr(text, greatest(i - 20, 0) + 1, i - greatest(i - 20, 0)) || '【' || substr(text, i + 1, 9) || '】' || substr(text, i + 10, 20) || CASE WHEN i + 29 < length(text) THEN '…' ELSE '' END, chr(10), ' ⏎ ') AS snippet
-FROM (SELECT doc_id, text, (doc_id * 13) % 60 AS i FROM documents WHERE length(text) > 80)""")
+@query(r"""SELECT doc_id, i::INT AS "start", coalesce(i <= length(text) - 9 AND i % 3 > 0, false) AS aligned, replace(CASE WHEN i > 20 THEN '…' ELSE '' END || substr(text, greatest(i - 20, 0) + 1, i - greatest(i - 20, 0)) || '【' || substr(text, i + 1, 9) || '】' || substr(text, i + 10, 20) || CASE WHEN i + 29 < length(text) THEN '…' ELSE '' END, chr(10), ' ⏎ ') AS snippet
+FROM (SELECT doc_id, text, (doc_id * 13) % 60 AS i FROM documents)""")
 def snippets(t) -> DataFrame:
     """Spans with their surroundings, and whether they cut out a quote; every third quote is another one."""
-    docs = t("documents").filter("length(text) > 80").withColumn("start", (F.col("doc_id") * 13 % 60).cast("int"))
+    docs = t("documents").withColumn("start", (F.col("doc_id") * 13 % 60).cast("int"))
     quote = F.when(F.col("start") % 3 > 0, F.substring("text", F.col("start") + 1, F.lit(9))).otherwise(F.lit("\u0001"))
-    return docs.select("doc_id", "start", corpus.aligned(F.col("text"), F.col("start"), F.col("start") + 9, quote).alias("aligned"), text.snippet(F.col("text"), F.col("start"), F.lit(9)).alias("snippet"))
+    return docs.select("doc_id", "start", F.coalesce(corpus.aligned(F.col("text"), F.col("start"), F.col("start") + 9, quote), F.lit(False)).alias("aligned"), text.snippet(F.col("text"), F.col("start"), F.lit(9)).alias("snippet"))
 
 
 @query("""SELECT event_id, k % 5 < 4 AS needs FROM (SELECT event_id, event_id % 5 AS k FROM events)""")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from inkstone.functions import reign_dates as d
 from inkstone.functions import text
+from inkstone.operators import quotes as quotes_of
 from inkstone.operators import corpus, evaluation, linking, merging, timeline
 from inkstone.sources import storage
 
@@ -65,8 +66,8 @@ def test_terms(spark):
 def test_quotes(spark):
     docs = spark.createDataFrame([(1, "aaaa"), (2, "ét"), (3, None)], "doc_id long, text string")
     quotes = spark.createDataFrame([("q", "aa"), ("r", ""), ("s", None)], "id string, quote string")
-    assert [(r["start"], r["end"]) for r in corpus.quote_spans(docs, quotes).orderBy("start").collect()] == [(0, 2), (1, 3), (2, 4)]
-    assert corpus.quote_spans(docs, quotes, every=False).count() == 1
+    assert [(r["start"], r["end"]) for r in quotes_of.quote_spans(docs, quotes).orderBy("start").collect()] == [(0, 2), (1, 3), (2, 4)]
+    assert quotes_of.quote_spans(docs, quotes, every=False).count() == 1
     assert corpus.normalised(docs, "text").filter(F.col("text") == "ét").count() == 1
     got = one(spark, a=corpus.aligned(F.lit("abc"), F.lit(1), F.lit(3), F.lit("bc")), b=corpus.aligned(F.lit("abc"), F.lit(1), F.lit(9), F.lit("bc")), s=text.snippet(F.lit("x\nabc"), F.lit(2), F.lit(2)))
     assert (got["a"], got["b"], got["s"]) == (True, False, "x ⏎ 【ab】c")
