@@ -200,17 +200,31 @@ def smoke_check(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def golden_eval(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Precision and recall of a run's persons and events against a chapter's golden lists; exits with 1 below the gates."""
+    """Precision and recall of a run's five kinds against a chapter's golden lists; exits with 1 below the gates."""
     known = storage.read_golden(spark, a.golden)
     names = lambda c: F.transform(c, lambda v: v["variant"])
     own = lambda kind: storage.read(spark, a.folder, f"candidate_{kind}").filter(F.col("run") == a.run)
-    people = lambda df, variants: df.select("id", "canonical_name", names(variants).alias("variants"), F.when(F.col("state_id").contains(":"), F.col("state_id")).alias("state_id"), "social_category")
+    local = lambda c: F.when(F.col(c).startswith("cand:"), last_segment(F.col(c))).otherwise(F.col(c)).alias(c)
     given = F.from_json("variants_json", "array<struct<variant:string,kind:string>>")
-    g_people, c_people = people(known["persons"], F.col("variants")), people(own("persons"), given)
-    g_events = known["events"].select("id", "type", F.lit(None).cast("string").alias("place"), F.col("date.year_bce").alias("year_bce"))
-    c_events = own("events").select("id", "type", F.lit(None).cast("string").alias("place"), json_int(F.col("date_json"), "$.year_bce").alias("year_bce"))
-    sizes = {"person": (g_people.count(), c_people.count()), "event": (g_events.count(), c_events.count())}
-    rows = golden.precision_recall({"person": golden.person_pairs(g_people, c_people), "event": golden.event_pairs(g_events, c_events)}, sizes).orderBy("kind").collect()
+    golden_side = known | {
+        "persons": known["persons"].select("id", "canonical_name", names(F.col("variants")).alias("variants"), "state_id", "social_category"),
+        "events": known["events"].select("id", "type", F.col("date.year_bce").alias("year_bce"), "primary_place_id"),
+    }
+    ends = list(golden.RELATION_ENDS)
+    relations = None
+    for kind, table in (("event_participant", "event_participants"), ("event_place", "event_places"), ("event_relation", "event_relations"), ("person_relation", "person_relations"), ("person_state", "person_states")):
+        rows = own(table)
+        has = lambda c: local(c) if c in rows.columns else F.lit(None).cast("string").alias(c)  # noqa: B023, E731
+        detail = F.col("kind") if "kind" in rows.columns else F.lit(None).cast("string")
+        role = F.col("role") if "role" in rows.columns else F.lit(None).cast("string")
+        rows = rows.select(F.lit(kind).alias("kind"), *map(has, ends), role.alias("role"), detail.alias("relation_kind"))
+        relations = rows if relations is None else relations.unionByName(rows)
+    found = {
+        "persons": own("persons").select(local("id"), "canonical_name", names(given).alias("variants"), local("state_id"), "social_category"),
+        "events": own("events").select(local("id"), "type", json_int(F.col("date_json"), "$.year_bce").alias("year_bce"), local("primary_place_id")),
+        "places": own("places").select(local("id"), "name"), "states": own("states").select(local("id"), "name"), "relations": relations,
+    }
+    rows = golden.evaluated(golden_side, found).orderBy("kind").collect()
     for r in rows:
         print(json.dumps(r.asDict()))
     sys.exit(not all(r["passed"] for r in rows))

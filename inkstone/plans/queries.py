@@ -711,15 +711,46 @@ def event_pairs(t) -> DataFrame:
 
 
 @query("""WITH a AS (SELECT p_partkey AS g, p_size % 2 AS k, 'e' || p_partkey % 40 AS ev, CASE WHEN p_size % 5 > 0 THEN 'p' || p_size END AS pe, p_brand AS ro FROM part WHERE p_partkey % 2 = 0), b AS (SELECT p_partkey AS c, p_size % 2 AS k, 'e' || p_partkey % 40 AS ev, CASE WHEN p_size % 5 > 0 THEN 'p' || p_size END AS pe, p_brand AS ro FROM part WHERE p_partkey % 2 = 1 OR p_partkey % 3 = 0)
-SELECT g, c FROM a JOIN b ON a.k = b.k AND CASE a.k WHEN 0 THEN a.ev = b.ev AND a.pe IS NOT DISTINCT FROM b.pe AND a.ro = b.ro ELSE a.pe IS NOT DISTINCT FROM b.pe AND a.ev = b.ev END""")
+SELECT g, c FROM a JOIN b ON a.k = b.k AND CASE a.k WHEN 0 THEN a.ev = b.ev AND a.pe IS NOT DISTINCT FROM b.pe AND a.ro = b.ro ELSE a.pe IS NOT DISTINCT FROM b.pe AND a.ev = b.ev AND a.ro = b.ro END""")
 def relation_pairs(t) -> DataFrame:
-    """Participations agree in event, person and role; places of events in event and place, here taken from the same columns."""
+    """Participations agree in event, person and role; places of events in event, place and role, here taken from the same columns."""
     event, person = F.concat(F.lit("e"), F.col("p_partkey") % 40), F.when(F.col("p_size") % 5 > 0, F.concat(F.lit("p"), "p_size"))
     none = [F.lit(None).cast("string").alias(c) for c in ("state", "from_event", "to_event", "from_person", "to_person", "relation_kind")]
     side = lambda own: t("part").filter(own).select(F.col("p_partkey").alias("id"), F.when(F.col("p_size") % 2 == 0, "event_participant").otherwise("event_place").alias("kind"), event.alias("event"), person.alias("person"), person.alias("place"), F.col("p_brand").alias("role"), *none)
     return golden.relation_pairs(side("p_partkey % 2 = 0"), side("p_partkey % 2 = 1 OR p_partkey % 3 = 0"))
 
 
+@query("""WITH k AS (SELECT p_partkey AS k, p_brand FROM part), st AS (SELECT k % 5 AS i, CASE WHEN k % 5 = 4 THEN 'other' ELSE 'S' || k % 5 END AS name FROM k GROUP BY ALL), pl AS (SELECT k % 7 AS i, CASE WHEN k % 7 = 6 THEN 'other' ELSE 'P' || k % 7 END AS name FROM k GROUP BY ALL),
+gp AS (SELECT k, CASE WHEN k % 3 > 0 THEN 'S' || k % 5 END AS s FROM k WHERE k % 2 = 0), cp AS (SELECT k, name AS s FROM k JOIN st ON i = (k + (k % 11 = 0)::INT) % 5 WHERE k % 3 > 0 OR k % 4 = 0),
+ge AS (SELECT k, CASE WHEN k % 6 > 0 THEN k % 300 END AS y, CASE WHEN k % 5 > 0 THEN 'P' || k % 7 END AS p FROM k WHERE k % 2 = 0), ce AS (SELECT k, CASE WHEN k % 4 > 0 THEN k % 300 + k % 3 END AS y, CASE WHEN k % 10 > 0 THEN name END AS p FROM k JOIN pl ON i = (k + (k % 8 = 0)::INT) % 7 WHERE k % 3 > 0),
+gr AS (SELECT k, p_brand AS r FROM k WHERE k % 2 = 0), cr AS (SELECT k, CASE WHEN k % 7 > 0 THEN p_brand ELSE 'x' END AS r FROM k WHERE k % 3 > 0),
+n AS (SELECT 'person' AS kind, 0.9 AS lp, 0.85 AS lr, (SELECT count(*) FROM gp JOIN cp USING (k) WHERE gp.s IS NULL OR gp.s = cp.s) AS tp, (SELECT count(*) FROM gp) AS g, (SELECT count(*) FROM cp) AS c
+UNION ALL SELECT 'event', 0.8, 0.7, (SELECT count(*) FROM ge JOIN ce USING (k) WHERE ge.p IS NOT DISTINCT FROM ce.p OR abs(ge.y - ce.y) <= 1 OR (ge.y IS NULL AND ce.y IS NULL)), (SELECT count(*) FROM ge), (SELECT count(*) FROM ce)
+UNION ALL SELECT 'place', 0.85, 0.75, 6, 7, 7 UNION ALL SELECT 'state', 0.95, 0.9, 4, 5, 5
+UNION ALL SELECT 'relation', 0.65, 0.65, (SELECT count(*) FROM gr JOIN cr USING (k) WHERE gr.r = cr.r), (SELECT count(*) FROM gr), (SELECT count(*) FROM cr))
+SELECT kind, tp::BIGINT AS tp, (c - tp)::BIGINT AS fp, (g - tp)::BIGINT AS fn, round(tp / c, 6) AS "precision", round(tp / g, 6) AS recall, round(tp / c, 6) >= lp AND round(tp / g, 6) >= lr AS passed FROM n""")
+def golden_five_kinds(t) -> DataFrame:
+    """Precision and recall of persons, events, places, states and relations, each side with ids of its own."""
+    p = t("part").withColumn("k", F.col("p_partkey"))
+    k = F.col("k")
+    name = lambda prefix, c: F.concat(F.lit(prefix), c)
+    few = lambda prefix, of, n, last: p.select((k % n).alias("i")).distinct().select(name(prefix, F.col("i")).alias("id"), (F.when(F.col("i") == n - 1, "other").otherwise(name(of, F.col("i"))) if last else name(of, F.col("i"))).alias("name"))
+    persons = lambda rows, prefix, state: rows.select(name(prefix, k).alias("id"), name("n", k).alias("canonical_name"), F.array().cast("array<string>").alias("variants"), state.alias("state_id"), F.lit(None).cast("string").alias("social_category"))
+    events = lambda rows, prefix, year, place: rows.select(name(prefix, k).alias("id"), name("t", k).alias("type"), year.alias("year_bce"), place.alias("primary_place_id"))
+    none = lambda *columns: [F.lit(None).cast("string").alias(c) for c in columns]
+    relations = lambda rows, e, pe, role: rows.select(F.lit("event_participant").alias("kind"), name(e, k).alias("event_id"), name(pe, k).alias("person_id"), role.alias("role"), *none("place_id", "state_id", "from_event_id", "to_event_id", "from_person_id", "to_person_id", "relation_kind"))
+    even, third = p.filter(k % 2 == 0), p.filter(k % 3 > 0)
+    known = {
+        "persons": persons(even, "g", F.when(k % 3 > 0, name("gs", k % 5))), "events": events(even, "ge", F.when(k % 6 > 0, k % 300), F.when(k % 5 > 0, name("gp", k % 7))),
+        "places": few("gp", "P", 7, False), "states": few("gs", "S", 5, False), "relations": relations(even, "ge", "g", F.col("p_brand")),
+    }
+    found = {
+        "persons": persons(p.filter((k % 3 > 0) | (k % 4 == 0)), "c", name("cs", (k + (k % 11 == 0).cast("int")) % 5)), "events": events(third, "ce", F.when(k % 4 > 0, k % 300 + k % 3), F.when(k % 10 > 0, name("cp", (k + (k % 8 == 0).cast("int")) % 7))),
+        "places": few("cp", "P", 7, True), "states": few("cs", "S", 5, True), "relations": relations(third, "ce", "c", F.when(k % 7 > 0, F.col("p_brand")).otherwise("x")),
+    }
+    return golden.evaluated(known, found).select("kind", "tp", "fp", "fn", "precision", "recall", "passed")
+
+
 @query(r"""SELECT doc_id, i::INT AS "start", coalesce(i <= length(text) - 9 AND i % 3 > 0, false) AS aligned, replace(CASE WHEN i > 20 THEN '…' ELSE '' END || substr(text, greatest(i - 20, 0) + 1, i - greatest(i - 20, 0)) || '【' || substr(text, i + 1, 9) || '】' || substr(text, i + 10, 20) || CASE WHEN i + 29 < length(text) THEN '…' ELSE '' END, chr(10), ' ⏎ ') AS snippet
 FROM (SELECT doc_id, text, (doc_id * 13) % 60 AS i FROM documents)""")
 def snippets(t) -> DataFrame:

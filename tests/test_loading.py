@@ -299,7 +299,15 @@ def test_extracting_and_loading_by_the_command_line(spark, tmp_path, capsys):
     with pytest.raises(SystemExit):
         cli.main(["golden-eval", folder, "r1", str(golden)])
     rows = {r["kind"]: r for r in map(json.loads, capsys.readouterr().out.splitlines())}
-    assert (rows["person"]["tp"], rows["event"]["tp"], rows["event"]["fn"]) == (1, 2, 0)  # both places unknown: 654 matches 650
+    assert (rows["person"]["tp"], rows["event"]["tp"], rows["event"]["fn"]) == (1, 2, 0)  # both at no place: 654 matches 650
+    assert (rows["place"]["fp"], rows["place"]["recall"], rows["state"]["fp"], rows["relation"]["fp"]) == (1, 1.0, 1, 2)
+    (golden / "places.yaml").write_text("- {id: gp, name: 狄, citations: []}\n", encoding="utf-8")
+    (golden / "events.yaml").write_text("- {id: g2, type: 奔, date: {year_bce: 200, inference_kind: unknown}, primary_place_id: gp, citations: []}\n- {id: g3, type: 战, date: {year_bce: 649, inference_kind: unknown}, primary_place_id: gp, citations: []}\n", encoding="utf-8")
+    (golden / "relations.yaml").write_text("- {kind: event_participant, event_id: g2, person_id: g1, role: 主}\n", encoding="utf-8")
+    with pytest.raises(SystemExit):
+        cli.main(["golden-eval", folder, "r1", str(golden)])
+    rows = {r["kind"]: r for r in map(json.loads, capsys.readouterr().out.splitlines())}
+    assert (rows["event"]["tp"], rows["place"]["tp"], rows["relation"]["tp"] + rows["relation"]["fn"]) == (1, 1, 1)  # one place by name
 
 
 def test_golden_pair_and_verdict_files(spark, tmp_path):
