@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from inkstone.functions import reign_dates as dates
 from inkstone.functions import text
-from inkstone.operators import articles, corpus, curated_merges, curation, evaluation, golden, linking, loading, merging, quotes, timeline, validation
-from inkstone.sources.storage import read, settled
+from inkstone.operators import articles, corpus, curated_merges, curation, evaluation, golden, graphs, linking, loading, merging, quotes, timeline, validation
+from inkstone.sources.storage import read, settled, shared_folder
+from inkstone.streaming.linking import link_batch, linked
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -163,6 +164,16 @@ def link_score(t) -> DataFrame:
     return linking.scored_pairs(linking.candidate_pairs(cand, canon), cand, canon)
 
 
+@query(ORACLES["link_score"])
+def incremental_links(t) -> DataFrame:
+    """link_score's pairs, from candidates that come in three batches, one of them twice."""
+    cand, canon = _people(t)
+    folder = shared_folder(cand.sparkSession)
+    for k in (0, 1, 1, 2):
+        link_batch(cand.filter(F.pmod(F.xxhash64("id"), F.lit(3)) == k), k, folder, canon)
+    return linked(cand.sparkSession, folder)
+
+
 DISPATCH_SQL = PEOPLE_SQL.replace("WITH cand", "WITH RECURSIVE cand", 1) + """, marks AS (SELECT id, substr(sha1('{"name": "' || canonical_name || '", "variants": ["' || variants[1] || '"]}'), 1, 16) AS fingerprint FROM cand),
 merged AS (SELECT cand, target, row_number() OVER (ORDER BY cand) AS k FROM best WHERE kind_rank = 1 AND score100 >= 70 AND target > cand),
 walk AS (SELECT 0::BIGINT AS k, []::VARCHAR[] AS skipped UNION ALL SELECT m.k, CASE WHEN list_contains(w.skipped, m.cand) THEN w.skipped ELSE list_append(w.skipped, m.target) END FROM walk w JOIN merged m ON m.k = w.k + 1),
@@ -661,6 +672,18 @@ def resolve_ids(t) -> DataFrame:
     return validation.resolve_ids(edges, "person_id", ids).select("o_orderkey", "o_custkey", "person_id")
 
 
+@query("""WITH RECURSIVE e AS (SELECT p_partkey AS a, p_partkey // 3 AS b, 'blood' AS kind FROM part WHERE p_partkey > 0 UNION SELECT p_partkey, p_partkey // 2, CASE WHEN p_partkey % 5 = 0 THEN 'adoption' ELSE 'blood' END FROM part WHERE p_partkey % 4 = 0 AND p_partkey > 0 UNION SELECT 0, 7, 'oath'),
+w AS (SELECT a, b, 1 AS generation, kind FROM e UNION SELECT w.a, e.b, generation + 1, x.kind FROM w JOIN e ON e.a = w.b, LATERAL (SELECT unnest([w.kind, e.kind]) AS kind) x WHERE generation < 24)
+SELECT a AS descendant, b AS ancestor, generation, array_to_string(list_sort(list(DISTINCT kind)), ' ') AS kinds FROM w JOIN (SELECT a, b, min(generation) AS generation FROM w GROUP BY a, b) m USING (a, b, generation) GROUP BY ALL""")
+def genealogy(t) -> DataFrame:
+    """Ancestors of everyone, with two lines that meet again, and a cycle that all end in."""
+    k = F.col("p_partkey")
+    up = lambda rows, b, kind: rows.select(k.alias("descendant"), F.floor(k / b).alias("ancestor"), kind.alias("kind"))
+    edges = up(t("part").filter(k > 0), 3, F.lit("blood")).unionByName(up(t("part").filter((k % 4 == 0) & (k > 0)), 2, F.when(k % 5 == 0, "adoption").otherwise("blood")))
+    edges = edges.unionByName(t("region").filter("r_regionkey = 0").select(F.lit(0).cast("long").alias("descendant"), F.lit(7).cast("long").alias("ancestor"), F.lit("oath").alias("kind")))
+    return graphs.closure(edges, "descendant", "ancestor").withColumn("kinds", F.array_join("kinds", " "))
+
+
 RULERS_SQL = "(SELECT DISTINCT n_nationkey, '公' || chr(24000 + n_nationkey) AS posthumous, chr(24100 + n_nationkey % 20) AS given, 700 - 10 * n_nationkey AS first_year, 690 - 10 * n_nationkey AS last_year, n_nationkey % 3 AS s FROM nation)"
 
 

@@ -46,11 +46,9 @@ def empty(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], SCHEMAS[name])
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """df, written as a table below spark.checkpoint.dir, which all executors share, and read again: cuts lineage, survives lost
-    executors, and its size is known to later joins. It is deleted when the driver ends. Where no folder is set, a local session
-    gets a temporary one, and a cluster an error."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder's name below spark.checkpoint.dir, which all executors share; it is deleted when the driver ends. Where none is set, a
+    local session gets a temporary one, and a cluster an error."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
         master = spark.sparkContext.master
@@ -59,10 +57,17 @@ def settled(df: DataFrame) -> DataFrame:
         top = f"file://{tempfile.mkdtemp(prefix='inkstone-')}"
         spark.conf.set("spark.checkpoint.dir", top)
     folder = f"{top.rstrip('/')}/inkstone-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return spark.read.schema(df.schema).parquet(folder)
+    return folder
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df, written as a table to a shared folder and read again: cuts lineage, survives lost executors, and its size is known to
+    later joins."""
+    folder = shared_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def read_books(spark: SparkSession, path: str, corpus: str) -> DataFrame:
