@@ -212,7 +212,7 @@ def moved_rows(table: DataFrame, columns: list[str], key: list[str], way: DataFr
 
 def _entry(rows: DataFrame, kind: str, entity: Column, change: str, before: Column, after: Column, field: Column | None = None) -> DataFrame:
     none = F.lit(None).cast("string")
-    return rows.select(F.lit(kind).alias("entity_kind"), entity.alias("entity_id"), (none if field is None else field).alias("field"), F.lit(change).alias("change_kind"), before.alias("before_json"), after.alias("after_json"))
+    return rows.select(F.lit(kind).alias("entity_kind"), entity.alias("entity_id"), (none if field is None else field).alias("field"), F.lit(change).alias("change_kind"), before.alias("before_json"), after.alias("after_json"), (F.col("seq") if "seq" in rows.columns else F.lit(None).cast("long")).alias("seq"))
 
 
 def _variants(tables: dict[str, DataFrame], good: DataFrame, root: DataFrame) -> DataFrame:
@@ -235,7 +235,9 @@ def accept_merges(accepted: DataFrame, tables: dict[str, DataFrame], edits: Data
 
     tables: merge_candidates (id, target_id, candidate_id, status), persons, candidate_persons, person_variants, entity_citations,
     and the tables of PERSON_EDGES, whichever there are; edits: mc_id, field, value of the surviving person, made before anything
-    else. Gives these tables, `audit_log` (rows to append: edit, merge, merge_collision_resolved) and `refused` (mc_id, seq, reason).
+    else. Gives these tables, `audit_log` (rows to append: edit, merge, merge_collision_resolved; seq is the acceptance's number),
+    `fills` (rows of that form for fields that were filled, which replay.taken_back() needs and the audit log by itself lacks) and `refused`
+    (mc_id, seq, reason).
 
     Refused are candidates that aren't open by then, name persons that aren't there by then, edit a field that isn't in EDITABLE, or would
     overwrite a field of FILLED that is set otherwise; a refusal changes nothing. Else the surviving person's null fields are
@@ -279,6 +281,16 @@ def accept_merges(accepted: DataFrame, tables: dict[str, DataFrame], edits: Data
         changed = said.join(good, "mc_id")
         was = F.coalesce(*(F.when(F.col("field") == f, F.col("before")[k]) for k, f in enumerate(fields)))
         audit = audit.unionByName(_entry(changed, "person", F.col("into"), "edit", valued(was), valued(F.col("value")), F.col("field")))
+    held = [f for f in FILLED if f in fields]
+    at = lambda of, f: F.col(of)[fields.index(f)]
+    none = F.lit(None).cast("array<struct<field:string,value:string>>")
+    told = good.withColumn("edits", none) if said is None else good.join(said.groupBy("mc_id").agg(F.collect_list(F.struct("field", "value")).alias("edits")), "mc_id", "left")
+    own = lambda f: F.filter("edits", lambda e: e["field"] == f)
+    met = lambda f: F.when(F.coalesce(F.size(own(f)), F.lit(0)) > 0, F.get(own(f), F.lit(0))["value"]).otherwise(at("before", f))  # noqa: E731  what the fill met
+    each = F.array(*(F.struct(F.lit(f).alias("field"), F.when(met(f).isNull(), at("after", f)).alias("value")) for f in held))
+    if held:
+        filled = told.select("seq", "into", F.inline(F.filter(each, lambda x: x["value"].isNotNull())))
+        out["fills"] = _entry(filled, "person", F.col("into"), "fill", nothing, valued(F.col("value")), F.col("field"))
     if "person_variants" in tables:
         out["person_variants"] = _variants(tables, good, root)
     if "entity_citations" in tables:

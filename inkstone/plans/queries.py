@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from inkstone.functions import reign_dates as dates
 from inkstone.functions import text
-from inkstone.operators import articles, corpus, curated_merges, curation, evaluation, golden, graphs, linking, loading, merging, quotes, timeline, validation
+from inkstone.operators import articles, corpus, curated_merges, curation, evaluation, golden, graphs, linking, loading, merging, quotes, replay, timeline, validation
 from inkstone.sources.storage import read, settled, shared_folder
 from inkstone.streaming.linking import link_batch, linked
 
@@ -684,6 +684,28 @@ def genealogy(t) -> DataFrame:
     return graphs.closure(edges, "descendant", "ancestor").withColumn("kinds", F.array_join("kinds", " "))
 
 
+@query("""WITH e AS (SELECT 'per:' || o_custkey AS id, o_orderkey AS n, o_orderkey % 3 AS run, o_orderstatus AS v, lag(o_orderstatus) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS was FROM orders WHERE o_orderkey % 5 < 4),
+l AS (SELECT id, max(n) FILTER (run <> 1) AS kept, max(n) FILTER (run = 1) AS gone, arg_max(v, n) AS v FROM e GROUP BY id),
+b AS (SELECT e.id, arg_min(coalesce(was, '-'), n) AS was FROM e JOIN l USING (id) WHERE run = 1 AND (kept IS NULL OR n > kept) GROUP BY e.id),
+t AS (SELECT 'per:' || c_custkey AS id, c_custkey % 4 = 0 AS made, l.v, kept, gone, was FROM customer LEFT JOIN l ON l.id = 'per:' || c_custkey LEFT JOIN b ON b.id = 'per:' || c_custkey)
+SELECT 'persons' AS table_name, id, CASE WHEN was IS NOT NULL THEN was ELSE coalesce(v, '-') END AS "value" FROM t WHERE NOT (made AND kept IS NULL)
+UNION ALL SELECT 'conflicts', id, 'changed later' FROM l WHERE kept > gone UNION ALL SELECT 'conflicts', id, 'row changed later' FROM t WHERE made AND kept IS NOT NULL""")
+def undone_run(t) -> DataFrame:
+    """A run's changes of a field taken back from persons, a quarter of whom it made."""
+    c, o = t("customer"), t("orders").filter("o_orderkey % 5 < 4")
+    person = lambda k: F.concat(F.lit("per:"), k)
+    was = F.lag("o_orderstatus").over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    log = o.select(person("o_custkey").alias("entity_id"), F.lit("state_id").alias("field"), F.lit("set").alias("change_kind"), F.when(was.isNotNull(), F.to_json(F.struct(was.alias("value")))).alias("before_json"), F.to_json(F.struct(F.col("o_orderstatus").alias("value"))).alias("after_json"), F.lit(1).alias("at"), F.col("o_orderkey").alias("seq"), (F.col("o_orderkey") % 3).cast("string").alias("run"))
+    none = F.lit(None).cast("string")
+    made = c.filter("c_custkey % 4 = 0").select(person("c_custkey").alias("entity_id"), none.alias("field"), F.lit("create").alias("change_kind"), none.alias("before_json"), F.lit("{}").alias("after_json"), F.lit(0).alias("at"), F.lit(0).cast("long").alias("seq"), F.lit("1").alias("run"))
+    log = log.unionByName(made).withColumn("entity_kind", F.lit("person"))
+    last = o.groupBy(person("o_custkey").alias("id")).agg(F.max_by("o_orderstatus", "o_orderkey").alias("state_id"))
+    people = c.select(person("c_custkey").alias("id")).join(last, "id", "left")
+    rows, conflicts = replay.without_run(people, "person", log, "1", ["state_id"])
+    out = rows.select(F.lit("persons").alias("table_name"), "id", F.coalesce("state_id", F.lit("-")).alias("value"))
+    return out.unionByName(conflicts.select(F.lit("conflicts").alias("table_name"), F.col("entity_id").alias("id"), F.col("reason").alias("value")))
+
+
 RULERS_SQL = "(SELECT DISTINCT n_nationkey, '公' || chr(24000 + n_nationkey) AS posthumous, chr(24100 + n_nationkey % 20) AS given, 700 - 10 * n_nationkey AS first_year, 690 - 10 * n_nationkey AS last_year, n_nationkey % 3 AS s FROM nation)"
 
 
