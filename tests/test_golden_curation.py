@@ -21,9 +21,9 @@ def test_golden_pairs_and_gates(spark):
 def test_relations_match_on_their_own_columns(spark):
     schema = "id string, kind string, event string, person string, place string, state string, from_event string, to_event string, from_person string, to_person string, relation_kind string, role string"
     row = lambda i, kind, **x: (i, kind, *(x.get(c.split()[0]) for c in schema.split(", ")[2:]))
-    g = spark.createDataFrame([row("g1", "event_place", event="e", place="p", role="x"), row("g2", "person_state", person="a", state="s", role="lord")], schema)
-    c = spark.createDataFrame([row("c1", "event_place", event="e", place="p", role="y"), row("c2", "person_state", person="a", state="s", role="minister")], schema)
-    assert [tuple(r) for r in golden.relation_pairs(g, c).collect()] == [("g1", "c1")]
+    g = spark.createDataFrame([row("g1", "event_place", event="e", place="p", role="x"), row("g2", "person_state", person="a", state="s", role="lord"), row("g3", "event_place", event="e", place="q", role="x")], schema)
+    c = spark.createDataFrame([row("c1", "event_place", event="e", place="p", role="y"), row("c2", "person_state", person="a", state="s", role="minister"), row("c3", "event_place", event="e", place="q", role="x")], schema)
+    assert [tuple(r) for r in golden.relation_pairs(g, c).collect()] == [("g3", "c3")]  # the role of a place counts, too
 
 
 def test_golden_errors(spark):
