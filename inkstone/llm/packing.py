@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from inkstone.llm.common import column_of, parts_for, saved, slices
 
-CACHED = 400_000
+CACHED = 120_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary, sequence_id long, offset long"
 
