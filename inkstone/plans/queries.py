@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from inkstone.functions import reign_dates as dates
 from inkstone.functions import text
-from inkstone.operators import articles, corpus, curated_merges, curation, evaluation, golden, graphs, linking, loading, merging, quotes, replay, timeline, validation
+from inkstone.operators import articles, corpus, curated_merges, curation, evaluation, golden, graphs, linking, loading, merging, quotes, replay, search, successions, timeline, validation
 from inkstone.sources.storage import read, settled, shared_folder
 from inkstone.streaming.linking import link_batch, linked
 
@@ -970,3 +970,57 @@ def path_globs(t) -> DataFrame:
     path = F.concat(F.lit("src/"), F.when(k % 3 > 0, "").otherwise("deep/"), F.lit("linker_"), k, F.lit(".py"))
     pattern = F.when(k % 4 == 0, "`src/**/*.py`").when(k % 4 == 1, "src/*.py").when(k % 4 == 2, "the linker_" ).otherwise("lib/**")
     return t("part").select(k.cast("string").alias("path"), articles.path_matches(pattern, path).alias("matches"))
+
+
+GRAMS_SQL = "list_distinct(list_transform(range(1, length({0}) + 2), lambda i: substr('  ' || lower({0}) || ' ', i, 3)))"
+
+
+@query(f"""WITH n AS (SELECT p_partkey AS id, p_name || ' ' || p_type || ' ' || p_size AS name FROM part), q AS (SELECT p_partkey AS query_id, replace(p_name, 'i', 'y') || ' ' || p_size AS query FROM part WHERE p_partkey % 100 = 0),
+nt AS (SELECT name, {GRAMS_SQL.format('name')} AS g FROM (SELECT DISTINCT name FROM n)), qt AS (SELECT query, {GRAMS_SQL.format('query')} AS g FROM (SELECT DISTINCT query FROM q)),
+s AS (SELECT query, name, len(list_intersect(qt.g, nt.g)) AS shared, len(qt.g) + len(nt.g) AS total FROM qt, nt),
+r AS (SELECT query_id, id, shared::DOUBLE / (total - shared) AS score, row_number() OVER (PARTITION BY query_id ORDER BY shared::DOUBLE / (total - shared) DESC, id) AS place FROM s JOIN q USING (query) JOIN n USING (name) WHERE shared::DOUBLE / (total - shared) >= 0.4)
+SELECT query_id, place::INT AS place, id, score FROM r WHERE place <= 10""")
+def name_search(t) -> DataFrame:
+    """Names whose words come from a small list, so that every gram is in many; queries are misspelt names without a word."""
+    name = F.concat_ws(" ", "p_name", "p_type", "p_size")
+    asked = t("part").filter("p_partkey % 100 = 0").select(F.col("p_partkey").alias("query_id"), F.concat_ws(" ", F.replace("p_name", F.lit("i"), F.lit("y")), "p_size").alias("query"))
+    return search.trigram_search(t("part").select(F.col("p_partkey").alias("id"), name.alias("name")), asked, 10, 0.4)
+
+
+@query("""WITH k AS (SELECT c_custkey AS id, lower(unnest([c_name, c_mktsegment || '-' || c_custkey])) AS key, c_nationkey AS state, c_mktsegment AS category FROM customer),
+q AS (SELECT s_suppkey AS query_id, lower(CASE WHEN s_suppkey % 10 = 0 THEN 'CUST' WHEN s_suppkey % 2 = 0 THEN 'Customer#0000000' || s_suppkey % 7 ELSE 'build' END) AS prefix, CASE WHEN s_suppkey % 3 = 0 THEN s_nationkey END AS state, CASE WHEN s_suppkey % 4 = 0 THEN 'BUILDING' END AS category FROM supplier),
+f AS (SELECT query_id, id, min(key) AS key FROM q JOIN k ON starts_with(key, prefix) AND (q.state IS NULL OR q.state = k.state) AND (q.category IS NULL OR q.category = k.category) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY key, id)::INT AS place FROM f)
+SELECT query_id, place, id, key FROM r WHERE place <= 20""")
+def prefix_search(t) -> DataFrame:
+    """Names and other names by prefix, a tenth of the queries by one that all names have, some in one state or category."""
+    k = F.col("s_suppkey")
+    names = t("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("state"), F.col("c_mktsegment").alias("category"))
+    variants = t("customer").select(F.col("c_custkey").alias("id"), F.concat_ws("-", "c_mktsegment", "c_custkey").alias("variant"))
+    prefix = F.when(k % 10 == 0, "CUST").when(k % 2 == 0, F.concat(F.lit("Customer#0000000"), k % 7)).otherwise("build")
+    asked = t("supplier").select(k.alias("query_id"), prefix.alias("prefix"), F.when(k % 3 == 0, F.col("s_nationkey")).alias("state"), F.when(k % 4 == 0, "BUILDING").alias("category"))
+    filters = ("state", "category")
+    return search.prefix_search(search.search_keys(names, variants, filters=filters), asked, 20, filters)
+
+
+def _tenures(t) -> DataFrame:
+    """Orders as tenures: their customer is the state; every thousandth is very long, every twentieth lasts no time, every fiftieth has no end."""
+    k, day = F.col("o_orderkey"), F.unix_date(F.to_date("o_orderdate"))
+    long = F.when(k % 1000 == 0, 3000).when(k % 20 == 1, 0).when(k % 50 != 2, 1 + k % 300)
+    return t("orders").select(k.alias("id"), F.col("o_custkey").alias("state"), day.alias("start"), (day + long).cast("int").alias("end"))
+
+
+TENURES_SQL = """t AS (SELECT o_orderkey AS id, o_custkey AS state, date_diff('day', DATE '1970-01-01', o_orderdate::DATE)::INT AS "start", (date_diff('day', DATE '1970-01-01', o_orderdate::DATE) + CASE WHEN o_orderkey % 1000 = 0 THEN 3000 WHEN o_orderkey % 20 = 1 THEN 0 WHEN o_orderkey % 50 <> 2 THEN 1 + o_orderkey % 300 END)::INT AS "end" FROM orders)"""
+
+
+@query(f"""WITH {TENURES_SQL}, p AS (SELECT state, y, sum(step) AS step FROM (SELECT state, "start" AS y, 1 AS step FROM t WHERE "start" < "end" UNION ALL SELECT state, "end", -1 FROM t WHERE "start" < "end") GROUP BY ALL HAVING sum(step) <> 0),
+s AS (SELECT state, y AS "start", lead(y) OVER w AS "end", sum(step) OVER w AS holders FROM p WINDOW w AS (PARTITION BY state ORDER BY y))
+SELECT state, "start", "end", holders::BIGINT AS holders, CASE holders WHEN 0 THEN 'vacant' WHEN 1 THEN 'held' ELSE 'shared' END AS kind FROM s WHERE "end" IS NOT NULL""")
+def holder_spans(t) -> DataFrame:
+    return successions.holder_spans(_tenures(t), ["state"])
+
+
+@query(f"""WITH {TENURES_SQL}, v AS (SELECT a.id, max({{'y': b."end", 'since': b."start", 'key': b.id}}) AS last FROM t a JOIN t b ON a.state = b.state AND b."end" <= a."start" WHERE a."start" < a."end" AND b."start" < b."end" GROUP BY a.id)
+SELECT t.*, last.key AS predecessor, "start" - last.y AS vacancy FROM t LEFT JOIN v USING (id)""")
+def predecessors(t) -> DataFrame:
+    return successions.predecessors(_tenures(t), ["state"])
