@@ -241,10 +241,12 @@ def export(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def drift(spark: SparkSession, a: argparse.Namespace) -> None:
     changed = storage.changed_files(spark, a.folder, a.base) if a.base else spark.createDataFrame([(line.strip(),) for line in sys.stdin if line.strip()], "path string")
-    rows = articles.drift(articles.mapping_rows(spark.read.text(a.mapping, wholetext=True)), changed).collect()
-    for r in rows:
-        print(r["article_path"], r["code_pattern"], ",".join(r["matched_files"]), sep="\t")
-    sys.exit(bool(rows))
+    rows = articles.drift(articles.mapping_rows(spark.read.text(a.mapping, wholetext=True)), changed).orderBy("article_path", "code_pattern", "path")
+    stale = False
+    for (article, pattern), files in groupby(rows.toLocalIterator(), lambda r: (r["article_path"], r["code_pattern"])):
+        stale = True
+        print(article, pattern, ",".join(r["path"] for r in files), sep="\t")
+    sys.exit(stale)
 
 
 def parser() -> argparse.ArgumentParser:

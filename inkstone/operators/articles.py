@@ -23,12 +23,43 @@ def glob_regex(pattern):
     return F.concat(F.lit("^"), got, F.lit("$"))
 
 
+def _plain(pattern):
+    return F.regexp_replace(F.trim(pattern), "^`+|`+$", "")
+
+
+def _like_path(plain):
+    return F.contains(plain, F.lit("/")) | F.contains(plain, F.lit("*")) | plain.rlike(ENDINGS)
+
+
+def _words(plain):
+    return F.filter(F.regexp_extract_all(F.lower(plain), F.lit(r"(?U)(\w{4,})"), F.lit(1)), lambda w: ~w.isin(*STOP_WORDS))
+
+
 def path_matches(pattern, path):
     """Whether a changed file's path matches a glob, or else has a word of a description in it."""
-    plain = F.regexp_replace(F.trim(pattern), "^`+|`+$", "")
-    words = F.filter(F.regexp_extract_all(F.lower(plain), F.lit(r"(\w{4,})"), F.lit(1)), lambda w: ~w.isin(*STOP_WORDS))
-    like_path = F.contains(plain, F.lit("/")) | F.contains(plain, F.lit("*")) | plain.rlike(ENDINGS)
-    return F.when(like_path, F.regexp_like(path, glob_regex(plain))).otherwise(F.exists(words, lambda w: F.contains(F.lower(path), w)))
+    plain = _plain(pattern)
+    return F.when(_like_path(plain), F.regexp_like(path, glob_regex(plain))).otherwise(F.exists(_words(plain), lambda w: F.contains(F.lower(path), w)))
+
+
+def matched_paths(patterns: DataFrame, paths: DataFrame) -> DataFrame:
+    """code_pattern and path of each pattern and each path that it matches, once, as path_matches() has it.
+
+    A glob meets only paths in the folder that it begins with, up to its first wildcard, and with the last three characters that it ends
+    with, if it does; a description only paths with the first four characters of one of its words. Both are joins on equality. Defined
+    results: null patterns and paths match nothing; repeated rows count once; a glob without any such folder or ending meets all paths."""
+    asked = patterns.select("code_pattern").filter("code_pattern IS NOT NULL").distinct().withColumn("_plain", _plain("code_pattern"))
+    files = paths.select("path").filter("path IS NOT NULL").distinct()
+    ending = F.right(F.regexp_extract("_plain", r"([^*?/]*)$", 1), F.lit(3))
+    globs = asked.filter(_like_path(F.col("_plain"))).select("code_pattern", "_plain", F.regexp_extract("_plain", r"^((?:[^*?/]*/)*)", 1).alias("_head"), F.when(F.length(ending) == 3, ending).otherwise("").alias("_ending"))
+    parts = F.split("path", "/")
+    heads = F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: F.when(i == 0, "").otherwise(F.concat(F.array_join(F.slice(parts, F.lit(1), i), "/"), F.lit("/"))))
+    keyed = files.select("path", F.explode(heads).alias("_head")).select("path", "_head", F.explode(F.array_distinct(F.array(F.lit(""), F.right("path", F.lit(3))))).alias("_ending"))
+    by_glob = globs.join(keyed, ["_head", "_ending"]).filter(F.regexp_like("path", glob_regex(F.col("_plain")))).select("code_pattern", "path")
+    words = asked.filter(~_like_path(F.col("_plain"))).select("code_pattern", F.explode(F.array_distinct(_words(F.col("_plain")))).alias("_word")).withColumn("_gram", F.left("_word", F.lit(4)))
+    low = files.withColumn("_low", F.lower("path")).filter(F.length("_low") >= 4)
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("_low") - 3), lambda i: F.substr("_low", i, F.lit(4))))
+    by_word = words.join(low.select("path", "_low", F.explode(grams).alias("_gram")), "_gram").filter(F.contains("_low", "_word")).select("code_pattern", "path").distinct()
+    return by_glob.unionByName(by_word)
 
 
 def mapping_rows(texts: DataFrame, text: str = "value") -> DataFrame:
@@ -41,14 +72,11 @@ def mapping_rows(texts: DataFrame, text: str = "value") -> DataFrame:
 
 
 def drift(mapping: DataFrame, changed: DataFrame, folder: str = "knowledge") -> DataFrame:
-    """Mapping rows whose code changed while their article did not: code_pattern, article_path and the sorted matched files.
-    Both inputs are lists that one change makes, so the mapping is broadcast."""
+    """code_pattern, article_path and path of each changed file that a mapping row matches while its article did not change."""
     rooted = F.when(F.col("article_path").startswith(f"{folder}/") | F.col("article_path").startswith("/"), F.col("article_path")).otherwise(F.concat(F.lit(f"{folder}/"), "article_path"))
-    rows = mapping.withColumn("article_path", rooted)
-    matched = changed.select("path").join(F.broadcast(rows), path_matches(F.col("code_pattern"), F.col("path")))
-    done = changed.select(F.col("path").alias("_path"))
-    stale = matched.withColumn("_path", F.regexp_replace("article_path", "^/+", "")).join(done, "_path", "left_anti")
-    return stale.groupBy("code_pattern", "article_path").agg(F.sort_array(F.collect_set("path")).alias("matched_files"))
+    rows = mapping.select("code_pattern", rooted.alias("article_path")).distinct()
+    stale = rows.withColumn("path", F.regexp_replace("article_path", "^/+", "")).join(changed.select("path"), "path", "left_anti").drop("path")
+    return stale.join(matched_paths(stale, changed), "code_pattern").select("code_pattern", "article_path", "path")
 
 
 def frontmatter_errors(entries: DataFrame, articles: DataFrame) -> DataFrame:

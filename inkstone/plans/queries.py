@@ -827,8 +827,8 @@ def article_drift(t) -> DataFrame:
     mapping = one.select(number).select(F.concat(F.lit("src/"), F.col("s") % 3, F.lit("/**/*.py")).alias("code_pattern"), F.concat(F.lit("a"), "s", F.lit(".md")).alias("article_path"))
     changed = part.select(F.concat(F.lit("src/"), F.col("p_partkey") % 4, F.lit("/deep/f"), "p_partkey", F.lit(".py")).alias("path"))
     changed = changed.unionByName(one.select(number).filter("s % 2 = 1").select(F.concat(F.lit("knowledge/a"), "s", F.lit(".md")).alias("path")))
-    got = articles.drift(mapping, changed)
-    return got.select("code_pattern", "article_path", F.array_min(F.transform("matched_files", lambda f: F.regexp_extract(f, r"f(\d+)\.py", 1).cast("long"))).alias("n_first"), F.size("matched_files").cast("long").alias("n"))
+    number = F.regexp_extract("path", r"f(\d+)\.py", 1).cast("long")
+    return articles.drift(mapping, changed).groupBy("code_pattern", "article_path").agg(F.min(number).alias("n_first"), F.count("*").alias("n"))
 
 
 @query("""SELECT s_suppkey::VARCHAR AS path, unnest(list_filter([CASE WHEN s_suppkey % 3 = 0 THEN 'missing title' END, CASE WHEN s_suppkey % 4 = 0 THEN 'type is odd' END, CASE WHEN s_suppkey % 5 = 0 THEN 'updated is no date' END, CASE WHEN s_suppkey % 7 = 0 THEN 'no such article: z.md' END], lambda x: x IS NOT NULL)) AS error FROM supplier""")

@@ -1,3 +1,7 @@
+import random
+
+from pyspark.sql import functions as F
+
 from inkstone.operators import articles, validation
 
 DATE = "struct<year_bce:int,inference_kind:string>"
@@ -47,7 +51,21 @@ def test_drift(spark):
     mapping = articles.mapping_rows(spark.createDataFrame([(text,)], "value string"))
     changed = spark.createDataFrame([("src/x/y.py",), ("src/z.py",), ("lib/linking_run.go",), ("knowledge/b.md",)], "path string")
     got = articles.drift(mapping, changed).collect()
-    assert [(r["code_pattern"], r["article_path"], r["matched_files"]) for r in got] == [("`src/**/*.py`", "knowledge/a.md", ["src/x/y.py", "src/z.py"])]
+    assert sorted(tuple(r) for r in got) == [("`src/**/*.py`", "knowledge/a.md", "src/x/y.py"), ("`src/**/*.py`", "knowledge/a.md", "src/z.py")]
+
+
+def test_matched_paths_of_random_globs(spark):
+    """Against comparing every path with every pattern: globs without folders or endings, words, other scripts, nulls, repeated rows."""
+    rng = random.Random(3)
+    piece = lambda: rng.choice(["a", "ab", "src", "b.py", "*", "?", "**", "a*", "*.py", "?b", "a**b", "x+y", "文"])
+    patterns = ["/".join(piece() for _ in range(rng.randrange(1, 5))) for _ in range(120)] + [f"`{piece()}/**`" for _ in range(5)]
+    patterns += ["the linker stage", "with code", "Loader 重耳出奔", "**", "*", "", None, "ab/b.py", "ab/b.py", "/src/**", "a.b.md"]
+    name = lambda: rng.choice(["a", "ab", "src", "b.py", "aab", "x+y", "文", "cb", "Linker.go", "重耳出奔.md", "xy"])
+    paths = ["/".join(name() for _ in range(rng.randrange(1, 5))) for _ in range(200)] + ["", "/", "/src/a", "src/", "a.b.md", "axb.md", None, "a", "a"]
+    asked, files = spark.createDataFrame([(p,) for p in patterns], "code_pattern string"), spark.createDataFrame([(p,) for p in paths], "path string")
+    expected = {tuple(r) for r in asked.crossJoin(files).filter(articles.path_matches(F.col("code_pattern"), F.col("path"))).collect()}
+    got = [tuple(r) for r in articles.matched_paths(asked, files).collect()]
+    assert set(got) == expected and len(got) == len(expected) > 500
 
 
 def test_frontmatter_errors(spark):
