@@ -567,3 +567,18 @@ def test_long_rows_are_cut_into_bounded_parts():
     batch = pa.RecordBatch.from_arrays([pa.array(["x" * n for n in (10, 0, 50, 200, 1, 1)] + [None])], ["text"])
     parts = [p.column(0).to_pylist() for p in slices(batch, "text", 100)]
     assert sum(parts, []) == batch.column(0).to_pylist() and max(len(p) for p in parts) < 7
+
+
+def test_most_frequent_shingles_within_their_bound(spark):
+    """All of the higher steps, a share by hash of the one that the bound falls into, nothing beyond the bound; empty tables."""
+    rng = np.random.default_rng(4)
+    hashes = np.unique(rng.integers(0, 1 << 32, 30_000))
+    counts = np.where(rng.random(len(hashes)) < 0.1, rng.integers(1_000, 100_000, len(hashes)), rng.integers(12, 16, len(hashes)))
+    often = spark.createDataFrame(list(zip(hashes.tolist(), counts.tolist(), strict=True)), "shingle long, n_docs long")
+    for most in (2_000, 10_000, 20_000, 50_000):
+        keys, n = jaccard_join.most_frequent(often, most)
+        got = dict(zip(keys.tolist(), n.tolist(), strict=True))
+        assert (np.diff(keys.astype(np.int64)) > 0).all() and got.items() <= dict(zip(hashes.tolist(), counts.tolist(), strict=True)).items()
+        assert min(most, len(hashes)) * 0.9 <= len(got) <= most
+        assert min(got.values()) * 1.02 >= max((c for h, c in zip(hashes.tolist(), counts.tolist(), strict=True) if h not in got), default=0)
+    assert [len(x) for x in jaccard_join.most_frequent(often.limit(0), 5)] == [0, 0]
