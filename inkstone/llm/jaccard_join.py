@@ -345,7 +345,7 @@ def links(docs: DataFrame, width: int = 5, threshold: float = 0.75, frequent: in
     shared, lasts = posting_lists(docs, rows, width, percent, frequent, hot, run)
     placed = saved(with_most(shared.select("shingle", "part", "class", "sized"), lasts, percent), "placed")
     parts = placed.filter("part >= 0").groupBy("shingle").agg((F.max("part") + 1).alias("parts"))
-    blocks = placed.join(F.broadcast(parts), "shingle", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", F.greatest("part", F.lit(0)))
+    blocks = placed.join(parts, "shingle", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", F.greatest("part", F.lit(0)))
     # Each pair of a list's blocks meets under a key of its own: no key has more than a block's rows a side.
     one = blocks.select("shingle", F.col("part").alias("low"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("high"), *(F.col(c).alias(f"{c}_one") for c in ("class", "sized", "last", "most")))
     two = blocks.select("shingle", F.explode(F.sequence(F.lit(0), "part")).alias("low"), F.col("part").alias("high"), "class", "sized", "last", "most")
@@ -382,14 +382,18 @@ def joined_classes(docs: DataFrame, width: int, threshold: float, frequent: int,
 
     # What the stars can't have seen: pairs of one list in different components.
     classes = lasts.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    placed = with_most(shared.select("shingle", "class", "sized"), classes, percent)
-    held = placed.groupBy("shingle", "component").agg(F.count("*").alias("n")).groupBy("shingle").agg(F.count("*").alias("n_components"), F.max_by("component", "n").alias("largest")).filter("n_components > 1").drop("n_components")
-    mixed = saved(placed.join(held, "shingle"), "mixed")
-    small = mixed.filter("component <> largest").drop("largest").select("shingle", *(F.col(c).alias(f"{c}_one") for c in ("class", "sized", "last", "component", "most")))
+    placed = with_most(shared.select("shingle", "part", "class", "sized"), classes, percent)
+    by_component = placed.groupBy("shingle", "component").agg(F.count("*").alias("n"), F.max("part").alias("part"))
+    held = by_component.groupBy("shingle").agg(F.count("*").alias("n_components"), F.max_by("component", "n").alias("largest"), F.max("part").alias("last_part")).filter("n_components > 1").drop("n_components")
+    # A long list keeps its parts, each of which all of the list's smaller components meet under a key of its own.
+    mixed = saved(placed.join(held, "shingle").withColumn("part", F.greatest("part", F.lit(0))), "mixed")
+    parts = F.explode(F.sequence(F.lit(0), F.greatest("last_part", F.lit(0)))).alias("part")
+    small = mixed.filter("component <> largest").select("shingle", parts, *(F.col(c).alias(f"{c}_one") for c in ("class", "sized", "last", "component", "most")))
+    mixed = mixed.drop("last_part")
     # Of two linked sets the one whose prefix ends first has enough in common with other prefixes to link with any at all; so
     # of many sets that share one passage, and have not enough of it, no two meet.
     able, able_one = (F.col(f"most{k}") >= F.ceil(size(f"sized{k}") * percent / 100) for k in ("", "_one"))
-    met = lambda a, b: a.join(b, "shingle").filter((F.col("component") != F.col("component_one")) & could_link(percent) & ((F.col("component") == F.col("largest")) | (F.col("class_one") < F.col("class"))))
+    met = lambda a, b: a.join(b, ["shingle", "part"]).filter((F.col("component") != F.col("component_one")) & could_link(percent) & ((F.col("component") == F.col("largest")) | (F.col("class_one") < F.col("class"))))
     matches = met(small.filter(able_one), mixed).unionByName(met(small.filter(~able_one), mixed.filter(able)))
     crossing = met_with_l(matches).join(stars, ["a", "b"], "left_anti")
     crossing = saved(crossing, "crossing")
