@@ -122,7 +122,8 @@ def frequent_shingles(docs: DataFrame, width: int, least: int, most: int, ranges
         return pa.table({"shingle": pa.array(upper[first[often]].astype(np.int64)), "n_docs": pa.array(counts[often].astype(np.int64))})
 
     often = docs.select("text").mapInArrow(blocks, "range int, n int, block binary").repartition(ranges, "range").groupBy("range").applyInArrow(counted, "shingle long, n_docs long")
-    return most_frequent(saved(often, "frequent"), most)
+    # Few rows of each range are frequent: without the hint each range would write a small file.
+    return most_frequent(saved(often.hint("rebalance"), "frequent"), most)
 
 
 def most_frequent(often: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
