@@ -38,7 +38,7 @@ def discover(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def link(spark: SparkSession, a: argparse.Namespace) -> None:
     cand, known = (storage.read(spark, a.folder, n) for n in ("candidate_persons", "linkable_persons"))
-    best = linking.best_target(linking.scored_pairs(linking.candidate_pairs(cand, known), cand, known))
+    best = storage.settled(linking.best_targets(cand, known))
     rejected = storage.empty(spark, "rejected_merges").withColumnRenamed("canonical_id", "target") if a.ignore_rejections else storage.read(spark, a.folder, "rejected_merges").withColumnRenamed("canonical_id", "target")
     opened = storage.read(spark, a.folder, "merge_candidates").filter("status = 'open'").select(F.col("target_id").alias("target"), F.col("candidate_id").alias("cand"))
     got = linking.dispatch(cand.withColumn("fingerprint", fingerprint(F.col("canonical_name"), F.col("variants"))), best, rejected, opened, linking.skipped_siblings(best))
