@@ -72,14 +72,22 @@ def prefix_search(keys: DataFrame, queries: DataFrame, k: int = 20, filters: tup
     index = keys.filter("key <> '' AND id IS NOT NULL").select("id", F.lower("key").alias("key"), *filters).distinct()
     index = settled(index.repartitionByRange("key", "id").sortWithinPartitions("key", "id").withColumn("_block", F.spark_partition_id()))
     bounds = index.groupBy("_block").agg(F.min("key").alias("_from"), F.max("key").alias("_to"))  # a row for each task
-    asked = queries.filter("prefix <> ''").select("query_id", F.lower("prefix").alias("_prefix"), *(F.col(f).alias(f"_asked_{f}") for f in filters)).distinct()
+    own = [f"_asked_{f}" for f in filters]
+    asked = settled(queries.filter("prefix <> ''").select("query_id", F.lower("prefix").alias("_prefix"), *(F.col(f).alias(f"_asked_{f}") for f in filters)).distinct())
+    # Queries that ask the same are answered once.
+    questions = settled(asked.select("_prefix", *own).distinct().withColumn("_question", F.monotonically_increasing_id()))
     reaches = (F.col("_to") >= F.col("_prefix")) & ((F.col("_from") <= F.col("_prefix")) | F.startswith("_from", "_prefix"))
-    reached = settled(asked.join(F.broadcast(bounds), reaches).drop("_from", "_to"))
+    reached = settled(questions.join(F.broadcast(bounds), reaches).drop("_from", "_to"))
     lengths = reached.select("_block", F.length("_prefix").alias("_length")).distinct()
     cut = index.join(lengths, "_block").filter(F.length("key") >= F.col("_length")).withColumn("_prefix", F.left("key", F.col("_length")))
     found = cut.join(reached, ["_block", "_prefix"])
     for f in filters:
         found = found.filter(F.col(f"_asked_{f}").isNull() | (F.col(f"_asked_{f}") == F.col(f)))
-    one = found.groupBy("query_id", "id").agg(F.min("key").alias("key"))
-    first = Window.partitionBy("query_id").orderBy("key", "id")
-    return one.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= k).select("query_id", "place", "id", "key")
+    first = lambda by: Window.partitionBy(by).orderBy("key", "id")
+    least = found.groupBy("_question", "id").agg(F.min("key").alias("key"))
+    nearest = settled(least.withColumn("place", F.row_number().over(first("_question"))).filter(F.col("place") <= k).select("_question", "id", "key"))
+    # The first k of several prefixes are among the first k of each.
+    same = F.expr(" AND ".join(f"a.{c} <=> q.{c}" for c in ["_prefix", *own]))
+    answers = asked.alias("a").join(questions.alias("q"), same).select("a.query_id", "q._question").join(nearest, "_question")
+    one = answers.groupBy("query_id", "id").agg(F.min("key").alias("key"))
+    return one.withColumn("place", F.row_number().over(first("query_id"))).filter(F.col("place") <= k).select("query_id", "place", "id", "key")
