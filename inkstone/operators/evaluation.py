@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkstone.sources.storage import settled
+
 # Parts of a record's confidence; weights of event types and of rarity.
 BASE, PER_CHAR, QUOTE_MOST, JUSTIFIED, CEILING = 0.7, 0.01, 0.15, 0.10, 0.95
 TYPE_WEIGHTS = {"战": 3.0, "会盟": 3.0, "盟": 2.5, "弑": 3.0, "灭": 3.0, "即位": 2.5, "立": 2.0, "出奔": 2.5, "奔": 2.5, "伐": 2.0, "围": 2.0, "薨": 2.0, "卒": 2.0, "处死": 2.0, "杀": 2.0}
@@ -72,21 +74,46 @@ def multiset_pr(golden: DataFrame, found: DataFrame, key: list[str], by: str | N
 
 
 def greedy_matches(pairs: DataFrame, group: str | list[str], golden: str, found: str) -> DataFrame:
-    """One-to-one matches of allowed pairs within each group: golden rows in order take the first free row. A group is
-    one chapter's rows of one kind, a bounded number, as each choice depends on those before."""
-    import pandas as pd
+    """One-to-one matches of allowed pairs within each group: golden rows in order take the first free row.
 
+    A golden row takes a row for certain if each is the other's first of all that are left. Such matches are taken by joins, in turns, as
+    long as a turn takes at least a half of the pairs that are left; what is left then is matched group by group, as each choice depends
+    on those before. Null rows match nothing."""
     by = [group] if isinstance(group, str) else group
+    left = settled(pairs.select(*by, golden, found).filter(F.col(golden).isNotNull() & F.col(found).isNotNull()))
+    done, n = None, left.count()
+    while n:
+        both = left.withColumns({"_c": F.min(found).over(Window.partitionBy(*by, golden)), "_g": F.min(golden).over(Window.partitionBy(*by, found))})
+        sure = settled(both.filter((F.col("_c") == F.col(found)) & (F.col("_g") == F.col(golden))).select(*by, golden, found).distinct())
+        done = sure if done is None else done.unionByName(sure)
+        for side in (golden, found):
+            gone = sure.select(*(F.col(c).alias(f"_{c}") for c in (*by, side))).hint("merge")
+            same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*by, side)))
+            left = left.join(gone, same, "left_anti")
+        left = settled(left)
+        n, before = left.count(), n
+        if n > before / 2:
+            break
+    rest = _matched_in_order(left, by, golden, found)
+    return rest if done is None else done.unionByName(rest)
+
+
+def _matched_in_order(pairs: DataFrame, by: list[str], golden: str, found: str) -> DataFrame:
+    """greedy_matches() of each group in one task."""
+    import pandas as pd
+
     schema = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in (*by, golden, found))
 
     def match(rows: pd.DataFrame) -> pd.DataFrame:
-        used, out = set(), []
-        for g, own in rows.sort_values([golden, found]).groupby(golden, sort=True):
-            free = next((f for f in own[found] if f not in used), None)
-            if free is not None:
-                used.add(free)
-                out.append((*rows[by].iloc[0], g, free))
-        return pd.DataFrame(out, columns=[*by, golden, found])
+        rows = rows.sort_values([golden, found])
+        used, taken, keep = set(), set(), []
+        for g, f in zip(rows[golden], rows[found], strict=True):
+            free = g not in taken and f not in used
+            keep.append(free)
+            if free:
+                taken.add(g)
+                used.add(f)
+        return rows[keep]
 
     return pairs.select(*by, golden, found).groupBy(*by).applyInPandas(match, schema)
 
