@@ -42,9 +42,9 @@ def closure(edges: DataFrame, a: str = "a", b: str = "b", kind: str = "kind") ->
     reached, recent, generation = None, [frontier], 1
     while frontier.limit(1).count():
         generation += 1
-        further = frontier.join(steps, F.col("b") == F.col("_via")).select("a", F.col("_to").alias("b"), F.array_union("kinds", "_kinds").alias("kinds"))
+        further = frontier.join(steps.hint("merge"), F.col("b") == F.col("_via")).select("a", F.col("_to").alias("b"), F.array_union("kinds", "_kinds").alias("kinds"))
         for seen in [*recent, *([] if reached is None else [reached])]:
-            further = further.join(seen.select("a", "b"), ["a", "b"], "left_anti")
+            further = further.join(seen.select("a", "b").hint("merge"), ["a", "b"], "left_anti")  # small as files, large once broadcast
         kinds = F.sort_array(F.array_distinct(F.flatten(F.collect_set("kinds"))))
         frontier = settled(further.groupBy("a", "b").agg(kinds.alias("kinds")).select("a", "b", F.lit(generation).alias("generation"), "kinds"))
         recent.append(frontier)

@@ -42,3 +42,13 @@ def test_closure_of_random_graphs(spark):
 def test_closure_of_a_long_chain_with_a_cycle(spark):
     edges = [(k, k + 1, "blood" if k % 7 else "adoption") for k in range(20)] + [(20, 15, "oath")]
     assert closed(spark, edges) == searched(edges)
+
+
+def test_closure_broadcasts_nothing(spark, monkeypatch):
+    from inkstone.operators import graphs
+
+    plans, settled = [], graphs.settled
+    monkeypatch.setattr(graphs, "settled", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or settled(df))
+    edges = spark.createDataFrame([(k, k // 2, "x") for k in range(1, 40)], "a int, b int, kind string")
+    assert closure(edges).count() > 39
+    assert any("Join" in p for p in plans) and not any("Broadcast" in p for p in plans)
