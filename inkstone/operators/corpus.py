@@ -6,6 +6,7 @@ import hashlib
 import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import cache
 from itertools import accumulate
 
 import pandas as pd
@@ -78,7 +79,7 @@ def discover_terms(texts: DataFrame, terms: dict[str, str], place: str, text: st
 def nfc(text: Column) -> Column:
     @F.pandas_udf("string")
     def normal(texts: pd.Series) -> pd.Series:
-        return texts.str.normalize("NFC")
+        return texts.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 
     return normal(text)
 
@@ -91,18 +92,40 @@ def nfc_each(texts: Column) -> Column:
     return normal(texts)
 
 
-BEYOND_ASCII = r"[^\x00-\x7F]"
+@cache
+def unsure() -> frozenset[int]:
+    """The characters without which a text is in normal form C: those that it replaces, and those that join or change places with one
+    before them."""
+    found = {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}  # parts of Hangul syllables
+    for c in (*range(0x80, 0xD800), *range(0xE000, 0x110000)):
+        x = chr(c)
+        parts = unicodedata.decomposition(x).split()
+        if unicodedata.combining(x) or not unicodedata.is_normalized("NFC", x):
+            found.add(c)
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            found.add(int(parts[1], 16))
+    return frozenset(found)
+
+
+@cache
+def may_change() -> str:
+    """A regular expression for unsure(), which sees first whether a character is in one of the long ranges that hold none."""
+    found = unsure()
+    starts, ends = sorted(c for c in found if c - 1 not in found), sorted(c for c in found if c + 1 not in found)
+    gaps = [(a + 1, b - 1) for a, b in zip([-1, *ends], [*starts, 0x110000], strict=True) if b - a > 512]
+    listed = lambda ranges: "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges)
+    return f"[[^{listed(gaps)}]&&[{listed(zip(starts, ends, strict=True))}]]"
 
 
 def normalised(df: DataFrame, *columns: str) -> DataFrame:
-    """The columns in Unicode normal form C. Spark has no such function, so a vectorised one does it, and only for rows
-    with characters beyond ASCII."""
-    return df.withColumns({c: F.when(F.col(c).rlike(BEYOND_ASCII), nfc(F.col(c))).otherwise(F.col(c)) for c in columns})
+    """The columns in Unicode normal form C. Spark has no such function, so a vectorised one does it; it is given only the texts that
+    may change, and nulls for the others, which a condition around it alone would hand over, too."""
+    return df.withColumns({c: F.coalesce(nfc(F.when(F.col(c).rlike(may_change()), F.col(c))), F.col(c)) for c in columns})
 
 
 def normalised_values(values: Column) -> Column:
     """An array of strings in normal form C."""
-    return F.when(F.exists(values, lambda v: F.coalesce(v.rlike(BEYOND_ASCII), F.lit(False))), nfc_each(values)).otherwise(values)
+    return F.coalesce(nfc_each(F.when(F.exists(values, lambda v: F.coalesce(v.rlike(may_change()), F.lit(False))), values)), values)
 
 
 def quote_holds(quote: Column, text: Column) -> Column:

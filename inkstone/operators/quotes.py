@@ -5,7 +5,8 @@ characters or more has a whole window, so one of its kept runs is kept, at the s
 classes by length, each with its g and w, so that long quotes need few runs of a text: about one in 17 from 64 characters on.
 
 Texts and quotes meet only in joins. Runs of texts that no quote has go first; then each quote is looked for by that of its runs that
-texts have least often, and a run in very many places is dealt over several keys. Nothing is gathered on the driver but which classes there
+texts have least often, and a run in very many places is dealt over several keys. Python gets texts in short pieces, so that a batch of
+rows is small whatever the texts' lengths; a piece goes on for the characters that its last windows need. Nothing is gathered on the driver but which classes there
 are, and one pass over the texts finds all quotes, however many.
 """
 
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 from inkstone.sources.storage import settled
 
 LONGEST = 6  # the last class: quotes of 2**6 characters and more
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 18
+PIECE = 512  # characters
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -39,8 +41,9 @@ def sliding(x: np.ndarray, width: int, f) -> np.ndarray:
     return f(x[: len(x) - (width - have)], x[width - have :]) if width > have else x
 
 
-def kept_runs(text: str, classes: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each class: places of the kept runs of a text and their hashes (signed)."""
+def kept_runs(text: str, classes: list[int], part: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each class: places of the kept runs of a text and their hashes (signed). part: the number of the text that each
+    character is from, where several are joined to one; no window goes from one into another."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     hashes, size = mixed(codes + np.uint64(1)), 1
     for c in sorted(classes):
@@ -53,35 +56,48 @@ def kept_runs(text: str, classes: list[int]) -> Iterator[tuple[int, np.ndarray,
             size *= 2
         w = least - g + 1
         low = sliding(hashes, w, np.minimum)
+        if part is not None:
+            low[part[: len(low)] != part[least - 1 :]] = 0
         # A run is kept if it is the least of any window that it is in.
         padded = np.concatenate([np.zeros(w - 1, np.uint64), low, np.zeros(w - 1, np.uint64)])
         places = np.flatnonzero(sliding(padded, w, np.maximum) == hashes)
         yield c, places, hashes[places].view(np.int64)
 
 
+def pieces(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """key, start and piece of each text: every PIECE characters of it, with as many more as a run of 2**LONGEST that begins there needs."""
+    cut = f"(?s)(?=(.{{1,{PIECE + (1 << LONGEST) - 1}}})).{{1,{PIECE}}}"
+    got = rows.select(key, F.posexplode(F.regexp_extract_all(text, F.lit(cut), F.lit(1))).alias("_q_k", "piece"))
+    return got.select(key, (F.col("_q_k") * PIECE).alias("start"), "piece")
+
+
 def runs_of(rows: DataFrame, key: str, text: str, classes: list[int], own_class: bool = False) -> DataFrame:
-    """key (long), class, run and place of the kept runs of each text; own_class: those of the text's own class alone."""
+    """key (long), class, run and place of the kept runs of each text; own_class: those of the text's own class alone. A run near a piece's
+    end may come twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kinds = ("key", "class", "run", "place"), (pa.int64(), pa.int32(), pa.int64(), pa.int32())
         for batch in batches:
+            keys, starts = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             held, chars = [], 0
-            keys, texts = batch.column(0), batch.column(1)
             for k in range(batch.num_rows):
-                body = texts[k].as_py()
-                mine = [min(LONGEST, len(body).bit_length() - 1)] if own_class else classes
-                for c, places, hashes in kept_runs(body, mine):
-                    held.append((np.full(len(places), keys[k].as_py(), np.int64), np.full(len(places), c, np.int32), hashes, places.astype(np.int32)))
-                chars += len(body)
-                if held and (chars >= SLICE_CHARS or k == batch.num_rows - 1):
-                    columns = [np.concatenate([h[i] for h in held]) for i in range(4)]
-                    yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)], names)
+                held.append(batch.column(2)[k].as_py())
+                chars += len(held[-1])
+                if own_class or chars >= SLICE_CHARS or k == batch.num_rows - 1:
+                    first = k + 1 - len(held)
+                    lengths = np.array([len(x) for x in held])
+                    part = np.repeat(np.arange(len(held)), lengths)
+                    before = np.cumsum(lengths) - lengths - starts[first : k + 1]
+                    mine = [min(LONGEST, chars.bit_length() - 1)] if own_class else classes
+                    for c, places, hashes in kept_runs("".join(held), mine, part):
+                        of = part[places]
+                        columns = (keys[first + of], np.full(len(of), c), hashes, places - before[of])
+                        yield pa.RecordBatch.from_arrays([pa.array(x.astype(kind.to_pandas_dtype()), kind) for x, kind in zip(columns, kinds, strict=True)], names)
                     held, chars = [], 0
-            if held:
-                columns = [np.concatenate([h[i] for h in held]) for i in range(4)]
-                yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)], names)
 
-    return rows.select(key, text).filter(F.col(text) != "").mapInArrow(run, "key long, class int, run long, place int")
+    own = rows.filter(F.col(text) != "")
+    cut = own.select(key, F.lit(0).alias("start"), text) if own_class else pieces(own, key, text)
+    return cut.mapInArrow(run, "key long, class int, run long, place int")
 
 
 def quote_spans(texts: DataFrame, quotes: DataFrame, text: str = "text", quote: str = "quote", every: bool = True, hot: int = 100_000) -> DataFrame:

@@ -1,10 +1,12 @@
 """Quote search against str.find."""
 
 import random
+import unicodedata
 
 import pytest
 
-from inkstone.operators.quotes import kept_runs, quote_spans
+from inkstone.operators import corpus
+from inkstone.operators.quotes import PIECE, kept_runs, pieces, quote_spans
 
 
 def occurrences(texts, quotes, every):
@@ -63,3 +65,27 @@ def test_a_quotes_runs_are_kept_in_every_text():
             ((_, places, hashes),) = kept_runs(quote, [c])
             ((_, there, values),) = kept_runs(before + quote + after, [c])
             assert len(places) and set(zip((places + len(before)).tolist(), hashes.tolist(), strict=True)) <= set(zip(there.tolist(), values.tolist(), strict=True))
+
+
+def test_texts_go_to_python_in_pieces(spark):
+    """Quotes across every cut of a long text, and none of its pieces is long."""
+    rng = random.Random(7)
+    body = "".join(rng.choice("abcdefgh 中😀\n") for _ in range(6 * PIECE + 70))
+    texts = [(1, body), (2, body[:PIECE]), (3, body[: PIECE + 1]), (4, None), (5, "")]
+    quotes = [(k, body[at : at + size]) for k, (at, size) in enumerate((cut * PIECE - before, size) for cut in range(1, 7) for before, size in ((1, 2), (5, 9), (40, 64), (63, 64), (64, 65), (1, 64), (0, 64), (100, 300)))]
+    got = quote_spans(table(spark, texts, "doc long, text string"), table(spark, quotes, "q long, quote string"))
+    assert sorted(((r["doc"], r["q"], r["start"], r["end"]) for r in got.collect()), key=repr) == occurrences(texts, quotes, True)
+    cut = pieces(spark.createDataFrame(texts, "doc long, text string"), "doc", "text").collect()
+    assert max(len(r["piece"]) for r in cut) == PIECE + 63
+    assert "".join(r["piece"][:PIECE] for r in sorted(cut, key=lambda r: r["start"]) if r["doc"] == 1) == body
+
+
+def test_texts_that_cannot_change_are_not_normalised(spark):
+    """Texts without the characters of unsure() are in normal form C, and only few characters are among them."""
+    rng = random.Random(3)
+    sure = [c for c in map(chr, (*range(0xD800), *range(0xE000, 0x110000))) if ord(c) not in corpus.unsure()]
+    assert corpus.unsure().isdisjoint(map(ord, "az éüñ中文字кд，。“”—…한😀"))
+    assert all(unicodedata.is_normalized("NFC", "".join(rng.choices(sure[:60_000], k=50))) for _ in range(20_000))
+    rows = [(k, t) for k, t in enumerate(["e\u0301", "한", "\u1112\u1161\u11ab", "\u212b", "中文", "", None, "a\u0323\u0307", "a\u0307\u0323"])]
+    got = corpus.normalised(spark.createDataFrame(rows, "k int, text string"), "text").collect()
+    assert {r["k"]: r["text"] for r in got} == {k: None if t is None else unicodedata.normalize("NFC", t) for k, t in rows}
