@@ -216,10 +216,12 @@ def merged_dates(entities: DataFrame, matched: DataFrame) -> DataFrame:
     rank = lambda c: F.coalesce(F.element_at(F.create_map(*(F.lit(x) for p in (("point", 3), ("circa", 2), ("range", 1)) for x in p)), F.coalesce(F.get_json_object(c, "$.uncertainty"), F.lit("point"))), F.lit(0))
     base = entities.select(F.col("id").alias("entity_id"), F.col("date_json").alias("_date"), F.coalesce("confidence", F.lit(0.0)).alias("_conf"))
     moves = matched.filter(F.try_parse_json("date_json").isNotNull()).select("entity_id", F.struct("pass", "id").alias("pos"), "date_json", F.col("confidence").alias("c"), rank(F.col("date_json")).alias("r")).join(base, "entity_id")
+    moves = settled(moves)
     # Without a date there the first one is taken, and then is what others meet.
     begin = moves.filter("_date IS NULL").groupBy("entity_id").agg(F.min(F.struct("pos", "date_json")).alias("_begin"))
-    moves = moves.join(begin, "entity_id", "left").filter("_begin IS NULL OR pos > _begin.pos").withColumn("_date", F.coalesce("_date", "_begin.date_json"))
+    moves = moves.join(settled(begin), "entity_id", "left").filter("_begin IS NULL OR pos > _begin.pos").withColumn("_date", F.coalesce("_date", "_begin.date_json"))
     always = moves.filter(F.col("c") - MARGIN > F.col("_conf")).groupBy("entity_id").agg(F.max(F.struct("pos", "date_json")).alias("_always"))
+    always = settled(always)
     left = moves.join(always, "entity_id", "left").filter("_always IS NULL OR pos > _always.pos").withColumn("_from", F.coalesce("_always.date_json", "_date"))
     left = left.filter((F.col("c") >= F.col("_conf") - MARGIN) & (F.col("c") - MARGIN <= F.col("_conf"))).withColumn("_higher", F.col("c") > F.col("_conf"))
     left = left.filter((F.col("r") > rank(F.col("_from"))) | (F.col("_higher") & (F.col("r") == rank(F.col("_from")))))
@@ -241,8 +243,8 @@ def load_events(candidates: DataFrame, tables: dict[str, DataFrame], run: str) -
     keyed = lambda df: df.select("id", "type", year.alias("year_bce"), F.col("primary_place_id").alias("place_id"))
     events = tables["events"].select("id", *EVENT_FIELDS, "date_json", "confidence", "provenance")
     ids = settled(match_events(keyed(candidates), keyed(events)))
-    own = candidates.join(ids, "id").withColumn("pass", F.lit(0))
-    made = _made(own, "event_id")
+    own = settled(candidates.join(ids, "id").withColumn("pass", F.lit(0)))  # read again by every step
+    made = settled(_made(own, "event_id"))
     new = made.select(F.col("event_id").alias("id"), *EVENT_FIELDS, "date_json", "confidence", F.lit(PROVENANCE).alias("provenance"))
     every = events.unionByName(new)
     acting = own.join(made.select("id"), "id", "left_anti").withColumn("entity_id", F.col("event_id"))

@@ -121,14 +121,16 @@ def match_persons(candidates: DataFrame, persons: DataFrame, variants: DataFrame
 
 def match_events(candidates: DataFrame, events: DataFrame) -> DataFrame:
     """id and event_id of each candidate: the least known event of one type, year and place (nulls equal), or a new id of
-    type and year; the n-th new event of a type and year gets suffix n from the second on."""
+    type and year; the n-th new event of a type and year gets suffix n from the second on. Only distinct keys are ranked."""
     key = ["type", "year_bce", "place_id"]
     known = events.groupBy(*(F.col(k).alias(f"_{k}") for k in key)).agg(F.min("id").alias("_known"))
     got = candidates.join(known, [candidates[k].eqNullSafe(known[f"_{k}"]) for k in key], "left")
     base = F.concat(F.lit("evt:"), slug(F.col("type")), F.lit("-"), F.coalesce(F.col("year_bce").cast("string"), F.lit("x")))
-    new = got.filter("_known IS NULL").withColumn("_base", base)
+    new = got.filter("_known IS NULL").select(*key).distinct().withColumn("_base", base)
     place = F.dense_rank().over(Window.partitionBy("_base").orderBy(F.col("place_id").asc_nulls_first()))
     taken = events.select(F.regexp_extract("id", r"^(evt:.*?-(?:\d+|x))(?:-(\d+))?$", 1).alias("_base"), F.coalesce(F.regexp_extract("id", r"-(?:\d+|x)-(\d+)$", 1).try_cast("int"), F.lit(1)).alias("_n")).groupBy("_base").agg(F.max("_n").alias("_max"))
     new = new.join(taken, "_base", "left").withColumn("_n", place + F.coalesce("_max", F.lit(0)))
-    made = new.select("id", F.concat("_base", F.when(F.col("_n") > 1, F.concat(F.lit("-"), F.col("_n"))).otherwise("")).alias("event_id"), F.lit(True).alias("created"))
+    named = new.select(*(F.col(k).alias(f"_{k}") for k in key), F.concat("_base", F.when(F.col("_n") > 1, F.concat(F.lit("-"), F.col("_n"))).otherwise("")).alias("event_id"))
+    fresh = got.filter("_known IS NULL").select("id", *key)
+    made = fresh.join(settled(named), [fresh[k].eqNullSafe(F.col(f"_{k}")) for k in key]).select("id", "event_id", F.lit(True).alias("created"))
     return got.filter("_known IS NOT NULL").select("id", F.col("_known").alias("event_id"), F.lit(False).alias("created")).unionByName(made)

@@ -326,3 +326,15 @@ def test_golden_pair_and_verdict_files(spark, tmp_path):
         (tmp_path / "in" / n).write_text(n)
     assert [r[0] for r in storage.copy_texts(spark, str(tmp_path / "in"), str(tmp_path / "out")).collect()] == ["ch01.md", "ch02.md"]
     assert (tmp_path / "out" / "ch02.md").read_text() == "ch02.md" and not (tmp_path / "out" / "notes.md").exists()
+
+
+def test_new_events_are_numbered_by_distinct_places_alone(spark):
+    """No candidate passes through a window, however many a type and year has; nulls are a place, a type and a year of their own."""
+    from inkstone.operators.validation import match_events
+
+    rows = [(f"c{k}", "battle", -600, (None, "pla:a", "pla:b")[k % 3]) for k in range(30)] + [("n1", "battle", None, None), ("n2", None, -600, None), ("k1", "siege", -600, "pla:a")]
+    schema = "id string, type string, year_bce int, place_id string"
+    got = match_events(spark.createDataFrame(rows, schema), spark.createDataFrame([("evt:siege--600", "siege", -600, "pla:a"), ("evt:battle--600", "battle", -600, "pla:z")], schema))
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+    expected = {f"c{k}": (f"evt:battle--600-{k % 3 + 2}", True) for k in range(30)} | {"n1": ("evt:battle-x", True), "n2": (None, True), "k1": ("evt:siege--600", False)}
+    assert {r["id"]: (r["event_id"], r["created"]) for r in got.collect()} == expected
